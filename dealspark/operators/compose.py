@@ -74,14 +74,14 @@ def tag_pack(catalogue: DataFrame, queries: Sequence[SavedQuery], now: Column |
              tag: str = "query_name") -> DataFrame:
     """Every (product, matching query) pair from **one** scan of the catalogue.
 
-    Each query contributes ``when(pred, name)``; non-matches are dropped from
-    the array before ``explode``, so a product matching no query emits nothing
-    and one matching several is repeated, once per query.
+    Each query contributes ``when(pred, name)``; the exploded non-matches are
+    dropped right after ``explode`` in the same stage, so a product matching no
+    query emits nothing and one matching several is repeated, once per query.
+    (A higher-order ``filter`` cannot hold the scalar "now" subquery.)
     """
     now = latest_update(catalogue) if now is None else now
     tags = F.array(*[F.when(q.where(now), F.lit(q.name)) for q in queries])
-    hits = F.filter(tags, lambda t: t.isNotNull())
-    return catalogue.withColumn(tag, F.explode(hits))
+    return catalogue.withColumn(tag, F.explode(tags)).where(F.col(tag).isNotNull())
 
 
 def pack_order(queries: Sequence[SavedQuery], tag: str = "query_name") -> Column:

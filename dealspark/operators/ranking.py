@@ -13,6 +13,9 @@ rows) in one task.  Both are replaced here by the distributed form:
    counts into start offsets;
 3. broadcast that bounded table back: global rank = offset + local position.
 
+Step 1 is checkpointed (reliably, to the shared checkpoint folder) so that
+steps 2 and 3 read one and the same partitioning.
+
 A per-key rank subtracts the global rank of the key's first row, found with a
 map-side-combined ``min`` aggregate.  A hot key is spread over as many range
 partitions as its size needs, so no task holds more than one partition's share.
@@ -28,6 +31,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from dealspark.session import scratch_dir
+
 ColumnLike = Column | str
 
 _PID = "__ds_pid"
@@ -50,12 +55,16 @@ def global_rank(df: DataFrame, order: Sequence[ColumnLike], out: str = "rank",
     """Add ``out`` = 0-based position of each row in ``order`` over the whole frame."""
     n = num_partitions or _num_partitions(df)
     cols = [_plain(c) for c in order]
-    # An explicit partition count keeps AQE from re-coalescing the two reads of
-    # this exchange differently; the exchange itself is reused by both branches.
     ranged = (df.repartitionByRange(n, *cols)
                 .sortWithinPartitions(*cols)
                 .withColumn(_PID, F.spark_partition_id())
                 .withColumn(_MID, F.monotonically_increasing_id()))
+    # The counts and the rows must come from the *same* partitioning.  Range
+    # bounds are sampled with a seed tied to the RDD, so two executions of the
+    # exchange may cut differently; a reliable checkpoint (in the shared
+    # checkpoint folder, surviving executor loss) pins one cut for both reads.
+    scratch_dir(df.sparkSession)
+    ranged = ranged.checkpoint(eager=True)
     counts = ranged.groupBy(_PID).agg(F.count(F.lit(1)).alias("__ds_n"))
     # At most `n` rows: the single-partition window here is bounded by design.
     before = Window.orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)

@@ -54,3 +54,263 @@ def _search(name: str) -> QueryFn:
 
 for _key, _name in SEARCH_KEYS.items():
     register(_key)(_search(_name))
+
+
+# -- predicates (PRD-1..18): matching skus plus the tested field ---------------
+
+from pyspark.sql import functions as F  # noqa: E402
+
+from dealspark.functions import text as X  # noqa: E402
+from dealspark.functions import timefns as T  # noqa: E402
+from dealspark.operators import predicates as P  # noqa: E402
+from dealspark.operators.compose import (latest_update, page_slice, rank_by_order, tag_pack,  # noqa: E402
+                                         pack_wide, top_k, select_spec)
+from dealspark.operators.projection import (DEFAULT_DETAILS, ProjectionSpec, detail_columns,  # noqa: E402
+                                            offer_entries)
+from dealspark.plans import packs as K  # noqa: E402
+from dealspark.plans import report as R  # noqa: E402
+from dealspark.sources.catalogue import offer_rows, price_events, table  # noqa: E402
+
+
+def _match(pred_fn, *fields):
+    def fn(spark, sf_dir):
+        cat = products(spark, sf_dir)
+        return cat.where(pred_fn(cat)).select("sku", *[F.col(f"`{f}`") for f in fields])
+    return fn
+
+
+register("prd_eq_str")(_match(lambda c: P.eq("manufacturer", "apple"), "manufacturer"))
+register("prd_eq_bool")(_match(lambda c: P.eq("preowned", False), "preowned"))
+register("prd_eq_int")(_match(lambda c: P.eq("subclassId", 410), "subclassId"))
+register("prd_ne_str")(_match(lambda c: P.ne("protectionPlanTerm", "gsr"), "protectionPlanTerm"))
+register("prd_ne_num")(_match(lambda c: P.ne("salePrice", K.EXCLUDED_PRICE), "salePrice"))
+register("prd_lt")(_match(lambda c: P.lt("salePrice", 1000), "salePrice"))
+register("prd_gt")(_match(lambda c: P.gt("screenSizeClassIn", 84), "screenSizeClassIn"))
+register("prd_gt_ts")(_match(
+    lambda c: P.gt_ts("priceUpdateDate", T.cutoff(latest_update(c), T.DAILY_LOOKBACK_MINUTES, T.DAILY_ZONE)),
+    "priceUpdateDate"))
+register("prd_prefix")(_match(lambda c: P.prefix("manufacturer", "Sony"), "manufacturer"))
+register("prd_in")(_match(lambda c: P.isin("productTemplate", K.TV_TEMPLATES), "productTemplate"))
+register("prd_and")(_match(lambda c: P.all_of(*K.base()), "orderable"))
+register("prd_or_group")(_match(lambda c: P.any_of(*[P.prefix("color", s) for s in K.PURPLE_SHADES]), "color"))
+register("prd_any_eq")(_match(lambda c: P.any_eq("details.value", "nvidia"), "name"))
+register("prd_any_prefix")(_match(lambda c: P.any_prefix("categoryPath.name", "laptop"), "name"))
+register("prd_none_eq")(_match(lambda c: P.none_eq("details.value", "intel"), "name"))
+register("prd_none_prefix")(_match(lambda c: P.none_prefix("details.value", "1650"), "name"))
+register("prd_search")(_match(lambda c: P.search("airpods"), "name"))
+
+
+@register("prd_anti_prefix_local")
+def prd_anti_prefix_local(spark, sf_dir):
+    """Archived local post-filter on the flattened table: drop ``Processor Model``
+    values starting with ``Intel`` (case-sensitive), then rank by price, name."""
+    flat = select_spec(products(spark, sf_dir), ProjectionSpec(None, K.LAPTOP_ATTRS), keep=["page", "pos"])
+    kept = flat.where(P.anti_prefix_local("Processor Model", "Intel"))
+    return rank_by_order(kept).select("sku", "name", "salePrice", "`Processor Model`", "rank")
+
+
+# -- projection (PRJ-1..9) ---------------------------------------------------
+
+@register("prj_columns")
+def prj_columns(spark, sf_dir):
+    return products(spark, sf_dir).select(*[F.col(c) for c in K.MACBOOK_COLUMNS])
+
+
+@register("prj_defaults")
+def prj_defaults(spark, sf_dir):
+    """Falsy spec -> 5 default columns and 8 default attributes."""
+    return select_spec(products(spark, sf_dir), ProjectionSpec([], [], None))
+
+
+# Attributes probed by the lookup key (case, duplicates, nulls, gaps).
+PROBE_ATTRS = ("brand", "SIZE", "Type", "Color")
+
+
+@register("prj_detail_first")
+def prj_detail_first(spark, sf_dir):
+    return products(spark, sf_dir).select("sku", *detail_columns(PROBE_ATTRS))
+
+
+@register("prj_detail_pivot")
+def prj_detail_pivot(spark, sf_dir):
+    names = list(dict.fromkeys([*K.GPU_ATTRS, *K.TV_ATTRS, *K.HEADPHONE_ATTRS]))
+    return products(spark, sf_dir).select("sku", *detail_columns(names))
+
+
+@register("prj_offer_map")
+def prj_offer_map(spark, sf_dir):
+    """``offer.startDate`` / ``offer.endDate`` of every catalogue product, exploded
+    to ``(sku, offer_pos, offer.startDate, offer.endDate)``."""
+    cat = products(spark, sf_dir).select("sku")
+    return offer_entries(offer_rows(spark, sf_dir), ProjectionSpec()).join(cat, "sku", "left_semi")
+
+
+def _discount_hits(spark, sf_dir):
+    cat = products(spark, sf_dir)
+    return cat.where(K.SAVED_QUERIES["discount"].where(latest_update(cat)))
+
+
+@register("prj_row_index")
+def prj_row_index(spark, sf_dir):
+    """Index by landing position (page, pos), kept through the price sort."""
+    from dealspark.operators.ranking import global_rank
+    hits = _discount_hits(spark, sf_dir).select("sku", "page", "pos")
+    return global_rank(hits, ["page", "pos"], out="row_index").select("sku", "row_index")
+
+
+@register("prj_rank_index")
+def prj_rank_index(spark, sf_dir):
+    hits = _discount_hits(spark, sf_dir).select("sku", "salePrice", "name", "page", "pos")
+    return rank_by_order(hits).select("sku", "rank")
+
+
+@register("prj_query_tag")
+def prj_query_tag(spark, sf_dir):
+    res = run_search(products(spark, sf_dir), K.SAVED_QUERIES["discount"])
+    return res.select(F.lit("discount").alias("query_name"), "name", "salePrice", "rank")
+
+
+# -- order / limits (SRT-1, LIM-1, LIM-2) ------------------------------------
+
+@register("sort_price_name")
+def sort_price_name(spark, sf_dir):
+    cat = products(spark, sf_dir).select("sku", "salePrice", "name", "page", "pos")
+    return rank_by_order(cat).select("sku", "salePrice", "name", "rank")
+
+
+# The page requested and the page size of the script entry.
+SLICE_PAGE, SLICE_SIZE = 2, 10
+
+
+@register("page_slice")
+def page_slice_key(spark, sf_dir):
+    cat = products(spark, sf_dir).select("sku", "salePrice", "name", "page", "pos")
+    return page_slice(cat, SLICE_PAGE, SLICE_SIZE).select("sku", "salePrice", "name", "rank")
+
+
+@register("topk_cheapest")
+def topk_cheapest(spark, sf_dir):
+    cat = products(spark, sf_dir).select("sku", "salePrice", "name", "page", "pos")
+    return top_k(cat, 10).select("sku", "salePrice", "name", "rank")
+
+
+# -- set operations (SET-1, SET-2) -------------------------------------------
+
+@register("set_union_pages")
+def set_union_pages(spark, sf_dir):
+    """UNION ALL of same-schema results (the script pack), duplicates kept."""
+    cat = products(spark, sf_dir)
+    now = latest_update(cat)
+    parts = [run_search(cat, q, now).select("sku", "name", "salePrice", "url", "addToCartUrl")
+             for q in K.pack(K.SCRIPT_PACK)]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+@register("set_pack_tagged")
+def set_pack_tagged(spark, sf_dir):
+    return tag_pack(products(spark, sf_dir), K.pack(K.HTTP_PACK)).select("query_name", "sku")
+
+
+@register("set_pack_wide")
+def set_pack_wide(spark, sf_dir):
+    return pack_wide(products(spark, sf_dir), K.pack(K.HTTP_PACK))
+
+
+# -- aggregates (AGG-1, AGG-3, AGG-4) ----------------------------------------
+
+@register("agg_shape")
+def agg_shape(spark, sf_dir):
+    return R.shape(products(spark, sf_dir), K.pack(K.HTTP_PACK)).select("query_name", "n_rows", "n_cols")
+
+
+# The two searches of the smoke notebook (before their top-10 limit).
+NOTEBOOK_PACK = ("television top10", "nvidia top10")
+
+
+@register("agg_sum_totals")
+def agg_sum_totals(spark, sf_dir):
+    """Sum of the reported totals (matches before paging) of the notebook's searches."""
+    tagged = tag_pack(products(spark, sf_dir), K.pack(NOTEBOOK_PACK))
+    return tagged.agg(F.count(F.lit(1)).alias("total_products"))
+
+
+@register("agg_document")
+def agg_document(spark, sf_dir):
+    return R.document_lines(products(spark, sf_dir), K.pack(K.HTTP_PACK))
+
+
+# -- scalar functions (SCL-1..9) ---------------------------------------------
+
+@register("scl_link_rewrite")
+def scl_link_rewrite(spark, sf_dir):
+    cat = products(spark, sf_dir)
+    return cat.select("sku", X.link_rewrite(F.col("url")).alias("url_html"),
+                      X.link_rewrite(F.col("addToCartUrl")).alias("cart_html"))
+
+
+def _event_times(spark, sf_dir):
+    return price_events(spark, sf_dir).select("event_id", "priceUpdateDate")
+
+
+@register("scl_lookback")
+def scl_lookback(spark, sf_dir):
+    ev = _event_times(spark, sf_dir)
+    ts = F.col("priceUpdateDate")
+    return ev.select("event_id", T.lookback(ts, T.DAILY_LOOKBACK_MINUTES).alias("daily_since"),
+                     T.lookback(ts, T.FREQUENT_LOOKBACK_MINUTES).alias("frequent_since"))
+
+
+@register("scl_tz_cutoff")
+def scl_tz_cutoff(spark, sf_dir):
+    ev = _event_times(spark, sf_dir)
+    ts = F.col("priceUpdateDate")
+    return ev.select("event_id", T.cutoff(ts, T.DAILY_LOOKBACK_MINUTES, T.DAILY_ZONE).alias("daily_cutoff"),
+                     T.cutoff(ts, T.FREQUENT_LOOKBACK_MINUTES, T.FREQUENT_ZONE).alias("frequent_cutoff"))
+
+
+@register("scl_cutoff_text")
+def scl_cutoff_text(spark, sf_dir):
+    ev = _event_times(spark, sf_dir)
+    ts = F.col("priceUpdateDate")
+    return ev.select("event_id",
+                     T.cutoff_text(T.cutoff(ts, T.DAILY_LOOKBACK_MINUTES, T.DAILY_ZONE)).alias("daily_text"),
+                     T.cutoff_text(T.cutoff(ts, T.FREQUENT_LOOKBACK_MINUTES, T.FREQUENT_ZONE)).alias("frequent_text"))
+
+
+@register("scl_first_word")
+def scl_first_word(spark, sf_dir):
+    return products(spark, sf_dir).select("sku", X.first_word(F.col("name")).alias("first_word"))
+
+
+@register("scl_after_token")
+def scl_after_token(spark, sf_dir):
+    return products(spark, sf_dir).select("sku", X.after_token(F.col("url"), "site").alias("path"))
+
+
+@register("scl_ceil_div")
+def scl_ceil_div(spark, sf_dir):
+    """Pages needed per query of the pack, at page sizes 100 and 10."""
+    shapes = R.shape(products(spark, sf_dir), K.pack(K.HTTP_PACK))
+    n = F.col("n_rows")
+    return shapes.select("query_name", n.alias("total"),
+                         X.ceil_div(n, F.lit(100)).alias("pages_100"), X.ceil_div(n, F.lit(10)).alias("pages_10"))
+
+
+# -- report rendering (RPT-1, RPT-2) -----------------------------------------
+
+@register("rpt_table")
+def rpt_table(spark, sf_dir):
+    q = K.SAVED_QUERIES["discount"]
+    res = run_search(products(spark, sf_dir), q)
+    return R.render_rows(res, q.spec.output_names())
+
+
+@register("rpt_digest")
+def rpt_digest(spark, sf_dir):
+    cat = products(spark, sf_dir)
+    now = latest_update(cat)
+    since = R.since_text(T.cutoff(now, T.DAILY_LOOKBACK_MINUTES, T.DAILY_ZONE))
+    return R.digest(R.shape(cat, K.pack(K.HTTP_PACK), now), since).select("query_name", "header")

@@ -158,6 +158,168 @@ SEARCHES = {
 }
 
 
+
+def select(where: str, cols: str) -> str:
+    return f"WITH {PRODUCTS_CTE}\nSELECT {cols} FROM products WHERE {where}"
+
+
+EVENTS = "(SELECT event_id, user_id AS sku, ts AS \"priceUpdateDate\", value AS \"salePrice\" FROM events WHERE event_type = 'purchase')"
+RANK = f"row_number() OVER (ORDER BY {ORDER}) - 1 AS rank"
+PROBE_ATTRS = ["brand", "SIZE", "Type", "Color"]
+PIVOT_ATTRS = list(dict.fromkeys(GPU_ATTRS + TV_ATTRS + HEADPHONE_ATTRS))
+
+# name, where, columns, details  (the HTTP pack, in pack order)
+HTTP_PACK = [
+    ("discount", W_DISCOUNT, FEED_COLS, None),
+    ("headphones", W_HEADPHONES, None, HEADPHONE_ATTRS),
+    ("airpods", W_AIRPODS, None, HEADPHONE_ATTRS),
+    ("ps5 controller", W_CONTROLLER, ["salePrice", "name", "color", "url", "addToCartUrl"], None),
+    ("television", W_TV, None, TV_ATTRS),
+    ("macbook", W_MACBOOK, ["sku", "name", "salePrice", "onSale", "url", "addToCartUrl"], LAPTOP_ATTRS),
+    ("nvidia", w_gpu("laptop"), None, GPU_ATTRS),
+    ("desktop", w_gpu("desktop"), None, GPU_ATTRS),
+    ("purple", W_PURPLE, FEED_COLS, None),
+]
+TYPES = {"sku": "bigint", "salePrice": "double", "onSale": "boolean", "priceUpdateDate": "timestamp"}
+
+
+def esc(x: str) -> str:
+    return f"replace(replace(replace({x}, '&', '&amp;'), '<', '&lt;'), '>', '&gt;')"
+
+
+def links(x: str) -> str:
+    return (f"replace(replace(replace({x}, 'http', '<a href=\"http'), '/pdp', '/pdp\" target=\"_blank\">urlLink</a>'), "
+            f"'/cart', '/cart\" target=\"_blank\">addToCartUrl</a>')")
+
+
+def cell(expr: str, dtype: str, name: str) -> str:
+    if dtype == "boolean":
+        txt = f"CASE WHEN {expr} THEN 'True' WHEN NOT {expr} THEN 'False' END"
+    elif dtype == "timestamp":
+        txt = f"strftime({expr}, '%Y-%m-%d %H:%M:%S')"
+    else:
+        txt = f"CAST({expr} AS VARCHAR)"
+    out = esc(f"coalesce({txt}, 'None')")
+    if name in ("url", "addToCartUrl"):
+        out = links(out)
+    return f"'<td>' || {out} || '</td>'"
+
+
+def cells(columns, details) -> str:
+    columns = list(columns or DEFAULT_COLUMNS)
+    details = list(details or DEFAULT_DETAILS)
+    parts = [cell(q(c), TYPES.get(c, "string"), c) for c in columns]
+    parts += [cell(detail(d), "string", d) for d in details]
+    return " || ".join(parts)
+
+
+def width(columns, details) -> int:
+    return len(columns or DEFAULT_COLUMNS) + len(details or DEFAULT_DETAILS) + 2
+
+
+def tagged_union(pack) -> str:
+    return " UNION ALL ".join(f"SELECT {lit(n)} AS query_name, * FROM products WHERE {w}" for n, w, _, _ in pack)
+
+
+def shapes_cte(pack) -> str:
+    listing = ", ".join(f"({lit(n)}, {i}, {width(c, d)})" for i, (n, _, c, d) in enumerate(pack))
+    return (f"tagged AS ({tagged_union(pack)}),\n"
+            f"listing(query_name, pack_order, width) AS (VALUES {listing}),\n"
+            f"counts AS (SELECT query_name, count(*) AS n FROM tagged GROUP BY query_name),\n"
+            f"shapes AS (SELECT l.query_name, l.pack_order, CAST(coalesce(c.n, 0) AS BIGINT) AS n_rows,\n"
+            f"  CAST(CASE WHEN coalesce(c.n, 0) > 0 THEN l.width ELSE 0 END AS INT) AS n_cols\n"
+            f"  FROM listing l LEFT JOIN counts c USING (query_name))")
+
+
+def pack_wide_sql(pack) -> str:
+    taken = {c.lower() for _, _, cols, _ in pack for c in (cols or DEFAULT_COLUMNS)}
+    blocks = []
+    for n, w, cols, dets in pack:
+        cols = list(cols or DEFAULT_COLUMNS)
+        dets = list(dets or DEFAULT_DETAILS)
+        proj = [q(c) for c in cols]
+        proj += [f"{detail(d)} AS {q('detail.' + d if d.lower() in taken else d)}" for d in dets]
+        blocks.append(f"SELECT {lit(n)} AS query_name, {', '.join(proj)}, {RANK} FROM products WHERE {w}")
+    return f"WITH {PRODUCTS_CTE}\n" + "\nUNION ALL BY NAME\n".join(blocks)
+
+
+def document_sql(pack) -> str:
+    body = []
+    for i, (n, w, cols, dets) in enumerate(pack):
+        body.append(f"SELECT {i} AS pack_order, 1 AS part, row_number() OVER (ORDER BY {ORDER}) - 1 AS idx, "
+                    f"{cells(cols, dets)} AS cells FROM products WHERE {w}")
+    return (f"WITH {PRODUCTS_CTE},\n{shapes_cte(pack)},\nbody AS ({' UNION ALL '.join(body)}),\n"
+            f"lines AS (SELECT pack_order, 0 AS part, 0 AS idx, query_name || ' (' || n_rows || ', ' || n_cols || '):</br>' AS text FROM shapes\n"
+            f"  UNION ALL SELECT pack_order, part, idx, '<tr><th>' || idx || '</th>' || cells || '</tr>' FROM body\n"
+            f"  UNION ALL SELECT pack_order, 2, 0, '</br>' FROM shapes)\n"
+            f"SELECT row_number() OVER (ORDER BY pack_order, part, idx) - 1 AS doc_line, text FROM lines")
+
+
+DISCOUNT_RANKED = f"SELECT *, {RANK} FROM products WHERE {W_DISCOUNT}"
+MORE = {
+    "prd_eq_str": select("lower(manufacturer) = 'apple'", "sku, manufacturer"),
+    "prd_eq_bool": select("preowned = false", "sku, preowned"),
+    "prd_eq_int": select('"subclassId" = 410', 'sku, "subclassId"'),
+    "prd_ne_str": select("NOT coalesce(lower(\"protectionPlanTerm\") = 'gsr', false)", 'sku, "protectionPlanTerm"'),
+    "prd_ne_num": select('"salePrice" IS DISTINCT FROM 60696.99', 'sku, "salePrice"'),
+    "prd_lt": select('"salePrice" < 1000', 'sku, "salePrice"'),
+    "prd_gt": select('"screenSizeClassIn" > 84', 'sku, "screenSizeClassIn"'),
+    "prd_gt_ts": select(f'"priceUpdateDate" > {cutoff(1441, "US/Pacific")}', 'sku, "priceUpdateDate"'),
+    "prd_prefix": select("starts_with(lower(manufacturer), 'sony')", "sku, manufacturer"),
+    "prd_in": select("lower(\"productTemplate\") IN ('televisions', 'digital_signage_displays_and_players', "
+                     "'portable_tvs_and_video')", 'sku, "productTemplate"'),
+    "prd_and": select(BASE, "sku, orderable"),
+    "prd_or_group": select("(" + " OR ".join(f"starts_with(lower(color), '{c}')" for c in
+                                             ["purple", "lilac", "lavender", "violet", "amethyst", "plum"]) + ")",
+                           "sku, color"),
+    "prd_any_eq": select(any_el("details", "value", "eq", "nvidia"), "sku, name"),
+    "prd_any_prefix": select(any_el("categoryPath", "name", "prefix", "laptop"), "sku, name"),
+    "prd_none_eq": select("NOT " + any_el("details", "value", "eq", "intel"), "sku, name"),
+    "prd_none_prefix": select("NOT " + any_el("details", "value", "prefix", "1650"), "sku, name"),
+    "prd_search": select("list_contains(regexp_split_to_array(lower(name), '\\W+'), 'airpods')", "sku, name"),
+    "prd_anti_prefix_local": (f"WITH {PRODUCTS_CTE},\nflat AS (SELECT *, {detail('Processor Model')} AS \"Processor Model\" FROM products)\n"
+                              f"SELECT sku, name, \"salePrice\", \"Processor Model\", {RANK} FROM flat "
+                              f"WHERE NOT coalesce(starts_with(\"Processor Model\", 'Intel'), false)"),
+    "prj_columns": select("true", 'sku, name, "salePrice", "onSale", url, "addToCartUrl"'),
+    "prj_defaults": select("true", ", ".join(projection(None, None))),
+    "prj_detail_first": select("true", "sku, " + ", ".join(f"{detail(a)} AS {q(a)}" for a in PROBE_ATTRS)),
+    "prj_detail_pivot": select("true", "sku, " + ", ".join(f"{detail(a)} AS {q(a)}" for a in PIVOT_ATTRS)),
+    "prj_offer_map": (f"WITH {PRODUCTS_CTE}, {OFFERS_CTE}\nSELECT sku, offer_pos, \"startDate\" AS \"offer.startDate\", "
+                      f"\"endDate\" AS \"offer.endDate\" FROM offer_rows WHERE sku IN (SELECT sku FROM products)"),
+    "prj_row_index": select(W_DISCOUNT, "sku, row_number() OVER (ORDER BY page, pos) - 1 AS row_index"),
+    "prj_rank_index": select(W_DISCOUNT, f"sku, {RANK}"),
+    "prj_query_tag": select(W_DISCOUNT, f"'discount' AS query_name, name, \"salePrice\", {RANK}"),
+    "sort_price_name": select("true", f'sku, "salePrice", name, {RANK}'),
+    "page_slice": f"WITH {PRODUCTS_CTE}, r AS (SELECT sku, \"salePrice\", name, {RANK} FROM products)\nSELECT * FROM r WHERE rank >= 10 AND rank < 20",
+    "topk_cheapest": f"WITH {PRODUCTS_CTE}, r AS (SELECT sku, \"salePrice\", name, {RANK} FROM products)\nSELECT * FROM r WHERE rank < 10",
+    "set_union_pages": (f"WITH {PRODUCTS_CTE}\nSELECT sku, name, \"salePrice\", url, \"addToCartUrl\" FROM products WHERE {W_MACBOOK_CHEAP}\n"
+                        f"UNION ALL SELECT sku, name, \"salePrice\", url, \"addToCartUrl\" FROM products WHERE {W_GPU_CHEAP}"),
+    "set_pack_tagged": f"WITH {PRODUCTS_CTE}, tagged AS ({tagged_union(HTTP_PACK)})\nSELECT query_name, sku FROM tagged",
+    "set_pack_wide": pack_wide_sql(HTTP_PACK),
+    "agg_shape": f"WITH {PRODUCTS_CTE},\n{shapes_cte(HTTP_PACK)}\nSELECT query_name, n_rows, n_cols FROM shapes",
+    "agg_sum_totals": (f"WITH {PRODUCTS_CTE}\nSELECT (SELECT count(*) FROM products WHERE {W_TV_TOP}) + "
+                       f"(SELECT count(*) FROM products WHERE {W_GPU_TOP}) AS total_products"),
+    "agg_document": document_sql(HTTP_PACK),
+    "scl_link_rewrite": select("true", f"sku, {links('url')} AS url_html, {links(q('addToCartUrl'))} AS cart_html"),
+    "scl_lookback": (f"SELECT event_id, \"priceUpdateDate\" - INTERVAL 1441 MINUTE AS daily_since, "
+                     f"\"priceUpdateDate\" - INTERVAL 16 MINUTE AS frequent_since FROM {EVENTS}"),
+    "scl_tz_cutoff": (f"SELECT event_id, timezone('US/Pacific', timezone('UTC', \"priceUpdateDate\" - INTERVAL 1441 MINUTE)) AS daily_cutoff, "
+                      f"timezone('US/Central', timezone('UTC', \"priceUpdateDate\" - INTERVAL 16 MINUTE)) AS frequent_cutoff FROM {EVENTS}"),
+    "scl_cutoff_text": (f"SELECT event_id, strftime(timezone('US/Pacific', timezone('UTC', \"priceUpdateDate\" - INTERVAL 1441 MINUTE)), '%Y-%m-%dT%H:%M:%S') AS daily_text, "
+                        f"strftime(timezone('US/Central', timezone('UTC', \"priceUpdateDate\" - INTERVAL 16 MINUTE)), '%Y-%m-%dT%H:%M:%S') AS frequent_text FROM {EVENTS}"),
+    "scl_first_word": select("true", "sku, split_part(name, ' ', 1) AS first_word"),
+    "scl_after_token": select("true", "sku, split_part(url, 'site', 2) AS path"),
+    "scl_ceil_div": (f"WITH {PRODUCTS_CTE},\n{shapes_cte(HTTP_PACK)}\nSELECT query_name, n_rows AS total, "
+                     f"CAST((n_rows + 99) // 100 AS BIGINT) AS pages_100, CAST((n_rows + 9) // 10 AS BIGINT) AS pages_10 FROM shapes"),
+    "rpt_table": (f"WITH {PRODUCTS_CTE}, r AS ({DISCOUNT_RANKED})\nSELECT rank, '<tr><th>' || rank || '</th>' || "
+                  f"{cells(FEED_COLS, None)} || '</tr>' AS row_html FROM r"),
+    "rpt_digest": (f"WITH {PRODUCTS_CTE},\n{shapes_cte(HTTP_PACK)}\nSELECT query_name, '<p>New deals since: ' || "
+                   f"strftime({cutoff(1441, 'US/Pacific')}, '%Y-%m-%dT%H:%M:%S') || '</p><br/>' || chr(10) || "
+                   f"'<p>total shape: (' || n_rows || ', ' || n_cols || ')</p></br>' AS header FROM shapes"),
+}
+
+
 def all_sql() -> dict[str, str]:
     out = dict(SEARCHES)
+    out.update(MORE)
     return out
