@@ -314,3 +314,115 @@ def rpt_digest(spark, sf_dir):
     now = latest_update(cat)
     since = R.since_text(T.cutoff(now, T.DAILY_LOOKBACK_MINUTES, T.DAILY_ZONE))
     return R.digest(R.shape(cat, K.pack(K.HTTP_PACK), now), since).select("query_name", "header")
+
+
+# -- landed pages (SRC-1..6, PRJ-3, AGG-2, SNK-1/2, OBS-1) --------------------
+
+from pyspark.sql import Observation  # noqa: E402
+
+from dealspark.session import fresh_scratch  # noqa: E402
+from dealspark.sources import pages as G  # noqa: E402
+
+
+def _envelopes(spark, sf_dir):
+    return G.read_envelopes(spark, G.landed(spark, sf_dir))
+
+
+def _n_products():
+    return F.size(F.try_variant_get(F.col(G.ENVELOPE), "$.products", "array<variant>")).cast("int")
+
+
+@register("src_pages")
+def src_pages(spark, sf_dir):
+    env = _envelopes(spark, sf_dir)
+    return G.totals(env).select("currentPage", "totalPages", "total", _n_products().alias("n_products"))
+
+
+@register("src_valid_pages")
+def src_valid_pages(spark, sf_dir):
+    env = G.usable(_envelopes(spark, sf_dir))
+    return env.select(F.variant_get(F.col(G.ENVELOPE), "$.currentPage", "int").alias("currentPage"),
+                      _n_products().alias("n_products"))
+
+
+@register("src_flatten")
+def src_flatten(spark, sf_dir):
+    rows = G.typed(G.explode_products(G.usable(_envelopes(spark, sf_dir))),
+                   ["sku", "name", "salePrice", "addToCartUrl", "offers"])
+    return rows.select("page", "pos", "sku", "name", "salePrice", "addToCartUrl",
+                       F.size("offers").cast("int").alias("n_offers"))
+
+
+@register("prj_page_reject")
+def prj_page_reject(spark, sf_dir):
+    """Per-page flatten with the default spec; pages holding a product without
+    ``addToCartUrl`` are dropped whole.  Offer maps are rendered as JSON text."""
+    flat = G.flatten_pages(_envelopes(spark, sf_dir), ProjectionSpec())
+    maps = [c for c in flat.columns if c.startswith("offer.")]
+    return flat.select(*[F.to_json(F.col(f"`{c}`")).alias(c) if c in maps else F.col(f"`{c}`")
+                         for c in flat.columns])
+
+
+@register("agg_reported_total")
+def agg_reported_total(spark, sf_dir):
+    head = G.totals(_envelopes(spark, sf_dir)).where(F.col("currentPage") == 1)
+    return head.select("total", "totalPages")
+
+
+@register("page_plan")
+def page_plan_key(spark, sf_dir):
+    shapes = R.shape(products(spark, sf_dir), K.pack(K.HTTP_PACK))
+    totals = shapes.select("query_name", X.ceil_div(F.col("n_rows"), F.lit(G.PRODUCTS_PER_PAGE)).alias("totalPages"))
+    return G.page_plan(totals).select("query_name", "page", "batch")
+
+
+@register("page_audit")
+def page_audit_key(spark, sf_dir):
+    return G.page_audit(_envelopes(spark, sf_dir), ProjectionSpec())
+
+
+@register("empty_result")
+def empty_result(spark, sf_dir):
+    """A search whose cutoff is the latest update itself finds nothing newer:
+    the result is empty but keeps the projected columns."""
+    q = K.SAVED_QUERIES["discount"]
+    none_newer = K.SavedQuery("discount", q.subject,
+                              lambda now: P.all_of(q.where(now), P.gt_ts("priceUpdateDate", T.cutoff(now, 0, "UTC"))),
+                              q.spec)
+    return run_search(products(spark, sf_dir), none_newer)
+
+
+@register("export_roundtrip")
+def export_roundtrip(spark, sf_dir):
+    """The pack's results exported one folder per query, named by the subject's
+    first word (``partitionBy``), and read back."""
+    qs = K.pack(K.HTTP_PACK)
+    wide = pack_wide(products(spark, sf_dir), qs)
+    names = spark.createDataFrame([(q.name, q.subject) for q in qs], "query_name string, subject string")
+    out = (wide.join(F.broadcast(names), "query_name")
+               .withColumn("export_name", X.first_word(F.col("subject"))).drop("subject"))
+    path = fresh_scratch(spark, "export")
+    out.write.mode("overwrite").partitionBy("export_name").parquet(path)
+    back = spark.read.parquet(path)
+    return back.select("export_name", "query_name", "name", "salePrice", "rank")
+
+
+@register("report_nonempty")
+def report_nonempty(spark, sf_dir):
+    """Only non-empty results are reported: shapes of every saved search, the
+    empty ones filtered out, written as the run's report table and read back."""
+    shapes = R.shape(products(spark, sf_dir), list(K.SAVED_QUERIES.values()))
+    path = fresh_scratch(spark, "report")
+    shapes.where(F.col("n_rows") > 0).select("query_name", "n_rows").write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
+
+
+@register("obs_counts")
+def obs_counts(spark, sf_dir):
+    """OBS-1: the product count of a run, observed while the result is written."""
+    res = run_search(products(spark, sf_dir), K.SAVED_QUERIES["discount"])
+    obs = Observation("discount_run")
+    path = fresh_scratch(spark, "run")
+    res.observe(obs, F.count(F.lit(1)).alias("n_products")).write.mode("overwrite").parquet(path)
+    n = obs.get["n_products"]
+    return spark.createDataFrame([(int(n),)], "n_products bigint")

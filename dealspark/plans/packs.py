@@ -124,19 +124,19 @@ SAVED_QUERIES: dict[str, SavedQuery] = {q.name: q for q in [
     SavedQuery("headphones", "Headphones noise cancelling deals", _headphones,
                ProjectionSpec(None, HEADPHONE_ATTRS, [])),
     SavedQuery("airpods", "Airpods deals", _airpods, ProjectionSpec(None, HEADPHONE_ATTRS, [])),
-    SavedQuery("ps5 controller", "Playstation 5 controller deals", _controller,
+    SavedQuery("ps5 controller", "Controller (Playstation 5) deals", _controller,
                ProjectionSpec(CONTROLLER_COLUMNS, [], [])),
     SavedQuery("television", "Television deals", _television, ProjectionSpec(None, TV_ATTRS, [])),
     SavedQuery("macbook", "Macbook deals", _macbook_pro, ProjectionSpec(MACBOOK_COLUMNS, LAPTOP_ATTRS, [])),
-    SavedQuery("nvidia", "Nvidia laptop deals", _gpu("laptop"), ProjectionSpec(None, GPU_ATTRS, [])),
-    SavedQuery("desktop", "Nvidia desktop deals", _gpu("desktop"), ProjectionSpec(None, GPU_ATTRS, [])),
+    SavedQuery("nvidia", "Laptops with Nvidia graphics", _gpu("laptop"), ProjectionSpec(None, GPU_ATTRS, [])),
+    SavedQuery("desktop", "Desktops with Nvidia graphics", _gpu("desktop"), ProjectionSpec(None, GPU_ATTRS, [])),
     SavedQuery("purple", "Purple deals", _purple, ProjectionSpec(PRICE_FEED_COLUMNS, [], None)),
-    SavedQuery("airpods recent", "Airpods deals, recent", _airpods_recent,
+    SavedQuery("airpods recent", "AirpodsRecent deals", _airpods_recent,
                ProjectionSpec(None, HEADPHONE_ATTRS, [])),
-    SavedQuery("macbook cheap", "MacBook deals", _macbook_cheap, ProjectionSpec(None, LAPTOP_ATTRS, None)),
-    SavedQuery("nvidia cheap", "NVIDIA laptop deals", _gpu_laptop_cheap, ProjectionSpec(None, GPU_ATTRS, None)),
-    SavedQuery("television top10", "Televisions, cheapest ten", _tv_top, ProjectionSpec(), top_k=10),
-    SavedQuery("nvidia top10", "Nvidia laptops, cheapest ten", _gpu_top, ProjectionSpec(), top_k=10),
+    SavedQuery("macbook cheap", "MacbookCheap deals", _macbook_cheap, ProjectionSpec(None, LAPTOP_ATTRS, None)),
+    SavedQuery("nvidia cheap", "LaptopsCheap with Nvidia graphics", _gpu_laptop_cheap, ProjectionSpec(None, GPU_ATTRS, None)),
+    SavedQuery("television top10", "TelevisionTop ten", _tv_top, ProjectionSpec(), top_k=10),
+    SavedQuery("nvidia top10", "LaptopsTop ten", _gpu_top, ProjectionSpec(), top_k=10),
 ]}
 
 # The packs the searches were run in (HTTP pack, frequent timer, daily timer, script).

@@ -319,7 +319,46 @@ MORE = {
 }
 
 
+
+ALL_SEARCHES = HTTP_PACK + [
+    ("airpods recent", W_AIRPODS_RECENT, None, HEADPHONE_ATTRS),
+    ("macbook cheap", W_MACBOOK_CHEAP, None, LAPTOP_ATTRS),
+    ("nvidia cheap", W_GPU_CHEAP, None, GPU_ATTRS),
+    ("television top10", W_TV_TOP, None, None),
+    ("nvidia top10", W_GPU_TOP, None, None),
+]
+# first word of each saved search's subject (the export folder name)
+EXPORT_NAMES = {"discount": "Discount>50%", "headphones": "Headphones", "airpods": "Airpods",
+                "ps5 controller": "Controller", "television": "Television", "macbook": "Macbook",
+                "nvidia": "Laptops", "desktop": "Desktops", "purple": "Purple"}
+OFFER_JSON = ("om AS (SELECT sku, '{' || string_agg('\"' || offer_pos || '\":\"' || \"startDate\" || '\"', ',' ORDER BY offer_pos) || '}' AS s,\n"
+              "  '{' || string_agg('\"' || offer_pos || '\":\"' || \"endDate\" || '\"', ',' ORDER BY offer_pos) || '}' AS e FROM offer_rows GROUP BY sku)")
+
+INGEST = {
+    "src_pages": (f"WITH {PRODUCTS_CTE}\nSELECT CAST(page AS INT) AS \"currentPage\", CAST((t.total + 99) // 100 AS INT) AS \"totalPages\", "
+                  f"t.total AS total, CAST(count(*) AS INT) AS n_products FROM products, (SELECT count(*) AS total FROM products) t GROUP BY page, t.total"),
+    "src_valid_pages": f"WITH {PRODUCTS_CTE}\nSELECT CAST(page AS INT) AS \"currentPage\", CAST(count(*) AS INT) AS n_products FROM products GROUP BY page",
+    "src_flatten": (f"WITH {PRODUCTS_CTE}, {OFFERS_CTE}\nSELECT p.page, p.pos, p.sku, p.name, p.\"salePrice\", "
+                    f"CASE WHEN p.sku % 997 = 0 THEN NULL ELSE p.\"addToCartUrl\" END AS \"addToCartUrl\", "
+                    f"CAST(coalesce(o.n, 0) AS INT) AS n_offers FROM products p LEFT JOIN (SELECT sku, count(*) AS n FROM offer_rows GROUP BY sku) o USING (sku)"),
+    "prj_page_reject": (f"WITH {PRODUCTS_CTE}, {OFFERS_CTE}, {OFFER_JSON}\nSELECT page, pos, {', '.join(projection(None, None))}, "
+                        f"coalesce(om.s, '{{}}') AS \"offer.startDate\", coalesce(om.e, '{{}}') AS \"offer.endDate\" "
+                        f"FROM products LEFT JOIN om USING (sku) WHERE page NOT IN (SELECT page FROM products WHERE sku % 997 = 0)"),
+    "agg_reported_total": f"WITH {PRODUCTS_CTE}\nSELECT count(*) AS total, CAST((count(*) + 99) // 100 AS INT) AS \"totalPages\" FROM products",
+    "page_plan": (f"WITH {PRODUCTS_CTE},\n{shapes_cte(HTTP_PACK)}\nSELECT query_name, CAST(page AS INT) AS page, CAST((page - 1) // 4 AS INT) AS batch "
+                  f"FROM (SELECT query_name, unnest(range(1, CAST((n_rows + 99) // 100 AS BIGINT) + 1)) AS page FROM shapes)"),
+    "page_audit": f"WITH {PRODUCTS_CTE}\nSELECT DISTINCT page, 'rejected' AS status FROM products WHERE sku % 997 = 0",
+    "empty_result": search_sql(f'{W_DISCOUNT} AND "priceUpdateDate" > {NOW}', FEED_COLS, []),
+    "export_roundtrip": (f"WITH {PRODUCTS_CTE}\n" + "\nUNION ALL\n".join(
+        f"SELECT {lit(EXPORT_NAMES[n])} AS export_name, {lit(n)} AS query_name, name, \"salePrice\", {RANK} FROM products WHERE {w}"
+        for n, w, _, _ in HTTP_PACK)),
+    "report_nonempty": f"WITH {PRODUCTS_CTE},\n{shapes_cte(ALL_SEARCHES)}\nSELECT query_name, n_rows FROM shapes WHERE n_rows > 0",
+    "obs_counts": select(W_DISCOUNT, "count(*) AS n_products"),
+}
+
+
 def all_sql() -> dict[str, str]:
     out = dict(SEARCHES)
     out.update(MORE)
+    out.update(INGEST)
     return out
