@@ -426,3 +426,87 @@ def obs_counts(spark, sf_dir):
     res.observe(obs, F.count(F.lit(1)).alias("n_products")).write.mode("overwrite").parquet(path)
     n = obs.get["n_products"]
     return spark.createDataFrame([(int(n),)], "n_products bigint")
+
+
+# -- streaming (SRC-7, STR-1..4) ---------------------------------------------
+
+from dealspark.streaming import incremental as S  # noqa: E402
+
+
+def _events_glob(sf_dir: str) -> str:
+    return f"{sf_dir.rstrip('/')}/events*.parquet"
+
+
+@register("stream_pages")
+def stream_pages(spark, sf_dir):
+    """Landed envelopes picked up by a file stream (availableNow), guarded, and
+    written to a parquet sink; returns the sink's contents."""
+    src = G.landed(spark, sf_dir)
+    base = fresh_scratch(spark, "stream_pages")
+    st = G.usable(G.stream_envelopes(spark, src)).select(
+        F.variant_get(F.col(G.ENVELOPE), "$.currentPage", "int").alias("currentPage"),
+        _n_products().alias("n_products"))
+    S.run_to_end(st, f"{base}/_checkpoint", f"{base}/out")
+    return spark.read.parquet(f"{base}/out")
+
+
+def _latest_event(spark, sf_dir):
+    """The newest price change: one value, the deterministic "now" of a stream run."""
+    return (S.as_price_updates(table(spark, sf_dir, "events"))
+            .agg(F.max("priceUpdateDate").alias("m")).first()["m"])
+
+
+@register("stream_recent")
+def stream_recent(spark, sf_dir):
+    """STR-1: price changes after the frequent cutoff (16 min before the newest
+    change, as Central wall clock), streamed from the events files."""
+    now = S.ntz_literal(_latest_event(spark, sf_dir))
+    cut = T.cutoff(now, T.FREQUENT_LOOKBACK_MINUTES, T.FREQUENT_ZONE)
+    base = fresh_scratch(spark, "stream_recent")
+    S.run_to_end(S.since(S.price_updates(spark, _events_glob(sf_dir)), cut), f"{base}/_checkpoint", f"{base}/out")
+    return spark.read.parquet(f"{base}/out")
+
+
+def overlapping_runs(spark, sf_dir):
+    """Two runs of price changes that overlap by one minute (the second run
+    repeats the first run's last minute), in the events file layout."""
+    upd = S.as_price_updates(table(spark, sf_dir, "events"))
+    bounds = upd.agg(F.min("priceUpdateDate").alias("lo"), F.max("priceUpdateDate").alias("hi"))
+    mid = bounds.select((F.col("lo") + (F.col("hi") - F.col("lo")) / 2).alias("mid")).scalar()
+    one_minute = F.make_dt_interval(F.lit(0), F.lit(0), F.lit(1), F.lit(0))
+
+    def raw(d):
+        return d.select("event_id", F.col("priceUpdateDate").alias("ts"), F.col("sku").alias("user_id"),
+                        F.lit("purchase").alias("event_type"), F.col("salePrice").alias("value"),
+                        F.lit(None).cast("string").alias("props"))
+    return (raw(upd.where(F.col("priceUpdateDate") <= mid)),
+            raw(upd.where(F.col("priceUpdateDate") >= mid - one_minute)))
+
+
+def _run_in_turns(spark, sf_dir, base, start):
+    """Land each run, then trigger the (same, checkpointed) query once per run."""
+    for i, run_df in enumerate(overlapping_runs(spark, sf_dir), start=1):
+        run_df.write.mode("overwrite").parquet(f"{base}/landed/run-{i}")
+        start(f"{base}/landed/run-*/*.parquet")
+
+
+@register("stream_dedupe")
+def stream_dedupe(spark, sf_dir):
+    """STR-2: two overlapping runs processed as two successive triggers of one
+    checkpointed query; the overlap's repeats are dropped by the dedupe state."""
+    base = fresh_scratch(spark, "stream_dedupe")
+    _run_in_turns(spark, sf_dir, base, lambda src: S.run_to_end(
+        S.dedupe(S.price_updates(spark, src)), f"{base}/_checkpoint", f"{base}/out"))
+    return spark.read.parquet(f"{base}/out")
+
+
+@register("stream_report")
+def stream_report(spark, sf_dir):
+    """STR-4: per-batch pack report via foreachBatch (idempotent per batch id)
+    over the deduplicated runs, summed over the batches."""
+    base = fresh_scratch(spark, "stream_report")
+    body = S.per_batch_report(products(spark, sf_dir), K.pack(K.HTTP_PACK), f"{base}/report")
+    _run_in_turns(spark, sf_dir, base, lambda src: S.run_to_end(
+        S.dedupe(S.price_updates(spark, src)), f"{base}/_checkpoint", foreach_batch=body))
+    rep = spark.read.parquet(f"{base}/report")
+    return rep.groupBy("query_name").agg(F.sum("n_rows").alias("n_rows"))

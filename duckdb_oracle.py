@@ -357,8 +357,23 @@ INGEST = {
 }
 
 
+DISTINCT_UPDATES = f"(SELECT DISTINCT event_id, sku, \"priceUpdateDate\", \"salePrice\" FROM {EVENTS})"
+UPDATED = (f"updated AS (SELECT p.* REPLACE (e.\"salePrice\" AS \"salePrice\", e.\"priceUpdateDate\" AS \"priceUpdateDate\") "
+           f"FROM products p JOIN {DISTINCT_UPDATES} e USING (sku))")
+STREAMS = {
+    "stream_pages": INGEST["src_valid_pages"],
+    "stream_recent": (f"SELECT * FROM {EVENTS} WHERE \"priceUpdateDate\" > timezone('US/Central', timezone('UTC', "
+                      f"(SELECT max(ts) FROM events WHERE event_type = 'purchase') - INTERVAL 16 MINUTE))"),
+    "stream_dedupe": f"SELECT * FROM {DISTINCT_UPDATES}",
+    "stream_report": (f"WITH {PRODUCTS_CTE}, {UPDATED}\nSELECT query_name, count(*) AS n_rows FROM ("
+                      + " UNION ALL ".join(f"SELECT {lit(n)} AS query_name FROM updated WHERE {w}" for n, w, _, _ in HTTP_PACK)
+                      + ") GROUP BY query_name"),
+}
+
+
 def all_sql() -> dict[str, str]:
     out = dict(SEARCHES)
     out.update(MORE)
     out.update(INGEST)
+    out.update(STREAMS)
     return out
