@@ -467,20 +467,24 @@ def stream_recent(spark, sf_dir):
     return spark.read.parquet(f"{base}/out")
 
 
-def overlapping_runs(spark, sf_dir):
-    """Two runs of price changes that overlap by one minute (the second run
-    repeats the first run's last minute), in the events file layout."""
+def overlapping_runs(spark, sf_dir, overlap_minutes: int = T.DAILY_LOOKBACK_MINUTES):
+    """Two runs of price changes in the events file layout.  The second run is a
+    restarted daily run: it re-delivers its whole lookback window (the last
+    ``overlap_minutes`` of the first run) before the new changes."""
     upd = S.as_price_updates(table(spark, sf_dir, "events"))
     bounds = upd.agg(F.min("priceUpdateDate").alias("lo"), F.max("priceUpdateDate").alias("hi"))
     mid = bounds.select((F.col("lo") + (F.col("hi") - F.col("lo")) / 2).alias("mid")).scalar()
-    one_minute = F.make_dt_interval(F.lit(0), F.lit(0), F.lit(1), F.lit(0))
+    overlap = F.make_dt_interval(F.lit(0), F.lit(0), F.lit(overlap_minutes), F.lit(0))
 
     def raw(d):
         return d.select("event_id", F.col("priceUpdateDate").alias("ts"), F.col("sku").alias("user_id"),
                         F.lit("purchase").alias("event_type"), F.col("salePrice").alias("value"),
                         F.lit(None).cast("string").alias("props"))
     return (raw(upd.where(F.col("priceUpdateDate") <= mid)),
-            raw(upd.where(F.col("priceUpdateDate") >= mid - one_minute)))
+            raw(upd.where(F.col("priceUpdateDate") >= mid - overlap)))
+
+
+RUN_OVERLAP_DELAY = f"{T.DAILY_LOOKBACK_MINUTES} minutes"
 
 
 def _run_in_turns(spark, sf_dir, base, start):
@@ -493,10 +497,11 @@ def _run_in_turns(spark, sf_dir, base, start):
 @register("stream_dedupe")
 def stream_dedupe(spark, sf_dir):
     """STR-2: two overlapping runs processed as two successive triggers of one
-    checkpointed query; the overlap's repeats are dropped by the dedupe state."""
+    checkpointed query; the overlap's repeats are dropped by the dedupe state,
+    whose watermark delay equals the overlap bound (1441 minutes)."""
     base = fresh_scratch(spark, "stream_dedupe")
     _run_in_turns(spark, sf_dir, base, lambda src: S.run_to_end(
-        S.dedupe(S.price_updates(spark, src)), f"{base}/_checkpoint", f"{base}/out"))
+        S.dedupe(S.price_updates(spark, src), RUN_OVERLAP_DELAY), f"{base}/_checkpoint", f"{base}/out"))
     return spark.read.parquet(f"{base}/out")
 
 
@@ -507,6 +512,6 @@ def stream_report(spark, sf_dir):
     base = fresh_scratch(spark, "stream_report")
     body = S.per_batch_report(products(spark, sf_dir), K.pack(K.HTTP_PACK), f"{base}/report")
     _run_in_turns(spark, sf_dir, base, lambda src: S.run_to_end(
-        S.dedupe(S.price_updates(spark, src)), f"{base}/_checkpoint", foreach_batch=body))
+        S.dedupe(S.price_updates(spark, src), RUN_OVERLAP_DELAY), f"{base}/_checkpoint", foreach_batch=body))
     rep = spark.read.parquet(f"{base}/report")
     return rep.groupBy("query_name").agg(F.sum("n_rows").alias("n_rows"))
