@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from dealspark.functions.text import link_rewrite
@@ -124,26 +124,30 @@ def document_lines(catalogue: DataFrame, queries: Sequence[SavedQuery], now: Col
 
     Per query, in pack order: a block header ``"<name> (<rows>, <cols>):</br>"``,
     the rendered rows in result order (index = rank within the query), and a
-    closing ``"</br>"``.  Line numbers come from the distributed rank, so the
-    document never has to sit in one task.
+    closing ``"</br>"``.  One distributed rank orders all rows of the pack;
+    line numbers then follow arithmetically from the rows counted before each
+    query (a table with one row per query of the pack), so the document never
+    has to sit in one task and no second ranking pass is needed.
     """
     rows = pack_rows_html(catalogue, queries, now, tag)
     ranked = global_rank(rows, [F.col("pack_order"), F.col("__p").asc_nulls_last(),
                                 F.col("__n").asc_nulls_last(), F.col("page"), F.col("pos")], out="__g")
-    shapes = shape(catalogue, queries, now, tag)
-    firsts = ranked.groupBy("pack_order").agg(F.min("__g").alias("__first"))
-    body = (ranked.join(F.broadcast(firsts), "pack_order")
-                  .select("pack_order", F.lit(1).alias("part"), (F.col("__g") - F.col("__first")).alias("idx"),
-                          F.concat(F.lit("<tr><th>"), (F.col("__g") - F.col("__first")).cast("string"),
-                                   F.lit("</th>"), F.col("cells"), F.lit("</tr>")).alias("text")))
-    heads = shapes.select("pack_order", F.lit(0).alias("part"), F.lit(0).cast("long").alias("idx"),
+    # One row per query of the pack: the single-partition window is bounded.
+    before = Window.orderBy("pack_order").rowsBetween(Window.unboundedPreceding, -1)
+    starts = (shape(catalogue, queries, now, tag)
+              .withColumn("__before", F.coalesce(F.sum("n_rows").over(before), F.lit(0)).cast("long")))
+    two_q = F.col("pack_order").cast("long") * 2
+    heads = starts.select((F.col("__before") + two_q).alias("doc_line"),
                           F.concat(F.col(tag), F.lit(" "), shape_text(F.col("n_rows"), F.col("n_cols")),
                                    F.lit(":</br>")).alias("text"))
-    tails = shapes.select("pack_order", F.lit(2).alias("part"), F.lit(0).cast("long").alias("idx"),
+    tails = starts.select((F.col("__before") + F.col("n_rows") + two_q + 1).alias("doc_line"),
                           F.lit("</br>").alias("text"))
-    lines = heads.unionByName(body).unionByName(tails)
-    return (global_rank(lines, [F.col("pack_order"), F.col("part"), F.col("idx")], out="doc_line")
-            .select("doc_line", "text"))
+    idx = F.col("__g") - F.col("__before")
+    body = (ranked.join(F.broadcast(starts.select("pack_order", "__before")), "pack_order")
+                  .select((F.col("__g") + two_q + 1).alias("doc_line"),
+                          F.concat(F.lit("<tr><th>"), idx.cast("string"), F.lit("</th>"), F.col("cells"),
+                                   F.lit("</tr>")).alias("text")))
+    return heads.unionByName(body).unionByName(tails)
 
 
 def write_document(lines: DataFrame, path: str) -> None:
