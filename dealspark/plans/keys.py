@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from dealspark.operators.compose import run_search
 from dealspark.plans.packs import SAVED_QUERIES
-from dealspark.sources.catalogue import products
+from dealspark.sources.catalogue import catalogue, products
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
@@ -47,7 +47,7 @@ SEARCH_KEYS = {
 
 def _search(name: str) -> QueryFn:
     def fn(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return run_search(products(spark, sf_dir), SAVED_QUERIES[name])
+        return run_search(catalogue(spark, sf_dir), SAVED_QUERIES[name])
     fn.__name__ = f"search_{name.replace(' ', '_')}"
     return fn
 
@@ -74,7 +74,7 @@ from dealspark.sources.catalogue import offer_rows, price_events, table  # noqa:
 
 def _match(pred_fn, *fields):
     def fn(spark, sf_dir):
-        cat = products(spark, sf_dir)
+        cat = catalogue(spark, sf_dir)
         return cat.where(pred_fn(cat)).select("sku", *[F.col(f"`{f}`") for f in fields])
     return fn
 
@@ -104,7 +104,7 @@ register("prd_search")(_match(lambda c: P.search("airpods"), "name"))
 def prd_anti_prefix_local(spark, sf_dir):
     """Archived local post-filter on the flattened table: drop ``Processor Model``
     values starting with ``Intel`` (case-sensitive), then rank by price, name."""
-    flat = select_spec(products(spark, sf_dir), ProjectionSpec(None, K.LAPTOP_ATTRS), keep=["page", "pos"])
+    flat = select_spec(catalogue(spark, sf_dir), ProjectionSpec(None, K.LAPTOP_ATTRS), keep=["page", "pos"])
     kept = flat.where(P.anti_prefix_local("Processor Model", "Intel"))
     return rank_by_order(kept).select("sku", "name", "salePrice", "`Processor Model`", "rank")
 
@@ -141,12 +141,12 @@ def prj_detail_pivot(spark, sf_dir):
 def prj_offer_map(spark, sf_dir):
     """``offer.startDate`` / ``offer.endDate`` of every catalogue product, exploded
     to ``(sku, offer_pos, offer.startDate, offer.endDate)``."""
-    cat = products(spark, sf_dir).select("sku")
+    cat = catalogue(spark, sf_dir).select("sku")
     return offer_entries(offer_rows(spark, sf_dir), ProjectionSpec()).join(cat, "sku", "left_semi")
 
 
 def _discount_hits(spark, sf_dir):
-    cat = products(spark, sf_dir)
+    cat = catalogue(spark, sf_dir)
     return cat.where(K.SAVED_QUERIES["discount"].where(latest_update(cat)))
 
 
@@ -166,7 +166,7 @@ def prj_rank_index(spark, sf_dir):
 
 @register("prj_query_tag")
 def prj_query_tag(spark, sf_dir):
-    res = run_search(products(spark, sf_dir), K.SAVED_QUERIES["discount"])
+    res = run_search(catalogue(spark, sf_dir), K.SAVED_QUERIES["discount"])
     return res.select(F.lit("discount").alias("query_name"), "name", "salePrice", "rank")
 
 
@@ -174,7 +174,7 @@ def prj_query_tag(spark, sf_dir):
 
 @register("sort_price_name")
 def sort_price_name(spark, sf_dir):
-    cat = products(spark, sf_dir).select("sku", "salePrice", "name", "page", "pos")
+    cat = catalogue(spark, sf_dir).select("sku", "salePrice", "name", "page", "pos")
     return rank_by_order(cat).select("sku", "salePrice", "name", "rank")
 
 
@@ -184,13 +184,13 @@ SLICE_PAGE, SLICE_SIZE = 2, 10
 
 @register("page_slice")
 def page_slice_key(spark, sf_dir):
-    cat = products(spark, sf_dir).select("sku", "salePrice", "name", "page", "pos")
+    cat = catalogue(spark, sf_dir).select("sku", "salePrice", "name", "page", "pos")
     return page_slice(cat, SLICE_PAGE, SLICE_SIZE).select("sku", "salePrice", "name", "rank")
 
 
 @register("topk_cheapest")
 def topk_cheapest(spark, sf_dir):
-    cat = products(spark, sf_dir).select("sku", "salePrice", "name", "page", "pos")
+    cat = catalogue(spark, sf_dir).select("sku", "salePrice", "name", "page", "pos")
     return top_k(cat, 10).select("sku", "salePrice", "name", "rank")
 
 
@@ -199,7 +199,7 @@ def topk_cheapest(spark, sf_dir):
 @register("set_union_pages")
 def set_union_pages(spark, sf_dir):
     """UNION ALL of same-schema results (the script pack), duplicates kept."""
-    cat = products(spark, sf_dir)
+    cat = catalogue(spark, sf_dir)
     now = latest_update(cat)
     parts = [run_search(cat, q, now).select("sku", "name", "salePrice", "url", "addToCartUrl")
              for q in K.pack(K.SCRIPT_PACK)]
@@ -211,19 +211,19 @@ def set_union_pages(spark, sf_dir):
 
 @register("set_pack_tagged")
 def set_pack_tagged(spark, sf_dir):
-    return tag_pack(products(spark, sf_dir), K.pack(K.HTTP_PACK)).select("query_name", "sku")
+    return tag_pack(catalogue(spark, sf_dir), K.pack(K.HTTP_PACK)).select("query_name", "sku")
 
 
 @register("set_pack_wide")
 def set_pack_wide(spark, sf_dir):
-    return pack_wide(products(spark, sf_dir), K.pack(K.HTTP_PACK))
+    return pack_wide(catalogue(spark, sf_dir), K.pack(K.HTTP_PACK))
 
 
 # -- aggregates (AGG-1, AGG-3, AGG-4) ----------------------------------------
 
 @register("agg_shape")
 def agg_shape(spark, sf_dir):
-    return R.shape(products(spark, sf_dir), K.pack(K.HTTP_PACK)).select("query_name", "n_rows", "n_cols")
+    return R.shape(catalogue(spark, sf_dir), K.pack(K.HTTP_PACK)).select("query_name", "n_rows", "n_cols")
 
 
 # The two searches of the smoke notebook (before their top-10 limit).
@@ -233,13 +233,13 @@ NOTEBOOK_PACK = ("television top10", "nvidia top10")
 @register("agg_sum_totals")
 def agg_sum_totals(spark, sf_dir):
     """Sum of the reported totals (matches before paging) of the notebook's searches."""
-    tagged = tag_pack(products(spark, sf_dir), K.pack(NOTEBOOK_PACK))
+    tagged = tag_pack(catalogue(spark, sf_dir), K.pack(NOTEBOOK_PACK))
     return tagged.agg(F.count(F.lit(1)).alias("total_products"))
 
 
 @register("agg_document")
 def agg_document(spark, sf_dir):
-    return R.document_lines(products(spark, sf_dir), K.pack(K.HTTP_PACK))
+    return R.document_lines(catalogue(spark, sf_dir), K.pack(K.HTTP_PACK))
 
 
 # -- scalar functions (SCL-1..9) ---------------------------------------------
@@ -293,7 +293,7 @@ def scl_after_token(spark, sf_dir):
 @register("scl_ceil_div")
 def scl_ceil_div(spark, sf_dir):
     """Pages needed per query of the pack, at page sizes 100 and 10."""
-    shapes = R.shape(products(spark, sf_dir), K.pack(K.HTTP_PACK))
+    shapes = R.shape(catalogue(spark, sf_dir), K.pack(K.HTTP_PACK))
     n = F.col("n_rows")
     return shapes.select("query_name", n.alias("total"),
                          X.ceil_div(n, F.lit(100)).alias("pages_100"), X.ceil_div(n, F.lit(10)).alias("pages_10"))
@@ -304,13 +304,13 @@ def scl_ceil_div(spark, sf_dir):
 @register("rpt_table")
 def rpt_table(spark, sf_dir):
     q = K.SAVED_QUERIES["discount"]
-    res = run_search(products(spark, sf_dir), q)
+    res = run_search(catalogue(spark, sf_dir), q)
     return R.render_rows(res, q.spec.output_names())
 
 
 @register("rpt_digest")
 def rpt_digest(spark, sf_dir):
-    cat = products(spark, sf_dir)
+    cat = catalogue(spark, sf_dir)
     now = latest_update(cat)
     since = R.since_text(T.cutoff(now, T.DAILY_LOOKBACK_MINUTES, T.DAILY_ZONE))
     return R.digest(R.shape(cat, K.pack(K.HTTP_PACK), now), since).select("query_name", "header")
@@ -371,7 +371,7 @@ def agg_reported_total(spark, sf_dir):
 
 @register("page_plan")
 def page_plan_key(spark, sf_dir):
-    shapes = R.shape(products(spark, sf_dir), K.pack(K.HTTP_PACK))
+    shapes = R.shape(catalogue(spark, sf_dir), K.pack(K.HTTP_PACK))
     totals = shapes.select("query_name", X.ceil_div(F.col("n_rows"), F.lit(G.PRODUCTS_PER_PAGE)).alias("totalPages"))
     return G.page_plan(totals).select("query_name", "page", "batch")
 
@@ -389,7 +389,7 @@ def empty_result(spark, sf_dir):
     none_newer = K.SavedQuery("discount", q.subject,
                               lambda now: P.all_of(q.where(now), P.gt_ts("priceUpdateDate", T.cutoff(now, 0, "UTC"))),
                               q.spec)
-    return run_search(products(spark, sf_dir), none_newer)
+    return run_search(catalogue(spark, sf_dir), none_newer)
 
 
 @register("export_roundtrip")
@@ -397,7 +397,7 @@ def export_roundtrip(spark, sf_dir):
     """The pack's results exported one folder per query, named by the subject's
     first word (``partitionBy``), and read back."""
     qs = K.pack(K.HTTP_PACK)
-    wide = pack_wide(products(spark, sf_dir), qs)
+    wide = pack_wide(catalogue(spark, sf_dir), qs)
     names = spark.createDataFrame([(q.name, q.subject) for q in qs], "query_name string, subject string")
     out = (wide.join(F.broadcast(names), "query_name")
                .withColumn("export_name", X.first_word(F.col("subject"))).drop("subject"))
@@ -411,7 +411,7 @@ def export_roundtrip(spark, sf_dir):
 def report_nonempty(spark, sf_dir):
     """Only non-empty results are reported: shapes of every saved search, the
     empty ones filtered out, written as the run's report table and read back."""
-    shapes = R.shape(products(spark, sf_dir), list(K.SAVED_QUERIES.values()))
+    shapes = R.shape(catalogue(spark, sf_dir), list(K.SAVED_QUERIES.values()))
     path = fresh_scratch(spark, "report")
     shapes.where(F.col("n_rows") > 0).select("query_name", "n_rows").write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
@@ -420,7 +420,7 @@ def report_nonempty(spark, sf_dir):
 @register("obs_counts")
 def obs_counts(spark, sf_dir):
     """OBS-1: the product count of a run, observed while the result is written."""
-    res = run_search(products(spark, sf_dir), K.SAVED_QUERIES["discount"])
+    res = run_search(catalogue(spark, sf_dir), K.SAVED_QUERIES["discount"])
     obs = Observation("discount_run")
     path = fresh_scratch(spark, "run")
     res.observe(obs, F.count(F.lit(1)).alias("n_products")).write.mode("overwrite").parquet(path)
@@ -510,7 +510,7 @@ def stream_report(spark, sf_dir):
     """STR-4: per-batch pack report via foreachBatch (idempotent per batch id)
     over the deduplicated runs, summed over the batches."""
     base = fresh_scratch(spark, "stream_report")
-    body = S.per_batch_report(products(spark, sf_dir), K.pack(K.HTTP_PACK), f"{base}/report")
+    body = S.per_batch_report(catalogue(spark, sf_dir), K.pack(K.HTTP_PACK), f"{base}/report")
     _run_in_turns(spark, sf_dir, base, lambda src: S.run_to_end(
         S.dedupe(S.price_updates(spark, src), RUN_OVERLAP_DELAY), f"{base}/_checkpoint", foreach_batch=body))
     rep = spark.read.parquet(f"{base}/report")
