@@ -16,6 +16,10 @@ rows) in one task.  Both are replaced here by the distributed form:
 Step 1 is checkpointed (reliably, to the shared checkpoint folder) so that
 steps 2 and 3 read one and the same partitioning.
 
+Inputs proven small (at most ``dealspark.rank.singleTaskRows`` rows, checked
+by counting at most that many + 1) skip the machinery and use a plain window:
+the single task is then bounded by the check.
+
 A per-key rank subtracts the global rank of the key's first row, found with a
 map-side-combined ``min`` aggregate.  A hot key is spread over as many range
 partitions as its size needs, so no task holds more than one partition's share.
@@ -28,6 +32,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -50,11 +55,35 @@ def _plain(c: ColumnLike) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+# Rows one task may rank on its own.  Above this, or when it cannot be proven,
+# the distributed path runs.  Session conf ``dealspark.rank.singleTaskRows``.
+SINGLE_TASK_ROWS = 1_000_000
+
+
+def _single_task_limit(df: DataFrame) -> int:
+    return int(df.sparkSession.conf.get("dealspark.rank.singleTaskRows", str(SINGLE_TASK_ROWS)))
+
+
+def _at_most(df: DataFrame, limit: int) -> bool:
+    """Proves ``df`` has at most ``limit`` rows, reading no more than limit+1."""
+    return limit > 0 and df.limit(limit + 1).count() <= limit
+
+
 def global_rank(df: DataFrame, order: Sequence[ColumnLike], out: str = "rank",
                 num_partitions: int | None = None) -> DataFrame:
-    """Add ``out`` = 0-based position of each row in ``order`` over the whole frame."""
-    n = num_partitions or _num_partitions(df)
+    """Add ``out`` = 0-based position of each row in ``order`` over the whole frame.
+
+    A frame proven to hold at most ``dealspark.rank.singleTaskRows`` rows is
+    numbered by one window task (the bound is checked, like a broadcast size);
+    anything larger takes the distributed path below.
+    """
     cols = [_plain(c) for c in order]
+    if _at_most(df, _single_task_limit(df)):
+        return df.withColumn(out, (F.row_number().over(Window.orderBy(*cols)) - 1).cast("long"))
+    return _distributed_rank(df, cols, out, num_partitions or _num_partitions(df))
+
+
+def _distributed_rank(df: DataFrame, cols: list[Column], out: str, n: int) -> DataFrame:
     ranged = (df.repartitionByRange(n, *cols)
                 .sortWithinPartitions(*cols)
                 .withColumn(_PID, F.spark_partition_id())
@@ -64,7 +93,12 @@ def global_rank(df: DataFrame, order: Sequence[ColumnLike], out: str = "rank",
     # exchange may cut differently; a reliable checkpoint (in the shared
     # checkpoint folder, surviving executor loss) pins one cut for both reads.
     scratch_dir(df.sparkSession)
-    ranged = ranged.checkpoint(eager=True)
+    # Persist first: the eager checkpoint counts the rows and then writes them,
+    # and without a cached copy the write would sort the partitions again.
+    ranged.persist(StorageLevel.MEMORY_AND_DISK)
+    pinned = ranged.checkpoint(eager=True)
+    ranged.unpersist()
+    ranged = pinned
     counts = ranged.groupBy(_PID).agg(F.count(F.lit(1)).alias("__ds_n"))
     # At most `n` rows: the single-partition window here is bounded by design.
     before = Window.orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)
@@ -85,8 +119,11 @@ def keyed_rank(df: DataFrame, keys: Sequence[str], order: Sequence[ColumnLike],
     broadcast outright.  Otherwise the join is left to the planner, and AQE
     broadcasts it only after measuring it, or splits skewed partitions.
     """
-    ranked = global_rank(df, [*[F.col(k) for k in keys], *order], out="__ds_g",
-                         num_partitions=num_partitions)
+    if _at_most(df, _single_task_limit(df)):
+        w = Window.partitionBy(*keys).orderBy(*[_plain(c) for c in order])
+        return df.withColumn(out, (F.row_number().over(w) - 1).cast("long"))
+    ranked = _distributed_rank(df, [*[F.col(k) for k in keys], *[_plain(c) for c in order]], "__ds_g",
+                               num_partitions or _num_partitions(df))
     firsts = ranked.groupBy(*keys).agg(F.min("__ds_g").alias(_FIRST))
     if bounded_keys:
         firsts = F.broadcast(firsts)

@@ -2,6 +2,7 @@
 
 import numpy as np
 import pandas as pd
+import pytest
 from pyspark.sql import functions as F
 
 from dealspark.operators.ranking import global_rank, keyed_rank
@@ -17,7 +18,15 @@ def _frame(spark, n=3000, seed=7):
     return pdf, spark.createDataFrame(pdf)
 
 
-def test_global_rank_matches_sort(spark):
+@pytest.fixture(params=["distributed", "single_task"])
+def path(spark, request):
+    """Run each test through both ranking paths."""
+    spark.conf.set("dealspark.rank.singleTaskRows", "0" if request.param == "distributed" else "1000000")
+    yield request.param
+    spark.conf.unset("dealspark.rank.singleTaskRows")
+
+
+def test_global_rank_matches_sort(spark, path):
     pdf, df = _frame(spark)
     got = global_rank(df, [F.col("v").asc_nulls_last(), F.col("id")], out="r").toPandas()
     exp = pdf.sort_values(["v", "id"], na_position="last").reset_index(drop=True)
@@ -26,7 +35,7 @@ def test_global_rank_matches_sort(spark):
     assert len(m) == len(pdf) and (m.r == m.r_exp).all()
 
 
-def test_keyed_rank_matches_cumcount_under_skew(spark):
+def test_keyed_rank_matches_cumcount_under_skew(spark, path):
     pdf, df = _frame(spark)
     got = keyed_rank(df, ["k"], [F.col("v").asc_nulls_last(), F.col("id")], out="r").toPandas()
     exp = pdf.sort_values(["k", "v", "id"], na_position="last")
@@ -37,6 +46,20 @@ def test_keyed_rank_matches_cumcount_under_skew(spark):
 
 def test_offsets_are_broadcast_not_rows(spark):
     _, df = _frame(spark, n=500)
+    spark.conf.set("dealspark.rank.singleTaskRows", "0")
     plan = plan_text(global_rank(df, ["v", "id"]))
     # rows stay in their range partitions; only the per-partition offsets move
     assert "BroadcastExchange" in plan and "BroadcastHashJoin" in plan
+    spark.conf.unset("dealspark.rank.singleTaskRows")
+
+
+def test_small_input_uses_one_bounded_window(spark):
+    _, df = _frame(spark, n=500)
+    spark.conf.set("dealspark.rank.singleTaskRows", "500")
+    try:
+        assert "Checkpoint" not in plan_text(global_rank(df, ["v", "id"])) and \
+            "Window" in plan_text(global_rank(df, ["v", "id"]))
+        spark.conf.set("dealspark.rank.singleTaskRows", "499")
+        assert "BroadcastHashJoin" in plan_text(global_rank(df, ["v", "id"]))
+    finally:
+        spark.conf.unset("dealspark.rank.singleTaskRows")
