@@ -17,8 +17,8 @@ Step 1 is checkpointed (reliably, to the shared checkpoint folder) so that
 steps 2 and 3 read one and the same partitioning.
 
 Inputs proven small (at most ``dealspark.rank.singleTaskRows`` rows, checked
-by counting at most that many + 1) skip the machinery and use a plain window:
-the single task is then bounded by the check.
+by an incremental ``take`` of at most that many + 1 column-less rows) skip
+the machinery and use a plain window: the single task is bounded by the check.
 
 A per-key rank subtracts the global rank of the key's first row, found with a
 map-side-combined ``min`` aggregate.  A hot key is spread over as many range
@@ -57,7 +57,7 @@ def _plain(c: ColumnLike) -> Column:
 
 # Rows one task may rank on its own.  Above this, or when it cannot be proven,
 # the distributed path runs.  Session conf ``dealspark.rank.singleTaskRows``.
-SINGLE_TASK_ROWS = 1_000_000
+SINGLE_TASK_ROWS = 100_000
 
 
 def _single_task_limit(df: DataFrame) -> int:
@@ -65,8 +65,13 @@ def _single_task_limit(df: DataFrame) -> int:
 
 
 def _at_most(df: DataFrame, limit: int) -> bool:
-    """Proves ``df`` has at most ``limit`` rows, reading no more than limit+1."""
-    return limit > 0 and df.limit(limit + 1).count() <= limit
+    """Proves ``df`` has at most ``limit`` rows, with bounded work.
+
+    ``take`` scans partitions incrementally (one, then a growing number) and
+    stops once ``limit + 1`` rows are found, so a huge input is rejected after
+    reading about ``limit`` rows; the rows fetched carry no columns.
+    """
+    return limit > 0 and len(df.select().take(limit + 1)) <= limit
 
 
 def global_rank(df: DataFrame, order: Sequence[ColumnLike], out: str = "rank",

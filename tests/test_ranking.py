@@ -21,7 +21,7 @@ def _frame(spark, n=3000, seed=7):
 @pytest.fixture(params=["distributed", "single_task"])
 def path(spark, request):
     """Run each test through both ranking paths."""
-    spark.conf.set("dealspark.rank.singleTaskRows", "0" if request.param == "distributed" else "1000000")
+    spark.conf.set("dealspark.rank.singleTaskRows", "0" if request.param == "distributed" else "100000")
     yield request.param
     spark.conf.unset("dealspark.rank.singleTaskRows")
 
