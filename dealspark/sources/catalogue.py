@@ -89,6 +89,18 @@ def products(spark: SparkSession, sf_dir: str) -> DataFrame:
     return part.select(*[F.expr(e).alias(n) for n, e in PRODUCT_COLUMNS])
 
 
+# The order of a product's offers.
+OFFER_ORDER = ("l_shipdate", "l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice")
+
+
+def offer_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines that are offers, with their order key and offer dates."""
+    li = table(spark, sf_dir, "lineitem").where(F.col("l_partkey") % OFFER_SKIP_MODULUS != 0)
+    return li.select("l_partkey", *OFFER_ORDER,
+                     F.col("l_shipdate").cast("date").cast("string").alias("startDate"),
+                     F.date_add(F.col("l_shipdate").cast("date"), OFFER_DAYS).cast("string").alias("endDate"))
+
+
 def offer_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per offer: ``(sku, offer_pos, startDate, endDate)``.
 
@@ -97,18 +109,9 @@ def offer_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     skew-safe ``keyed_rank``: a sku holding a third of all lines is spread over
     many range partitions instead of being sorted in one task.
     """
-    li = (table(spark, sf_dir, "lineitem")
-          .where(F.col("l_partkey") % OFFER_SKIP_MODULUS != 0)
-          .select("l_partkey", "l_shipdate", "l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice"))
-    ranked = keyed_rank(li, ["l_partkey"],
-                        ["l_shipdate", "l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice"],
-                        out="offer_pos")
-    return ranked.select(
-        F.col("l_partkey").alias("sku"),
-        F.col("offer_pos").cast("int").alias("offer_pos"),
-        F.col("l_shipdate").cast("date").cast("string").alias("startDate"),
-        F.date_add(F.col("l_shipdate").cast("date"), OFFER_DAYS).cast("string").alias("endDate"),
-    )
+    ranked = keyed_rank(offer_lines(spark, sf_dir), ["l_partkey"], list(OFFER_ORDER), out="offer_pos")
+    return ranked.select(F.col("l_partkey").alias("sku"), F.col("offer_pos").cast("int").alias("offer_pos"),
+                         "startDate", "endDate")
 
 
 def price_events(spark: SparkSession, sf_dir: str) -> DataFrame:

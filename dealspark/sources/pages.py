@@ -21,7 +21,7 @@ from dealspark.functions.text import ceil_div
 from dealspark.operators.projection import (ProjectionSpec, attribute_alias, detail_value,
                                             offer_column_name, offer_map)
 from dealspark.session import fresh_scratch
-from dealspark.sources.catalogue import PRODUCTS_PER_PAGE, offer_rows, products  # noqa: F401
+from dealspark.sources.catalogue import OFFER_ORDER, PRODUCTS_PER_PAGE, offer_lines, products
 
 ENVELOPE = "v"
 
@@ -56,9 +56,11 @@ def land_envelopes(spark: SparkSession, sf_dir: str, dest: str | None = None,
     """
     dest = dest or fresh_scratch(spark, "landed")
     cat = products(spark, sf_dir)
-    nested = (offer_rows(spark, sf_dir)
-              .groupBy("sku")
-              .agg(F.array_sort(F.collect_list(F.struct("offer_pos", "startDate", "endDate"))).alias("o")))
+    # Offers in list order: sorting the collected structs by their leading
+    # fields (the offer order key) gives the order without numbering them first.
+    nested = (offer_lines(spark, sf_dir)
+              .groupBy(F.col("l_partkey").alias("sku"))
+              .agg(F.array_sort(F.collect_list(F.struct(*OFFER_ORDER, "startDate", "endDate"))).alias("o")))
     offers = F.coalesce(F.transform(F.col("o"), lambda x: F.struct(x["startDate"].alias("startDate"),
                                                                       x["endDate"].alias("endDate"))),
                         F.expr("CAST(array() AS ARRAY<STRUCT<startDate:STRING,endDate:STRING>>)"))
