@@ -90,3 +90,22 @@ def test_landing_roundtrip_matches_fixture(spark):
     rej = sorted(r.page for r in G.rejected_pages(e, ProjectionSpec()).collect())
     exp = sorted({r.page for r in cat.where(F.col("sku") % 997 == 0).collect()})
     assert rej == exp
+
+
+def test_zero_pages_give_no_rows_and_shape_zero(spark, tmp_json):
+    path = tmp_json(json.dumps({"totalPages": 0, "total": 0, "currentPage": 1, "products": []}))
+    e = G.read_envelopes(spark, path)
+    assert G.flatten_pages(e, ProjectionSpec()).count() == 0
+    assert G.page_plan(G.totals(e)).count() == 0
+    assert G.page_audit(e, ProjectionSpec()).count() == 0
+
+
+def test_empty_search_reports_shape_zero(spark):
+    from conftest import SF_SMALL
+    from dealspark.plans import packs as K
+    from dealspark.plans import report as R
+    from dealspark.sources.catalogue import catalogue
+    shapes = {r.query_name: (r.n_rows, r.n_cols) for r in
+              R.shape(catalogue(spark, SF_SMALL), K.pack(K.SCRIPT_PACK)).collect()}
+    assert shapes["nvidia cheap"] == (0, 0)          # empty at sf0.001
+    assert shapes["macbook cheap"][1] == 5 + 4 + 2   # columns + attributes + offer maps
