@@ -22,6 +22,8 @@ _DEFAULTS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Remove a ranked frame's checkpoint files once nothing references it.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     # Stop a query rather than silently pull a runaway result to the driver.
     "spark.driver.maxResultSize": "2g",
 }
