@@ -36,6 +36,7 @@ from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from dealspark.operators.sizing import at_most
 from dealspark.session import scratch_dir
 
 ColumnLike = Column | str
@@ -64,16 +65,6 @@ def _single_task_limit(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("dealspark.rank.singleTaskRows", str(SINGLE_TASK_ROWS)))
 
 
-def _at_most(df: DataFrame, limit: int) -> bool:
-    """Proves ``df`` has at most ``limit`` rows, with bounded work.
-
-    ``take`` scans partitions incrementally (one, then a growing number) and
-    stops once ``limit + 1`` rows are found, so a huge input is rejected after
-    reading about ``limit`` rows; the rows fetched carry no columns.
-    """
-    return limit > 0 and len(df.select().take(limit + 1)) <= limit
-
-
 def global_rank(df: DataFrame, order: Sequence[ColumnLike], out: str = "rank",
                 num_partitions: int | None = None) -> DataFrame:
     """Add ``out`` = 0-based position of each row in ``order`` over the whole frame.
@@ -83,7 +74,7 @@ def global_rank(df: DataFrame, order: Sequence[ColumnLike], out: str = "rank",
     anything larger takes the distributed path below.
     """
     cols = [_plain(c) for c in order]
-    if _at_most(df, _single_task_limit(df)):
+    if at_most(df, _single_task_limit(df)):
         return df.withColumn(out, (F.row_number().over(Window.orderBy(*cols)) - 1).cast("long"))
     return _distributed_rank(df, cols, out, num_partitions or _num_partitions(df))
 
@@ -124,7 +115,7 @@ def keyed_rank(df: DataFrame, keys: Sequence[str], order: Sequence[ColumnLike],
     broadcast outright.  Otherwise the join is left to the planner, and AQE
     broadcasts it only after measuring it, or splits skewed partitions.
     """
-    if _at_most(df, _single_task_limit(df)):
+    if at_most(df, _single_task_limit(df)):
         w = Window.partitionBy(*keys).orderBy(*[_plain(c) for c in order])
         return df.withColumn(out, (F.row_number().over(w) - 1).cast("long"))
     ranked = _distributed_rank(df, [*[F.col(k) for k in keys], *[_plain(c) for c in order]], "__ds_g",

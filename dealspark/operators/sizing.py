@@ -1,0 +1,26 @@
+"""Size proofs with bounded work, for the "only behind a checked size" paths."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# Rows a broadcast side may have before the planner decides instead.
+BROADCAST_ROWS = 100_000
+
+
+def at_most(df: DataFrame, limit: int) -> bool:
+    """Proves ``df`` has at most ``limit`` rows, with bounded work.
+
+    ``take`` scans partitions incrementally (one, then a growing number) and
+    stops once ``limit + 1`` rows are found, so a huge input is rejected after
+    reading about ``limit`` rows; the rows fetched carry no columns.
+    """
+    return limit > 0 and len(df.select().take(limit + 1)) <= limit
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """``broadcast(df)`` when it is proven to hold at most ``max_rows`` rows;
+    otherwise ``df`` unchanged, and the join strategy is left to the planner
+    (AQE still broadcasts after measuring, or splits skewed partitions)."""
+    return F.broadcast(df) if at_most(df, max_rows) else df

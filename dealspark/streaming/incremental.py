@@ -29,6 +29,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from dealspark.functions import timefns as T
 from dealspark.operators.compose import latest_update, tag_pack
+from dealspark.operators.sizing import broadcast_if_small
 from dealspark.plans.packs import SavedQuery
 
 EVENTS_SCHEMA = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
@@ -80,9 +81,14 @@ def dedupe(updates: DataFrame, delay: str = WATERMARK_DELAY) -> DataFrame:
 
 
 def apply_updates(catalogue: DataFrame, updates: DataFrame) -> DataFrame:
-    """Catalogue rows carrying the new price and update time of each change."""
-    upd = updates.select("sku", F.col("salePrice").alias("__new_price"),
-                         F.col("priceUpdateDate").alias("__new_ts"))
+    """Catalogue rows carrying the new price and update time of each change.
+
+    A micro-batch of changes is usually small next to the catalogue: when that
+    is proven (bounded check) it is broadcast, so the catalogue is scanned but
+    never shuffled per batch; a large catch-up batch is left to the planner.
+    """
+    upd = broadcast_if_small(updates.select("sku", F.col("salePrice").alias("__new_price"),
+                                            F.col("priceUpdateDate").alias("__new_ts")))
     return (catalogue.join(upd, "sku")
                      .withColumn("salePrice", F.col("__new_price"))
                      .withColumn("priceUpdateDate", F.col("__new_ts"))
