@@ -8,11 +8,23 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
-
-from dealspark.operators.compose import run_search
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
+
+from dealspark.functions import text as X
+from dealspark.functions import timefns as T
+from dealspark.operators import predicates as P
+from dealspark.operators.compose import (latest_update, pack_wide, page_slice, rank_by_order, run_search,
+                                         select_spec, tag_pack, top_k)
+from dealspark.operators.projection import ProjectionSpec, detail_columns, offer_entries
+from dealspark.operators.ranking import global_rank
+from dealspark.plans import packs as K
+from dealspark.plans import report as R
 from dealspark.plans.packs import SAVED_QUERIES
-from dealspark.sources.catalogue import catalogue, products
+from dealspark.session import fresh_scratch
+from dealspark.sources import pages as G
+from dealspark.sources.catalogue import catalogue, offer_rows, price_events, products, table
+from dealspark.streaming import incremental as S
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
@@ -58,18 +70,6 @@ for _key, _name in SEARCH_KEYS.items():
 
 # -- predicates (PRD-1..18): matching skus plus the tested field ---------------
 
-from pyspark.sql import functions as F  # noqa: E402
-
-from dealspark.functions import text as X  # noqa: E402
-from dealspark.functions import timefns as T  # noqa: E402
-from dealspark.operators import predicates as P  # noqa: E402
-from dealspark.operators.compose import (latest_update, page_slice, rank_by_order, tag_pack,  # noqa: E402
-                                         pack_wide, top_k, select_spec)
-from dealspark.operators.projection import (DEFAULT_DETAILS, ProjectionSpec, detail_columns,  # noqa: E402
-                                            offer_entries)
-from dealspark.plans import packs as K  # noqa: E402
-from dealspark.plans import report as R  # noqa: E402
-from dealspark.sources.catalogue import offer_rows, price_events, table  # noqa: E402
 
 
 def _match(pred_fn, *fields):
@@ -153,7 +153,6 @@ def _discount_hits(spark, sf_dir):
 @register("prj_row_index")
 def prj_row_index(spark, sf_dir):
     """Index by landing position (page, pos), kept through the price sort."""
-    from dealspark.operators.ranking import global_rank
     hits = _discount_hits(spark, sf_dir).select("sku", "page", "pos")
     return global_rank(hits, ["page", "pos"], out="row_index").select("sku", "row_index")
 
@@ -318,10 +317,6 @@ def rpt_digest(spark, sf_dir):
 
 # -- landed pages (SRC-1..6, PRJ-3, AGG-2, SNK-1/2, OBS-1) --------------------
 
-from pyspark.sql import Observation  # noqa: E402
-
-from dealspark.session import fresh_scratch  # noqa: E402
-from dealspark.sources import pages as G  # noqa: E402
 
 
 def _envelopes(spark, sf_dir):
@@ -430,7 +425,6 @@ def obs_counts(spark, sf_dir):
 
 # -- streaming (SRC-7, STR-1..4) ---------------------------------------------
 
-from dealspark.streaming import incremental as S  # noqa: E402
 
 
 def _events_glob(sf_dir: str) -> str:
