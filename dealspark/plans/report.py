@@ -123,15 +123,19 @@ def document_lines(catalogue: DataFrame, queries: Sequence[SavedQuery], now: Col
     """AGG-4: the pack document as ordered lines ``(doc_line, text)``.
 
     Per query, in pack order: a block header ``"<name> (<rows>, <cols>):</br>"``,
-    the rendered rows in result order (index = rank within the query), and a
-    closing ``"</br>"``.  One distributed rank orders all rows of the pack;
-    line numbers then follow arithmetically from the rows counted before each
-    query (a table with one row per query of the pack), so the document never
-    has to sit in one task and no second ranking pass is needed.
+    the rendered rows in result order, and a closing ``"</br>"``.  As in the
+    HTTP report, a row's index is its landing position within the query's
+    results (page, then position), kept through the price sort.
+
+    Two distributed ranks over the pack's rows - result order and landing
+    order - give line numbers and indexes; both are offset by the rows counted
+    before each query (a table with one row per query of the pack), so the
+    document never has to sit in one task.
     """
     rows = pack_rows_html(catalogue, queries, now, tag)
-    ranked = global_rank(rows, [F.col("pack_order"), F.col("__p").asc_nulls_last(),
-                                F.col("__n").asc_nulls_last(), F.col("page"), F.col("pos")], out="__g")
+    landed = global_rank(rows, [F.col("pack_order"), F.col("page"), F.col("pos")], out="__l")
+    ranked = global_rank(landed, [F.col("pack_order"), F.col("__p").asc_nulls_last(),
+                                  F.col("__n").asc_nulls_last(), F.col("page"), F.col("pos")], out="__g")
     # One row per query of the pack: the single-partition window is bounded.
     before = Window.orderBy("pack_order").rowsBetween(Window.unboundedPreceding, -1)
     starts = (shape(catalogue, queries, now, tag)
@@ -142,7 +146,7 @@ def document_lines(catalogue: DataFrame, queries: Sequence[SavedQuery], now: Col
                                    F.lit(":</br>")).alias("text"))
     tails = starts.select((F.col("__before") + F.col("n_rows") + two_q + 1).alias("doc_line"),
                           F.lit("</br>").alias("text"))
-    idx = F.col("__g") - F.col("__before")
+    idx = F.col("__l") - F.col("__before")
     body = (ranked.join(F.broadcast(starts.select("pack_order", "__before")), "pack_order")
                   .select((F.col("__g") + two_q + 1).alias("doc_line"),
                           F.concat(F.lit("<tr><th>"), idx.cast("string"), F.lit("</th>"), F.col("cells"),

@@ -247,10 +247,11 @@ def document_sql(pack) -> str:
     body = []
     for i, (n, w, cols, dets) in enumerate(pack):
         body.append(f"SELECT {i} AS pack_order, 1 AS part, row_number() OVER (ORDER BY {ORDER}) - 1 AS idx, "
+                    f"row_number() OVER (ORDER BY page, pos) - 1 AS landing, "
                     f"{cells(cols, dets)} AS cells FROM products WHERE {w}")
     return (f"WITH {PRODUCTS_CTE},\n{shapes_cte(pack)},\nbody AS ({' UNION ALL '.join(body)}),\n"
             f"lines AS (SELECT pack_order, 0 AS part, 0 AS idx, query_name || ' (' || n_rows || ', ' || n_cols || '):</br>' AS text FROM shapes\n"
-            f"  UNION ALL SELECT pack_order, part, idx, '<tr><th>' || idx || '</th>' || cells || '</tr>' FROM body\n"
+            f"  UNION ALL SELECT pack_order, part, idx, '<tr><th>' || landing || '</th>' || cells || '</tr>' FROM body\n"
             f"  UNION ALL SELECT pack_order, 2, 0, '</br>' FROM shapes)\n"
             f"SELECT row_number() OVER (ORDER BY pack_order, part, idx) - 1 AS doc_line, text FROM lines")
 
