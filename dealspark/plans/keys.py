@@ -165,8 +165,13 @@ def prj_rank_index(spark, sf_dir):
 
 @register("prj_query_tag")
 def prj_query_tag(spark, sf_dir):
-    res = run_search(catalogue(spark, sf_dir), K.SAVED_QUERIES["discount"])
-    return res.select(F.lit("discount").alias("query_name"), "name", "salePrice", "rank")
+    """Each result row tagged with its query's name and the result's shape."""
+    q = K.SAVED_QUERIES["discount"]
+    res = run_search(catalogue(spark, sf_dir), q)
+    n_rows = res.select(F.count(F.lit(1))).scalar()
+    width = len(q.spec.output_names(with_offers=True))
+    return res.select(F.lit(q.name).alias("query_name"), "name", "salePrice", "rank", n_rows.alias("n_rows"),
+                      F.when(n_rows > 0, F.lit(width)).otherwise(F.lit(0)).alias("n_cols"))
 
 
 # -- order / limits (SRT-1, LIM-1, LIM-2) ------------------------------------

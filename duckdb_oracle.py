@@ -289,7 +289,8 @@ MORE = {
                       f"\"endDate\" AS \"offer.endDate\" FROM offer_rows WHERE sku IN (SELECT sku FROM products)"),
     "prj_row_index": select(W_DISCOUNT, "sku, row_number() OVER (ORDER BY page, pos) - 1 AS row_index"),
     "prj_rank_index": select(W_DISCOUNT, f"sku, {RANK}"),
-    "prj_query_tag": select(W_DISCOUNT, f"'discount' AS query_name, name, \"salePrice\", {RANK}"),
+    "prj_query_tag": select(W_DISCOUNT, f"'discount' AS query_name, name, \"salePrice\", {RANK}, "
+                            f"count(*) OVER () AS n_rows, CASE WHEN count(*) OVER () > 0 THEN 15 ELSE 0 END AS n_cols"),
     "sort_price_name": select("true", f'sku, "salePrice", name, {RANK}'),
     "page_slice": f"WITH {PRODUCTS_CTE}, r AS (SELECT sku, \"salePrice\", name, {RANK} FROM products)\nSELECT * FROM r WHERE rank >= 10 AND rank < 20",
     "topk_cheapest": f"WITH {PRODUCTS_CTE}, r AS (SELECT sku, \"salePrice\", name, {RANK} FROM products)\nSELECT * FROM r WHERE rank < 10",
