@@ -167,8 +167,12 @@ def prj_rank_index(spark, sf_dir):
 def prj_query_tag(spark, sf_dir):
     """Each result row tagged with its query's name and the result's shape."""
     q = K.SAVED_QUERIES["discount"]
-    res = run_search(catalogue(spark, sf_dir), q)
-    n_rows = res.select(F.count(F.lit(1))).scalar()
+    cat = catalogue(spark, sf_dir)
+    now = latest_update(cat)
+    res = run_search(cat, q, now)
+    # the shape counts the matches (a partial count over the filtered scan),
+    # not the ranked result again
+    n_rows = cat.where(q.where(now)).select(F.count(F.lit(1))).scalar()
     width = len(q.spec.output_names(with_offers=True))
     return res.select(F.lit(q.name).alias("query_name"), "name", "salePrice", "rank", n_rows.alias("n_rows"),
                       F.when(n_rows > 0, F.lit(width)).otherwise(F.lit(0)).alias("n_cols"))
