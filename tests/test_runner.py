@@ -58,3 +58,10 @@ def test_per_batch_report_is_idempotent(spark, tmp_path):
     body(upd, 0)  # a replayed batch overwrites its own folder
     again = spark.read.parquet(out).orderBy("query_name").collect()
     assert first == again and sum(r.n_rows for r in first) > 0
+
+
+def test_command_line_pack_report(spark, tmp_path, capsys):
+    out = str(tmp_path / "cli")
+    runner.main(["--tables", SF_SMALL, "--pack", "script", "--out", out])
+    assert sorted(os.listdir(out)) == ["digest", "document", "shapes"]
+    assert "macbook cheap" in capsys.readouterr().out
