@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from dealspark.functions import text as X
 from dealspark.functions import timefns as T
 from dealspark.operators import predicates as P
-from dealspark.operators.compose import (latest_update, pack_wide, page_slice, rank_by_order, run_search,
+from dealspark.operators.compose import (pack_wide, page_slice, rank_by_order, run_search,
                                          select_spec, tag_pack, top_k)
 from dealspark.operators.projection import ProjectionSpec, detail_columns, offer_entries
 from dealspark.operators.ranking import global_rank
@@ -23,7 +23,7 @@ from dealspark.plans import report as R
 from dealspark.plans.packs import SAVED_QUERIES
 from dealspark.session import fresh_scratch
 from dealspark.sources import pages as G
-from dealspark.sources.catalogue import catalogue, offer_rows, price_events, products, table
+from dealspark.sources.catalogue import catalogue, catalogue_latest, offer_rows, price_events, products, table
 from dealspark.streaming import incremental as S
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -59,7 +59,7 @@ SEARCH_KEYS = {
 
 def _search(name: str) -> QueryFn:
     def fn(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return run_search(catalogue(spark, sf_dir), SAVED_QUERIES[name])
+        return run_search(catalogue(spark, sf_dir), SAVED_QUERIES[name], catalogue_latest(spark, sf_dir))
     fn.__name__ = f"search_{name.replace(' ', '_')}"
     return fn
 
@@ -70,34 +70,32 @@ for _key, _name in SEARCH_KEYS.items():
 
 # -- predicates (PRD-1..18): matching skus plus the tested field ---------------
 
-
-
 def _match(pred_fn, *fields):
+    """``pred_fn(now)`` over the whole stored catalogue."""
     def fn(spark, sf_dir):
         cat = catalogue(spark, sf_dir)
-        return cat.where(pred_fn(cat)).select("sku", *[F.col(f"`{f}`") for f in fields])
+        return cat.where(pred_fn(catalogue_latest(spark, sf_dir))).select("sku", *[F.col(f"`{f}`") for f in fields])
     return fn
 
 
-register("prd_eq_str")(_match(lambda c: P.eq("manufacturer", "apple"), "manufacturer"))
-register("prd_eq_bool")(_match(lambda c: P.eq("preowned", False), "preowned"))
-register("prd_eq_int")(_match(lambda c: P.eq("subclassId", 410), "subclassId"))
-register("prd_ne_str")(_match(lambda c: P.ne("protectionPlanTerm", "gsr"), "protectionPlanTerm"))
-register("prd_ne_num")(_match(lambda c: P.ne("salePrice", K.EXCLUDED_PRICE), "salePrice"))
-register("prd_lt")(_match(lambda c: P.lt("salePrice", 1000), "salePrice"))
-register("prd_gt")(_match(lambda c: P.gt("screenSizeClassIn", 84), "screenSizeClassIn"))
+register("prd_eq_str")(_match(lambda now: P.eq("manufacturer", "apple"), "manufacturer"))
+register("prd_eq_bool")(_match(lambda now: P.eq("preowned", False), "preowned"))
+register("prd_eq_int")(_match(lambda now: P.eq("subclassId", 410), "subclassId"))
+register("prd_ne_str")(_match(lambda now: P.ne("protectionPlanTerm", "gsr"), "protectionPlanTerm"))
+register("prd_ne_num")(_match(lambda now: P.ne("salePrice", K.EXCLUDED_PRICE), "salePrice"))
+register("prd_lt")(_match(lambda now: P.lt("salePrice", 1000), "salePrice"))
+register("prd_gt")(_match(lambda now: P.gt("screenSizeClassIn", 84), "screenSizeClassIn"))
 register("prd_gt_ts")(_match(
-    lambda c: P.gt_ts("priceUpdateDate", T.cutoff(latest_update(c), T.DAILY_LOOKBACK_MINUTES, T.DAILY_ZONE)),
-    "priceUpdateDate"))
-register("prd_prefix")(_match(lambda c: P.prefix("manufacturer", "Sony"), "manufacturer"))
-register("prd_in")(_match(lambda c: P.isin("productTemplate", K.TV_TEMPLATES), "productTemplate"))
-register("prd_and")(_match(lambda c: P.all_of(*K.base()), "orderable"))
-register("prd_or_group")(_match(lambda c: P.any_of(*[P.prefix("color", s) for s in K.PURPLE_SHADES]), "color"))
-register("prd_any_eq")(_match(lambda c: P.any_eq("details.value", "nvidia"), "name"))
-register("prd_any_prefix")(_match(lambda c: P.any_prefix("categoryPath.name", "laptop"), "name"))
-register("prd_none_eq")(_match(lambda c: P.none_eq("details.value", "intel"), "name"))
-register("prd_none_prefix")(_match(lambda c: P.none_prefix("details.value", "1650"), "name"))
-register("prd_search")(_match(lambda c: P.search("airpods"), "name"))
+    lambda now: P.gt_ts("priceUpdateDate", T.cutoff(now, T.DAILY_LOOKBACK_MINUTES, T.DAILY_ZONE)), "priceUpdateDate"))
+register("prd_prefix")(_match(lambda now: P.prefix("manufacturer", "Sony"), "manufacturer"))
+register("prd_in")(_match(lambda now: P.isin("productTemplate", K.TV_TEMPLATES), "productTemplate"))
+register("prd_and")(_match(lambda now: P.all_of(*K.base()), "orderable"))
+register("prd_or_group")(_match(lambda now: P.any_of(*[P.prefix("color", s) for s in K.PURPLE_SHADES]), "color"))
+register("prd_any_eq")(_match(lambda now: P.any_eq("details.value", "nvidia"), "name"))
+register("prd_any_prefix")(_match(lambda now: P.any_prefix("categoryPath.name", "laptop"), "name"))
+register("prd_none_eq")(_match(lambda now: P.none_eq("details.value", "intel"), "name"))
+register("prd_none_prefix")(_match(lambda now: P.none_prefix("details.value", "1650"), "name"))
+register("prd_search")(_match(lambda now: P.search("airpods"), "name"))
 
 
 @register("prd_anti_prefix_local")
@@ -147,7 +145,7 @@ def prj_offer_map(spark, sf_dir):
 
 def _discount_hits(spark, sf_dir):
     cat = catalogue(spark, sf_dir)
-    return cat.where(K.SAVED_QUERIES["discount"].where(latest_update(cat)))
+    return cat.where(K.SAVED_QUERIES["discount"].where(catalogue_latest(spark, sf_dir)))
 
 
 @register("prj_row_index")
@@ -168,7 +166,7 @@ def prj_query_tag(spark, sf_dir):
     """Each result row tagged with its query's name and the result's shape."""
     q = K.SAVED_QUERIES["discount"]
     cat = catalogue(spark, sf_dir)
-    now = latest_update(cat)
+    now = catalogue_latest(spark, sf_dir)
     res = run_search(cat, q, now)
     # the shape counts the matches (a partial count over the filtered scan),
     # not the ranked result again
@@ -208,7 +206,7 @@ def topk_cheapest(spark, sf_dir):
 def set_union_pages(spark, sf_dir):
     """UNION ALL of same-schema results (the script pack), duplicates kept."""
     cat = catalogue(spark, sf_dir)
-    now = latest_update(cat)
+    now = catalogue_latest(spark, sf_dir)
     parts = [run_search(cat, q, now).select("sku", "name", "salePrice", "url", "addToCartUrl")
              for q in K.pack(K.SCRIPT_PACK)]
     out = parts[0]
@@ -219,19 +217,21 @@ def set_union_pages(spark, sf_dir):
 
 @register("set_pack_tagged")
 def set_pack_tagged(spark, sf_dir):
-    return tag_pack(catalogue(spark, sf_dir), K.pack(K.HTTP_PACK)).select("query_name", "sku")
+    tagged = tag_pack(catalogue(spark, sf_dir), K.pack(K.HTTP_PACK), catalogue_latest(spark, sf_dir))
+    return tagged.select("query_name", "sku")
 
 
 @register("set_pack_wide")
 def set_pack_wide(spark, sf_dir):
-    return pack_wide(catalogue(spark, sf_dir), K.pack(K.HTTP_PACK))
+    return pack_wide(catalogue(spark, sf_dir), K.pack(K.HTTP_PACK), catalogue_latest(spark, sf_dir))
 
 
 # -- aggregates (AGG-1, AGG-3, AGG-4) ----------------------------------------
 
 @register("agg_shape")
 def agg_shape(spark, sf_dir):
-    return R.shape(catalogue(spark, sf_dir), K.pack(K.HTTP_PACK)).select("query_name", "n_rows", "n_cols")
+    shapes = R.shape(catalogue(spark, sf_dir), K.pack(K.HTTP_PACK), catalogue_latest(spark, sf_dir))
+    return shapes.select("query_name", "n_rows", "n_cols")
 
 
 # The two searches of the smoke notebook (before their top-10 limit).
@@ -241,13 +241,13 @@ NOTEBOOK_PACK = ("television top10", "nvidia top10")
 @register("agg_sum_totals")
 def agg_sum_totals(spark, sf_dir):
     """Sum of the reported totals (matches before paging) of the notebook's searches."""
-    tagged = tag_pack(catalogue(spark, sf_dir), K.pack(NOTEBOOK_PACK))
+    tagged = tag_pack(catalogue(spark, sf_dir), K.pack(NOTEBOOK_PACK), catalogue_latest(spark, sf_dir))
     return tagged.agg(F.count(F.lit(1)).alias("total_products"))
 
 
 @register("agg_document")
 def agg_document(spark, sf_dir):
-    return R.document_lines(catalogue(spark, sf_dir), K.pack(K.HTTP_PACK))
+    return R.document_lines(catalogue(spark, sf_dir), K.pack(K.HTTP_PACK), catalogue_latest(spark, sf_dir))
 
 
 # -- scalar functions (SCL-1..9) ---------------------------------------------
@@ -301,7 +301,7 @@ def scl_after_token(spark, sf_dir):
 @register("scl_ceil_div")
 def scl_ceil_div(spark, sf_dir):
     """Pages needed per query of the pack, at page sizes 100 and 10."""
-    shapes = R.shape(catalogue(spark, sf_dir), K.pack(K.HTTP_PACK))
+    shapes = R.shape(catalogue(spark, sf_dir), K.pack(K.HTTP_PACK), catalogue_latest(spark, sf_dir))
     n = F.col("n_rows")
     return shapes.select("query_name", n.alias("total"),
                          X.ceil_div(n, F.lit(100)).alias("pages_100"), X.ceil_div(n, F.lit(10)).alias("pages_10"))
@@ -312,14 +312,14 @@ def scl_ceil_div(spark, sf_dir):
 @register("rpt_table")
 def rpt_table(spark, sf_dir):
     q = K.SAVED_QUERIES["discount"]
-    res = run_search(catalogue(spark, sf_dir), q)
+    res = run_search(catalogue(spark, sf_dir), q, catalogue_latest(spark, sf_dir))
     return R.render_rows(res, q.spec.output_names())
 
 
 @register("rpt_digest")
 def rpt_digest(spark, sf_dir):
     cat = catalogue(spark, sf_dir)
-    now = latest_update(cat)
+    now = catalogue_latest(spark, sf_dir)
     since = R.since_text(T.cutoff(now, T.DAILY_LOOKBACK_MINUTES, T.DAILY_ZONE))
     return R.digest(R.shape(cat, K.pack(K.HTTP_PACK), now), since).select("query_name", "header")
 
@@ -375,7 +375,7 @@ def agg_reported_total(spark, sf_dir):
 
 @register("page_plan")
 def page_plan_key(spark, sf_dir):
-    shapes = R.shape(catalogue(spark, sf_dir), K.pack(K.HTTP_PACK))
+    shapes = R.shape(catalogue(spark, sf_dir), K.pack(K.HTTP_PACK), catalogue_latest(spark, sf_dir))
     totals = shapes.select("query_name", X.ceil_div(F.col("n_rows"), F.lit(G.PRODUCTS_PER_PAGE)).alias("totalPages"))
     return G.page_plan(totals).select("query_name", "page", "batch")
 
@@ -393,7 +393,7 @@ def empty_result(spark, sf_dir):
     none_newer = K.SavedQuery("discount", q.subject,
                               lambda now: P.all_of(q.where(now), P.gt_ts("priceUpdateDate", T.cutoff(now, 0, "UTC"))),
                               q.spec)
-    return run_search(catalogue(spark, sf_dir), none_newer)
+    return run_search(catalogue(spark, sf_dir), none_newer, catalogue_latest(spark, sf_dir))
 
 
 @register("export_roundtrip")
@@ -401,7 +401,7 @@ def export_roundtrip(spark, sf_dir):
     """The pack's results exported one folder per query, named by the subject's
     first word (``partitionBy``), and read back."""
     qs = K.pack(K.HTTP_PACK)
-    wide = pack_wide(catalogue(spark, sf_dir), qs)
+    wide = pack_wide(catalogue(spark, sf_dir), qs, catalogue_latest(spark, sf_dir))
     names = spark.createDataFrame([(q.name, q.subject) for q in qs], "query_name string, subject string")
     out = (wide.join(F.broadcast(names), "query_name")
                .withColumn("export_name", X.first_word(F.col("subject"))).drop("subject"))
@@ -415,7 +415,8 @@ def export_roundtrip(spark, sf_dir):
 def report_nonempty(spark, sf_dir):
     """Only non-empty results are reported: shapes of every saved search, the
     empty ones filtered out, written as the run's report table and read back."""
-    shapes = R.shape(catalogue(spark, sf_dir), list(K.SAVED_QUERIES.values()))
+    shapes = R.shape(catalogue(spark, sf_dir), list(K.SAVED_QUERIES.values()),
+                     catalogue_latest(spark, sf_dir))
     path = fresh_scratch(spark, "report")
     shapes.where(F.col("n_rows") > 0).select("query_name", "n_rows").write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
@@ -424,7 +425,8 @@ def report_nonempty(spark, sf_dir):
 @register("obs_counts")
 def obs_counts(spark, sf_dir):
     """OBS-1: the product count of a run, observed while the result is written."""
-    res = run_search(catalogue(spark, sf_dir), K.SAVED_QUERIES["discount"])
+    res = run_search(catalogue(spark, sf_dir), K.SAVED_QUERIES["discount"],
+                     catalogue_latest(spark, sf_dir))
     obs = Observation("discount_run")
     path = fresh_scratch(spark, "run")
     res.observe(obs, F.count(F.lit(1)).alias("n_products")).write.mode("overwrite").parquet(path)
@@ -513,7 +515,8 @@ def stream_report(spark, sf_dir):
     """STR-4: per-batch pack report via foreachBatch (idempotent per batch id)
     over the deduplicated runs, summed over the batches."""
     base = fresh_scratch(spark, "stream_report")
-    body = S.per_batch_report(catalogue(spark, sf_dir), K.pack(K.HTTP_PACK), f"{base}/report")
+    body = S.per_batch_report(catalogue(spark, sf_dir), K.pack(K.HTTP_PACK), f"{base}/report",
+                              catalogue_latest(spark, sf_dir))
     _run_in_turns(spark, sf_dir, base, lambda src: S.run_to_end(
         S.dedupe(S.price_updates(spark, src), RUN_OVERLAP_DELAY), f"{base}/_checkpoint", foreach_batch=body))
     rep = spark.read.parquet(f"{base}/report")

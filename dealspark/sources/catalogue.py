@@ -9,7 +9,7 @@ the SQL oracle, so they are stated once, as expressions, below.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from dealspark.operators.ranking import keyed_rank
@@ -127,7 +127,7 @@ def price_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 CATALOGUE_PARTITION = "productTemplate"
 
 
-def store_catalogue(catalogue: DataFrame, path: str) -> None:
+def store_catalogue(catalogue: DataFrame, path: str):
     """Write the typed catalogue the searches scan.
 
     * ``partitionBy(productTemplate)``: template predicates (``=``, ``in``,
@@ -138,22 +138,40 @@ def store_catalogue(catalogue: DataFrame, path: str) -> None:
       parquet min/max statistics skip row groups for price predicates;
     * flat columns are stored typed, so boolean/number/timestamp conjuncts are
       pushed to the scan.
+
+    The newest ``priceUpdateDate`` - every search's "now" - is observed while
+    the rows are written (a metric of the same pass), so searches over the
+    stored catalogue need no extra scan for it.  Returns it.
     """
-    (catalogue.repartitionByRange(CATALOGUE_PARTITION, "salePrice", "sku")
+    stats = Observation("catalogue_stats")
+    (catalogue.observe(stats, F.max("priceUpdateDate").alias("latest"))
+              .repartitionByRange(CATALOGUE_PARTITION, "salePrice", "sku")
               .sortWithinPartitions(CATALOGUE_PARTITION, "salePrice", "sku")
               .write.mode("overwrite").partitionBy(CATALOGUE_PARTITION).parquet(path))
+    return stats.get["latest"]
 
 
-_STORED: dict[tuple[str, str], str] = {}
+_STORED: dict[tuple[str, str], tuple[str, object]] = {}
 
 
-def catalogue(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The stored catalogue for ``sf_dir``: derived and written once per
-    application under the shared scratch folder, then read as parquet."""
+def _stored(spark: SparkSession, sf_dir: str) -> tuple[str, object]:
     from dealspark.session import fresh_scratch
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _STORED:
         path = fresh_scratch(spark, "catalogue")
-        store_catalogue(products(spark, sf_dir), path)
-        _STORED[key] = path
-    return spark.read.parquet(_STORED[key])
+        _STORED[key] = (path, store_catalogue(products(spark, sf_dir), path))
+    return _STORED[key]
+
+
+def catalogue(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stored catalogue for ``sf_dir``: derived and written once per
+    application under the shared scratch folder, then read as parquet."""
+    return spark.read.parquet(_stored(spark, sf_dir)[0])
+
+
+def catalogue_latest(spark: SparkSession, sf_dir: str) -> Column:
+    """The stored catalogue's newest ``priceUpdateDate``, as a literal."""
+    latest = _stored(spark, sf_dir)[1]
+    if latest is None:
+        return F.lit(None).cast("timestamp_ntz")
+    return F.to_timestamp_ntz(F.lit(latest.strftime("%Y-%m-%d %H:%M:%S.%f")))
