@@ -103,11 +103,17 @@ def per_batch_report(catalogue: DataFrame, queries: Sequence[SavedQuery], out: s
     batch replayed after a failure replaces its earlier output.
     """
     def body(batch: DataFrame, batch_id: int) -> None:
-        changed = apply_updates(catalogue, batch)
-        fixed_now = latest_update(catalogue) if now is None else now
-        counts = (tag_pack(changed, queries, fixed_now)
-                  .groupBy("query_name").agg(F.count(F.lit(1)).alias("n_rows")))
-        counts.write.mode("overwrite").parquet(f"{out.rstrip('/')}/batch_id={batch_id}")
+        # The batch is read by two actions (size check, report); persist it so
+        # the micro-batch plan, stateful dedupe included, runs once.
+        batch.persist()
+        try:
+            changed = apply_updates(catalogue, batch)
+            fixed_now = latest_update(catalogue) if now is None else now
+            counts = (tag_pack(changed, queries, fixed_now)
+                      .groupBy("query_name").agg(F.count(F.lit(1)).alias("n_rows")))
+            counts.write.mode("overwrite").parquet(f"{out.rstrip('/')}/batch_id={batch_id}")
+        finally:
+            batch.unpersist()
     return body
 
 
