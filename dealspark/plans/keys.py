@@ -32,6 +32,8 @@ QUERIES: dict[str, QueryFn] = {}
 
 def register(key: str):
     def deco(fn: QueryFn) -> QueryFn:
+        if fn.__name__ == "fn":  # built by a factory: name it after its key
+            fn.__name__ = fn.__qualname__ = key
         QUERIES[key] = fn
         return fn
     return deco
