@@ -4,7 +4,7 @@ For each key: shuffle exchanges, broadcast exchanges, single-partition
 exchanges, parquet scans, whether flat filters were pushed to a scan and
 whether partition filters pruned one.  Keys that materialise an intermediate
 (checkpointed ranks, landed pages, written reports) show the plan that reads
-it back.  Usage: python tools/plan_report.py [sf_dir] [--distributed]
+it back.  Usage: python tools/plan_report.py [sf_dir] [--distributed | --markdown > PLANS.md]
 """
 
 from __future__ import annotations
@@ -59,14 +59,10 @@ def single_partition_consumers(txt: str) -> tuple[int, int]:
 AGGS = ("HashAggregate", "ObjectHashAggregate", "SortAggregate")
 
 
-def main() -> None:
-    args = sys.argv[1:]
-    sf_dir = next((a for a in args if a.startswith("/")), "/root/testdata/sf0.1")
-    spark = build_session("local[8]", 16)
-    if "--distributed" in args:
-        spark.conf.set("dealspark.rank.singleTaskRows", "0")
-    print("| key | shuffles | broadcasts | to one partition: data rows / aggregated rows | parquet scans | pushed filters | partition filters |")
-    print("|---|---:|---:|---:|---:|---|---|")
+def table(spark, sf_dir: str) -> list[str]:
+    lines = ["| key | shuffles | broadcasts | to one partition: data rows / aggregated rows | parquet scans "
+             "| pushed filters | partition filters |",
+             "|---|---:|---:|---:|---:|---|---|"]
     for key, fn in E.queries().items():
         txt = plan_of(fn(spark, sf_dir))
         details = txt.split("\n\n", 1)[1] if "\n\n" in txt else txt
@@ -78,7 +74,24 @@ def main() -> None:
         scans = sum(1 for n in nodes if n[1] == "Scan" and n[2] == "parquet")
         pushed = "yes" if re.search(r"PushedFilters: \[[^\]]", details) else "-"
         pruned = "yes" if re.search(r"PartitionFilters: \[[^\]]", details) else "-"
-        print(f"| `{key}` | {shuffles} | {bcasts} | {single} | {scans} | {pushed} | {pruned} |")
+        lines.append(f"| `{key}` | {shuffles} | {bcasts} | {single} | {scans} | {pushed} | {pruned} |")
+    return lines
+
+
+def main() -> None:
+    args = sys.argv[1:]
+    sf_dir = next((a for a in args if a.startswith("/")), "/root/testdata/sf0.1")
+    spark = build_session("local[8]", 16)
+    if "--markdown" in args:
+        head, as_run, forced, tail = open(os.path.join(os.path.dirname(__file__), "plans_template.md")).read().split("@@")
+        out = [head.rstrip("\n"), "", *table(spark, sf_dir), "", as_run.strip("\n"), ""]
+        spark.conf.set("dealspark.rank.singleTaskRows", "0")
+        out += [*table(spark, sf_dir), "", forced.strip("\n"), tail.rstrip("\n") if tail.strip() else ""]
+        print("\n".join(out).rstrip("\n"))
+    else:
+        if "--distributed" in args:
+            spark.conf.set("dealspark.rank.singleTaskRows", "0")
+        print("\n".join(table(spark, sf_dir)))
     spark.stop()
 
 
