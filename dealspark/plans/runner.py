@@ -66,13 +66,17 @@ def pack_report(catalogue: DataFrame, queries: Sequence[SavedQuery], out: str,
     return stored
 
 
-def export(catalogue: DataFrame, queries: Sequence[SavedQuery], out: str, now: Column | None = None) -> None:
+def export(catalogue: DataFrame, queries: Sequence[SavedQuery], out: str, now: Column | None = None,
+           fmt: str = "parquet") -> None:
+    """The pack's rows, one ``export_name=<first word of subject>`` folder per
+    query; ``fmt="csv"`` (with a header) for spreadsheet users."""
     spark = catalogue.sparkSession
     names = spark.createDataFrame([(q.name, q.subject) for q in queries], "query_name string, subject string")
     (pack_wide(catalogue, queries, now)
         .join(F.broadcast(names), "query_name")
         .withColumn("export_name", X.first_word(F.col("subject"))).drop("subject")
-        .write.mode("overwrite").partitionBy("export_name").parquet(out))
+        .write.mode("overwrite").partitionBy("export_name").format(fmt)
+        .options(**({"header": "true"} if fmt == "csv" else {})).save(out))
 
 
 def incremental(spark: SparkSession, source: str, catalogue: DataFrame, queries: Sequence[SavedQuery],

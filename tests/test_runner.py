@@ -65,3 +65,12 @@ def test_command_line_pack_report(spark, tmp_path, capsys):
     runner.main(["--tables", SF_SMALL, "--pack", "script", "--out", out])
     assert sorted(os.listdir(out)) == ["digest", "document", "shapes"]
     assert "macbook cheap" in capsys.readouterr().out
+
+
+def test_export_csv(spark, tmp_path):
+    cat = catalogue(spark, SF_SMALL)
+    out = str(tmp_path / "csv")
+    runner.export(cat, K.pack(K.SCRIPT_PACK), out, fmt="csv")
+    back = spark.read.option("header", "true").csv(out)
+    assert "rank" in back.columns and "export_name" in back.columns
+    assert back.count() == sum(runner.search(cat, q).rows.count() for q in K.pack(K.SCRIPT_PACK))
