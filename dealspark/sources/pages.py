@@ -133,7 +133,10 @@ def _missing(p: Column, key: str) -> Column:
 
 
 def _text_or_null(x: Column, key: str) -> Column:
-    return F.try_variant_get(x, f"$['{key}']", "string")
+    """The member as text when it is a JSON string; NULL when it is missing,
+    null or of another JSON type (which cannot be case-folded)."""
+    member = _variant_get_untyped(x, f"$['{key}']")
+    return F.when(F.schema_of_variant(member) == F.lit("STRING"), F.variant_get(member, "$", "string"))
 
 
 def product_faults(p: Column, spec: ProjectionSpec) -> Column:
