@@ -16,9 +16,14 @@ from dealspark.plans.packs import SavedQuery
 TIE_BREAK = ("page", "pos")
 
 
-def result_order() -> list[Column]:
-    return [F.col("salePrice").asc_nulls_last(), F.col("name").asc_nulls_last(),
-            F.col("page").asc(), F.col("pos").asc()]
+SORT_KEYS = ("salePrice", "name", *TIE_BREAK)
+
+
+def result_order(prefix: str = "") -> list[Column]:
+    """The result order over ``salePrice, name, page, pos`` (optionally carried
+    under ``prefix``-ed names)."""
+    price, name, page, pos = (F.col(f"{prefix}{k}") for k in SORT_KEYS)
+    return [price.asc_nulls_last(), name.asc_nulls_last(), page.asc(), pos.asc()]
 
 
 def latest_update(catalogue: DataFrame) -> Column:
@@ -31,12 +36,12 @@ def rank_by_order(df: DataFrame, out: str = "rank") -> DataFrame:
     return global_rank(df, result_order(), out=out)
 
 
-def top_k(df: DataFrame, k: int, out: str = "rank") -> DataFrame:
+def top_k(df: DataFrame, k: int, out: str = "rank", prefix: str = "") -> DataFrame:
     """The first ``k`` rows in result order (TakeOrderedAndProject: per-partition
     top-k, then a merge of at most ``k`` rows per partition), numbered 0..k-1."""
-    head = df.orderBy(*result_order()).limit(k)
+    head = df.orderBy(*result_order(prefix)).limit(k)
     # At most k rows remain, so numbering them in one partition is bounded.
-    return head.withColumn(out, (F.row_number().over(Window.orderBy(*result_order())) - 1).cast("long"))
+    return head.withColumn(out, (F.row_number().over(Window.orderBy(*result_order(prefix))) - 1).cast("long"))
 
 
 def page_slice(df: DataFrame, page: int, page_size: int, out: str = "rank") -> DataFrame:
@@ -57,17 +62,26 @@ def run_search(catalogue: DataFrame, q: SavedQuery, now: Column | None = None,
                rank_col: str = "rank") -> DataFrame:
     """One saved search: filter, project, and number rows in result order.
 
-    The sort keys ride along only until the rank is computed.
+    The sort keys ride along, under internal names, only until the rank is
+    computed.
     """
     now = latest_update(catalogue) if now is None else now
     hits = catalogue.where(q.where(now))
-    keep = [k for k in ("salePrice", "name", *TIE_BREAK)]
-    projected = select_spec(hits, q.spec, keep=keep)
-    ranked = top_k(projected, q.top_k, rank_col) if q.top_k else rank_by_order(projected, rank_col)
+    s = q.spec.resolved()
+    carried = [F.col(k).alias(f"{_SORT}{k}") for k in SORT_KEYS]  # never clash with output names
+    projected = hits.select(*[F.col(f"`{c}`") for c in s.columns],
+                            *detail_columns(s.details, base_columns=s.columns), *carried)
+    if q.top_k:
+        ranked = top_k(projected, q.top_k, rank_col, prefix=_SORT)
+    else:
+        ranked = global_rank(projected, result_order(_SORT), out=rank_col)
     out = q.spec.output_names() + [rank_col]
     return ranked.select(*[F.col(f"`{c}`") for c in out])
 
 
+_SORT = "__sort_"
+
+
 # -- packs -------------------------------------------------------------------
 
 def tag_pack(catalogue: DataFrame, queries: Sequence[SavedQuery], now: Column | None = None,

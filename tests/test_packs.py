@@ -67,3 +67,14 @@ def test_flat_conjuncts_reach_the_scan(spark, tmp_path):
     plan = plan_text(stored.where(q.where(latest_update(stored))).select("sku"))
     assert "PushedFilters" in plan and "LessThan(salePrice,1000.0)" in plan
     assert "GreaterThan(screenSizeClassIn,84.0)" in plan
+
+
+def test_attribute_named_like_a_sort_key(spark):
+    # a user spec may ask for an attribute called "Name" without the name column
+    from dealspark.operators.projection import ProjectionSpec
+    from dealspark.plans.packs import SavedQuery
+    cat = products(spark, SF_SMALL)
+    q = SavedQuery("custom", "Custom deals", lambda now: F.col("onSale"), ProjectionSpec(["sku"], ["Name", "Type"]))
+    res = run_search(cat, q)
+    assert res.columns == ["sku", "Name", "Type", "rank"]
+    assert res.count() == cat.where("onSale").count()
