@@ -79,6 +79,22 @@ def global_rank(df: DataFrame, order: Sequence[ColumnLike], out: str = "rank",
     return _distributed_rank(df, cols, out, num_partitions or _num_partitions(df))
 
 
+def global_ranks(df: DataFrame, orders: dict[str, Sequence[ColumnLike]],
+                 num_partitions: int | None = None) -> DataFrame:
+    """Several ``global_rank`` columns, ``{out: order}``, with one size check:
+    proven small, all are windows over the same single bounded task; otherwise
+    one distributed rank per order."""
+    if at_most(df, _single_task_limit(df)):
+        for out, order in orders.items():
+            w = Window.orderBy(*[_plain(c) for c in order])
+            df = df.withColumn(out, (F.row_number().over(w) - 1).cast("long"))
+        return df
+    n = num_partitions or _num_partitions(df)
+    for out, order in orders.items():
+        df = _distributed_rank(df, [_plain(c) for c in order], out, n)
+    return df
+
+
 def _distributed_rank(df: DataFrame, cols: list[Column], out: str, n: int) -> DataFrame:
     ranged = (df.repartitionByRange(n, *cols)
                 .sortWithinPartitions(*cols)

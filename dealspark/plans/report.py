@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from dealspark.functions.text import link_rewrite
 from dealspark.operators.compose import pack_order, tag_pack
 from dealspark.operators.projection import attribute_alias, detail_value
-from dealspark.operators.ranking import global_rank
+from dealspark.operators.ranking import global_ranks
 from dealspark.plans.packs import SavedQuery
 
 URL_COLUMNS = ("url", "addToCartUrl")
@@ -133,9 +133,11 @@ def document_lines(catalogue: DataFrame, queries: Sequence[SavedQuery], now: Col
     document never has to sit in one task.
     """
     rows = pack_rows_html(catalogue, queries, now, tag)
-    landed = global_rank(rows, [F.col("pack_order"), F.col("page"), F.col("pos")], out="__l")
-    ranked = global_rank(landed, [F.col("pack_order"), F.col("__p").asc_nulls_last(),
-                                  F.col("__n").asc_nulls_last(), F.col("page"), F.col("pos")], out="__g")
+    ranked = global_ranks(rows, {
+        "__l": [F.col("pack_order"), F.col("page"), F.col("pos")],
+        "__g": [F.col("pack_order"), F.col("__p").asc_nulls_last(), F.col("__n").asc_nulls_last(),
+                F.col("page"), F.col("pos")],
+    })
     # One row per query of the pack: the single-partition window is bounded.
     before = Window.orderBy("pack_order").rowsBetween(Window.unboundedPreceding, -1)
     starts = (shape(catalogue, queries, now, tag)
