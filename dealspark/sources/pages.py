@@ -139,8 +139,21 @@ def _text_or_null(x: Column, key: str) -> Column:
     return F.when(F.schema_of_variant(member) == F.lit("STRING"), F.variant_get(member, "$", "string"))
 
 
-def product_faults(p: Column, spec: ProjectionSpec) -> Column:
-    """True when flattening this product record with ``spec`` fails:
+def _decode(p: Column) -> Column:
+    """Per product, the parts the fault test reads, decoded from VARIANT once:
+    the product, its ``details`` as ``(n: lower-cased name when a JSON string,
+    v: has a value key)`` and its ``offers`` list."""
+    details = F.try_variant_get(p, "$.details", "array<variant>")
+    return F.struct(
+        p.alias("p"),
+        F.transform(details, lambda d: F.struct(F.lower(_text_or_null(d, "name")).alias("n"),
+                                                (~_missing(d, "value")).alias("v"))).alias("details"),
+        F.try_variant_get(p, "$.offers", "array<variant>").alias("offers"))
+
+
+def product_faults(x: Column, spec: ProjectionSpec) -> Column:
+    """True when flattening this product record with ``spec`` fails
+    (``x`` is the product as decoded by ``_decode``):
 
     * a requested base column is missing (a JSON null is fine);
     * ``details`` is missing or not a list; while looking an attribute up, a
@@ -149,27 +162,33 @@ def product_faults(p: Column, spec: ProjectionSpec) -> Column:
     * ``offers`` is missing or not a list, or an offer misses a requested field.
     """
     s = spec.resolved()
-    # not an object at all (indexing it by key fails)
-    faults: list[Column] = [F.try_variant_get(p, "$", "map<string,variant>").isNull()]
-    faults += [_missing(p, c) for c in s.columns]
-    details = F.try_variant_get(p, "$.details", "array<variant>")
+    p, details, offers = x["p"], x["details"], x["offers"]
+    # A record that is not an object has no keys, so it already fails here: a
+    # resolved spec always requests at least one column.
+    faults: list[Column] = [_missing(p, c) for c in s.columns]
     faults.append(details.isNull())
     for name in s.details:
-        key = name.lower()
-        stop = F.transform(details, lambda d: F.coalesce(
-            _text_or_null(d, "name").isNull() | (F.lower(_text_or_null(d, "name")) == F.lit(key)), F.lit(True)))
-        k = F.array_position(stop, True)
+        key = F.lit(name.lower())
+        k = F.array_position(F.transform(details, lambda d: d["n"].isNull() | (d["n"] == key)), True)
         hit = F.get(details, (k - 1).cast("int"))
-        bad_hit = _text_or_null(hit, "name").isNull() | _missing(hit, "value")
-        faults.append(F.coalesce((k > 0) & bad_hit, F.lit(False)))
-    offers = F.try_variant_get(p, "$.offers", "array<variant>")
+        faults.append(F.coalesce((k > 0) & (hit["n"].isNull() | ~hit["v"]), F.lit(False)))
     faults.append(offers.isNull())
-    for f in s.offers:
-        faults.append(F.coalesce(F.exists(offers, lambda o: _missing(o, f)), F.lit(False)))
-    out = faults[0]
-    for x in faults[1:]:
-        out = out | x
-    return F.coalesce(out, F.lit(True))
+    if s.offers:  # one pass over the offers for all requested fields
+        faults.append(F.coalesce(F.exists(offers, lambda o: _any([_missing(o, f) for f in s.offers])), F.lit(False)))
+    return F.coalesce(_any(faults), F.lit(True))
+
+
+def _any(conds: list[Column]) -> Column:
+    out = conds[0]
+    for more in conds[1:]:
+        out = out | more
+    return out
+
+
+def _page_bad(spec: ProjectionSpec, if_no_products: bool) -> Column:
+    prods = F.try_variant_get(F.col(ENVELOPE), "$.products", "array<variant>")
+    decoded = F.transform(prods, _decode)
+    return F.coalesce(F.exists(decoded, lambda x: product_faults(x, spec)), F.lit(if_no_products))
 
 
 def accepted(env: DataFrame, spec: ProjectionSpec) -> DataFrame:
@@ -179,14 +198,12 @@ def accepted(env: DataFrame, spec: ProjectionSpec) -> DataFrame:
     the rest of the run goes on with the other pages.
     """
     prods = F.try_variant_get(F.col(ENVELOPE), "$.products", "array<variant>")
-    bad = F.coalesce(F.exists(prods, lambda p: product_faults(p, spec)), F.lit(False))
-    return env.where(prods.isNotNull() & ~bad)
+    return env.where(prods.isNotNull() & ~_page_bad(spec, if_no_products=False))
 
 
 def rejected_pages(env: DataFrame, spec: ProjectionSpec) -> DataFrame:
-    prods = F.try_variant_get(F.col(ENVELOPE), "$.products", "array<variant>")
-    bad = F.coalesce(F.exists(prods, lambda p: product_faults(p, spec)), F.lit(True))
-    return env.where(bad).select(F.variant_get(F.col(ENVELOPE), "$.currentPage", "int").alias("page"))
+    return env.where(_page_bad(spec, if_no_products=True)).select(
+        F.variant_get(F.col(ENVELOPE), "$.currentPage", "int").alias("page"))
 
 
 def explode_products(env: DataFrame) -> DataFrame:

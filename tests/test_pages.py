@@ -109,3 +109,9 @@ def test_empty_search_reports_shape_zero(spark):
               R.shape(catalogue(spark, SF_SMALL), K.pack(K.SCRIPT_PACK)).collect()}
     assert shapes["nvidia cheap"] == (0, 0)          # empty at sf0.001
     assert shapes["macbook cheap"][1] == 5 + 4 + 2   # columns + attributes + offer maps
+
+
+def test_non_object_product_rejects_its_page(spark, tmp_json):
+    path = tmp_json(env(1, [product(1), 5]), env(2, [product(2), ["x"]]), env(3, [product(3)]))
+    flat = G.flatten_pages(G.read_envelopes(spark, path), ProjectionSpec())
+    assert sorted(r.sku for r in flat.collect()) == [3]
