@@ -46,11 +46,13 @@ def detail_value(name: str, details: str = "details") -> Column:
     """Value of the first attribute whose name equals ``name`` ignoring case.
 
     No match, an empty list, or a matching entry with a null value all give
-    null.  ``get`` (not ``[0]``) so that an empty match is null under ANSI mode.
+    null.  The lower-cased name list is the same expression for every
+    attribute of a projection (computed once per row), and ``array_position``
+    finds the first match without building a filtered array; ``get`` with
+    index -1 (no match) is null, also under ANSI mode.
     """
-    key = name.lower()
-    hits = F.filter(F.col(details), lambda d: F.lower(d["name"]) == F.lit(key))
-    return F.get(hits, 0)["value"]
+    names = F.transform(F.col(details), lambda d: F.lower(d["name"]))
+    return F.get(F.col(details), F.array_position(names, F.lit(name.lower())) - 1)["value"]
 
 
 def attribute_alias(name: str, base_columns: Sequence[str] = ()) -> str:
