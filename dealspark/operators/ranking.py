@@ -79,6 +79,24 @@ def global_rank(df: DataFrame, order: Sequence[ColumnLike], out: str = "rank",
     return _distributed_rank(df, cols, out, num_partitions or _num_partitions(df))
 
 
+# Rows of one key a window task may sort on its own (conf
+# ``dealspark.rank.maxGroupRows``); a larger key takes the range path.
+MAX_GROUP_ROWS = 1_000_000
+
+
+def _group_limit(df: DataFrame) -> int:
+    return int(df.sparkSession.conf.get("dealspark.rank.maxGroupRows", str(MAX_GROUP_ROWS)))
+
+
+def _largest_group(df: DataFrame, keys: Sequence[str]) -> int:
+    """Rows of the largest key: a map-side-combined count per key, then one
+    number to the driver."""
+    if _group_limit(df) <= 0:
+        return 1 << 62
+    top = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n").alias("m")).first()["m"]
+    return int(top or 0)
+
+
 def global_ranks(df: DataFrame, orders: dict[str, Sequence[ColumnLike]],
                  num_partitions: int | None = None) -> DataFrame:
     """Several ``global_rank`` columns, ``{out: order}``, with one size check:
@@ -126,13 +144,19 @@ def keyed_rank(df: DataFrame, keys: Sequence[str], order: Sequence[ColumnLike],
                num_partitions: int | None = None) -> DataFrame:
     """``row_number() over (partition by keys order by order) - 1``, skew-safe.
 
+    A plain window is used when it is proven safe: the input is small, or its
+    largest key holds at most ``dealspark.rank.maxGroupRows`` rows (checked
+    with a partial-aggregated count per key).  Otherwise a hot key is spread
+    over range partitions as described above.
+
     ``bounded_keys`` says the number of distinct keys is a small constant known
     to the caller (e.g. the queries of a pack); then the per-key table is
     broadcast outright.  Otherwise the join is left to the planner, and AQE
     broadcasts it only after measuring it, or splits skewed partitions.
     """
-    if at_most(df, _single_task_limit(df)):
-        w = Window.partitionBy(*keys).orderBy(*[_plain(c) for c in order])
+    w = Window.partitionBy(*keys).orderBy(*[_plain(c) for c in order])
+    if at_most(df, _single_task_limit(df)) or _largest_group(df, keys) <= _group_limit(df):
+        # proven: no key's rows exceed what one task may sort
         return df.withColumn(out, (F.row_number().over(w) - 1).cast("long"))
     ranked = _distributed_rank(df, [*[F.col(k) for k in keys], *[_plain(c) for c in order]], "__ds_g",
                                num_partitions or _num_partitions(df))

@@ -22,8 +22,10 @@ def _frame(spark, n=3000, seed=7):
 def path(spark, request):
     """Run each test through both ranking paths."""
     spark.conf.set("dealspark.rank.singleTaskRows", "0" if request.param == "distributed" else "100000")
+    spark.conf.set("dealspark.rank.maxGroupRows", "0" if request.param == "distributed" else "1000000")
     yield request.param
     spark.conf.unset("dealspark.rank.singleTaskRows")
+    spark.conf.unset("dealspark.rank.maxGroupRows")
 
 
 def test_global_rank_matches_sort(spark, path):
@@ -63,3 +65,18 @@ def test_small_input_uses_one_bounded_window(spark):
         assert "BroadcastHashJoin" in plan_text(global_rank(df, ["v", "id"]))
     finally:
         spark.conf.unset("dealspark.rank.singleTaskRows")
+
+
+def test_keyed_rank_uses_a_window_unless_a_key_is_hot(spark):
+    _, df = _frame(spark, n=1500)          # key 0 holds about a third of the rows
+    spark.conf.set("dealspark.rank.singleTaskRows", "0")
+    try:
+        spark.conf.set("dealspark.rank.maxGroupRows", "100000")
+        calm = plan_text(keyed_rank(df, ["k"], ["v", "id"]))
+        assert "Window" in calm and "Checkpoint" not in calm and "hashpartitioning(k" in calm
+        spark.conf.set("dealspark.rank.maxGroupRows", "100")
+        hot = plan_text(keyed_rank(df, ["k"], ["v", "id"]))
+        assert "BroadcastHashJoin" in hot  # per-partition offsets joined back
+    finally:
+        spark.conf.unset("dealspark.rank.singleTaskRows")
+        spark.conf.unset("dealspark.rank.maxGroupRows")

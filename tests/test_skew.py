@@ -19,11 +19,13 @@ def _hot_lines(spark):
 
 def test_hot_key_rank_is_exact(spark):
     spark.conf.set("dealspark.rank.singleTaskRows", "0")
+    spark.conf.set("dealspark.rank.maxGroupRows", "0")
     try:
         got = keyed_rank(_hot_lines(spark), ["l_partkey"], list(OFFER_ORDER), out="r")
         got = sorted(tuple(r) for r in got.select("l_partkey", "r", *OFFER_ORDER).collect())
     finally:
         spark.conf.unset("dealspark.rank.singleTaskRows")
+    spark.conf.unset("dealspark.rank.maxGroupRows")
     exp = duckdb.sql(f"""
         WITH li AS (SELECT * REPLACE (CASE WHEN l_orderkey % 3 = 0 THEN {HOT} ELSE l_partkey END AS l_partkey)
                     FROM read_parquet('{SF_MID}/lineitem.parquet'))

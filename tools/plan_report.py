@@ -86,11 +86,13 @@ def main() -> None:
         head, as_run, forced, tail = open(os.path.join(os.path.dirname(__file__), "plans_template.md")).read().split("@@")
         out = [head.rstrip("\n"), "", *table(spark, sf_dir), "", as_run.strip("\n"), ""]
         spark.conf.set("dealspark.rank.singleTaskRows", "0")
+        spark.conf.set("dealspark.rank.maxGroupRows", "0")
         out += [*table(spark, sf_dir), "", forced.strip("\n"), tail.rstrip("\n") if tail.strip() else ""]
         print("\n".join(out).rstrip("\n"))
     else:
         if "--distributed" in args:
             spark.conf.set("dealspark.rank.singleTaskRows", "0")
+            spark.conf.set("dealspark.rank.maxGroupRows", "0")
         print("\n".join(table(spark, sf_dir)))
     spark.stop()
 
