@@ -8,7 +8,6 @@ that setting is absent (local tests).
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -67,15 +66,3 @@ def scratch_dir(spark: SparkSession, *parts: str) -> str:
 def fresh_scratch(spark: SparkSession, kind: str) -> str:
     """A new, unique folder under the scratch root (never reused between runs)."""
     return scratch_dir(spark, "dealspark", kind, uuid.uuid4().hex)
-
-
-def local_path(path: str) -> str:
-    """Strip a ``file:`` scheme for the few local-only test helpers."""
-    return path[len("file:"):] if path.startswith("file:") else path
-
-
-def ensure_dir(path: str) -> str:
-    p = local_path(path)
-    if "://" not in p:
-        os.makedirs(p, exist_ok=True)
-    return path

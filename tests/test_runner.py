@@ -2,8 +2,6 @@
 
 import os
 
-from pyspark.sql import functions as F
-
 from dealspark.plans import packs as K
 from dealspark.plans import runner
 from dealspark.sources.catalogue import catalogue, offer_rows
