@@ -4,11 +4,15 @@ A saved search is a predicate over the catalogue plus a projection spec.  The
 predicate receives ``now`` (a ``TIMESTAMP_NTZ`` column, UTC) so that searches
 with a lookback cutoff are deterministic: queries pass the latest
 ``priceUpdateDate`` of the data, a live run passes the clock.
+
+The searches themselves are data: a list of conditions per search, each
+``(operator, field, value)``, turned into ``Column`` predicates by
+``conditions_to_predicate``.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column
@@ -30,13 +34,63 @@ class SavedQuery:
         return self.predicate(now)
 
 
-def base() -> list[Column]:
-    """Orderable online now and on sale (the common tail of most searches)."""
-    return [P.eq("orderable", "Available"), P.eq("onlineAvailability", True),
-            P.eq("active", True), P.eq("onSale", True)]
-
-
-# Attribute lists and column lists of the saved searches.
+# -- conditions -> predicates --------------------------------------------------
+
+Condition = tuple
+
+# Operators whose test scans a list field (or splits text): evaluated after the
+# flat ones, which can reach the parquet scan and are cheap per row.
+_LIST_OPERATORS = {"any_eq", "any_prefix", "none_eq", "none_prefix", "search", "any_of"}
+
+
+def _one(cond: Condition, now: Column) -> Column:
+    op, *args = cond
+    if op == "eq":
+        return P.eq(*args)
+    if op == "ne":
+        return P.ne(*args)
+    if op == "lt":
+        return P.lt(*args)
+    if op == "gt":
+        return P.gt(*args)
+    if op == "prefix":
+        return P.prefix(*args)
+    if op == "in":
+        return P.isin(*args)
+    if op == "after":  # field changed after "now - minutes" as wall clock in zone
+        fld, minutes, zone = args
+        return P.gt_ts(fld, T.cutoff(now, minutes, zone))
+    if op == "any_eq":
+        return P.any_eq(*args)
+    if op == "any_prefix":
+        return P.any_prefix(*args)
+    if op == "none_eq":
+        return P.none_eq(*args)
+    if op == "none_prefix":
+        return P.none_prefix(*args)
+    if op == "search":
+        return P.search(*args)
+    if op == "any_of":
+        return P.any_of(*[_one(c, now) for c in args[0]])
+    raise ValueError(f"unknown condition {cond!r}")
+
+
+def conditions_to_predicate(conditions: Sequence[Condition]) -> Callable[[Column], Column]:
+    """AND of the conditions; flat conditions are placed before list ones."""
+    flat = [c for c in conditions if c[0] not in _LIST_OPERATORS]
+    lists = [c for c in conditions if c[0] in _LIST_OPERATORS]
+
+    def predicate(now: Column) -> Column:
+        return P.all_of(*[_one(c, now) for c in [*flat, *lists]])
+    return predicate
+
+
+# The saved searches.  Conditions are listed in the order the
+# searches state them; attribute and column lists as the searches request them.
+AVAILABLE = "Available"
+EXCLUDED_PRICE = 60696.99
+TV_TEMPLATES = ("Televisions", "Digital_Signage_Displays_and_Players", "Portable_TVs_and_Video")
+PURPLE_SHADES = ("purple", "lilac", "lavender", "violet", "amethyst", "plum")
 HEADPHONE_ATTRS = ("Headphone Fit", "Microphone Features", "Sound Isolating", "Built-In Microphone",
                    "Noise Cancelling (Active)", "Battery Life")
 TV_ATTRS = ("Built-In Speakers", "Resolution", "Display Type", "Screen Size Class", "Screen Size",
@@ -46,98 +100,75 @@ GPU_ATTRS = ("Advanced Graphics Rendering Technique(s)", "GPU Video Memory (RAM)
 PRICE_FEED_COLUMNS = ("salePrice", "name", "url", "addToCartUrl", "priceUpdateDate")
 CONTROLLER_COLUMNS = ("salePrice", "name", "color", "url", "addToCartUrl")
 MACBOOK_COLUMNS = ("sku", "name", "salePrice", "onSale", "url", "addToCartUrl")
-TV_TEMPLATES = ("Televisions", "Digital_Signage_Displays_and_Players", "Portable_TVs_and_Video")
-PURPLE_SHADES = ("purple", "lilac", "lavender", "violet", "amethyst", "plum")
-EXCLUDED_PRICE = 60696.99
-
-
-def _discount(now: Column) -> Column:
-    return P.all_of(P.eq("onSale", True), P.eq("active", True), P.gt("percentSavings", 50),
-                    P.ne("salePrice", EXCLUDED_PRICE),
-                    P.gt_ts("priceUpdateDate", T.cutoff(now, T.DAILY_LOOKBACK_MINUTES, T.DAILY_ZONE)))
-
-
-def _headphones(now: Column) -> Column:
-    return P.all_of(P.eq("productTemplate", "Headphones_and_Headsets"), P.eq("class", "HEADPHONES"),
-                    P.eq("subclassId", 410), *base(), P.any_prefix("details.value", "noise cancel"))
-
-
-def _airpods(now: Column) -> Column:
-    return P.all_of(*base(), P.eq("manufacturer", "apple"), P.ne("protectionPlanTerm", "gsr"),
-                    P.search("airpods"), P.any_eq("categoryPath.id", "abcat0204000"))
-
-
-def _controller(now: Column) -> Column:
-    return P.all_of(P.eq("productTemplate", "Gaming_Controllers"), *base(), P.prefix("manufacturer", "Sony"),
-                    P.prefix("albumTitle", "DualSense Wireless Controller"))
-
-
-def _television(now: Column) -> Column:
-    return P.all_of(P.isin("productTemplate", TV_TEMPLATES), P.gt("screenSizeClassIn", 84),
-                    P.lt("salePrice", 1000), *base(), P.none_eq("details.value", "Full HD"))
 
-
-def _macbook_pro(now: Column) -> Column:
-    return P.all_of(*base(), P.eq("preowned", False), P.eq("subclassId", 7835), P.prefix("name", "macbook pro"),
-                    P.any_prefix("categoryPath.name", "macbook"), P.none_eq("details.value", "intel"))
-
-
-def _gpu(category: str) -> Callable[[Column], Column]:
-    def pred(now: Column) -> Column:
-        return P.all_of(*base(), P.any_prefix("categoryPath.name", category),
-                        P.any_eq("details.value", "nvidia"),
-                        P.none_prefix("details.value", "1650"), P.none_prefix("details.value", "1660"))
-    return pred
-
-
-def _purple(now: Column) -> Column:
-    return P.all_of(P.eq("onSale", True), P.eq("condition", "new"), P.eq("active", True),
-                    P.any_of(*[P.prefix("color", s) for s in PURPLE_SHADES]))
-
-
-def _airpods_recent(now: Column) -> Column:
-    return P.all_of(_airpods(now), P.gt_ts("priceUpdateDate",
-                                           T.cutoff(now, T.FREQUENT_LOOKBACK_MINUTES, T.FREQUENT_ZONE)))
-
-
-def _macbook_cheap(now: Column) -> Column:
-    return P.all_of(P.lt("salePrice", 1000), *base(), P.any_prefix("categoryPath.name", "macbook"),
-                    P.none_prefix("details.value", "intel"))
-
-
-def _gpu_laptop_cheap(now: Column) -> Column:
-    return P.all_of(P.lt("salePrice", 1000), _gpu("laptop")(now))
-
-
-def _tv_top(now: Column) -> Column:
-    return P.all_of(P.isin("productTemplate", ["Televisions"]), P.gt("screenSizeClassIn", 39),
-                    P.lt("salePrice", 999))
-
-
-def _gpu_top(now: Column) -> Column:
-    return P.all_of(P.eq("onSale", True), P.any_prefix("categoryPath.name", "laptop"),
-                    P.any_eq("details.value", "nvidia"))
-
-
-SAVED_QUERIES: dict[str, SavedQuery] = {q.name: q for q in [
-    SavedQuery("discount", "Discount>50% deals", _discount, ProjectionSpec(PRICE_FEED_COLUMNS, [], None)),
-    SavedQuery("headphones", "Headphones noise cancelling deals", _headphones,
-               ProjectionSpec(None, HEADPHONE_ATTRS, [])),
-    SavedQuery("airpods", "Airpods deals", _airpods, ProjectionSpec(None, HEADPHONE_ATTRS, [])),
-    SavedQuery("ps5 controller", "Controller (Playstation 5) deals", _controller,
-               ProjectionSpec(CONTROLLER_COLUMNS, [], [])),
-    SavedQuery("television", "Television deals", _television, ProjectionSpec(None, TV_ATTRS, [])),
-    SavedQuery("macbook", "Macbook deals", _macbook_pro, ProjectionSpec(MACBOOK_COLUMNS, LAPTOP_ATTRS, [])),
-    SavedQuery("nvidia", "Laptops with Nvidia graphics", _gpu("laptop"), ProjectionSpec(None, GPU_ATTRS, [])),
-    SavedQuery("desktop", "Desktops with Nvidia graphics", _gpu("desktop"), ProjectionSpec(None, GPU_ATTRS, [])),
-    SavedQuery("purple", "Purple deals", _purple, ProjectionSpec(PRICE_FEED_COLUMNS, [], None)),
-    SavedQuery("airpods recent", "AirpodsRecent deals", _airpods_recent,
-               ProjectionSpec(None, HEADPHONE_ATTRS, [])),
-    SavedQuery("macbook cheap", "MacbookCheap deals", _macbook_cheap, ProjectionSpec(None, LAPTOP_ATTRS, None)),
-    SavedQuery("nvidia cheap", "LaptopsCheap with Nvidia graphics", _gpu_laptop_cheap, ProjectionSpec(None, GPU_ATTRS, None)),
-    SavedQuery("television top10", "TelevisionTop ten", _tv_top, ProjectionSpec(), top_k=10),
-    SavedQuery("nvidia top10", "LaptopsTop ten", _gpu_top, ProjectionSpec(), top_k=10),
-]}
+DAILY_CUTOFF = ("after", "priceUpdateDate", T.DAILY_LOOKBACK_MINUTES, T.DAILY_ZONE)
+FREQUENT_CUTOFF = ("after", "priceUpdateDate", T.FREQUENT_LOOKBACK_MINUTES, T.FREQUENT_ZONE)
+
+AIRPODS = [("search", "airpods"), ("eq", "manufacturer", "apple"), ("any_eq", "categoryPath.id", "abcat0204000"),
+           ("eq", "orderable", AVAILABLE), ("eq", "onlineAvailability", True), ("eq", "active", True),
+           ("eq", "onSale", True), ("ne", "protectionPlanTerm", "gsr")]
+
+
+def gpu(category: str) -> list[Condition]:
+    return [("any_prefix", "categoryPath.name", category), ("eq", "onSale", True), ("eq", "orderable", AVAILABLE),
+            ("eq", "onlineAvailability", True), ("eq", "active", True), ("any_eq", "details.value", "nvidia"),
+            ("none_prefix", "details.value", "1650"), ("none_prefix", "details.value", "1660")]
+
+
+# name, subject, conditions, columns, attributes, offers, top_k
+SEARCHES = [
+    ("discount", "Discount>50% deals",
+     [DAILY_CUTOFF, ("eq", "onSale", True), ("eq", "active", True), ("gt", "percentSavings", 50),
+      ("ne", "salePrice", EXCLUDED_PRICE)],
+     PRICE_FEED_COLUMNS, [], None, None),
+    ("headphones", "Headphones noise cancelling deals",
+     [("eq", "productTemplate", "Headphones_and_Headsets"), ("eq", "class", "HEADPHONES"), ("eq", "subclassId", 410),
+      ("any_prefix", "details.value", "noise cancel"), ("eq", "orderable", AVAILABLE),
+      ("eq", "onlineAvailability", True), ("eq", "active", True), ("eq", "onSale", True)],
+     None, HEADPHONE_ATTRS, [], None),
+    ("airpods", "Airpods deals", AIRPODS, None, HEADPHONE_ATTRS, [], None),
+    ("ps5 controller", "Controller (Playstation 5) deals",
+     [("eq", "productTemplate", "Gaming_Controllers"), ("prefix", "manufacturer", "Sony"),
+      ("prefix", "albumTitle", "DualSense Wireless Controller"), ("eq", "orderable", AVAILABLE),
+      ("eq", "onlineAvailability", True), ("eq", "active", True), ("eq", "onSale", True)],
+     CONTROLLER_COLUMNS, [], [], None),
+    ("television", "Television deals",
+     [("in", "productTemplate", TV_TEMPLATES), ("gt", "screenSizeClassIn", 84), ("lt", "salePrice", 1000),
+      ("none_eq", "details.value", "Full HD"), ("eq", "onSale", True), ("eq", "orderable", AVAILABLE),
+      ("eq", "onlineAvailability", True), ("eq", "active", True)],
+     None, TV_ATTRS, [], None),
+    ("macbook", "Macbook deals",
+     [("prefix", "name", "macbook pro"), ("any_prefix", "categoryPath.name", "macbook"),
+      ("none_eq", "details.value", "intel"), ("eq", "orderable", AVAILABLE), ("eq", "onlineAvailability", True),
+      ("eq", "onSale", True), ("eq", "active", True), ("eq", "preowned", False), ("eq", "subclassId", 7835)],
+     MACBOOK_COLUMNS, LAPTOP_ATTRS, [], None),
+    ("nvidia", "Laptops with Nvidia graphics", gpu("laptop"), None, GPU_ATTRS, [], None),
+    ("desktop", "Desktops with Nvidia graphics", gpu("desktop"), None, GPU_ATTRS, [], None),
+    ("purple", "Purple deals",
+     [("eq", "onSale", True), ("eq", "condition", "new"), ("eq", "active", True),
+      ("any_of", [("prefix", "color", shade) for shade in PURPLE_SHADES])],
+     PRICE_FEED_COLUMNS, [], None, None),
+    ("airpods recent", "AirpodsRecent deals", [*AIRPODS, FREQUENT_CUTOFF], None, HEADPHONE_ATTRS, [], None),
+    ("macbook cheap", "MacbookCheap deals",
+     [("any_prefix", "categoryPath.name", "macbook"), ("lt", "salePrice", 1000),
+      ("none_prefix", "details.value", "intel"), ("eq", "orderable", AVAILABLE), ("eq", "onlineAvailability", True),
+      ("eq", "onSale", True), ("eq", "active", True)],
+     None, LAPTOP_ATTRS, None, None),
+    ("nvidia cheap", "LaptopsCheap with Nvidia graphics",
+     [("any_prefix", "categoryPath.name", "laptop"), ("lt", "salePrice", 1000), *gpu("laptop")[1:]],
+     None, GPU_ATTRS, None, None),
+    ("television top10", "TelevisionTop ten",
+     [("in", "productTemplate", ["Televisions"]), ("gt", "screenSizeClassIn", 39), ("lt", "salePrice", 999)],
+     None, None, None, 10),
+    ("nvidia top10", "LaptopsTop ten",
+     [("any_prefix", "categoryPath.name", "laptop"), ("eq", "onSale", True), ("any_eq", "details.value", "nvidia")],
+     None, None, None, 10),
+]
+
+SAVED_QUERIES: dict[str, SavedQuery] = {
+    name: SavedQuery(name, subject, conditions_to_predicate(conds), ProjectionSpec(cols, attrs, offers), top_k)
+    for name, subject, conds, cols, attrs, offers, top_k in SEARCHES
+}
 
 # The packs the searches were run in (HTTP pack, frequent timer, daily timer, script).
 HTTP_PACK = ("discount", "headphones", "airpods", "ps5 controller", "television", "macbook", "nvidia",
@@ -147,5 +178,11 @@ DAILY_PACK = ("purple", "macbook", "nvidia", "television", "ps5 controller", "he
 SCRIPT_PACK = ("macbook cheap", "nvidia cheap")
 
 
+def base() -> list[Column]:
+    """Orderable online now and on sale (the common part of most searches)."""
+    return [P.eq("orderable", AVAILABLE), P.eq("onlineAvailability", True),
+            P.eq("active", True), P.eq("onSale", True)]
+
+
 def pack(names) -> list[SavedQuery]:
     return [SAVED_QUERIES[n] for n in names]
