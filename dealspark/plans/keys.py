@@ -297,6 +297,9 @@ def scl_first_word(spark, sf_dir):
 
 @register("scl_after_token")
 def scl_after_token(spark, sf_dir):
+    """Path after a URL's leading token.  Search URLs carry the API version
+    (``v1``, the helper's default); catalogue product URLs carry ``site`` in
+    that place, so every product URL is split on it."""
     return products(spark, sf_dir).select("sku", X.after_token(F.col("url"), "site").alias("path"))
 
 
