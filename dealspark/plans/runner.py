@@ -81,10 +81,11 @@ def export(catalogue: DataFrame, queries: Sequence[SavedQuery], out: str, now: C
 
 def incremental(spark: SparkSession, source: str, catalogue: DataFrame, queries: Sequence[SavedQuery],
                 out: str, checkpoint: str, live: bool = True,
-                delay: str = S.WATERMARK_DELAY) -> StreamingQuery:
+                delay: str = S.WATERMARK_DELAY, digest_out: str | None = None) -> StreamingQuery:
     """The timer: new price changes under ``source`` every 15 minutes (or once,
-    ``live=False``), deduplicated, reported per batch under ``out``."""
-    body = S.per_batch_report(catalogue, queries, out)
+    ``live=False``), deduplicated, reported per batch under ``out`` (and the
+    mail headers of non-empty results under ``digest_out``)."""
+    body = S.per_batch_report(catalogue, queries, out, digest_out=digest_out)
     return S.run(S.dedupe(S.price_updates(spark, source), delay), checkpoint, foreach_batch=body, live=live)
 
 

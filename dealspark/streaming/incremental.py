@@ -96,11 +96,14 @@ def apply_updates(catalogue: DataFrame, updates: DataFrame) -> DataFrame:
 
 
 def per_batch_report(catalogue: DataFrame, queries: Sequence[SavedQuery], out: str,
-                     now: Column | None = None) -> Callable[[DataFrame, int], None]:
+                     now: Column | None = None, digest_out: str | None = None,
+                     ) -> Callable[[DataFrame, int], None]:
     """STR-4: ``foreachBatch`` body writing ``(batch_id, query_name, n_rows)``.
 
     Each batch lands in its own ``batch_id=<n>`` folder in overwrite mode, so a
-    batch replayed after a failure replaces its earlier output.
+    batch replayed after a failure replaces its earlier output.  With
+    ``digest_out``, the run's mail headers ("New deals since", shape) are
+    written too, for the queries with results only (SNK-2).
     """
     def body(batch: DataFrame, batch_id: int) -> None:
         # The batch is read by two actions (size check, report); persist it so
@@ -111,12 +114,30 @@ def per_batch_report(catalogue: DataFrame, queries: Sequence[SavedQuery], out: s
             fixed_now = latest_update(catalogue) if now is None else now
             counts = (tag_pack(changed, queries, fixed_now)
                       .groupBy("query_name").agg(F.count(F.lit(1)).alias("n_rows")))
-            counts.write.mode("overwrite").parquet(f"{out.rstrip('/')}/batch_id={batch_id}")
+            target = f"{out.rstrip('/')}/batch_id={batch_id}"
+            counts.write.mode("overwrite").parquet(target)
+            if digest_out:
+                _write_digest(batch.sparkSession.read.parquet(target), queries, fixed_now,
+                              f"{digest_out.rstrip('/')}/batch_id={batch_id}")
         finally:
             batch.unpersist()
     return body
 
 
+def _write_digest(counts: DataFrame, queries: Sequence[SavedQuery], now: Column, path: str) -> None:
+    """Mail headers of one run: only queries with results (the counts table
+    has no row for an empty one), width = the query's columns."""
+    from dealspark.plans.report import digest
+    width = None
+    for q in queries:
+        n_cols = F.lit(len(q.spec.output_names(with_offers=True)))
+        cond = F.col("query_name") == q.name
+        width = F.when(cond, n_cols) if width is None else width.when(cond, n_cols)
+    shapes = counts.where(F.col("n_rows") > 0).withColumn("n_cols", width)
+    since = T.cutoff_text(T.cutoff(now, T.FREQUENT_LOOKBACK_MINUTES, T.FREQUENT_ZONE))
+    digest(shapes, since).write.mode("overwrite").parquet(path)
+
+
 def run(stream: DataFrame, checkpoint: str, sink: str | None = None,
         foreach_batch: Callable[[DataFrame, int], None] | None = None,
         live: bool = False, output_mode: str = "append") -> StreamingQuery:

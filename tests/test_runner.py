@@ -72,3 +72,16 @@ def test_export_csv(spark, tmp_path):
     back = spark.read.option("header", "true").csv(out)
     assert "rank" in back.columns and "export_name" in back.columns
     assert back.count() == sum(runner.search(cat, q).rows.count() for q in K.pack(K.SCRIPT_PACK))
+
+
+def test_incremental_run_writes_counts_and_digests(spark, tmp_path):
+    cat = catalogue(spark, SF_SMALL)
+    src = str(tmp_path / "in")
+    spark.read.parquet(f"{SF_SMALL}/events.parquet").write.parquet(src)
+    out, dig, ck = str(tmp_path / "report"), str(tmp_path / "digest"), str(tmp_path / "ck")
+    q = runner.incremental(spark, src + "/*.parquet", cat, K.pack(K.HTTP_PACK), out, ck, live=False, digest_out=dig)
+    q.awaitTermination()
+    counts = {r.query_name: r.n_rows for r in spark.read.parquet(out).collect()}
+    heads = spark.read.parquet(dig).collect()
+    assert counts and {r.query_name for r in heads} == {k for k, n in counts.items() if n > 0}
+    assert all(r.header.startswith("<p>New deals since: ") and f"({r.n_rows}, " in r.header for r in heads)
