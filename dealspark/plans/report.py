@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from dealspark.functions.text import link_rewrite
-from dealspark.operators.compose import pack_order, tag_pack
+from dealspark.operators.compose import latest_update, pack_order, tag_pack
 from dealspark.operators.projection import attribute_alias, detail_value
 from dealspark.operators.ranking import global_ranks
 from dealspark.plans.packs import SavedQuery
@@ -64,20 +64,21 @@ def shape(catalogue: DataFrame, queries: Sequence[SavedQuery], now: Column | Non
           tag: str = "query_name") -> DataFrame:
     """AGG-1: ``(query_name, pack_order, n_rows, n_cols)`` for every query of a pack.
 
-    Counts come from one tagged scan with a map-side partial count; the pack's
-    query list (a handful of names) is joined on so that empty results show up
-    with shape (0, 0).
+    One pass, one conditional count per query (``count_if``): each partition
+    sends one partial row to the final aggregate, and no product is repeated
+    per query.  The single result row is then unpacked to one row per query;
+    an empty result has shape (0, 0).
     """
-    spark = catalogue.sparkSession
-    counts = tag_pack(catalogue, queries, now, tag).groupBy(tag).agg(F.count(F.lit(1)).alias("n_rows"))
-    listing = spark.createDataFrame(
-        [(q.name, i, len(q.spec.output_names(with_offers=True))) for i, q in enumerate(queries)],
-        f"{tag} string, pack_order int, width int")
-    return (listing.join(F.broadcast(counts), tag, "left")
-                   .select(tag, "pack_order",
-                           F.coalesce(F.col("n_rows"), F.lit(0)).cast("long").alias("n_rows"),
-                           F.when(F.coalesce(F.col("n_rows"), F.lit(0)) > 0, F.col("width"))
-                            .otherwise(F.lit(0)).cast("int").alias("n_cols")))
+    now = latest_update(catalogue) if now is None else now
+    counts = catalogue.agg(*[F.count_if(F.coalesce(q.where(now), F.lit(False))).alias(f"__c{i}")
+                             for i, q in enumerate(queries)])
+    per_query = F.array(*[F.struct(F.lit(q.name).alias(tag), F.lit(i).alias("pack_order"),
+                                   F.col(f"__c{i}").cast("long").alias("n_rows"),
+                                   F.lit(len(q.spec.output_names(with_offers=True))).alias("width"))
+                          for i, q in enumerate(queries)])
+    rows = counts.select(F.explode(per_query).alias("s")).select("s.*")
+    return rows.select(tag, "pack_order", "n_rows",
+                       F.when(F.col("n_rows") > 0, F.col("width")).otherwise(F.lit(0)).cast("int").alias("n_cols"))
 
 
 def shape_text(n_rows: Column, n_cols: Column) -> Column:
