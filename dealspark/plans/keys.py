@@ -243,8 +243,8 @@ NOTEBOOK_PACK = ("television top10", "nvidia top10")
 @register("agg_sum_totals")
 def agg_sum_totals(spark, sf_dir):
     """Sum of the reported totals (matches before paging) of the notebook's searches."""
-    tagged = tag_pack(catalogue(spark, sf_dir), K.pack(NOTEBOOK_PACK), catalogue_latest(spark, sf_dir))
-    return tagged.agg(F.count(F.lit(1)).alias("total_products"))
+    shapes = R.shape(catalogue(spark, sf_dir), K.pack(NOTEBOOK_PACK), catalogue_latest(spark, sf_dir))
+    return shapes.agg(F.sum("n_rows").cast("long").alias("total_products"))
 
 
 @register("agg_document")
