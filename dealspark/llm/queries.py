@@ -5,9 +5,48 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from . import bpe, language_id, line_dedup, ngram_join, packing, quality_rules, sharding, topk, url_filter
 from .common import table
-from . import quality_rules
+
+
+def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ids = bpe.encode(table(spark, sf_dir, "documents"))
+    both = bpe.decode(ids.withColumn("ids_sha256", F.sha2("ids", 256)))
+    return both.select("doc_id", "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+def op2_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.Join(table(spark, sf_dir, "documents")).components()
+
+
+def op3_block_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return topk.top_k(vectors, vectors.where("vec_id % 50 = 0"))
+
+
+def op4_histogram_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard(table(spark, sf_dir, "documents")).select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
+        F.lit(None).cast("int").alias("grown_shard"))
+
+
+def op5_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge(table(spark, sf_dir, "pages").select("page_id", "url")).drop("url")
+
+
+def op6_genetic_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(table(spark, sf_dir, "documents")).select(
+        "doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+
+
+def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.dedup(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+def op9_rank_order_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.identify(table(spark, sf_dir, "documents"))
 
 
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -15,8 +54,19 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_byte_bpe": op1_byte_bpe,
+    "op2_ngram_join": op2_ngram_join,
+    "op3_block_top_k": op3_block_top_k,
+    "op4_histogram_shards": op4_histogram_shards,
+    "op5_url_rules": op5_url_rules,
+    "op6_genetic_packing": op6_genetic_packing,
+    "op7_line_dedup": op7_line_dedup,
+    "op9_rank_order_language": op9_rank_order_language,
     "op10_quality_rules": op10_quality_rules,
 }
 
 #: DuckDB SQL of the queries that SQL can express.
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op3_block_top_k": topk.ORACLE,
+    "op5_url_rules": url_filter.ORACLE,
+}
