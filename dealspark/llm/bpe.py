@@ -35,10 +35,13 @@ from .common import by_bytes, vocabulary
 
 LONG_WORD = 256
 #: Words of one recursive query; bounds its memory.
-BLOCK_WORDS = 20_000
+BLOCK_WORDS = 10_000
 #: Tokens of one decoding query.
-BLOCK_TOKENS = 2_000_000
-STORE_PIECES = 300_000
+BLOCK_TOKENS = 500_000
+#: Chunks and pieces whose tokens a task remembers, and bytes of text it takes at a time.
+STORE_CHUNKS = 400_000
+STORE_PIECES = 150_000
+STEP_BYTES = 2 << 20
 
 _SHORT = """
 with recursive s(i, w, p, t) as (
@@ -55,7 +58,7 @@ with recursive s(i, w, p, t) as (
      from s join best using (w)
      where s.p <> (k & 4294967295) + 1)
 )
-select w, t from s qualify i = max(i) over (partition by w) order by w, p
+select w, t from s join (select w, max(i) as i from s group by w) using (w, i) order by w, p
 """
 
 _LONG = """
@@ -83,13 +86,30 @@ select w, t from s where t >= 0 order by w, p
 """
 
 
-class BytePairs:
-    """Merge table and vocabulary of one rank file in an in-process DuckDB."""
+class _Sql:
+    """An in-process DuckDB with bounded memory."""
 
-    def __init__(self, path: str) -> None:
+    def __init__(self) -> None:
         import duckdb
-        with open(path, "rb") as f:
-            ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
+        self.sql = duckdb.connect(config={"threads": "1", "memory_limit": "200MB"})
+
+    def table(self, name: str, columns: dict) -> None:
+        self.sql.register("given", pa.table(columns))
+        self.sql.execute(f"create or replace table {name} as select * from given")
+        self.sql.unregister("given")
+
+
+def _ranks(path: str) -> dict[bytes, int]:
+    with open(path, "rb") as f:
+        return {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
+
+
+class BytePairs(_Sql):
+    """Merge table of one rank file."""
+
+    def __init__(self, path: str) -> None:
+        super().__init__()
+        ranks = _ranks(path)
         left, right, rank = [], [], []
         for token, k in ranks.items():
             for i in range(1, len(token)):
@@ -101,16 +121,9 @@ class BytePairs:
             for t in (a, b):
                 lowest[t] = min(lowest.get(t, k), k)
         self.byte_rank = np.array([ranks[bytes([i])] for i in range(256)], np.int32)
-        self.sql = duckdb.connect(config={"threads": "1", "memory_limit": "400MB"})
-        self._table("merges", {
+        self.table("merges", {
             "pair": np.array(left, np.int64) * 65536 + np.array(right, np.int64), "rank": np.array(rank, np.int32),
             "alone": np.array([lowest.get(k, k) < k for k in rank])})
-        self._table("vocabulary", {"t": np.array(list(ranks.values()), np.int32), "h": [k.hex() for k in ranks]})
-
-    def _table(self, name: str, columns: dict) -> None:
-        self.sql.register("given", pa.table(columns))
-        self.sql.execute(f"create or replace table {name} as select * from given")
-        self.sql.unregister("given")
 
     def encode(self, words: list[bytes]) -> list[np.ndarray]:
         """Token ids of each word."""
@@ -126,7 +139,7 @@ class BytePairs:
     def _block(self, words: list[bytes], which: list[int], query: str, out: list[np.ndarray]) -> None:
         data = np.frombuffer(b"".join(words[i] for i in which), np.uint8)
         lens = np.fromiter((len(words[i]) for i in which), np.int64, len(which))
-        self._table("start", {
+        self.table("start", {
             "w": np.repeat(np.arange(len(which), dtype=np.int32), lens),
             "p": (np.arange(len(data)) - np.repeat(np.cumsum(lens) - lens, lens)).astype(np.int32),
             "t": self.byte_rank[data]})
@@ -136,6 +149,15 @@ class BytePairs:
         for i, part in zip(which, np.split(ids, ends[:-1])):
             out[i] = part
 
+
+class Vocabulary(_Sql):
+    """Bytes of the tokens of one rank file."""
+
+    def __init__(self, path: str) -> None:
+        super().__init__()
+        ranks = _ranks(path)
+        self.table("vocabulary", {"t": np.array(list(ranks.values()), np.int32), "h": [k.hex() for k in ranks]})
+
     def decode(self, ids: list[np.ndarray]) -> list[bytes]:
         """Bytes of each id list."""
         out: list[bytes] = [b""] * len(ids)
@@ -151,7 +173,7 @@ class BytePairs:
 
     def _decode_block(self, ids: list[np.ndarray], which: list[int], out: list[bytes]) -> None:
         lens = [len(ids[i]) for i in which]
-        self._table("tokens", {
+        self.table("tokens", {
             "d": np.repeat(np.arange(len(which), dtype=np.int32), lens),
             "p": np.arange(sum(lens), dtype=np.int64), "t": np.concatenate([ids[i] for i in which])})
         rows = self.sql.execute(
@@ -168,25 +190,27 @@ class _Words:
         import regex
         self.pairs = pairs
         self.find = regex.compile(public_tokenizers.PATTERN).findall
-        self.known: dict[str, np.ndarray] = {}
+        self.known: dict[str, bytes] = {}
 
     def __call__(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
         split = [self.find(c) for c in chunks]
         if len(self.known) > STORE_PIECES:
             self.known.clear()
         fresh = list({p for s in split for p in s if p not in self.known})
-        self.known.update(zip(fresh, self.pairs.encode([p.encode() for p in fresh])))
-        parts = [self.known[p] for s in split for p in s]
-        sizes = np.fromiter(map(len, parts), np.int64, len(parts))
-        of = np.repeat(np.arange(len(split)), [len(s) for s in split])
-        lens = np.bincount(of, weights=sizes, minlength=len(split)).astype(np.int64)
-        return np.concatenate(parts) if parts else np.zeros(0, np.int32), lens
+        self.known.update((p, x.tobytes()) for p, x in zip(fresh, self.pairs.encode([p.encode() for p in fresh])))
+        parts = [b"".join([self.known[p] for p in s]) for s in split]
+        return np.frombuffer(b"".join(parts), np.int32), np.fromiter(map(len, parts), np.int64, len(parts)) // 4
+
+
+def _encoder(path: str, held: dict = {}) -> ChunkStore:  # noqa: B006  one per Python worker
+    if path not in held:
+        held[path] = ChunkStore(_Words(BytePairs(path)), STORE_CHUNKS)
+    return held[path]
 
 
-def _tools(path: str, held: dict = {}) -> tuple[BytePairs, ChunkStore]:  # noqa: B006  one per Python worker
+def _decoder(path: str, held: dict = {}) -> Vocabulary:  # noqa: B006  one per Python worker
     if path not in held:
-        pairs = BytePairs(path)
-        held[path] = pairs, ChunkStore(_Words(pairs))
+        held[path] = Vocabulary(path)
     return held[path]
 
 
@@ -197,8 +221,8 @@ def encode(df: DataFrame, key: str = "doc_id", text: str = "text", path: str | N
                            T.StructField("ids", T.BinaryType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in by_bytes(batches, text):
-            ids = _tools(path)[1].tokens([t or "" for t in batch.column(text).to_pylist()])
+        for batch in by_bytes(batches, text, STEP_BYTES):
+            ids = _encoder(path).tokens([t or "" for t in batch.column(text).to_pylist()])
             yield pa.RecordBatch.from_arrays(
                 [batch.column(key), pa.array(list(map(len, ids)), pa.int64()),
                  pa.array([x.astype("<u4").tobytes() for x in ids], pa.binary())], names=schema.names)
@@ -213,10 +237,10 @@ def decode(df: DataFrame, ids: str = "ids", out: str = "decoded", path: str | No
     schema = T.StructType([*kept, T.StructField(out, T.BinaryType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in by_bytes(batches, ids):
+        for batch in by_bytes(batches, ids, STEP_BYTES):
             lists = [np.frombuffer(x or b"", "<u4").astype(np.int32) for x in batch.column(ids).to_pylist()]
             yield pa.RecordBatch.from_arrays(
-                [*(batch.column(f.name) for f in kept), pa.array(_tools(path)[0].decode(lists), pa.binary())],
+                [*(batch.column(f.name) for f in kept), pa.array(_decoder(path).decode(lists), pa.binary())],
                 names=schema.names)
 
     return df.mapInArrow(run, schema)
