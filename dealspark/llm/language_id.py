@@ -33,7 +33,7 @@ TEXT_GRAMS = 300
 #: Different grams that a training task holds before it passes partial counts on.
 HELD_GRAMS = 500_000
 #: A text whose best score lies below is like none of the learned languages.
-MIN_SCORE = 0.15
+MIN_SCORE = 0.3
 #: Code points of a long text that are counted at a time.
 STEP = 1 << 20
 
@@ -58,8 +58,6 @@ def grams(text: str) -> tuple[np.ndarray, np.ndarray]:
     codes[~letter] = 32
     keep = letter | np.concatenate([letter[1:], [False]]) | (np.arange(len(letter)) == len(letter) - 1)
     codes = codes[keep]
-    if codes[-2] == 32:
-        codes = codes[:-1]
     parts = []
     for at in range(0, len(codes), STEP):
         c = codes[at:at + STEP + 2]

@@ -68,24 +68,34 @@ def repeated_chunks(df: DataFrame, key: str = "doc_id", text: str = "text") -> D
             .where("times > 1").select("a", "b", "first"))
 
 
-def dedup(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``df`` with the text without repeated chunks, and ``n_lines``, ``removed_lines``, ``removed_chunks``."""
+def dedup(df: DataFrame, key: str = "doc_id", text: str = "text", counts: bool = True,
+          drop_emptied: bool = False) -> DataFrame:
+    """``df`` with the text without repeated chunks.
+
+    ``counts`` adds (or replaces) ``n_lines``, ``removed_lines`` and
+    ``removed_chunks``; ``drop_emptied`` leaves out the rows that keep no
+    character other than whitespace after a removal."""
+    others = [c for c in df.columns if c not in (key, text)]
+    rows = df.select(F.col(key).alias("_id"), F.col(text).alias("_text"),
+                     F.struct(F.lit(0).alias("_"), *[F.col(f"`{c}`") for c in others]).alias("_row"))
     again = stored(repeated_chunks(df, key, text), "line-chunks")
-    hashes = (_chunks(df.select(F.col(key).alias("_id"), F.col(text).alias("_text")).where("_id is not null"), "_text")
+    hashes = (_chunks(rows.select("_id", "_text").where("_id is not null"), "_text")
               .withColumn("_all", F.transform("_chunks", lambda c: c["a"]))
               .select("_id", "_all", F.posexplode("_chunks").alias("k", "c")).where("c.counts")
               .select("_id", "k", "c.a", "c.b", (F.array_position("_all", F.col("c.a")) == F.col("k") + 1).alias("here")))
     gone = (hashes.join(again, ["a", "b"]).where((F.col("_id") != F.col("first")) | ~F.col("here"))
-            .groupBy("_id").agg(F.collect_set(F.struct("k", "a")).alias("_gone")))
-    joined = df.join(gone, df[key] == gone["_id"], "left").drop("_id")
-    marked = _chunks(joined, text).withColumn("_kept", F.transform("_chunks", lambda c, k: F.struct(
+            .groupBy(F.col("_id").alias("_of")).agg(F.collect_set(F.struct("k", "a")).alias("_gone")))
+    joined = rows.join(gone, F.col("_id") == F.col("_of"), "left").drop("_of")
+    marked = _chunks(joined, "_text").withColumn("_kept", F.transform("_chunks", lambda c, k: F.struct(
         c["body"].alias("body"), c["lines"].alias("lines"),
         (~F.coalesce(F.array_contains(F.col("_gone"), F.struct(k.alias("k"), c["a"].alias("a"))), F.lit(False))).alias("stays"))))
     stays = F.filter("_kept", lambda c: c["stays"])
-    gone_lines = F.filter("_kept", lambda c: ~c["stays"])
-    lines = lambda cs: F.aggregate(cs, F.lit(0), lambda n, c: n + c["lines"])
-    return (marked.withColumns({
-        text: F.when(F.col(text).isNotNull(), F.array_join(F.transform(stays, lambda c: c["body"]), "\n")),
-        "n_lines": F.coalesce(lines(F.col("_kept")), F.lit(0)), "removed_lines": F.coalesce(lines(gone_lines), F.lit(0)),
-        "removed_chunks": F.coalesce(F.size(gone_lines), F.lit(0))})
-        .drop("_gone", "_chunks", "_kept"))
+    gone_chunks = F.filter("_kept", lambda c: ~c["stays"])
+    lines = lambda cs: F.coalesce(F.aggregate(cs, F.lit(0), lambda n, c: n + c["lines"]), F.lit(0))
+    new = marked.withColumn("_new", F.when(F.col("_text").isNotNull(), F.array_join(F.transform(stays, lambda c: c["body"]), "\n")))
+    if drop_emptied:
+        new = new.where(F.col("_gone").isNull() | F.rlike("_new", F.lit(r"\S")))
+    added = {"n_lines": lines(F.col("_kept")), "removed_lines": lines(gone_chunks),
+             "removed_chunks": F.coalesce(F.size(gone_chunks), F.lit(0))} if counts else {}
+    given = {key: F.col("_id"), text: F.col("_new")} | {c: F.col("_row").getField(c) for c in others}
+    return new.select(*[given[c].alias(c) for c in df.columns if c not in added], *[v.alias(k) for k, v in added.items()])

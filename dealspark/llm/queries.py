@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, language_id, line_dedup, ngram_join, packing, quality_rules, sharding, topk, url_filter
+from . import bpe, language_id, line_dedup, ngram_join, packing, quality_rules, sharding, topk, url_filter, warc
 from .common import table
 
 
@@ -27,7 +27,7 @@ def op3_block_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_histogram_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sharding.shard(table(spark, sf_dir, "documents")).select(
+    return sharding.shard(table(spark, sf_dir, "documents").select("doc_id", "text")).select(
         "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
         F.lit(None).cast("int").alias("grown_shard"))
 
@@ -45,6 +45,10 @@ def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.dedup(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op8_warc_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(table(spark, sf_dir, "pages"))
+
+
 def op9_rank_order_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify(table(spark, sf_dir, "documents"))
 
@@ -61,6 +65,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_url_rules": op5_url_rules,
     "op6_genetic_packing": op6_genetic_packing,
     "op7_line_dedup": op7_line_dedup,
+    "op8_warc_index": op8_warc_index,
     "op9_rank_order_language": op9_rank_order_language,
     "op10_quality_rules": op10_quality_rules,
 }
@@ -69,4 +74,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 ORACLES: dict[str, str] = {
     "op3_block_top_k": topk.ORACLE,
     "op5_url_rules": url_filter.ORACLE,
+    "op8_warc_index": warc.ORACLE,
 }
