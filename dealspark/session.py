@@ -8,6 +8,7 @@ that setting is absent (local tests).
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -41,20 +42,23 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    scratch_dir(spark)
     return spark
 
 
 def scratch_dir(spark: SparkSession, *parts: str) -> str:
     """A path under the cluster's shared checkpoint folder.
 
-    Reads ``spark.checkpoint.dir`` from the session.  Only when it is unset
-    (local tests) a temporary folder is created and registered, so that
-    ``DataFrame.checkpoint()`` and our written tables land in the same place.
+    Reads ``spark.checkpoint.dir`` from the session.  Only when it is unset on a
+    ``local`` master (tests) a temporary folder is created and registered, so
+    that ``DataFrame.checkpoint()`` and our written tables land in the same
+    place.  On any other master an unset folder is an error: executors would
+    each write to a disk of their own.
     """
     sc = spark.sparkContext
     base = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not base:
+        if not re.match(r"local(\[|$)", sc.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         base = tempfile.mkdtemp(prefix="dealspark-ckpt-")
         sc.setCheckpointDir(base)
     elif not sc.getCheckpointDir():
