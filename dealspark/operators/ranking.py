@@ -2,167 +2,131 @@
 
 ``row_number().over(Window.orderBy(...))`` moves the whole input into one task,
 and ``Window.partitionBy(key)`` sorts a hot key (which may hold a third of the
-rows) in one task.  Both are replaced here by the distributed form:
-
-1. range-partition on the full, unique order (``repartitionByRange``), sort
-   within partitions, and read each row's local position from
-   ``monotonically_increasing_id`` (partition index in the upper bits, the
-   running row count in the lower 33 bits);
-2. count rows per partition - a table with one row per partition, so its
-   size is bounded by the partition count, not by the data - and turn the
-   counts into start offsets;
-3. broadcast that bounded table back: global rank = offset + local position.
-
-Step 1 is checkpointed (reliably, to the shared checkpoint folder) so that
-steps 2 and 3 read one and the same partitioning.
-
-Inputs proven small (at most ``dealspark.rank.singleTaskRows`` rows, checked
-by an incremental ``take`` of at most that many + 1 column-less rows) skip
-the machinery and use a plain window: the single task is bounded by the check.
-
-A per-key rank subtracts the global rank of the key's first row, found with a
-map-side-combined ``min`` aggregate.  A hot key is spread over as many range
-partitions as its size needs, so no task holds more than one partition's share.
-
-The order columns must form a total order (end with a unique key) so that a
-recomputed partition (lost executor) yields the same numbers.
+rows) in one task.  Here one plan serves every size, nothing runs while it is
+built, and no size is probed:
+
+* ``global_rank`` range-partitions on the full, unique order, sorts within the
+  partitions and numbers the rows of each; the rows counted per partition (one
+  row per partition, so bounded by the partition count) give every partition
+  its first number and are broadcast back.
+* ``keyed_rank`` (few keys, such as the searches of a pack) subtracts from the
+  global rank the rows of the earlier keys: one row per key.
+* ``stepped_rank`` (many keys) numbers rows within (key, step), where the step
+  is the leading part of the order, and adds the rows of the key's earlier
+  steps.  A hot key is spread over its steps.
+
+Both branches of ``global_rank`` must read one and the same range exchange,
+because the bounds of a range partitioning are sampled per exchange.  So the row
+travels through it as a single array value, which no optimizer rule can prune
+differently in the two branches, and Spark reuses the exchange; a row that lies
+outside its partition's count fails the query rather than number rows twice.
+The partition number is stated, so adaptive execution does not merge partitions.
+
+The order must be total (end with a unique key), so that a recomputed partition
+(lost executor) yields the same numbers.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from dataclasses import dataclass
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from dealspark.operators.sizing import at_most
-from dealspark.session import scratch_dir
+_ROW, _PID, _MID, _BASE, _N = "__ds_row", "__ds_pid", "__ds_mid", "__ds_base", "__ds_n"
+_LOW_BITS = 33  # monotonically_increasing_id keeps the record number in the low 33 bits
 
-ColumnLike = Column | str
 
-_PID = "__ds_pid"
-_MID = "__ds_mid"
-_BASE = "__ds_base"
-_FIRST = "__ds_first"
-_LOW_BITS = 33  # monotonically_increasing_id keeps the record number in the low 33 bits
+def _named(name: str) -> Column:
+    return F.col(f"`{name}`")
+
+
+@dataclass(frozen=True)
+class Asc:
+    """One ascending sort key."""
+
+    name: str
+    nulls_last: bool = False
+
+    def column(self, of: Callable[[str], Column] = _named) -> Column:
+        c = of(self.name)
+        return c.asc_nulls_last() if self.nulls_last else c.asc()
+
 
+SortKey = Asc | str
 
-def _num_partitions(df: DataFrame) -> int:
+
+def _keys(order: Sequence[SortKey]) -> list[Asc]:
+    return [k if isinstance(k, Asc) else Asc(k) for k in order]
+
+
+def _partitions(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
 
 
-def _plain(c: ColumnLike) -> Column:
-    return F.col(c) if isinstance(c, str) else c
-
-
-# Rows one task may rank on its own.  Above this, or when it cannot be proven,
-# the distributed path runs.  Session conf ``dealspark.rank.singleTaskRows``.
-SINGLE_TASK_ROWS = 100_000
-
-
-def _single_task_limit(df: DataFrame) -> int:
-    return int(df.sparkSession.conf.get("dealspark.rank.singleTaskRows", str(SINGLE_TASK_ROWS)))
-
-
-def global_rank(df: DataFrame, order: Sequence[ColumnLike], out: str = "rank",
-                num_partitions: int | None = None) -> DataFrame:
-    """Add ``out`` = 0-based position of each row in ``order`` over the whole frame.
-
-    A frame proven to hold at most ``dealspark.rank.singleTaskRows`` rows is
-    numbered by one window task (the bound is checked, like a broadcast size);
-    anything larger takes the distributed path below.
-    """
-    cols = [_plain(c) for c in order]
-    if at_most(df, _single_task_limit(df)):
-        return df.withColumn(out, (F.row_number().over(Window.orderBy(*cols)) - 1).cast("long"))
-    return _distributed_rank(df, cols, out, num_partitions or _num_partitions(df))
-
-
-# Rows of one key a window task may sort on its own (conf
-# ``dealspark.rank.maxGroupRows``); a larger key takes the range path.
-MAX_GROUP_ROWS = 1_000_000
-
-
-def _group_limit(df: DataFrame) -> int:
-    return int(df.sparkSession.conf.get("dealspark.rank.maxGroupRows", str(MAX_GROUP_ROWS)))
-
-
-def _largest_group(df: DataFrame, keys: Sequence[str]) -> int:
-    """Rows of the largest key: a map-side-combined count per key, then one
-    number to the driver."""
-    if _group_limit(df) <= 0:
-        return 1 << 62
-    top = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n").alias("m")).first()["m"]
-    return int(top or 0)
-
-
-def global_ranks(df: DataFrame, orders: dict[str, Sequence[ColumnLike]],
-                 num_partitions: int | None = None) -> DataFrame:
-    """Several ``global_rank`` columns, ``{out: order}``, with one size check:
-    proven small, all are windows over the same single bounded task; otherwise
-    one distributed rank per order."""
-    if at_most(df, _single_task_limit(df)):
-        for out, order in orders.items():
-            w = Window.orderBy(*[_plain(c) for c in order])
-            df = df.withColumn(out, (F.row_number().over(w) - 1).cast("long"))
-        return df
-    n = num_partitions or _num_partitions(df)
-    for out, order in orders.items():
-        df = _distributed_rank(df, [_plain(c) for c in order], out, n)
-    return df
-
-
-def _distributed_rank(df: DataFrame, cols: list[Column], out: str, n: int) -> DataFrame:
-    ranged = (df.repartitionByRange(n, *cols)
-                .sortWithinPartitions(*cols)
-                .withColumn(_PID, F.spark_partition_id())
-                .withColumn(_MID, F.monotonically_increasing_id()))
-    # The counts and the rows must come from the *same* partitioning.  Range
-    # bounds are sampled with a seed tied to the RDD, so two executions of the
-    # exchange may cut differently; a reliable checkpoint (in the shared
-    # checkpoint folder, surviving executor loss) pins one cut for both reads.
-    scratch_dir(df.sparkSession)
-    # Persist first: the eager checkpoint counts the rows and then writes them,
-    # and without a cached copy the write would sort the partitions again.
-    ranged.persist(StorageLevel.MEMORY_AND_DISK)
-    pinned = ranged.checkpoint(eager=True)
-    ranged.unpersist()
-    ranged = pinned
-    counts = ranged.groupBy(_PID).agg(F.count(F.lit(1)).alias("__ds_n"))
-    # At most `n` rows: the single-partition window here is bounded by design.
+def _field(name: str) -> Column:
+    return F.element_at(F.col(_ROW), 1)[name]
+
+
+def _ranged(df: DataFrame, order: Sequence[SortKey]) -> tuple[DataFrame, list[Column]]:
+    by = [k.column(_field) for k in _keys(order)]
+    packed = df.select(F.array(F.struct(*[_named(c) for c in df.columns])).alias(_ROW))
+    return packed.repartitionByRange(_partitions(df), *by).withColumn(_PID, F.spark_partition_id()), by
+
+
+def _numbered(ranged: DataFrame, by: list[Column]) -> DataFrame:
+    """Rows of ``_ranged`` with ``_BASE``: their number over all partitions."""
+    counts = ranged.groupBy(_PID).agg(F.count(F.lit(1)).alias(_N))
+    # One row per partition: the single-partition window is bounded by design.
     before = Window.orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(_PID, F.coalesce(F.sum("__ds_n").over(before), F.lit(0)).alias(_BASE))
+    offsets = counts.select(_PID, _N, F.coalesce(F.sum(_N).over(before), F.lit(0)).alias(_BASE))
     local = F.col(_MID) - F.shiftleft(F.col(_PID).cast("long"), _LOW_BITS)
-    return (ranged.join(F.broadcast(offsets), _PID)
-                  .withColumn(out, (F.col(_BASE) + local).cast("long"))
-                  .drop(_PID, _MID, _BASE))
-
-
-def keyed_rank(df: DataFrame, keys: Sequence[str], order: Sequence[ColumnLike],
-               out: str = "rank", bounded_keys: bool = False,
-               num_partitions: int | None = None) -> DataFrame:
-    """``row_number() over (partition by keys order by order) - 1``, skew-safe.
-
-    A plain window is used when it is proven safe: the input is small, or its
-    largest key holds at most ``dealspark.rank.maxGroupRows`` rows (checked
-    with a partial-aggregated count per key).  Otherwise a hot key is spread
-    over range partitions as described above.
-
-    ``bounded_keys`` says the number of distinct keys is a small constant known
-    to the caller (e.g. the queries of a pack); then the per-key table is
-    broadcast outright.  Otherwise the join is left to the planner, and AQE
-    broadcasts it only after measuring it, or splits skewed partitions.
-    """
-    w = Window.partitionBy(*keys).orderBy(*[_plain(c) for c in order])
-    if at_most(df, _single_task_limit(df)) or _largest_group(df, keys) <= _group_limit(df):
-        # proven: no key's rows exceed what one task may sort
-        return df.withColumn(out, (F.row_number().over(w) - 1).cast("long"))
-    ranked = _distributed_rank(df, [*[F.col(k) for k in keys], *[_plain(c) for c in order]], "__ds_g",
-                               num_partitions or _num_partitions(df))
-    firsts = ranked.groupBy(*keys).agg(F.min("__ds_g").alias(_FIRST))
-    if bounded_keys:
-        firsts = F.broadcast(firsts)
-    return (ranked.join(firsts, list(keys))
-                  .withColumn(out, (F.col("__ds_g") - F.col(_FIRST)).cast("long"))
-                  .drop("__ds_g", _FIRST))
+    rows = ranged.sortWithinPartitions(*by).withColumn(_MID, F.monotonically_increasing_id())
+    number = F.when(local < F.col(_N), F.col(_BASE) + local).otherwise(
+        F.raise_error(F.lit("the two reads of a ranked frame were partitioned differently")).cast("long"))
+    return rows.join(F.broadcast(offsets), _PID).select(_ROW, number.cast("long").alias(_BASE))
+
+
+def _unpacked(df: DataFrame, columns: Sequence[str], out: str, number: Column) -> DataFrame:
+    return df.select(*[_field(c).alias(c) for c in columns], number.cast("long").alias(out))
+
+
+def global_rank(df: DataFrame, order: Sequence[SortKey], out: str = "rank") -> DataFrame:
+    """Add ``out`` = 0-based position of each row in ``order`` over the whole frame."""
+    ranged, by = _ranged(df, order)
+    return _unpacked(_numbered(ranged, by), df.columns, out, F.col(_BASE))
+
+
+def keyed_rank(df: DataFrame, key: str, order: Sequence[SortKey], out: str = "rank") -> DataFrame:
+    """0-based position in ``order`` among the rows of the same ``key``.
+
+    For a key with few values (the searches of a pack): their counts are one
+    row each, broadcast back."""
+    ranged, by = _ranged(df, [key, *order])
+    numbered = _numbered(ranged, by)
+    counts = ranged.groupBy(_field(key).alias(_MID)).agg(F.count(F.lit(1)).alias(_N))
+    before = Window.orderBy(_MID).rowsBetween(Window.unboundedPreceding, -1)
+    starts = counts.select(_MID, F.coalesce(F.sum(_N).over(before), F.lit(0)).alias(_PID))
+    joined = numbered.join(F.broadcast(starts), _field(key).eqNullSafe(F.col(_MID)))
+    return _unpacked(joined, df.columns, out, F.col(_BASE) - F.col(_PID))
+
+
+def stepped_rank(df: DataFrame, keys: Sequence[str], step: str, order: Sequence[SortKey], out: str = "rank") -> DataFrame:
+    """0-based position in ``(step, order)`` among the rows of the same ``keys``.
+
+    A task sorts the rows of one (key, step); the rows of earlier steps come
+    from counts, of which a key has one per step."""
+    cells = [*keys, step]
+    own = Window.partitionBy(*map(_named, cells)).orderBy(*[k.column() for k in _keys(order)])
+    earlier = (Window.partitionBy(*map(_named, keys)).orderBy(_named(step))
+               .rowsBetween(Window.unboundedPreceding, -1))
+    counts = df.groupBy(*map(_named, cells)).agg(F.count(F.lit(1)).alias(_N))
+    starts = counts.select(*[_named(c).alias(f"__ds_{i}") for i, c in enumerate(cells)],
+                           F.coalesce(F.sum(_N).over(earlier), F.lit(0)).alias(_BASE))
+    same = F.lit(True)
+    for i, c in enumerate(cells):
+        same = same & _named(c).eqNullSafe(F.col(f"__ds_{i}"))
+    return (df.withColumn(_MID, F.row_number().over(own) - 1).join(starts, same)
+            .withColumn(out, (F.col(_BASE) + F.col(_MID)).cast("long"))
+            .select(*map(_named, df.columns), out))

@@ -14,16 +14,17 @@ from pyspark.sql import functions as F
 from dealspark.functions import text as X
 from dealspark.functions import timefns as T
 from dealspark.operators import predicates as P
-from dealspark.operators.compose import (pack_wide, page_slice, rank_by_order, run_search,
-                                         select_spec, tag_pack, top_k)
+from dealspark.operators.compose import (add_offers, pack_offers, pack_wide, page_slice, rank_by_order,
+                                         run_search, select_spec, tag_pack, top_k)
 from dealspark.operators.projection import ProjectionSpec, detail_columns, offer_entries
 from dealspark.operators.ranking import global_rank
 from dealspark.plans import packs as K
 from dealspark.plans import report as R
+from dealspark.plans import runner
 from dealspark.plans.packs import SAVED_QUERIES
 from dealspark.session import fresh_scratch
 from dealspark.sources import pages as G
-from dealspark.sources.catalogue import catalogue, catalogue_latest, offer_rows, price_events, products, table
+from dealspark.sources.catalogue import catalogue, catalogue_latest, offer_rows, products, table
 from dealspark.streaming import incremental as S
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -73,7 +74,7 @@ for _key, _name in SEARCH_KEYS.items():
 # -- predicates (PRD-1..18): matching skus plus the tested field ---------------
 
 def _match(pred_fn, *fields):
-    """``pred_fn(now)`` over the whole stored catalogue."""
+    """``pred_fn(now)`` over the whole catalogue."""
     def fn(spark, sf_dir):
         cat = catalogue(spark, sf_dir)
         return cat.where(pred_fn(catalogue_latest(spark, sf_dir))).select("sku", *[F.col(f"`{f}`") for f in fields])
@@ -204,17 +205,11 @@ def topk_cheapest(spark, sf_dir):
 
 # -- set operations (SET-1, SET-2) -------------------------------------------
 
-@register("set_union_pages")
-def set_union_pages(spark, sf_dir):
-    """UNION ALL of same-schema results (the script pack), duplicates kept."""
-    cat = catalogue(spark, sf_dir)
-    now = catalogue_latest(spark, sf_dir)
-    parts = [run_search(cat, q, now).select("sku", "name", "salePrice", "url", "addToCartUrl")
-             for q in K.pack(K.SCRIPT_PACK)]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+@register("set_pack_offers")
+def set_pack_offers(spark, sf_dir):
+    """Every offer of every result row of all saved searches, by search and rank."""
+    return pack_offers(catalogue(spark, sf_dir), list(SAVED_QUERIES.values()), offer_rows(spark, sf_dir),
+                       catalogue_latest(spark, sf_dir))
 
 
 @register("set_pack_tagged")
@@ -249,7 +244,8 @@ def agg_sum_totals(spark, sf_dir):
 
 @register("agg_document")
 def agg_document(spark, sf_dir):
-    return R.document_lines(catalogue(spark, sf_dir), K.pack(K.HTTP_PACK), catalogue_latest(spark, sf_dir))
+    return R.document_lines(catalogue(spark, sf_dir), K.pack(K.HTTP_PACK), offer_rows(spark, sf_dir),
+                            catalogue_latest(spark, sf_dir))
 
 
 # -- scalar functions (SCL-1..9) ---------------------------------------------
@@ -262,7 +258,8 @@ def scl_link_rewrite(spark, sf_dir):
 
 
 def _event_times(spark, sf_dir):
-    return price_events(spark, sf_dir).select("event_id", "priceUpdateDate")
+    """The time of every event."""
+    return table(spark, sf_dir, "events").select("event_id", F.col("ts").alias("priceUpdateDate"))
 
 
 @register("scl_lookback")
@@ -317,8 +314,8 @@ def scl_ceil_div(spark, sf_dir):
 @register("rpt_table")
 def rpt_table(spark, sf_dir):
     q = K.SAVED_QUERIES["discount"]
-    res = run_search(catalogue(spark, sf_dir), q, catalogue_latest(spark, sf_dir))
-    return R.render_rows(res, q.spec.output_names())
+    rows = pack_wide(catalogue(spark, sf_dir), [q], catalogue_latest(spark, sf_dir), with_sku=True)
+    return R.render_rows(add_offers(rows, offer_rows(spark, sf_dir), fields=q.spec.offers), q)
 
 
 @register("rpt_digest")
@@ -334,7 +331,7 @@ def rpt_digest(spark, sf_dir):
 
 
 def _envelopes(spark, sf_dir):
-    return G.read_envelopes(spark, G.landed(spark, sf_dir))
+    return G.envelopes(spark, sf_dir)
 
 
 def _n_products():
@@ -343,7 +340,8 @@ def _n_products():
 
 @register("src_pages")
 def src_pages(spark, sf_dir):
-    env = _envelopes(spark, sf_dir)
+    """Envelopes landed as JSON files and read back."""
+    env = G.read_envelopes(spark, G.land_envelopes(spark, sf_dir))
     return G.totals(env).select("currentPage", "totalPages", "total", _n_products().alias("n_products"))
 
 
@@ -362,6 +360,31 @@ def src_flatten(spark, sf_dir):
                        F.size("offers").cast("int").alias("n_offers"))
 
 
+# Columns and an offer field that no default names.
+OPEN_COLUMNS = ("modelNumber", "sku", "shelf", "name")
+OPEN_OFFER = "id"
+
+
+@register("prj_open_schema")
+def prj_open_schema(spark, sf_dir):
+    """Flatten with base columns and an offer field outside the fixed ones, in
+    the listed order; the offer map as JSON text."""
+    spec = ProjectionSpec(OPEN_COLUMNS, ["Brand"], [OPEN_OFFER])
+    flat = G.flatten_pages(_envelopes(spark, sf_dir), spec)
+    return flat.withColumn(f"offer.{OPEN_OFFER}", F.to_json(F.col(f"`offer.{OPEN_OFFER}`")))
+
+
+@register("set_union_pages")
+def set_union_pages(spark, sf_dir):
+    """UNION ALL of the flattened result pages, page by page, duplicates kept:
+    odd pages, then even pages, as two sets of landed files."""
+    env = G.read_envelopes(spark, G.land_envelopes(spark, sf_dir))
+    page = F.variant_get(F.col(G.ENVELOPE), "$.currentPage", "int")
+    spec = ProjectionSpec(["sku", "name", "salePrice", "url"])
+    odd, even = (G.flatten_pages(env.where(page % 2 == k), spec) for k in (1, 0))
+    return odd.unionByName(even).select("page", "pos", "sku", "name", "salePrice", "url")
+
+
 @register("prj_page_reject")
 def prj_page_reject(spark, sf_dir):
     """Per-page flatten with the default spec; pages holding a product without
@@ -385,9 +408,15 @@ def page_plan_key(spark, sf_dir):
     return G.page_plan(totals).select("query_name", "page", "batch")
 
 
+# Pages that do not arrive in the audit's landing.
+LOST_MODULUS, LOST_PAGE = 7, 4
+
+
 @register("page_audit")
 def page_audit_key(spark, sf_dir):
-    return G.page_audit(_envelopes(spark, sf_dir), ProjectionSpec())
+    """Pages lost on the way (every 7th page here, from the 4th) and pages rejected."""
+    page = F.variant_get(F.col(G.ENVELOPE), "$.currentPage", "int")
+    return G.page_audit(_envelopes(spark, sf_dir).where(page % LOST_MODULUS != LOST_PAGE), ProjectionSpec())
 
 
 @register("empty_result")
@@ -403,17 +432,13 @@ def empty_result(spark, sf_dir):
 
 @register("export_roundtrip")
 def export_roundtrip(spark, sf_dir):
-    """The pack's results exported one folder per query, named by the subject's
-    first word (``partitionBy``), and read back."""
-    qs = K.pack(K.HTTP_PACK)
-    wide = pack_wide(catalogue(spark, sf_dir), qs, catalogue_latest(spark, sf_dir))
-    names = spark.createDataFrame([(q.name, q.subject) for q in qs], "query_name string, subject string")
-    out = (wide.join(F.broadcast(names), "query_name")
-               .withColumn("export_name", X.first_word(F.col("subject"))).drop("subject"))
+    """The pack's results and offers exported one folder per query, named by the
+    subject's first word (``partitionBy``), and read back."""
     path = fresh_scratch(spark, "export")
-    out.write.mode("overwrite").partitionBy("export_name").parquet(path)
+    runner.export(catalogue(spark, sf_dir), K.pack(K.HTTP_PACK), offer_rows(spark, sf_dir), path, catalogue_latest(spark, sf_dir))
     back = spark.read.parquet(path)
-    return back.select("export_name", "query_name", "name", "salePrice", "rank")
+    return back.select("export_name", "query_name", "name", "salePrice", "rank", "offer_pos",
+                       "`offer.startDate`", "`offer.endDate`")
 
 
 @register("report_nonempty")
@@ -451,7 +476,7 @@ def _events_glob(sf_dir: str) -> str:
 def stream_pages(spark, sf_dir):
     """Landed envelopes picked up by a file stream (availableNow), guarded, and
     written to a parquet sink; returns the sink's contents."""
-    src = G.landed(spark, sf_dir)
+    src = G.land_envelopes(spark, sf_dir)
     base = fresh_scratch(spark, "stream_pages")
     st = G.usable(G.stream_envelopes(spark, src)).select(
         F.variant_get(F.col(G.ENVELOPE), "$.currentPage", "int").alias("currentPage"),
@@ -494,35 +519,44 @@ def overlapping_runs(spark, sf_dir, overlap_minutes: int = T.DAILY_LOOKBACK_MINU
             raw(upd.where(F.col("priceUpdateDate") >= mid - overlap)))
 
 
-RUN_OVERLAP_DELAY = f"{T.DAILY_LOOKBACK_MINUTES} minutes"
-
-
-def _run_in_turns(spark, sf_dir, base, start):
+def _run_in_turns(runs, base, start):
     """Land each run, then trigger the (same, checkpointed) query once per run."""
-    for i, run_df in enumerate(overlapping_runs(spark, sf_dir), start=1):
+    for i, run_df in enumerate(runs, start=1):
         run_df.write.mode("overwrite").parquet(f"{base}/landed/run-{i}")
         start(f"{base}/landed/run-*/*.parquet")
 
 
+def _ledger_of(spark, runs, kind):
+    base = fresh_scratch(spark, kind)
+    body = S.first_deliveries(f"{base}/ledger")
+    _run_in_turns(runs, base, lambda src: S.run_to_end(
+        S.price_updates(spark, src), f"{base}/_checkpoint", foreach_batch=body))
+    return S.delivered(spark, f"{base}/ledger")
+
+
 @register("stream_dedupe")
 def stream_dedupe(spark, sf_dir):
     """STR-2: two overlapping runs processed as two successive triggers of one
-    checkpointed query; the overlap's repeats are dropped by the dedupe state,
-    whose watermark delay equals the overlap bound (1441 minutes)."""
-    base = fresh_scratch(spark, "stream_dedupe")
-    _run_in_turns(spark, sf_dir, base, lambda src: S.run_to_end(
-        S.dedupe(S.price_updates(spark, src), RUN_OVERLAP_DELAY), f"{base}/_checkpoint", f"{base}/out"))
-    return spark.read.parquet(f"{base}/out")
+    checkpointed query; the overlap's repeats are dropped."""
+    return _ledger_of(spark, overlapping_runs(spark, sf_dir), "stream_dedupe")
+
+
+@register("stream_out_of_order")
+def stream_out_of_order(spark, sf_dir):
+    """STR-2 with the newer run delivered first: late changes are kept."""
+    return _ledger_of(spark, overlapping_runs(spark, sf_dir)[::-1], "stream_out_of_order")
 
 
 @register("stream_report")
 def stream_report(spark, sf_dir):
     """STR-4: per-batch pack report via foreachBatch (idempotent per batch id)
-    over the deduplicated runs, summed over the batches."""
+    over the first deliveries of two runs, added up over the runs; a product
+    counts once a run, at its newest price."""
     base = fresh_scratch(spark, "stream_report")
-    body = S.per_batch_report(catalogue(spark, sf_dir), K.pack(K.HTTP_PACK), f"{base}/report",
-                              catalogue_latest(spark, sf_dir))
-    _run_in_turns(spark, sf_dir, base, lambda src: S.run_to_end(
-        S.dedupe(S.price_updates(spark, src), RUN_OVERLAP_DELAY), f"{base}/_checkpoint", foreach_batch=body))
+    report = S.per_batch_report(catalogue(spark, sf_dir), K.pack(K.HTTP_PACK), f"{base}/report",
+                                lambda: catalogue_latest(spark, sf_dir))
+    body = S.first_deliveries(f"{base}/ledger", report)
+    _run_in_turns(overlapping_runs(spark, sf_dir), base, lambda src: S.run_to_end(
+        S.price_updates(spark, src), f"{base}/_checkpoint", foreach_batch=body))
     rep = spark.read.parquet(f"{base}/report")
     return rep.groupBy("query_name").agg(F.sum("n_rows").alias("n_rows"))

@@ -16,6 +16,7 @@ from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column
+from pyspark.sql import functions as F
 
 from dealspark.functions import timefns as T
 from dealspark.operators import predicates as P
@@ -75,14 +76,29 @@ def _one(cond: Condition, now: Column) -> Column:
     raise ValueError(f"unknown condition {cond!r}")
 
 
-def conditions_to_predicate(conditions: Sequence[Condition]) -> Callable[[Column], Column]:
-    """AND of the conditions; flat conditions are placed before list ones."""
-    flat = [c for c in conditions if c[0] not in _LIST_OPERATORS]
-    lists = [c for c in conditions if c[0] in _LIST_OPERATORS]
+@dataclass(frozen=True)
+class Conjunction:
+    """AND of conditions; flat conditions are placed before list ones."""
+
+    conditions: tuple[Condition, ...]
 
-    def predicate(now: Column) -> Column:
+    def __call__(self, now: Column) -> Column:
+        flat = [c for c in self.conditions if c[0] not in _LIST_OPERATORS]
+        lists = [c for c in self.conditions if c[0] in _LIST_OPERATORS]
         return P.all_of(*[_one(c, now) for c in [*flat, *lists]])
-    return predicate
+
+
+def conditions_to_predicate(conditions: Sequence[Condition]) -> Conjunction:
+    return Conjunction(tuple(conditions))
+
+
+def shared(queries: Sequence[SavedQuery], now: Column) -> Column:
+    """What every search of a pack asks for: a filter that the scan can take
+    before the searches are told apart.  True when a search is no list of
+    conditions or they have none in common."""
+    lists = [q.predicate.conditions if isinstance(q.predicate, Conjunction) else () for q in queries]
+    common = tuple(c for c in lists[0] if all(c in other for other in lists[1:]))
+    return Conjunction(common)(now) if common else F.lit(True)
 
 
 # The saved searches.  Conditions are listed in the order the

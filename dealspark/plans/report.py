@@ -2,7 +2,7 @@
 
 Rendering is per row (``concat`` of escaped cells), so it runs in parallel like
 any projection.  A "document" is kept as ordered lines - ``(doc_line, text)``
-with a distributed rank - and written with ``write_document`` as ordered text
+with distributed ranks - and written with ``write_document`` as ordered text
 part files; it is never assembled into one string in one task.
 """
 
@@ -14,10 +14,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from dealspark.functions.text import link_rewrite
-from dealspark.operators.compose import latest_update, pack_order, tag_pack
-from dealspark.operators.projection import attribute_alias, detail_value
-from dealspark.operators.ranking import global_ranks
-from dealspark.plans.packs import SavedQuery
+from dealspark.operators.compose import OFFER_POS, add_offers, latest_update, pack_order, tag_pack
+from dealspark.operators.projection import attribute_alias, detail_value, offer_column_name
+from dealspark.operators.ranking import Asc, global_rank
+from dealspark.plans.packs import SavedQuery, shared
+from dealspark.session import stored
 
 URL_COLUMNS = ("url", "addToCartUrl")
 
@@ -31,46 +32,79 @@ def escape_html(c: Column) -> Column:
 
 def cell_text(c: Column, dtype: str) -> Column:
     """Text of one cell: booleans ``True``/``False``, timestamps ``yyyy-MM-dd HH:mm:ss``,
-    numbers as Spark casts them, missing values ``None``."""
+    numbers in plain decimal notation; missing numbers ``NaN``, other missing values ``None``."""
+    missing = "None"
     if dtype == "boolean":
         txt = F.when(c, F.lit("True")).when(~c, F.lit("False"))
     elif dtype.startswith("timestamp"):
         txt = F.date_format(c, "yyyy-MM-dd HH:mm:ss")
+    elif dtype in ("double", "float"):
+        missing = "NaN"
+        txt = F.regexp_replace(c.cast("decimal(38,6)").cast("string"), r"(\.\d+?)0+$", "$1")
     else:
         txt = c.cast("string")
-    return F.coalesce(txt, F.lit("None"))
+    return F.coalesce(txt, F.lit(missing))
 
 
-def row_html(index: Column, cells: Sequence[tuple[str, Column, str]]) -> Column:
-    """``<tr><th>index</th><td>..</td>..</tr>``; URL cells become anchors (SCL-2)."""
-    parts: list[Column] = [F.lit("<tr><th>"), index.cast("string"), F.lit("</th>")]
+def _tds(cells: Sequence[tuple[str, Column, str]]) -> Column:
+    """``<td>`` cells; URL cells become anchors (SCL-2)."""
+    parts: list[Column] = []
     for name, col, dtype in cells:
         txt = escape_html(cell_text(col, dtype))
         if name in URL_COLUMNS:
             txt = link_rewrite(txt)
         parts += [F.lit("<td>"), txt, F.lit("</td>")]
-    parts.append(F.lit("</tr>"))
     return F.concat(*parts)
 
 
-def render_rows(result: DataFrame, columns: Sequence[str], rank_col: str = "rank") -> DataFrame:
-    """RPT-1 over a ranked search result: ``(rank, row_html)``."""
+def heading_html(names: Sequence[str]) -> Column:
+    """The row of column headings."""
+    return F.concat(F.lit("<tr><th></th>"), *[F.concat(F.lit("<th>"), escape_html(F.lit(n)), F.lit("</th>")) for n in names],
+                    F.lit("</tr>"))
+
+
+def line_html(index: Column, cells: Column, n_cells: int, offer_fields: Sequence[str]) -> Column:
+    """One line of a result row with its offers exploded: the first line holds
+    the row's cells and its first offer, a further line only another offer, so
+    every line has the full width.  An offer cell reads ``position: value``;
+    ``{}`` stands for no offers."""
+    pos = F.col(OFFER_POS)
+    first = F.coalesce(pos, F.lit(0)) == 0
+    head = F.when(first, F.concat(F.lit("<tr><th>"), index.cast("string"), F.lit("</th>"), cells)).otherwise(
+        F.lit("<tr><th></th>" + "<td></td>" * n_cells))
+    offers = [F.concat(F.lit("<td>"), F.when(pos.isNull(), F.lit("{}")).otherwise(F.concat(
+        pos.cast("string"), F.lit(": "), escape_html(cell_text(F.col(f"`{offer_column_name(f)}`"), "string")))), F.lit("</td>"))
+        for f in offer_fields]
+    return F.concat(head, *offers, F.lit("</tr>"))
+
+
+def render_rows(result: DataFrame, query: SavedQuery, rank_col: str = "rank") -> DataFrame:
+    """RPT-1 over a ranked search result with exploded offers (``add_offers``):
+    ``(rank, offer_pos, row_html)``; the headings come first, at -1."""
     types = dict(result.dtypes)
-    cells = [(c, F.col(f"`{c}`"), types[c]) for c in columns]
-    return result.select(F.col(rank_col), row_html(F.col(rank_col), cells).alias("row_html"))
+    names = query.spec.output_names()
+    cells = _tds([(c, F.col(f"`{c}`"), types[c]) for c in names])
+    fields = query.spec.resolved().offers
+    body = result.select(F.col(rank_col), F.coalesce(OFFER_POS, F.lit(0)).alias(OFFER_POS),
+                         line_html(F.col(rank_col), cells, len(names), fields).alias("row_html"))
+    head = result.sparkSession.range(1).select(
+        F.lit(-1).cast("long").alias(rank_col), F.lit(-1).alias(OFFER_POS),
+        heading_html(query.spec.output_names(with_offers=True)).alias("row_html"))
+    return head.unionByName(body)
 
 
 def shape(catalogue: DataFrame, queries: Sequence[SavedQuery], now: Column | None = None,
           tag: str = "query_name") -> DataFrame:
     """AGG-1: ``(query_name, pack_order, n_rows, n_cols)`` for every query of a pack.
 
-    One pass, one conditional count per query (``count_if``): each partition
+    One pass over the products that meet what all queries share, one conditional count per
+    query (``count_if``): each partition
     sends one partial row to the final aggregate, and no product is repeated
     per query.  The single result row is then unpacked to one row per query;
     an empty result has shape (0, 0).
     """
     now = latest_update(catalogue) if now is None else now
-    counts = catalogue.agg(*[F.count_if(F.coalesce(q.where(now), F.lit(False))).alias(f"__c{i}")
+    counts = catalogue.where(shared(queries, now)).agg(*[F.count_if(F.coalesce(q.where(now), F.lit(False))).alias(f"__c{i}")
                              for i, q in enumerate(queries)])
     per_query = F.array(*[F.struct(F.lit(q.name).alias(tag), F.lit(i).alias("pack_order"),
                                    F.col(f"__c{i}").cast("long").alias("n_rows"),
@@ -87,74 +121,75 @@ def shape_text(n_rows: Column, n_cols: Column) -> Column:
 
 def digest(shapes: DataFrame, since: Column, tag: str = "query_name") -> DataFrame:
     """RPT-2: the mail header per query: "New deals since" and "total shape"."""
+    # The header's text.
     header = F.concat(F.lit("<p>New deals since: "), since, F.lit("</p><br/>\n<p>total shape: "),
                       shape_text(F.col("n_rows"), F.col("n_cols")), F.lit("</p></br>"))
     return shapes.select(tag, "n_rows", "n_cols", header.alias("header"))
 
 
-def pack_rows_html(catalogue: DataFrame, queries: Sequence[SavedQuery], now: Column | None = None,
-                   tag: str = "query_name") -> DataFrame:
-    """Every (query, product) row rendered with that query's own columns, from one scan.
-
-    Output ``(query_name, pack_order, __p, __n, page, pos, row_html_body)``; the
-    sort keys stay so a rank can be attached.
-    """
-    tagged = tag_pack(catalogue, queries, now, tag)
+def _pack_cells(catalogue: DataFrame, queries: Sequence[SavedQuery]) -> list[tuple[Column, int]]:
+    """Per query, its rendered cells over a catalogue row and their number."""
     types = dict(catalogue.dtypes)
-    body = None
+    out = []
     for q in queries:
         s = q.spec.resolved()
         cells = [(c, F.col(f"`{c}`"), types[c]) for c in s.columns]
         cells += [(attribute_alias(d, s.columns), detail_value(d), "string") for d in s.details]
-        parts: list[Column] = []
-        for name, col, dtype in cells:
-            txt = escape_html(cell_text(col, dtype))
-            if name in URL_COLUMNS:
-                txt = link_rewrite(txt)
-            parts += [F.lit("<td>"), txt, F.lit("</td>")]
-        html = F.concat(*parts)
-        body = F.when(F.col(tag) == q.name, html) if body is None else body.when(F.col(tag) == q.name, html)
-    return tagged.select(tag, pack_order(queries, tag).alias("pack_order"),
-                         F.col("salePrice").alias("__p"), F.col("name").alias("__n"), "page", "pos",
-                         body.alias("cells"))
-
-
-def document_lines(catalogue: DataFrame, queries: Sequence[SavedQuery], now: Column | None = None,
+        out.append((_tds(cells), len(cells)))
+    return out
+
+
+def document_lines(catalogue: DataFrame, queries: Sequence[SavedQuery], offers: DataFrame, now: Column | None = None,
                    tag: str = "query_name") -> DataFrame:
     """AGG-4: the pack document as ordered lines ``(doc_line, text)``.
 
     Per query, in pack order: a block header ``"<name> (<rows>, <cols>):</br>"``,
-    the rendered rows in result order, and a closing ``"</br>"``.  As in the
-    HTTP report, a row's index is its landing position within the query's
-    results (page, then position), kept through the price sort.
-
-    Two distributed ranks over the pack's rows - result order and landing
-    order - give line numbers and indexes; both are offset by the rows counted
-    before each query (a table with one row per query of the pack), so the
-    document never has to sit in one task.
+    the column headings, the rendered rows in result order with their offers
+    (``line_html``), and a closing ``"</br>"``.  As in the HTTP report, a row's
+    index is its landing position within the query's results (page, then
+    position), kept through the price sort.
+
+    Only keys are ranked, and written once to the shared scratch folder, so that
+    the plan of each step stays small: result order and landing order of the matches, then
+    the lines of the matches with their offers.  Rows are rendered after that,
+    from the catalogue row of each key.  The counts before each query are a
+    table with one row per query of the pack.
     """
-    rows = pack_rows_html(catalogue, queries, now, tag)
-    ranked = global_ranks(rows, {
-        "__l": [F.col("pack_order"), F.col("page"), F.col("pos")],
-        "__g": [F.col("pack_order"), F.col("__p").asc_nulls_last(), F.col("__n").asc_nulls_last(),
-                F.col("page"), F.col("pos")],
-    })
+    now = latest_update(catalogue) if now is None else now
+    keys = tag_pack(catalogue, queries, now, tag).select(
+        pack_order(queries, tag).alias("pack_order"), "sku", "salePrice", "name", "page", "pos")
+    keys = stored(global_rank(keys, ["pack_order", Asc("salePrice", True), Asc("name", True), "page", "pos"], "__g"), "document")
+    keys = global_rank(keys.select("pack_order", "sku", "page", "pos", "__g"), ["pack_order", "page", "pos"], "__l")
+    lines = stored(add_offers(keys.select("pack_order", "sku", "__g", "__l"), offers, "sku"), "document")
+    numbered = global_rank(lines.withColumn("__o", F.coalesce(OFFER_POS, F.lit(0))), ["pack_order", "__g", "__o"], "__b")
+
     # One row per query of the pack: the single-partition window is bounded.
     before = Window.orderBy("pack_order").rowsBetween(Window.unboundedPreceding, -1)
-    starts = (shape(catalogue, queries, now, tag)
-              .withColumn("__before", F.coalesce(F.sum("n_rows").over(before), F.lit(0)).cast("long")))
-    two_q = F.col("pack_order").cast("long") * 2
-    heads = starts.select((F.col("__before") + two_q).alias("doc_line"),
-                          F.concat(F.col(tag), F.lit(" "), shape_text(F.col("n_rows"), F.col("n_cols")),
-                                   F.lit(":</br>")).alias("text"))
-    tails = starts.select((F.col("__before") + F.col("n_rows") + two_q + 1).alias("doc_line"),
-                          F.lit("</br>").alias("text"))
-    idx = F.col("__l") - F.col("__before")
-    body = (ranked.join(F.broadcast(starts.select("pack_order", "__before")), "pack_order")
-                  .select((F.col("__g") + two_q + 1).alias("doc_line"),
-                          F.concat(F.lit("<tr><th>"), idx.cast("string"), F.lit("</th>"), F.col("cells"),
-                                   F.lit("</tr>")).alias("text")))
-    return heads.unionByName(body).unionByName(tails)
+    bodies = lines.groupBy("pack_order").agg(F.count(F.lit(1)).alias("__lines"))
+    starts = (shape(catalogue, queries, now, tag).join(bodies, "pack_order", "left").na.fill(0, ["__lines"])
+              .withColumn("__rows", F.coalesce(F.sum("n_rows").over(before), F.lit(0)).cast("long"))
+              .withColumn("__at", F.coalesce(F.sum("__lines").over(before), F.lit(0)).cast("long") + 3 * F.col("pack_order")))
+    fixed = F.explode(F.array(
+        F.struct(F.col("__at").alias("doc_line"), F.concat(
+            F.col(tag), F.lit(" "), shape_text(F.col("n_rows"), F.col("n_cols")), F.lit(":</br>")).alias("text")),
+        F.struct((F.col("__at") + 1).alias("doc_line"), _chosen(
+            [heading_html(q.spec.output_names(with_offers=True)) for q in queries]).alias("text")),
+        F.struct((F.col("__at") + F.col("__lines") + 2).alias("doc_line"), F.lit("</br>").alias("text"))))
+    frame = starts.select(fixed.alias("l")).select("l.*")
+
+    cells = _pack_cells(catalogue, queries)
+    html = [line_html(F.col("__l") - F.col("__rows"), c, n, q.spec.resolved().offers) for q, (c, n) in zip(queries, cells)]
+    body = (numbered.join(F.broadcast(starts.select("pack_order", "__rows")), "pack_order").join(catalogue, "sku")
+            .select((F.col("__b") + 3 * F.col("pack_order") + 2).alias("doc_line"), _chosen(html).alias("text")))
+    return frame.unionByName(body)
+
+
+def _chosen(per_query: Sequence[Column]) -> Column:
+    """The entry of the row's query."""
+    out = F.when(F.col("pack_order") == 0, per_query[0])
+    for i, c in enumerate(per_query[1:], 1):
+        out = out.when(F.col("pack_order") == i, c)
+    return out
 
 
 def write_document(lines: DataFrame, path: str) -> None:

@@ -18,7 +18,7 @@ Command line (batch pack over a tables folder)::
 from __future__ import annotations
 
 import argparse
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -27,7 +27,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from dealspark.functions import text as X
 from dealspark.functions import timefns as T
-from dealspark.operators.compose import latest_update, pack_wide, run_search
+from dealspark.operators.compose import add_offers, latest_update, pack_wide, run_search
 from dealspark.operators.projection import offer_entries
 from dealspark.plans import packs as K
 from dealspark.plans import report as R
@@ -52,7 +52,7 @@ def search(catalogue: DataFrame, query: SavedQuery, offers: DataFrame | None = N
     return SearchResult(rows, offer_entries(offers, query.spec).join(hits, "sku", "left_semi"))
 
 
-def pack_report(catalogue: DataFrame, queries: Sequence[SavedQuery], out: str,
+def pack_report(catalogue: DataFrame, queries: Sequence[SavedQuery], offers: DataFrame, out: str,
                 now: Column | None = None) -> DataFrame:
     """Write ``shapes/``, ``digest/`` (non-empty queries only) and ``document/``
     (ordered text lines) under ``out``; return the shapes as read back."""
@@ -62,36 +62,50 @@ def pack_report(catalogue: DataFrame, queries: Sequence[SavedQuery], out: str,
     stored = catalogue.sparkSession.read.parquet(f"{out}/shapes")
     since = R.since_text(T.cutoff(now, T.DAILY_LOOKBACK_MINUTES, T.DAILY_ZONE))
     R.digest(stored.where(F.col("n_rows") > 0), since).write.mode("overwrite").parquet(f"{out}/digest")
-    R.write_document(R.document_lines(catalogue, queries, now), f"{out}/document")
+    R.write_document(R.document_lines(catalogue, queries, offers, now), f"{out}/document")
     return stored
 
 
-def export(catalogue: DataFrame, queries: Sequence[SavedQuery], out: str, now: Column | None = None,
-           fmt: str = "parquet") -> None:
-    """The pack's rows, one ``export_name=<first word of subject>`` folder per
-    query; ``fmt="csv"`` (with a header) for spreadsheet users."""
+def export_rows(catalogue: DataFrame, queries: Sequence[SavedQuery], offers: DataFrame, now: Column | None = None) -> DataFrame:
+    """The pack's rows with their offers exploded, and ``export_name``: the first word of the subject."""
     spark = catalogue.sparkSession
     names = spark.createDataFrame([(q.name, q.subject) for q in queries], "query_name string, subject string")
-    (pack_wide(catalogue, queries, now)
-        .join(F.broadcast(names), "query_name")
-        .withColumn("export_name", X.first_word(F.col("subject"))).drop("subject")
+    return (add_offers(pack_wide(catalogue, queries, now, with_sku=True), offers).drop("__sku")
+            .join(F.broadcast(names), "query_name")
+            .withColumn("export_name", X.first_word(F.col("subject"))).drop("subject"))
+
+
+def export(catalogue: DataFrame, queries: Sequence[SavedQuery], offers: DataFrame, out: str, now: Column | None = None,
+           fmt: str = "parquet") -> None:
+    """``export_rows``, one ``export_name=<...>`` folder per query;
+    ``fmt="csv"`` (with a header) for spreadsheet users."""
+    (export_rows(catalogue, queries, offers, now)
         .write.mode("overwrite").partitionBy("export_name").format(fmt)
         .options(**({"header": "true"} if fmt == "csv" else {})).save(out))
 
 
 def incremental(spark: SparkSession, source: str, catalogue: DataFrame, queries: Sequence[SavedQuery],
-                out: str, checkpoint: str, live: bool = True,
-                delay: str = S.WATERMARK_DELAY, digest_out: str | None = None) -> StreamingQuery:
-    """The timer: new price changes under ``source`` every 15 minutes (or once,
-    ``live=False``), deduplicated, reported per batch under ``out`` (and the
-    mail headers of non-empty results under ``digest_out``)."""
-    body = S.per_batch_report(catalogue, queries, out, digest_out=digest_out)
-    return S.run(S.dedupe(S.price_updates(spark, source), delay), checkpoint, foreach_batch=body, live=live)
+                out: str, checkpoint: str, live: bool = True, ledger: str | None = None,
+                digest_out: str | None = None, clock: Callable[[], Column] | None = None) -> StreamingQuery:
+    """The timer: new price changes under ``source`` every 15 minutes, reported
+    per batch under ``out`` (and the mail headers of non-empty results under
+    ``digest_out``).
+
+    A live run keeps the changes of the last 16 minutes before the clock, read
+    anew for every batch; ``live=False`` catches up once on all that has landed,
+    with the newest change as its "now".  ``ledger`` (default beside ``out``)
+    holds the changes already reported.
+    """
+    clock = clock or (S.utc_now if live else None)
+    body = S.first_deliveries(
+        ledger or f"{out.rstrip('/')}-ledger",
+        S.per_batch_report(catalogue, queries, out, clock, digest_out=digest_out), since_clock=clock)
+    return S.run(S.price_updates(spark, source), checkpoint, foreach_batch=body, live=live)
 
 
 def main(argv: Sequence[str] | None = None) -> None:
     from dealspark.session import build_session
-    from dealspark.sources.catalogue import catalogue as stored_catalogue
+    from dealspark.sources.catalogue import catalogue, offer_rows
 
     ap = argparse.ArgumentParser(description=__doc__.split("\n\n")[0])
     ap.add_argument("--tables", required=True, help="folder holding the input parquet tables")
@@ -99,7 +113,7 @@ def main(argv: Sequence[str] | None = None) -> None:
     ap.add_argument("--out", required=True, help="output folder (shared storage on a cluster)")
     args = ap.parse_args(argv)
     spark = build_session()
-    shapes = pack_report(stored_catalogue(spark, args.tables), K.pack(PACKS[args.pack]), args.out)
+    shapes = pack_report(catalogue(spark, args.tables), K.pack(PACKS[args.pack]), offer_rows(spark, args.tables), args.out)
     shapes.orderBy("pack_order").show(truncate=False)
 
 

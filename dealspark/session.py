@@ -12,7 +12,7 @@ import re
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _DEFAULTS = {
     "spark.ui.enabled": "false",
@@ -70,3 +70,11 @@ def scratch_dir(spark: SparkSession, *parts: str) -> str:
 def fresh_scratch(spark: SparkSession, kind: str) -> str:
     """A new, unique folder under the scratch root (never reused between runs)."""
     return scratch_dir(spark, "dealspark", kind, uuid.uuid4().hex)
+
+
+def stored(df: DataFrame, kind: str) -> DataFrame:
+    """``df`` written once under the scratch root and read back: cuts the lineage
+    where a recomputation would repeat much work."""
+    path = fresh_scratch(df.sparkSession, kind)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -9,10 +9,10 @@ the SQL oracle, so they are stated once, as expressions, below.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dealspark.operators.ranking import keyed_rank
+from dealspark.operators.ranking import stepped_rank
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -77,8 +77,7 @@ PRODUCT_COLUMNS: list[tuple[str, str]] = [
                 "WHEN 1 THEN 'Intel Core i7' ELSE 'M3' END)))"),
 ]
 
-# Offers per sku come from lineitem rows, except sku%13=0 (none).
-OFFER_SKIP_MODULUS = 13
+# Every lineitem row is an offer of its part.
 OFFER_DAYS = 7
 PRODUCTS_PER_PAGE = 100
 
@@ -95,8 +94,7 @@ OFFER_ORDER = ("l_shipdate", "l_orderkey", "l_linenumber", "l_quantity", "l_exte
 
 def offer_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines that are offers, with their order key and offer dates."""
-    li = table(spark, sf_dir, "lineitem").where(F.col("l_partkey") % OFFER_SKIP_MODULUS != 0)
-    return li.select("l_partkey", *OFFER_ORDER,
+    return table(spark, sf_dir, "lineitem").select("l_partkey", *OFFER_ORDER,
                      F.col("l_shipdate").cast("date").cast("string").alias("startDate"),
                      F.date_add(F.col("l_shipdate").cast("date"), OFFER_DAYS).cast("string").alias("endDate"))
 
@@ -105,11 +103,11 @@ def offer_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per offer: ``(sku, offer_pos, startDate, endDate)``.
 
     ``offer_pos`` is the offer's index in the product's offer list, ordered by
-    ship date and then the line's identity.  The per-sku numbering uses the
-    skew-safe ``keyed_rank``: a sku holding a third of all lines is spread over
-    many range partitions instead of being sorted in one task.
+    ship date and then the line's identity.  The numbering goes by ship date
+    (``stepped_rank``): a task sorts one sku's lines of one date, so a sku
+    holding a third of all lines is spread over its dates.
     """
-    ranked = keyed_rank(offer_lines(spark, sf_dir), ["l_partkey"], list(OFFER_ORDER), out="offer_pos")
+    ranked = stepped_rank(offer_lines(spark, sf_dir), ["l_partkey"], OFFER_ORDER[0], list(OFFER_ORDER[1:]), out="offer_pos")
     return ranked.select(F.col("l_partkey").alias("sku"), F.col("offer_pos").cast("int").alias("offer_pos"),
                          "startDate", "endDate")
 
@@ -122,13 +120,15 @@ def price_events(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.col("ts").alias("priceUpdateDate"), F.col("value").alias("salePrice")))
 
 
-# -- the stored catalogue ------------------------------------------------------
+# -- the catalogue the searches scan -------------------------------------------
 
 CATALOGUE_PARTITION = "productTemplate"
 
 
-def store_catalogue(catalogue: DataFrame, path: str):
-    """Write the typed catalogue the searches scan.
+def store_catalogue(catalogue: DataFrame, path: str) -> DataFrame:
+    """Write the typed catalogue to a shared folder of the caller's and read it back.
+
+    An explicit step for users who search one catalogue many times:
 
     * ``partitionBy(productTemplate)``: template predicates (``=``, ``in``,
       prefix, even through ``lower``) become partition filters;
@@ -138,40 +138,19 @@ def store_catalogue(catalogue: DataFrame, path: str):
       parquet min/max statistics skip row groups for price predicates;
     * flat columns are stored typed, so boolean/number/timestamp conjuncts are
       pushed to the scan.
-
-    The newest ``priceUpdateDate`` - every search's "now" - is observed while
-    the rows are written (a metric of the same pass), so searches over the
-    stored catalogue need no extra scan for it.  Returns it.
     """
-    stats = Observation("catalogue_stats")
-    (catalogue.observe(stats, F.max("priceUpdateDate").alias("latest"))
-              .repartitionByRange(CATALOGUE_PARTITION, "salePrice", "sku")
+    (catalogue.repartitionByRange(CATALOGUE_PARTITION, "salePrice", "sku")
               .sortWithinPartitions(CATALOGUE_PARTITION, "salePrice", "sku")
               .write.mode("overwrite").partitionBy(CATALOGUE_PARTITION).parquet(path))
-    return stats.get["latest"]
-
-
-_STORED: dict[tuple[str, str], tuple[str, object]] = {}
-
-
-def _stored(spark: SparkSession, sf_dir: str) -> tuple[str, object]:
-    from dealspark.session import fresh_scratch
-    key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _STORED:
-        path = fresh_scratch(spark, "catalogue")
-        _STORED[key] = (path, store_catalogue(products(spark, sf_dir), path))
-    return _STORED[key]
+    return catalogue.sparkSession.read.schema(catalogue.schema).parquet(path)
 
 
 def catalogue(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The stored catalogue for ``sf_dir``: derived and written once per
-    application under the shared scratch folder, then read as parquet."""
-    return spark.read.parquet(_stored(spark, sf_dir)[0])
+    """The catalogue of ``sf_dir``: a narrow view over its tables, derived anew by
+    every query; nothing is written or kept."""
+    return products(spark, sf_dir)
 
 
 def catalogue_latest(spark: SparkSession, sf_dir: str) -> Column:
-    """The stored catalogue's newest ``priceUpdateDate``, as a literal."""
-    latest = _stored(spark, sf_dir)[1]
-    if latest is None:
-        return F.lit(None).cast("timestamp_ntz")
-    return F.to_timestamp_ntz(F.lit(latest.strftime("%Y-%m-%d %H:%M:%S.%f")))
+    """The newest ``priceUpdateDate`` as a scalar subquery (runs with the query, over one column)."""
+    return products(spark, sf_dir).select(F.max("priceUpdateDate")).scalar()

@@ -18,8 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dealspark.functions.text import ceil_div
-from dealspark.operators.projection import (ProjectionSpec, attribute_alias, detail_value,
-                                            offer_column_name, offer_map)
+from dealspark.operators.projection import ProjectionSpec, attribute_alias, detail_value, offer_column_name
 from dealspark.session import fresh_scratch
 from dealspark.sources.catalogue import OFFER_ORDER, PRODUCTS_PER_PAGE, offer_lines, products
 
@@ -44,28 +43,28 @@ MISSING_KEY_MODULUS = 997
 
 # -- landing (the writer side: what the source would deliver) -----------------
 
-def land_envelopes(spark: SparkSession, sf_dir: str, dest: str | None = None,
-                   page_size: int = PRODUCTS_PER_PAGE) -> str:
-    """Write the catalogue as page envelopes (JSON lines) and return the folder.
+def envelope_texts(spark: SparkSession, sf_dir: str, page_size: int = PRODUCTS_PER_PAGE) -> DataFrame:
+    """The catalogue as page envelopes, one JSON text per page (``value``).
 
-    One Spark job: offers are nested per product (``collect_list`` per sku),
-    products are nested per page (at most ``page_size`` per page), and each
-    envelope is rendered with ``to_json``.  JSON nulls are kept
-    (``ignoreNullFields=false``); ``addToCartUrl`` is left out for every
-    sku%997=0 product so that those pages carry a genuinely missing key.
+    Offers are nested per product and products per page (at most ``page_size``
+    per page): a product record is one JSON value in this format, however many
+    offers it has.  JSON nulls are kept (``ignoreNullFields=false``);
+    ``addToCartUrl`` is left out for every sku%997=0 product so that those pages
+    carry a genuinely missing key.
     """
-    dest = dest or fresh_scratch(spark, "landed")
     cat = products(spark, sf_dir)
     # Offers in list order: sorting the collected structs by their leading
     # fields (the offer order key) gives the order without numbering them first.
-    nested = (offer_lines(spark, sf_dir)
-              .groupBy(F.col("l_partkey").alias("sku"))
-              .agg(F.array_sort(F.collect_list(F.struct(*OFFER_ORDER, "startDate", "endDate"))).alias("o")))
-    offers = F.coalesce(F.transform(F.col("o"), lambda x: F.struct(x["startDate"].alias("startDate"),
+    lines = offer_lines(spark, sf_dir).withColumn("id", F.concat_ws("-", "l_orderkey", "l_linenumber"))
+    nested = (lines.groupBy(F.col("l_partkey").alias("sku"))
+              .agg(F.array_sort(F.collect_list(F.struct(*OFFER_ORDER, "id", "startDate", "endDate"))).alias("o")))
+    offers = F.coalesce(F.transform(F.col("o"), lambda x: F.struct(x["id"].alias("id"), x["startDate"].alias("startDate"),
                                                                       x["endDate"].alias("endDate"))),
-                        F.expr("CAST(array() AS ARRAY<STRUCT<startDate:STRING,endDate:STRING>>)"))
-    full = cat.join(nested, "sku", "left").withColumn("offers", offers)
-    fields = [f for f in PRODUCT_FIELDS]
+                        F.expr("CAST(array() AS ARRAY<STRUCT<id:STRING,startDate:STRING,endDate:STRING>>)"))
+    full = (cat.join(nested, "sku", "left").withColumn("offers", offers)
+            .withColumn("modelNumber", F.concat(F.lit("MX-"), F.col("sku").cast("string")))
+            .withColumn("shelf", F.struct((F.col("sku") % 9).alias("row"))))
+    fields = [*PRODUCT_FIELDS, "modelNumber", "shelf"]
     opts = {"ignoreNullFields": "false", "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss"}
     with_all = F.to_json(F.struct(*[F.col(f"`{f}`") for f in fields]), opts)
     without = F.to_json(F.struct(*[F.col(f"`{f}`") for f in fields if f != "addToCartUrl"]), opts)
@@ -79,19 +78,19 @@ def land_envelopes(spark: SparkSession, sf_dir: str, dest: str | None = None,
         F.lit(',"total":'), total.cast("string"),
         F.lit(',"currentPage":'), F.col("page").cast("string"),
         F.lit(',"products":['), F.array_join(F.transform("items", lambda x: x["j"]), ","), F.lit("]}"))
-    per_page.select(envelope.alias("value")).write.mode("overwrite").text(dest)
-    return dest
+    return per_page.select(envelope.alias("value"))
 
 
-_LANDED: dict[tuple[str, str], str] = {}
+def land_envelopes(spark: SparkSession, sf_dir: str, dest: str | None = None) -> str:
+    """Write the envelopes as JSON lines and return the folder."""
+    dest = dest or fresh_scratch(spark, "landed")
+    envelope_texts(spark, sf_dir).write.mode("overwrite").text(dest)
+    return dest
 
 
-def landed(spark: SparkSession, sf_dir: str) -> str:
-    """Land once per (application, tables) and reuse the folder within the run."""
-    key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _LANDED:
-        _LANDED[key] = land_envelopes(spark, sf_dir)
-    return _LANDED[key]
+def envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The envelopes as they would be read, without landing them."""
+    return envelope_texts(spark, sf_dir).select(F.parse_json("value").alias(ENVELOPE))
 
 
 # -- reading -----------------------------------------------------------------
@@ -215,43 +214,57 @@ def explode_products(env: DataFrame) -> DataFrame:
 
 def typed(rows: DataFrame, fields: Sequence[str] | None = None) -> DataFrame:
     """Typed columns out of ``p`` (missing and null both become SQL NULL)."""
-    fields = list(fields or PRODUCT_FIELDS)
-    cols = []
-    for f in fields:
-        t = PRODUCT_FIELDS[f]
-        if t == "timestamp_ntz":
-            cols.append(F.to_timestamp_ntz(F.try_variant_get("p", f"$['{f}']", "string")).alias(f))
-        else:
-            cols.append(F.try_variant_get("p", f"$['{f}']", t).alias(f))
-    return rows.select("page", "pos", *cols)
+    return rows.select("page", "pos", *[_typed(f).alias(f) for f in fields or PRODUCT_FIELDS])
 
 
 def flatten_pages(env: DataFrame, spec: ProjectionSpec) -> DataFrame:
     """The per-page flatten of the reference, as one narrow plan: reject, explode,
-    then base columns, attribute columns and ``offer.<field>`` maps."""
+    then base columns in the listed order, attribute columns and
+    ``offer.<field>`` maps.  A base column or offer field without a known type is
+    text, as it stands in the record (a nested value as JSON)."""
     s = spec.resolved()
-    need = list(dict.fromkeys([*(c for c in s.columns if c in PRODUCT_FIELDS), "details", "offers"]))
-    rows = typed(explode_products(accepted(env, spec)), need)
-    extra = [c for c in s.columns if c not in PRODUCT_FIELDS]
-    base = [F.col(f"`{c}`") for c in s.columns if c in PRODUCT_FIELDS]
-    base += [F.lit(None).cast("string").alias(c) for c in extra]
+    rows = explode_products(accepted(env, spec))
+    offers = F.try_variant_get("p", "$.offers", "array<variant>")
+    rows = rows.select("page", "pos", "p", _typed("details").alias("details"), offers.alias("offers"))
+    base = [_typed(c).alias(c) for c in s.columns]
     attrs = [detail_value(d).alias(attribute_alias(d, s.columns)) for d in s.details]
-    offs = [offer_map(f).alias(offer_column_name(f)) for f in s.offers]
+    offs = [_offer_texts(f).alias(offer_column_name(f)) for f in s.offers]
     return rows.select("page", "pos", *base, *attrs, *offs)
 
 
+def _typed(field: str) -> Column:
+    """A field of the product ``p``: typed where it is known, else as text."""
+    kind = PRODUCT_FIELDS.get(field, "string")
+    if kind == "timestamp_ntz":
+        return F.to_timestamp_ntz(F.try_variant_get("p", f"$['{field}']", "string"))
+    return F.try_variant_get("p", f"$['{field}']", kind)
+
+
+def _offer_texts(field: str) -> Column:
+    """``MAP<INT,STRING>`` offer position -> any field of the offer as text."""
+    return F.map_from_entries(F.transform(F.col("offers"), lambda o, i: F.struct(
+        i.alias("key"), F.try_variant_get(o, f"$['{field}']", "string").alias("value"))))
+
+
 # -- page plan and audit -----------------------------------------------------
 
 def page_plan(totals_df: DataFrame, batch_size: int = 4, pages_col: str = "totalPages") -> DataFrame:
     """SRC-4: pages 1..N and their batch number, per row of ``totals_df``.
 
-    ``sequence(1, 0)`` counts down to ``[1, 0]``, so N = 0 is guarded to an
-    empty list rather than planning pages that do not exist.
+    Two steps of bounded lists: blocks of ``PLAN_BLOCK`` pages, then the pages of
+    each block; ``sequence(1, 0)`` counts down to ``[1, 0]``, so N = 0 is guarded.
     """
-    n = F.col(pages_col)
-    pages = F.when(n > 0, F.sequence(F.lit(1), n.cast("int"))).otherwise(F.array().cast("array<int>"))
-    out = totals_df.withColumn("page", F.explode(pages))
-    return out.withColumn("batch", F.floor((F.col("page") - 1) / F.lit(batch_size)).cast("int"))
+    n = F.col(pages_col).cast("long")
+    block = F.lit(PLAN_BLOCK)
+    blocks = F.when(n > 0, F.sequence(F.lit(0).cast("long"), F.floor((n - 1) / block))).otherwise(F.array().cast("array<bigint>"))
+    out = totals_df.withColumn("__block", F.explode(blocks))
+    first = F.col("__block") * block
+    out = out.withColumn("page", F.explode(F.sequence(first + 1, F.least(first + block, n)))).drop("__block")
+    return out.withColumns({"page": F.col("page").cast("int"), "batch": F.floor((F.col("page") - 1) / F.lit(batch_size)).cast("int")})
+
+
+#: Pages of one block of a plan.
+PLAN_BLOCK = 10_000
 
 
 def page_audit(env: DataFrame, spec: ProjectionSpec) -> DataFrame:

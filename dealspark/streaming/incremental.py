@@ -7,8 +7,9 @@ Here the same job is a file stream over landed data:
 * ``price_updates``  - a stream of price changes (the ``events`` table's
   purchases) read with a fixed schema, never inferred;
 * ``since``          - keep changes strictly after a cutoff (STR-1);
-* ``dedupe``         - drop repeats that overlapping runs deliver, keyed on
-  ``(sku, priceUpdateDate)`` with a watermark bounding the state (STR-2);
+* ``first_deliveries`` - drop repeats that overlapping runs deliver, keyed on
+  ``(sku, priceUpdateDate)``, against a written ledger; nothing is lost for
+  being late (STR-2);
 * ``per_batch_report`` - ``foreachBatch`` that tags each micro-batch with a
   pack's searches and writes one report partition per batch id, so a replayed
   batch overwrites instead of double counting (STR-4);
@@ -22,23 +23,23 @@ gathered on the driver.
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from datetime import datetime, timezone
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T_
 from pyspark.sql.streaming import StreamingQuery
 
 from dealspark.functions import timefns as T
 from dealspark.operators.compose import latest_update, tag_pack
-from dealspark.operators.sizing import broadcast_if_small
 from dealspark.plans.packs import SavedQuery
 
 EVENTS_SCHEMA = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
-EVENT_TIME = "__event_time"
 
-# Live cadence of the frequent timer and the default watermark
-# delay (the overlap between runs is one minute, well inside it).
+# Fixed value: live cadence of the frequent timer.
 LIVE_CADENCE = "15 minutes"
-WATERMARK_DELAY = f"{T.FREQUENT_LOOKBACK_MINUTES} minutes"
+#: Files of one micro-batch; a catch-up over a backlog runs in several.
+MAX_FILES_PER_TRIGGER = 1000
 
 
 def as_price_updates(events: DataFrame) -> DataFrame:
@@ -48,11 +49,9 @@ def as_price_updates(events: DataFrame) -> DataFrame:
                           F.col("ts").alias("priceUpdateDate"), F.col("value").alias("salePrice")))
 
 
-def price_updates(spark: SparkSession, source: str, max_files_per_trigger: int | None = None) -> DataFrame:
+def price_updates(spark: SparkSession, source: str, max_files_per_trigger: int = MAX_FILES_PER_TRIGGER) -> DataFrame:
     """SRC-7 for price events: a file stream over ``source`` (a folder or a glob)."""
-    reader = spark.readStream.schema(EVENTS_SCHEMA)
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
+    reader = spark.readStream.schema(EVENTS_SCHEMA).option("maxFilesPerTrigger", str(max_files_per_trigger))
     return as_price_updates(reader.parquet(source))
 
 
@@ -66,61 +65,97 @@ def ntz_literal(value) -> Column:
     return F.to_timestamp_ntz(F.lit(value.strftime("%Y-%m-%d %H:%M:%S.%f")))
 
 
-def dedupe(updates: DataFrame, delay: str = WATERMARK_DELAY) -> DataFrame:
-    """STR-2: first delivery of each ``(sku, priceUpdateDate)`` only.
+def utc_now() -> Column:
+    """The clock, as a ``TIMESTAMP_NTZ`` literal in UTC."""
+    return ntz_literal(datetime.now(timezone.utc).replace(tzinfo=None))
 
-    The watermark runs on an event-time copy of ``priceUpdateDate`` and that
-    copy is part of the key, so state older than ``delay`` is evicted; the
-    NTZ value itself stays in the key, so no two distinct updates can merge.
-    Keep ``delay`` at least as long as the overlap between runs.
+
+KEY = ("sku", "priceUpdateDate")
+
+
+def first_deliveries(ledger: str, body: Callable[[DataFrame, int], None] | None = None,
+                     since_clock: Callable[[], Column] | None = None,
+                     minutes: int = T.FREQUENT_LOOKBACK_MINUTES, zone: str = "UTC") -> Callable[[DataFrame, int], None]:
+    """STR-2: ``foreachBatch`` body that passes on the first delivery of each
+    ``(sku, priceUpdateDate)``, however late or out of order it comes.
+
+    Deliveries are written to ``ledger`` per batch and day.  A batch is first
+    aggregated to one row per key, then anti-joined with what earlier batches
+    delivered on the same days, so neither state nor the read grows with the
+    days that a batch does not touch.  A replayed batch overwrites its own rows
+    and is compared with the other batches only.  With ``since_clock``, changes
+    older than ``minutes`` before the clock are left out (STR-1).
     """
-    return (updates.withColumn(EVENT_TIME, F.col("priceUpdateDate").cast("timestamp"))
-                   .withWatermark(EVENT_TIME, delay)
-                   .dropDuplicates(["sku", "priceUpdateDate", EVENT_TIME])
-                   .drop(EVENT_TIME))
+    base = ledger.rstrip("/")
+
+    def run_batch(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        rows = since(batch, T.cutoff(since_clock(), minutes, zone)) if since_clock else batch
+        others = [c for c in rows.columns if c not in KEY]
+        first = F.min(F.struct(*others)).alias("__first")
+        rows = (rows.groupBy(*KEY).agg(first).select(*KEY, "__first.*").select(*rows.columns)
+                .withColumn("day", F.to_date("priceUpdateDate")))
+        target = f"{base}/batch_id={batch_id}"
+        if batch_id:
+            days = rows.agg(F.min("day").alias("lo"), F.max("day").alias("hi")).first()
+            known = (spark.read.schema(_with_partitions(rows)).parquet(base)
+                     .where((F.col("batch_id") < batch_id) & F.col("day").between(days["lo"], days["hi"])).select("day", *KEY))
+            rows = rows.join(known, ["day", *KEY], "left_anti").select(*rows.columns)
+        rows.write.mode("overwrite").partitionBy("day").parquet(target)
+        if body:
+            body(spark.read.schema(rows.schema).parquet(target).drop("day"), batch_id)
+    return run_batch
+
+
+def _with_partitions(rows: DataFrame) -> T_.StructType:
+    return T_.StructType([*rows.schema.fields, T_.StructField("batch_id", T_.LongType())])
+
+
+def delivered(spark: SparkSession, ledger: str) -> DataFrame:
+    """All first deliveries of a ledger."""
+    return spark.read.parquet(ledger).drop("batch_id", "day")
+
+
+def latest_changes(updates: DataFrame) -> DataFrame:
+    """The newest change of each sku (ties: the larger price), combined before the shuffle."""
+    newest = F.max(F.struct("priceUpdateDate", "salePrice")).alias("__n")
+    return updates.groupBy("sku").agg(newest).select(
+        "sku", F.col("__n.salePrice").alias("__new_price"), F.col("__n.priceUpdateDate").alias("__new_ts"))
 
 
 def apply_updates(catalogue: DataFrame, updates: DataFrame) -> DataFrame:
-    """Catalogue rows carrying the new price and update time of each change.
+    """Changed catalogue rows, each once, with the price and time of its newest change.
 
-    A micro-batch of changes is usually small next to the catalogue: when that
-    is proven (bounded check) it is broadcast, so the catalogue is scanned but
-    never shuffled per batch; a large catch-up batch is left to the planner.
-    """
-    upd = broadcast_if_small(updates.select("sku", F.col("salePrice").alias("__new_price"),
-                                            F.col("priceUpdateDate").alias("__new_ts")))
-    return (catalogue.join(upd, "sku")
+    How the two sides meet is left to the planner, which knows the size of the
+    written batch."""
+    return (catalogue.join(latest_changes(updates), "sku")
                      .withColumn("salePrice", F.col("__new_price"))
                      .withColumn("priceUpdateDate", F.col("__new_ts"))
                      .drop("__new_price", "__new_ts"))
 
 
 def per_batch_report(catalogue: DataFrame, queries: Sequence[SavedQuery], out: str,
-                     now: Column | None = None, digest_out: str | None = None,
+                     clock: Callable[[], Column] | None = None, digest_out: str | None = None,
                      ) -> Callable[[DataFrame, int], None]:
-    """STR-4: ``foreachBatch`` body writing ``(batch_id, query_name, n_rows)``.
+    """STR-4: ``foreachBatch`` body writing ``(query_name, n_rows)`` per batch.
 
     Each batch lands in its own ``batch_id=<n>`` folder in overwrite mode, so a
-    batch replayed after a failure replaces its earlier output.  With
+    batch replayed after a failure replaces its earlier output.  A product
+    counts once, at its newest price.  "Now" is read from ``clock`` for every
+    batch, else it is the newest update of the changed products.  With
     ``digest_out``, the run's mail headers ("New deals since", shape) are
     written too, for the queries with results only (SNK-2).
     """
     def body(batch: DataFrame, batch_id: int) -> None:
-        # The batch is read by two actions (size check, report); persist it so
-        # the micro-batch plan, stateful dedupe included, runs once.
-        batch.persist()
-        try:
-            changed = apply_updates(catalogue, batch)
-            fixed_now = latest_update(catalogue) if now is None else now
-            counts = (tag_pack(changed, queries, fixed_now)
-                      .groupBy("query_name").agg(F.count(F.lit(1)).alias("n_rows")))
-            target = f"{out.rstrip('/')}/batch_id={batch_id}"
-            counts.write.mode("overwrite").parquet(target)
-            if digest_out:
-                _write_digest(batch.sparkSession.read.parquet(target), queries, fixed_now,
-                              f"{digest_out.rstrip('/')}/batch_id={batch_id}")
-        finally:
-            batch.unpersist()
+        changed = apply_updates(catalogue, batch)
+        now = clock() if clock else latest_update(catalogue.select("priceUpdateDate").union(batch.select("priceUpdateDate")))
+        counts = (tag_pack(changed, queries, now)
+                  .groupBy("query_name").agg(F.count(F.lit(1)).alias("n_rows")))
+        target = f"{out.rstrip('/')}/batch_id={batch_id}"
+        counts.write.mode("overwrite").parquet(target)
+        if digest_out:
+            _write_digest(batch.sparkSession.read.parquet(target), queries, now,
+                          f"{digest_out.rstrip('/')}/batch_id={batch_id}")
     return body
 
 

@@ -43,7 +43,7 @@ SELECT l_partkey AS sku,
        l_extendedprice) - 1 AS INT) AS offer_pos,
   CAST(CAST(l_shipdate AS DATE) AS VARCHAR) AS "startDate",
   CAST(CAST(l_shipdate + INTERVAL 7 DAYS AS DATE) AS VARCHAR) AS "endDate"
-FROM lineitem WHERE l_partkey % 13 <> 0)"""
+FROM lineitem)"""
 
 NOW = '(SELECT max("priceUpdateDate") FROM products)'
 ORDER = '"salePrice" ASC NULLS LAST, name ASC NULLS LAST, page, pos'
@@ -164,6 +164,7 @@ def select(where: str, cols: str) -> str:
 
 
 EVENTS = "(SELECT event_id, user_id AS sku, ts AS \"priceUpdateDate\", value AS \"salePrice\" FROM events WHERE event_type = 'purchase')"
+ALL_EVENTS = "(SELECT event_id, ts AS \"priceUpdateDate\" FROM events)"
 RANK = f"row_number() OVER (ORDER BY {ORDER}) - 1 AS rank"
 PROBE_ATTRS = ["brand", "SIZE", "Type", "Color"]
 PIVOT_ATTRS = list(dict.fromkeys(GPU_ATTRS + TV_ATTRS + HEADPHONE_ATTRS))
@@ -197,9 +198,11 @@ def cell(expr: str, dtype: str, name: str) -> str:
         txt = f"CASE WHEN {expr} THEN 'True' WHEN NOT {expr} THEN 'False' END"
     elif dtype == "timestamp":
         txt = f"strftime({expr}, '%Y-%m-%d %H:%M:%S')"
+    elif dtype == "double":
+        txt = f"regexp_replace(CAST(CAST({expr} AS DECIMAL(38,6)) AS VARCHAR), '(\\.\\d+?)0+$', '\\1')"
     else:
         txt = f"CAST({expr} AS VARCHAR)"
-    out = esc(f"coalesce({txt}, 'None')")
+    out = esc(f"coalesce({txt}, '{'NaN' if dtype == 'double' else 'None'}')")
     if name in ("url", "addToCartUrl"):
         out = links(out)
     return f"'<td>' || {out} || '</td>'"
@@ -213,6 +216,27 @@ def cells(columns, details) -> str:
     return " || ".join(parts)
 
 
+NONE = "'None'"
+
+
+def heading(columns, details) -> str:
+    columns = list(columns or DEFAULT_COLUMNS)
+    taken = {c.lower() for c in columns}
+    names = columns + [f"detail.{d}" if d.lower() in taken else d for d in (details or DEFAULT_DETAILS)]
+    names += ["offer.startDate", "offer.endDate"]
+    return lit("<tr><th></th>" + "".join(f"<th>{n}</th>" for n in names) + "</tr>")
+
+
+def row_line(index: str, columns, details) -> str:
+    """A line of a result row joined with its offers (alias ``o``)."""
+    n = width(columns, details) - 2
+    offer = " || ".join(
+        f"'<td>' || CASE WHEN o.offer_pos IS NULL THEN '{{}}' ELSE o.offer_pos || ': ' || {esc(f'coalesce(o.{q(f)}, {NONE})')} END || '</td>'"
+        for f in ("startDate", "endDate"))
+    return (f"CASE WHEN coalesce(o.offer_pos, 0) = 0 THEN '<tr><th>' || {index} || '</th>' || {cells(columns, details)} "
+            f"ELSE {lit('<tr><th></th>' + '<td></td>' * n)} END || {offer} || '</tr>'")
+
+
 def width(columns, details) -> int:
     return len(columns or DEFAULT_COLUMNS) + len(details or DEFAULT_DETAILS) + 2
 
@@ -244,16 +268,18 @@ def pack_wide_sql(pack) -> str:
 
 
 def document_sql(pack) -> str:
-    body = []
+    body, heads = [], []
     for i, (n, w, cols, dets) in enumerate(pack):
-        body.append(f"SELECT {i} AS pack_order, 1 AS part, row_number() OVER (ORDER BY {ORDER}) - 1 AS idx, "
-                    f"row_number() OVER (ORDER BY page, pos) - 1 AS landing, "
-                    f"{cells(cols, dets)} AS cells FROM products WHERE {w}")
-    return (f"WITH {PRODUCTS_CTE},\n{shapes_cte(pack)},\nbody AS ({' UNION ALL '.join(body)}),\n"
-            f"lines AS (SELECT pack_order, 0 AS part, 0 AS idx, query_name || ' (' || n_rows || ', ' || n_cols || '):</br>' AS text FROM shapes\n"
-            f"  UNION ALL SELECT pack_order, part, idx, '<tr><th>' || landing || '</th>' || cells || '</tr>' FROM body\n"
-            f"  UNION ALL SELECT pack_order, 2, 0, '</br>' FROM shapes)\n"
-            f"SELECT row_number() OVER (ORDER BY pack_order, part, idx) - 1 AS doc_line, text FROM lines")
+        heads.append(f"SELECT {i} AS pack_order, {heading(cols, dets)} AS text")
+        body.append(f"SELECT {i} AS pack_order, r.idx, coalesce(o.offer_pos, 0) AS opos, {row_line('r.landing', cols, dets)} AS text "
+                    f"FROM (SELECT *, row_number() OVER (ORDER BY {ORDER}) - 1 AS idx, row_number() OVER (ORDER BY page, pos) - 1 AS landing "
+                    f"FROM products WHERE {w}) r LEFT JOIN offer_rows o USING (sku)")
+    return (f"WITH {PRODUCTS_CTE}, {OFFERS_CTE},\n{shapes_cte(pack)},\nbody AS ({' UNION ALL '.join(body)}),\n"
+            f"lines AS (SELECT pack_order, 0 AS part, 0 AS idx, 0 AS opos, query_name || ' (' || n_rows || ', ' || n_cols || '):</br>' AS text FROM shapes\n"
+            f"  UNION ALL SELECT pack_order, 1, 0, 0, text FROM ({' UNION ALL '.join(heads)})\n"
+            f"  UNION ALL SELECT pack_order, 2, idx, opos, text FROM body\n"
+            f"  UNION ALL SELECT pack_order, 3, 0, 0, '</br>' FROM shapes)\n"
+            f"SELECT row_number() OVER (ORDER BY pack_order, part, idx, opos) - 1 AS doc_line, text FROM lines")
 
 
 DISCOUNT_RANKED = f"SELECT *, {RANK} FROM products WHERE {W_DISCOUNT}"
@@ -294,8 +320,7 @@ MORE = {
     "sort_price_name": select("true", f'sku, "salePrice", name, {RANK}'),
     "page_slice": f"WITH {PRODUCTS_CTE}, r AS (SELECT sku, \"salePrice\", name, {RANK} FROM products)\nSELECT * FROM r WHERE rank >= 10 AND rank < 20",
     "topk_cheapest": f"WITH {PRODUCTS_CTE}, r AS (SELECT sku, \"salePrice\", name, {RANK} FROM products)\nSELECT * FROM r WHERE rank < 10",
-    "set_union_pages": (f"WITH {PRODUCTS_CTE}\nSELECT sku, name, \"salePrice\", url, \"addToCartUrl\" FROM products WHERE {W_MACBOOK_CHEAP}\n"
-                        f"UNION ALL SELECT sku, name, \"salePrice\", url, \"addToCartUrl\" FROM products WHERE {W_GPU_CHEAP}"),
+    "set_union_pages": select("true", 'page, pos, sku, name, "salePrice", url'),
     "set_pack_tagged": f"WITH {PRODUCTS_CTE}, tagged AS ({tagged_union(HTTP_PACK)})\nSELECT query_name, sku FROM tagged",
     "set_pack_wide": pack_wide_sql(HTTP_PACK),
     "agg_shape": f"WITH {PRODUCTS_CTE},\n{shapes_cte(HTTP_PACK)}\nSELECT query_name, n_rows, n_cols FROM shapes",
@@ -304,17 +329,18 @@ MORE = {
     "agg_document": document_sql(HTTP_PACK),
     "scl_link_rewrite": select("true", f"sku, {links('url')} AS url_html, {links(q('addToCartUrl'))} AS cart_html"),
     "scl_lookback": (f"SELECT event_id, \"priceUpdateDate\" - INTERVAL 1441 MINUTE AS daily_since, "
-                     f"\"priceUpdateDate\" - INTERVAL 16 MINUTE AS frequent_since FROM {EVENTS}"),
+                     f"\"priceUpdateDate\" - INTERVAL 16 MINUTE AS frequent_since FROM {ALL_EVENTS}"),
     "scl_tz_cutoff": (f"SELECT event_id, timezone('US/Pacific', timezone('UTC', \"priceUpdateDate\" - INTERVAL 1441 MINUTE)) AS daily_cutoff, "
-                      f"timezone('US/Central', timezone('UTC', \"priceUpdateDate\" - INTERVAL 16 MINUTE)) AS frequent_cutoff FROM {EVENTS}"),
+                      f"timezone('US/Central', timezone('UTC', \"priceUpdateDate\" - INTERVAL 16 MINUTE)) AS frequent_cutoff FROM {ALL_EVENTS}"),
     "scl_cutoff_text": (f"SELECT event_id, strftime(timezone('US/Pacific', timezone('UTC', \"priceUpdateDate\" - INTERVAL 1441 MINUTE)), '%Y-%m-%dT%H:%M:%S') AS daily_text, "
-                        f"strftime(timezone('US/Central', timezone('UTC', \"priceUpdateDate\" - INTERVAL 16 MINUTE)), '%Y-%m-%dT%H:%M:%S') AS frequent_text FROM {EVENTS}"),
+                        f"strftime(timezone('US/Central', timezone('UTC', \"priceUpdateDate\" - INTERVAL 16 MINUTE)), '%Y-%m-%dT%H:%M:%S') AS frequent_text FROM {ALL_EVENTS}"),
     "scl_first_word": select("true", "sku, split_part(name, ' ', 1) AS first_word"),
     "scl_after_token": select("true", "sku, split_part(url, 'site', 2) AS path"),
     "scl_ceil_div": (f"WITH {PRODUCTS_CTE},\n{shapes_cte(HTTP_PACK)}\nSELECT query_name, n_rows AS total, "
                      f"CAST((n_rows + 99) // 100 AS BIGINT) AS pages_100, CAST((n_rows + 9) // 10 AS BIGINT) AS pages_10 FROM shapes"),
-    "rpt_table": (f"WITH {PRODUCTS_CTE}, r AS ({DISCOUNT_RANKED})\nSELECT rank, '<tr><th>' || rank || '</th>' || "
-                  f"{cells(FEED_COLS, None)} || '</tr>' AS row_html FROM r"),
+    "rpt_table": (f"WITH {PRODUCTS_CTE}, {OFFERS_CTE}, r AS ({DISCOUNT_RANKED})\n"
+                  f"SELECT -1 AS rank, -1 AS offer_pos, {heading(FEED_COLS, None)} AS row_html\n"
+                  f"UNION ALL SELECT rank, coalesce(o.offer_pos, 0), {row_line('rank', FEED_COLS, None)} FROM r LEFT JOIN offer_rows o USING (sku)"),
     "rpt_digest": (f"WITH {PRODUCTS_CTE},\n{shapes_cte(HTTP_PACK)}\nSELECT query_name, '<p>New deals since: ' || "
                    f"strftime({cutoff(1441, 'US/Pacific')}, '%Y-%m-%dT%H:%M:%S') || '</p><br/>' || chr(10) || "
                    f"'<p>total shape: (' || n_rows || ', ' || n_cols || ')</p></br>' AS header FROM shapes"),
@@ -349,24 +375,42 @@ INGEST = {
     "agg_reported_total": f"WITH {PRODUCTS_CTE}\nSELECT count(*) AS total, CAST((count(*) + 99) // 100 AS INT) AS \"totalPages\" FROM products",
     "page_plan": (f"WITH {PRODUCTS_CTE},\n{shapes_cte(HTTP_PACK)}\nSELECT query_name, CAST(page AS INT) AS page, CAST((page - 1) // 4 AS INT) AS batch "
                   f"FROM (SELECT query_name, unnest(range(1, CAST((n_rows + 99) // 100 AS BIGINT) + 1)) AS page FROM shapes)"),
-    "page_audit": f"WITH {PRODUCTS_CTE}\nSELECT DISTINCT page, 'rejected' AS status FROM products WHERE sku % 997 = 0",
+    "page_audit": (f"WITH {PRODUCTS_CTE}\nSELECT DISTINCT page, 'rejected' AS status FROM products WHERE sku % 997 = 0 AND page % 7 <> 4 "
+                   f"UNION ALL SELECT CAST(p AS INT), 'lost' FROM (SELECT unnest(range(1, CAST((count(*) + 99) // 100 AS BIGINT) + 1)) AS p FROM products) "
+                   f"WHERE p % 7 = 4 OR p NOT IN (SELECT page FROM products)"),
+    "prj_open_schema": (f"WITH {PRODUCTS_CTE}, lines AS (SELECT l_partkey AS sku, l_orderkey || '-' || l_linenumber AS id, "
+                        f"row_number() OVER (PARTITION BY l_partkey ORDER BY l_shipdate, l_orderkey, l_linenumber, l_quantity, l_extendedprice) - 1 AS p FROM lineitem),\n"
+                        f"om AS (SELECT sku, '{{' || string_agg('\"' || p || '\":\"' || id || '\"', ',' ORDER BY p) || '}}' AS m FROM lines GROUP BY sku)\n"
+                        f"SELECT page, pos, 'MX-' || sku AS \"modelNumber\", sku, '{{\"row\":' || sku % 9 || '}}' AS shelf, name, {detail('Brand')} AS \"Brand\", "
+                        f"coalesce(m, '{{}}') AS \"offer.id\" FROM products LEFT JOIN om USING (sku)"),
+    "set_pack_offers": (f"WITH {PRODUCTS_CTE}, {OFFERS_CTE}, hits AS (" + " UNION ALL ".join(
+        f"SELECT * FROM (SELECT {lit(n)} AS query_name, sku, {RANK} FROM products WHERE {w})" + (" WHERE rank < 10" if n.endswith("top10") else "")
+        for n, w, _, _ in ALL_SEARCHES) + ")\nSELECT query_name, rank, offer_pos, \"startDate\" AS \"offer.startDate\", "
+        "\"endDate\" AS \"offer.endDate\" FROM hits JOIN offer_rows USING (sku)"),
     "empty_result": search_sql(f'{W_DISCOUNT} AND "priceUpdateDate" > {NOW}', FEED_COLS, []),
-    "export_roundtrip": (f"WITH {PRODUCTS_CTE}\n" + "\nUNION ALL\n".join(
-        f"SELECT {lit(EXPORT_NAMES[n])} AS export_name, {lit(n)} AS query_name, name, \"salePrice\", {RANK} FROM products WHERE {w}"
-        for n, w, _, _ in HTTP_PACK)),
+    "export_roundtrip": (f"WITH {PRODUCTS_CTE}, {OFFERS_CTE}, r AS (" + "\nUNION ALL\n".join(
+        f"SELECT {lit(EXPORT_NAMES[n])} AS export_name, {lit(n)} AS query_name, sku, name, \"salePrice\", {RANK} FROM products WHERE {w}"
+        for n, w, _, _ in HTTP_PACK) + ")\nSELECT export_name, query_name, name, \"salePrice\", rank, offer_pos, "
+        "\"startDate\" AS \"offer.startDate\", \"endDate\" AS \"offer.endDate\" FROM r LEFT JOIN offer_rows USING (sku)"),
     "report_nonempty": f"WITH {PRODUCTS_CTE},\n{shapes_cte(ALL_SEARCHES)}\nSELECT query_name, n_rows FROM shapes WHERE n_rows > 0",
     "obs_counts": select(W_DISCOUNT, "count(*) AS n_products"),
 }
 
 
 DISTINCT_UPDATES = f"(SELECT DISTINCT event_id, sku, \"priceUpdateDate\", \"salePrice\" FROM {EVENTS})"
+# Two runs: up to the middle of the time span, and after it; each sku's newest change of a run.
+RUNS = (f"(SELECT *, \"priceUpdateDate\" > (SELECT min(\"priceUpdateDate\") + (max(\"priceUpdateDate\") - min(\"priceUpdateDate\")) / 2 "
+        f"FROM {EVENTS}) AS run FROM {DISTINCT_UPDATES})")
+NEWEST = (f"(SELECT sku, \"salePrice\", \"priceUpdateDate\" FROM {RUNS} QUALIFY row_number() OVER "
+          f"(PARTITION BY run, sku ORDER BY \"priceUpdateDate\" DESC, \"salePrice\" DESC) = 1)")
 UPDATED = (f"updated AS (SELECT p.* REPLACE (e.\"salePrice\" AS \"salePrice\", e.\"priceUpdateDate\" AS \"priceUpdateDate\") "
-           f"FROM products p JOIN {DISTINCT_UPDATES} e USING (sku))")
+           f"FROM products p JOIN {NEWEST} e USING (sku))")
 STREAMS = {
     "stream_pages": INGEST["src_valid_pages"],
     "stream_recent": (f"SELECT * FROM {EVENTS} WHERE \"priceUpdateDate\" > timezone('US/Central', timezone('UTC', "
                       f"(SELECT max(ts) FROM events WHERE event_type = 'purchase') - INTERVAL 16 MINUTE))"),
     "stream_dedupe": f"SELECT * FROM {DISTINCT_UPDATES}",
+    "stream_out_of_order": f"SELECT * FROM {DISTINCT_UPDATES}",
     "stream_report": (f"WITH {PRODUCTS_CTE}, {UPDATED}\nSELECT query_name, count(*) AS n_rows FROM ("
                       + " UNION ALL ".join(f"SELECT {lit(n)} AS query_name FROM updated WHERE {w}" for n, w, _, _ in HTTP_PACK)
                       + ") GROUP BY query_name"),

@@ -69,6 +69,50 @@ def test_flat_conjuncts_reach_the_scan(spark, tmp_path):
     assert "GreaterThan(screenSizeClassIn,84.0)" in plan
 
 
+def test_shared_conditions_reach_the_scan(spark, tmp_path):
+    from dealspark.plans import report as R
+    from dealspark.sources.catalogue import store_catalogue
+    stored = store_catalogue(products(spark, SF_SMALL), str(tmp_path / "stored"))
+    qs = K.pack(K.HTTP_PACK)
+    for df in (pack_wide(stored, qs), R.shape(stored, qs), tag_pack(stored, qs)):
+        plan = plan_text(df)
+        assert "EqualTo(onSale,true)" in plan and "EqualTo(active,true)" in plan
+
+
+def test_building_a_search_runs_no_job(spark):
+    cat = products(spark, SF_SMALL)
+    spark.sparkContext.setJobGroup("search-building", "")
+    try:
+        for q in K.SAVED_QUERIES.values():
+            run_search(cat, q)
+        pack_wide(cat, K.pack(K.HTTP_PACK))
+        assert not list(spark.sparkContext.statusTracker().getJobIdsForGroup("search-building"))
+    finally:
+        spark.sparkContext._jsc.clearJobGroup()
+
+
+def test_offers_complete_the_stated_width(spark):
+    from dealspark.operators.compose import add_offers
+    from dealspark.plans import report as R
+    from dealspark.sources.catalogue import offer_rows
+    cat, offers = products(spark, SF_SMALL), offer_rows(spark, SF_SMALL)
+    widths = {r.query_name: r.n_cols for r in R.shape(cat, K.pack(K.HTTP_PACK)).collect() if r.n_rows}
+    for q in K.pack(K.HTTP_PACK)[:3]:
+        rows = add_offers(pack_wide(cat, [q], with_sku=True), offers, fields=q.spec.offers)
+        lines = R.render_rows(rows, q).collect()
+        assert {r.row_html.count("<td>") for r in lines if r["rank"] >= 0} == {widths[q.name]}
+        assert [r.row_html.count("<th>") for r in lines if r["rank"] < 0] == [widths[q.name] + 1]
+
+
+def test_a_product_without_offers_stays(spark):
+    from dealspark.operators.compose import add_offers
+    rows = spark.createDataFrame([(1, "a"), (2, "b")], "__sku long, name string")
+    offers = spark.createDataFrame([(1, 0, "s", None), (1, 1, "t", "e")], "sku long, offer_pos int, startDate string, endDate string")
+    got = sorted((r["name"], r["offer_pos"], r["offer.startDate"], r["offer.endDate"]) for r in add_offers(rows, offers).collect()[:2])
+    assert got == [("a", 0, "s", None), ("a", 1, "t", "e")]
+    assert add_offers(rows, offers).where("offer_pos is null").collect()[0]["name"] == "b"
+
+
 def test_attribute_named_like_a_sort_key(spark):
     # a user spec may ask for an attribute called "Name" without the name column
     from dealspark.operators.projection import ProjectionSpec

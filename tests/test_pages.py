@@ -115,3 +115,20 @@ def test_non_object_product_rejects_its_page(spark, tmp_json):
     path = tmp_json(env(1, [product(1), 5]), env(2, [product(2), ["x"]]), env(3, [product(3)]))
     flat = G.flatten_pages(G.read_envelopes(spark, path), ProjectionSpec())
     assert sorted(r.sku for r in flat.collect()) == [3]
+
+
+def test_columns_and_offer_fields_outside_the_fixed_ones(spark, tmp_json):
+    path = tmp_json(env(1, [product(1, modelNumber="MX-1", shelf={"row": 3}, weight=2.5,
+                                    offers=[{"id": 7, "startDate": "a", "endDate": None}, {"id": "x", "startDate": "b"}])]))
+    flat = G.flatten_pages(G.read_envelopes(spark, path), ProjectionSpec(["sku", "modelNumber", "shelf", "name", "weight"], ["Color"], ["id"]))
+    assert flat.columns == ["page", "pos", "sku", "modelNumber", "shelf", "name", "weight", "Color", "offer.id"]
+    row = flat.collect()[0]
+    assert (row.modelNumber, row.shelf, row.name, row.weight) == ("MX-1", '{"row":3}', "item 1", "2.5")
+    assert row["offer.id"] == {0: "7", 1: "x"}
+
+
+def test_a_long_page_plan_in_blocks(spark):
+    df = spark.createDataFrame([(25_001,), (0,), (10_000,), (None,)], "totalPages long")
+    got = G.page_plan(df)
+    assert got.count() == 35_001 and got.where("page = 25001").collect()[0]["batch"] == 6250
+    assert got.groupBy("totalPages", "page").count().where("count > 1").count() == 0

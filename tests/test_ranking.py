@@ -2,12 +2,8 @@
 
 import numpy as np
 import pandas as pd
-import pytest
-from pyspark.sql import functions as F
 
-from dealspark.operators.ranking import global_rank, keyed_rank
-
-from conftest import plan_text
+from dealspark.operators.ranking import Asc, global_rank, keyed_rank, stepped_rank
 
 
 def _frame(spark, n=3000, seed=7):
@@ -18,65 +14,62 @@ def _frame(spark, n=3000, seed=7):
     return pdf, spark.createDataFrame(pdf)
 
 
-@pytest.fixture(params=["distributed", "single_task"])
-def path(spark, request):
-    """Run each test through both ranking paths."""
-    spark.conf.set("dealspark.rank.singleTaskRows", "0" if request.param == "distributed" else "100000")
-    spark.conf.set("dealspark.rank.maxGroupRows", "0" if request.param == "distributed" else "1000000")
-    yield request.param
-    spark.conf.unset("dealspark.rank.singleTaskRows")
-    spark.conf.unset("dealspark.rank.maxGroupRows")
-
-
-def test_global_rank_matches_sort(spark, path):
+def test_global_rank_matches_sort(spark):
     pdf, df = _frame(spark)
-    got = global_rank(df, [F.col("v").asc_nulls_last(), F.col("id")], out="r").toPandas()
+    got = global_rank(df, [Asc("v", nulls_last=True), "id"], out="r").toPandas()
     exp = pdf.sort_values(["v", "id"], na_position="last").reset_index(drop=True)
     exp["r"] = np.arange(len(exp))
     m = got.merge(exp[["id", "r"]], on="id", suffixes=("", "_exp"))
     assert len(m) == len(pdf) and (m.r == m.r_exp).all()
 
 
-def test_keyed_rank_matches_cumcount_under_skew(spark, path):
+def test_keyed_rank_matches_cumcount_under_skew(spark):
     pdf, df = _frame(spark)
-    got = keyed_rank(df, ["k"], [F.col("v").asc_nulls_last(), F.col("id")], out="r").toPandas()
+    got = keyed_rank(df, "k", [Asc("v", nulls_last=True), "id"], out="r").toPandas()
     exp = pdf.sort_values(["k", "v", "id"], na_position="last")
     exp["r"] = exp.groupby("k").cumcount()
     m = got.merge(exp[["id", "r"]], on="id", suffixes=("", "_exp"))
     assert len(m) == len(pdf) and (m.r == m.r_exp).all()
 
 
-def test_offsets_are_broadcast_not_rows(spark):
+def test_stepped_rank_matches_cumcount_under_skew(spark):
+    pdf, df = _frame(spark)
+    got = stepped_rank(df, ["k"], "v", ["id"], out="r").toPandas()
+    exp = pdf.sort_values(["k", "v", "id"], na_position="first")
+    exp["r"] = exp.groupby("k").cumcount()
+    m = got.merge(exp[["id", "r"]], on="id", suffixes=("", "_exp"))
+    assert len(m) == len(pdf) and (m.r == m.r_exp).all()
+
+
+def _run(df):
+    """Run the frame and return its final plan."""
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_rows_and_counts_read_one_exchange(spark):
     _, df = _frame(spark, n=500)
-    spark.conf.set("dealspark.rank.singleTaskRows", "0")
-    plan = plan_text(global_rank(df, ["v", "id"]))
-    # rows stay in their range partitions; only the per-partition offsets move
-    assert "BroadcastExchange" in plan and "BroadcastHashJoin" in plan
-    spark.conf.unset("dealspark.rank.singleTaskRows")
+    for ranked in (global_rank(df, ["v", "id"]), keyed_rank(df, "k", ["v", "id"]),
+                   global_rank(df, ["v", "id"]).select("rank"), global_rank(df, ["v", "id"]).select("k", "rank")):
+        plan = _run(ranked).split("== Initial Plan ==")[0]
+        ranges = [line for line in plan.splitlines() if "Exchange rangepartitioning" in line]
+        assert sum("ReusedExchange" not in line for line in ranges) == 1 < len(ranges)
+        assert "BroadcastHashJoin" in plan and "SinglePartition" in plan  # only per-partition counts
 
 
-def test_small_input_uses_one_bounded_window(spark):
+def test_building_a_rank_runs_no_job(spark):
     _, df = _frame(spark, n=500)
-    spark.conf.set("dealspark.rank.singleTaskRows", "500")
+    spark.sparkContext.setJobGroup("rank-building", "")
     try:
-        assert "Checkpoint" not in plan_text(global_rank(df, ["v", "id"])) and \
-            "Window" in plan_text(global_rank(df, ["v", "id"]))
-        spark.conf.set("dealspark.rank.singleTaskRows", "499")
-        assert "BroadcastHashJoin" in plan_text(global_rank(df, ["v", "id"]))
+        ranked = [global_rank(df, ["v", "id"]), keyed_rank(df, "k", ["v", "id"]), stepped_rank(df, ["k"], "v", ["id"])]
+        assert not list(spark.sparkContext.statusTracker().getJobIdsForGroup("rank-building"))
+        assert all("rank" in r.columns for r in ranked)
     finally:
-        spark.conf.unset("dealspark.rank.singleTaskRows")
+        spark.sparkContext._jsc.clearJobGroup()
 
 
-def test_keyed_rank_uses_a_window_unless_a_key_is_hot(spark):
-    _, df = _frame(spark, n=1500)          # key 0 holds about a third of the rows
-    spark.conf.set("dealspark.rank.singleTaskRows", "0")
-    try:
-        spark.conf.set("dealspark.rank.maxGroupRows", "100000")
-        calm = plan_text(keyed_rank(df, ["k"], ["v", "id"]))
-        assert "Window" in calm and "Checkpoint" not in calm and "hashpartitioning(k" in calm
-        spark.conf.set("dealspark.rank.maxGroupRows", "100")
-        hot = plan_text(keyed_rank(df, ["k"], ["v", "id"]))
-        assert "BroadcastHashJoin" in hot  # per-partition offsets joined back
-    finally:
-        spark.conf.unset("dealspark.rank.singleTaskRows")
-        spark.conf.unset("dealspark.rank.maxGroupRows")
+def test_empty_and_single_rows(spark):
+    _, df = _frame(spark, n=50)
+    assert global_rank(df.where("false"), ["v", "id"]).collect() == []
+    assert keyed_rank(df.where("false"), "k", ["v", "id"]).collect() == []
+    assert [r["rank"] for r in global_rank(df.where("id = 3"), ["id"]).collect()] == [0]

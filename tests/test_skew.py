@@ -3,7 +3,7 @@
 import duckdb
 from pyspark.sql import functions as F
 
-from dealspark.operators.ranking import keyed_rank
+from dealspark.operators.ranking import stepped_rank
 from dealspark.sources.catalogue import OFFER_ORDER
 
 from conftest import SF_MID
@@ -18,14 +18,8 @@ def _hot_lines(spark):
 
 
 def test_hot_key_rank_is_exact(spark):
-    spark.conf.set("dealspark.rank.singleTaskRows", "0")
-    spark.conf.set("dealspark.rank.maxGroupRows", "0")
-    try:
-        got = keyed_rank(_hot_lines(spark), ["l_partkey"], list(OFFER_ORDER), out="r")
-        got = sorted(tuple(r) for r in got.select("l_partkey", "r", *OFFER_ORDER).collect())
-    finally:
-        spark.conf.unset("dealspark.rank.singleTaskRows")
-    spark.conf.unset("dealspark.rank.maxGroupRows")
+    got = stepped_rank(_hot_lines(spark), ["l_partkey"], OFFER_ORDER[0], list(OFFER_ORDER[1:]), out="r")
+    got = sorted(tuple(r) for r in got.select("l_partkey", "r", *OFFER_ORDER).collect())
     exp = duckdb.sql(f"""
         WITH li AS (SELECT * REPLACE (CASE WHEN l_orderkey % 3 = 0 THEN {HOT} ELSE l_partkey END AS l_partkey)
                     FROM read_parquet('{SF_MID}/lineitem.parquet'))
@@ -38,13 +32,12 @@ def test_hot_key_rank_is_exact(spark):
     assert hot_n > len(got) / 4
 
 
-def test_range_partitions_split_the_hot_key(spark):
-    df = _hot_lines(spark)
-    n = 16
-    parts = (df.repartitionByRange(n, "l_partkey", *OFFER_ORDER)
-               .groupBy(F.spark_partition_id().alias("p")).count().collect())
-    sizes = [r["count"] for r in parts]
-    assert max(sizes) < 2.5 * sum(sizes) / n          # no partition near the hot third
-    hot_parts = (df.repartitionByRange(n, "l_partkey", *OFFER_ORDER).where(F.col("l_partkey") == HOT)
-                   .select(F.spark_partition_id().alias("p")).distinct().count())
-    assert hot_parts >= 4                               # the hot key spans several tasks
+def test_no_task_of_the_plan_holds_the_hot_key(spark):
+    # the rows a window task sorts, and those of a join partition, share sku and step
+    cells = _hot_lines(spark).groupBy("l_partkey", OFFER_ORDER[0]).count()
+    total = cells.agg(F.sum("count")).first()[0]
+    assert cells.agg(F.max("count")).first()[0] < total / 100
+    ranked = stepped_rank(_hot_lines(spark), ["l_partkey"], OFFER_ORDER[0], list(OFFER_ORDER[1:]), out="r")
+    parts = [r["count"] for r in ranked.repartition(16, "l_partkey", OFFER_ORDER[0])
+             .groupBy(F.spark_partition_id().alias("p")).count().collect()]
+    assert max(parts) < 2.5 * total / 16

@@ -2,9 +2,10 @@
 
 import time
 
+import pytest
 from pyspark.sql import functions as F
 
-from dealspark.plans.keys import overlapping_runs, stream_dedupe, stream_recent
+from dealspark.plans.keys import overlapping_runs, stream_dedupe, stream_out_of_order, stream_recent
 from dealspark.sources.catalogue import table
 from dealspark.streaming import incremental as S
 
@@ -18,8 +19,9 @@ def test_overlapping_runs_really_overlap(spark):
     assert n_a + n_b > n_all and a.intersect(b).count() == n_a + n_b - n_all
 
 
-def test_dedupe_stream_equals_distinct_batch(spark):
-    got = stream_dedupe(spark, SF_SMALL)
+@pytest.mark.parametrize("key", [stream_dedupe, stream_out_of_order])
+def test_dedupe_stream_equals_distinct_batch(spark, key):
+    got = key(spark, SF_SMALL)
     exp = S.as_price_updates(table(spark, SF_SMALL, "events")).distinct()
     assert got.count() == exp.count()
     assert got.exceptAll(exp).count() == 0 and exp.exceptAll(got).count() == 0
@@ -30,9 +32,14 @@ def test_dedupe_is_idempotent(spark, tmp_path):
     src = str(tmp_path / "in")
     a.write.parquet(src + "/r1")
     a.write.parquet(src + "/r2")  # the same run landed twice
-    out, ck = str(tmp_path / "out"), str(tmp_path / "ck")
-    S.run_to_end(S.dedupe(S.price_updates(spark, src + "/r*/*.parquet")), ck, out)
-    assert spark.read.parquet(out).count() == a.count()
+    led, ck = str(tmp_path / "ledger"), str(tmp_path / "ck")
+    body = S.first_deliveries(led)
+    S.run_to_end(S.price_updates(spark, src + "/r*/*.parquet"), ck, foreach_batch=body)
+    assert S.delivered(spark, led).count() == a.count()
+    b_, n = overlapping_runs(spark, SF_SMALL)[1], S.as_price_updates(table(spark, SF_SMALL, "events")).count()
+    for _ in range(2):  # a batch and its replay
+        body(S.as_price_updates(b_), 1)
+        assert S.delivered(spark, led).count() == n
 
 
 def test_recent_stream_equals_batch_filter(spark):
@@ -52,7 +59,7 @@ def test_live_cadence_trigger_runs_and_stops(spark, tmp_path):
         F.lit("purchase").alias("event_type"), F.col("salePrice").alias("value"),
         F.lit(None).cast("string").alias("props")).write.parquet(src)
     out, ck = str(tmp_path / "out"), str(tmp_path / "ck")
-    q = S.run(S.dedupe(S.price_updates(spark, src + "/*.parquet")), ck, out, live=True)
+    q = S.run(S.price_updates(spark, src + "/*.parquet"), ck, out, live=True)
     try:
         # the first trigger fires at once; the next one would be 15 minutes later,
         # so wait for the first completed batch rather than for "no new data"

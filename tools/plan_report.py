@@ -3,8 +3,8 @@
 For each key: shuffle exchanges, broadcast exchanges, single-partition
 exchanges, parquet scans, whether flat filters were pushed to a scan and
 whether partition filters pruned one.  Keys that materialise an intermediate
-(checkpointed ranks, landed pages, written reports) show the plan that reads
-it back.  Usage: python tools/plan_report.py [sf_dir] [--distributed | --markdown > PLANS.md]
+(landed pages, written reports) show the plan that reads
+it back.  Usage: python tools/plan_report.py [sf_dir] [--markdown > PLANS.md]
 """
 
 from __future__ import annotations
@@ -17,8 +17,8 @@ import sys
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-import __spark_entry__ as E  # noqa: E402
 from dealspark import build_session  # noqa: E402
+from dealspark.plans.keys import QUERIES  # noqa: E402
 
 
 def plan_of(df) -> str:
@@ -59,11 +59,17 @@ def single_partition_consumers(txt: str) -> tuple[int, int]:
 AGGS = ("HashAggregate", "ObjectHashAggregate", "SortAggregate")
 
 
+def _real_filters(details: str) -> bool:
+    """Whether a scan takes a filter other than ``IsNotNull``, which every comparison brings along."""
+    lists = re.findall(r"PushedFilters: \[([^\]]*)\]", details)
+    return any(f and not f.startswith("IsNotNull(") for x in lists for f in re.split(r", (?=[A-Z])", x))
+
+
 def table(spark, sf_dir: str) -> list[str]:
     lines = ["| key | shuffles | broadcasts | to one partition: data rows / aggregated rows | parquet scans "
              "| pushed filters | partition filters |",
              "|---|---:|---:|---:|---:|---|---|"]
-    for key, fn in E.queries().items():
+    for key, fn in QUERIES.items():
         txt = plan_of(fn(spark, sf_dir))
         details = txt.split("\n\n", 1)[1] if "\n\n" in txt else txt
         nodes = set(re.findall(r"^\((\d+)\) (\w+)(?: (\w+))?", details, re.M))  # unique by node id
@@ -72,7 +78,7 @@ def table(spark, sf_dir: str) -> list[str]:
         to_agg, to_rows = single_partition_consumers(txt)
         single = f"{to_rows} rows / {to_agg} agg" if (to_rows or to_agg) else "0"
         scans = sum(1 for n in nodes if n[1] == "Scan" and n[2] == "parquet")
-        pushed = "yes" if re.search(r"PushedFilters: \[[^\]]", details) else "-"
+        pushed = "yes" if _real_filters(details) else "-"
         pruned = "yes" if re.search(r"PartitionFilters: \[[^\]]", details) else "-"
         lines.append(f"| `{key}` | {shuffles} | {bcasts} | {single} | {scans} | {pushed} | {pruned} |")
     return lines
@@ -83,16 +89,9 @@ def main() -> None:
     sf_dir = next((a for a in args if a.startswith("/")), "/root/testdata/sf0.1")
     spark = build_session("local[8]", 16)
     if "--markdown" in args:
-        head, as_run, forced, tail = open(os.path.join(os.path.dirname(__file__), "plans_template.md")).read().split("@@")
-        out = [head.rstrip("\n"), "", *table(spark, sf_dir), "", as_run.strip("\n"), ""]
-        spark.conf.set("dealspark.rank.singleTaskRows", "0")
-        spark.conf.set("dealspark.rank.maxGroupRows", "0")
-        out += [*table(spark, sf_dir), "", forced.strip("\n"), tail.rstrip("\n") if tail.strip() else ""]
-        print("\n".join(out).rstrip("\n"))
+        head, as_run, tail = open(os.path.join(os.path.dirname(__file__), "plans_template.md")).read().split("@@")
+        print("\n".join([head.rstrip("\n"), "", *table(spark, sf_dir), "", as_run.strip("\n"), tail.rstrip("\n")]).rstrip("\n"))
     else:
-        if "--distributed" in args:
-            spark.conf.set("dealspark.rank.singleTaskRows", "0")
-            spark.conf.set("dealspark.rank.maxGroupRows", "0")
         print("\n".join(table(spark, sf_dir)))
     spark.stop()
 
