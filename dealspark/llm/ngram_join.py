@@ -12,11 +12,13 @@ everything below works on classes.
 3. The classes of a prefix n-gram meet in cells by length (neighbouring length
    steps only), large cells are split into block pairs.  A pair passes the
    length, positional and suffix filters - the last bounds the overlap by the
-   sizes of ``BINS`` fixed hash ranges - and is taken up only at its first
-   common prefix n-gram, so every pair is verified once.
+   sizes of ``BINS`` fixed hash ranges.  In cells of more than ``HOT`` classes it
+   is taken up only at its first common n-gram of such cells; the candidates are
+   then made distinct, so every pair is verified once.
 4. Verification intersects the whole sets.
 
-Counts of a bounded sketch (2 MB) are all that the driver and the broadcast hold.
+The driver and the broadcasts hold a sketch and a bit table of fixed sizes (16 MB
+and 0.5 MB), whatever the input; a fuller bit table only lets more sets through.
 
 Edge cases: a text that is null, empty or blank has an empty set, links with
 nothing and is its own component; repeated rows and equal texts are one class;
@@ -38,13 +40,16 @@ from pyspark.sql import types as T
 from .common import by_bytes, stored
 from .components import components
 
-SKETCH_BITS = 18
+SKETCH_BITS = 21
 SKETCH = 1 << SKETCH_BITS
 CHUNK = 4096
-BIN_BITS = 7
+BIN_BITS = 6
 BINS = 1 << BIN_BITS
-#: Classes of one block of a cell.
+#: Classes of one block of a cell, and of a cell in which pairs are met once.
 BLOCK = 1024
+HOT = 32
+#: Bits of the table of texts whose sets are read again.
+PICKED_BITS = 22
 STORE_WORDS = 600_000
 #: Copies of a class that a task recognises among its own rows.
 SEEN = 500_000
@@ -125,7 +130,13 @@ def _scan(width: int, key: str, text: str):
 
 
 def _pack(counts: np.ndarray) -> bytes:
-    return counts.astype("<i8").tobytes()
+    """Width of a number, then the numbers."""
+    width = next(w for w in (1, 2, 4, 8) if int(counts.max()) < 1 << 8 * w)
+    return bytes([width]) + counts.astype(f"<u{width}").tobytes()
+
+
+def _unpack(data: bytes) -> np.ndarray:
+    return np.frombuffer(data, f"<u{data[0]}", offset=1).astype(np.int64)
 
 
 def _sketch(rows: DataFrame) -> np.ndarray:
@@ -133,7 +144,7 @@ def _sketch(rows: DataFrame) -> np.ndarray:
     def add(key: tuple, t: pa.Table) -> pa.Table:
         total = np.zeros(CHUNK, np.int64)
         for x in t.column("counts").to_pylist():
-            total += np.frombuffer(x, "<i8")
+            total += _unpack(x)
         return pa.table({"chunk": pa.array([key[0].as_py()], pa.int32()), "counts": pa.array([_pack(total)], pa.binary())})
 
     kind = "chunk int, counts binary"
@@ -141,7 +152,7 @@ def _sketch(rows: DataFrame) -> np.ndarray:
            .groupBy("chunk").applyInArrow(add, kind).collect())
     out = np.zeros(SKETCH, np.int64)
     for r in got:
-        out[r["chunk"] * CHUNK:(r["chunk"] + 1) * CHUNK] = np.frombuffer(bytes(r["counts"]), "<i8")
+        out[r["chunk"] * CHUNK:(r["chunk"] + 1) * CHUNK] = _unpack(bytes(r["counts"]))
     return out
 
 
@@ -171,7 +182,8 @@ def _prefixes(width: int, percent: int, text: str, sketch) -> object:
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.concatenate([np.zeros(0, np.uint64), *(r[0] for r in rows)]).view(np.int64)),
                  pa.array(np.repeat(np.array([r[1] for r in rows], np.int64), lens)),
-                 pa.array(at.astype(np.int32))], names=["gram", "cls", "i"])
+                 pa.array(np.repeat(np.array([r[2] for r in rows], np.int64), lens) << 32 | at.astype(np.int64))],
+                names=["gram", "cls", "place"])
     return run
 
 
@@ -217,7 +229,7 @@ def _meet(percent: int):
 
     def pairs(t: pa.Table, starts: np.ndarray) -> pa.RecordBatch:
         cls = t.column("cls").to_numpy()
-        whole = {"n": t.column("n").to_numpy(), "i": t.column("i").to_numpy().astype(np.int64),
+        whole = {"n": t.column("place").to_numpy() >> 32, "i": t.column("place").to_numpy() & 0xFFFFFFFF,
                  "base": t.column("base").to_numpy(), "block": t.column("block").to_numpy(),
                  "bins": np.frombuffer(b"".join(t.column("bins").to_pylist()), np.uint8).reshape(-1, BINS)}
         two = t.column("bi").to_numpy() != t.column("bj").to_numpy()
@@ -226,9 +238,11 @@ def _meet(percent: int):
         for lo, hi in zip(starts, [*starts[1:], t.num_rows]):
             if hi - lo < 2:
                 continue
-            part = {k: v[lo:hi] for k, v in whole.items()} | {"two": bool(two[lo])}
-            for u, v in _cell_pairs(part, prior[lo:hi], percent):
-                x, y = int(cls[lo + u]), int(cls[lo + v])
+            # Copies of a text in other partitions are the same class.
+            at = lo + np.sort(np.unique(cls[lo:hi], return_index=True)[1])
+            part = {k: v[at] for k, v in whole.items()} | {"two": bool(two[lo])}
+            for u, v in _cell_pairs(part, [prior[k] for k in at], percent):
+                x, y = int(cls[at[u]]), int(cls[at[v]])
                 a.append(min(x, y)), b.append(max(x, y))
         return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
@@ -248,16 +262,34 @@ def _meet(percent: int):
     return run
 
 
-def _sets(width: int, text: str):
+def _sets(width: int, text: str, picked):
+    """Sets of the rows whose bit is set."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingles = Shingles(width)
+        shingles, bits = Shingles(width), picked.value
         for batch in by_bytes(batches, text):
-            sets = [s for s in map(shingles, batch.column(text).to_pylist()) if len(s)]
+            at = batch.column("bit").to_numpy()
+            chosen = batch.filter(pa.array((bits[at >> 6] >> (at & 63).astype(np.uint64) & np.uint64(1)).astype(bool)))
+            sets = [s for s in map(shingles, chosen.column(text).to_pylist()) if len(s)]
             yield pa.RecordBatch.from_arrays([pa.array([_class_id(s) for s in sets], pa.int64()),
                                               pa.array([s.tobytes() for s in sets], pa.binary())], names=["cls", "grams"])
     return run
 
 
+def _bit(key: str):
+    return F.pmod(F.xxhash64(key), F.lit(1 << PICKED_BITS)).cast("long")
+
+
+def _bit_table(keys: DataFrame, key: str) -> np.ndarray:
+    """Bits of the keys' hashes, as 64-bit words; at most 2 ** (PICKED_BITS - 6) words reach the driver."""
+    bit = _bit(key)
+    words = (keys.select(F.shiftright(bit, 6).alias("word"), F.expr("1L").alias("one"), (bit % 64).cast("int").alias("at"))
+             .groupBy("word").agg(F.bit_or(F.call_function("shiftleft", F.col("one"), F.col("at"))).alias("bits")).collect())
+    out = np.zeros(1 << PICKED_BITS - 6, np.uint64)
+    for r in words:
+        out[r["word"]] = np.int64(r["bits"]).astype(np.uint64)
+    return out
+
+
 def _verify(percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -291,35 +323,36 @@ class Join:
             F.first("bins").alias("bins")), "ngram-classes")
 
         sketch = spark.sparkContext.broadcast(_sketch(scanned.where("chunk is not null")))
-        prefixes = stored(docs.mapInArrow(_prefixes(width, percent, text, sketch), "gram long, cls long, i int"), "ngram-prefixes")
-        shared = (prefixes.groupBy("gram").agg(F.min("cls").alias("x"), F.max("cls").alias("y"))
-                  .where("x < y").select("gram"))
-        held = (prefixes.join(shared, "gram").groupBy("cls")
-                .agg(F.sort_array(F.collect_set(F.struct("i", "gram"))).alias("prefix")))
-        step = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(100.0 / percent)) + 1e-9).cast("int")
-        entries = (held.join(self.classes, "cls")
-                   .select("cls", "n", "bins", "prefix", step.alias("step"), F.posexplode("prefix").alias("at", "e"))
-                   .select("cls", "n", "bins", "step", F.col("e.i").alias("i"), F.col("e.gram").alias("gram"),
-                           F.slice(F.transform("prefix", lambda e: e["gram"]), F.lit(1), F.col("at")).alias("prior")))
+        prefixes = stored(docs.mapInArrow(_prefixes(width, percent, text, sketch), "gram long, cls long, place long"), "ngram-prefixes")
+        shared = prefixes.groupBy("gram").agg(F.count("*").alias("times")).where("times > 1").select("gram")
+        n = F.shiftright("place", 32)
+        step = F.floor(F.log(n.cast("double")) / F.log(F.lit(100.0 / percent)) + 1e-9).cast("int")
         # A row meets its own length step as a base and, as the longer one, the step below.
-        placed = stored(entries.withColumn("cell", F.explode(F.array("step", F.col("step") - 1)))
-                        .withColumn("base", F.col("cell") == F.col("step")).drop("step"), "ngram-cells")
-        sizes = placed.groupBy("gram", "cell").agg(F.count("*").alias("size"), F.count_if("base").alias("bases"))
-        sizes = sizes.where("size > 1 and bases > 0").select(
-            "gram", "cell", F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks"))
-        pairs = (placed.join(sizes, ["gram", "cell"])
-                 .withColumn("block", F.pmod(F.xxhash64("cls"), F.col("blocks")).cast("int"))
-                 .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-                 .withColumns({"bi": F.least("block", "other"), "bj": F.greatest("block", "other")})
-                 .drop("blocks", "other").repartition("gram", "cell", "bi", "bj")
-                 .sortWithinPartitions("gram", "cell", "bi", "bj")
-                 .select("gram", "cell", "bi", "bj", "cls", "n", "i", "base", "block", "bins", "prior")
+        thin = stored(prefixes.join(shared, "gram").withColumn("step", step)
+                      .withColumn("cell", F.explode(F.array("step", F.col("step") - 1)))
+                      .withColumn("base", F.col("cell") == F.col("step")).drop("step"), "ngram-cells")
+        sizes = (thin.groupBy("gram", "cell").agg(F.count("*").alias("size"), F.count_if("base").alias("bases"))
+                 .where("size > 1 and bases > 0").select("gram", "cell", "size"))
+        alive = stored(thin.join(sizes, ["gram", "cell"]), "ngram-alive")
+        hot = (alive.where(F.col("size") > HOT).groupBy(F.col("cls").alias("of"))
+               .agg(F.collect_set(F.struct(F.col("place").alias("at"), "gram")).alias("hot")))
+        rows = (alive.join(self.classes.select("cls", "bins"), "cls").join(hot, F.col("cls") == F.col("of"), "left")
+                .withColumn("prior", F.when(F.col("size") > HOT, F.transform(
+                    F.filter("hot", lambda e: e["at"] < F.col("place")), lambda e: e["gram"])).otherwise(
+                    F.array().cast("array<bigint>")))
+                .withColumn("blocks", F.ceil(F.col("size") / BLOCK).cast("int"))
+                .withColumn("block", F.pmod(F.xxhash64("cls"), F.col("blocks")).cast("int"))
+                .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+                .withColumns({"bi": F.least("block", "other"), "bj": F.greatest("block", "other")}))
+        pairs = (rows.select("gram", "cell", "bi", "bj", "cls", "place", "base", "block", "bins", "prior")
+                 .repartition("gram", "cell", "bi", "bj").sortWithinPartitions("gram", "cell", "bi", "bj")
                  .mapInArrow(_meet(percent), "a long, b long"))
-        candidates = stored(pairs, "ngram-candidates")
+        candidates = stored(pairs.distinct(), "ngram-candidates")
 
-        firsts = stored(candidates.select(F.col("a").alias("cls")).union(candidates.select("b")).distinct()
-                        .join(self.classes, "cls").select(F.col("first").alias(key)).where(F.col(key).isNotNull()), "ngram-firsts")
-        sets = stored(docs.join(firsts, key, "left_semi").mapInArrow(_sets(width, text), "cls long, grams binary")
+        firsts = (candidates.select(F.col("a").alias("cls")).union(candidates.select("b")).distinct()
+                  .join(self.classes, "cls").select(F.col("first").alias(key)))
+        picked = spark.sparkContext.broadcast(_bit_table(firsts, key))
+        sets = stored(docs.withColumn("bit", _bit(key)).mapInArrow(_sets(width, text, picked), "cls long, grams binary")
                       .dropDuplicates(["cls"]), "ngram-sets")
         #: (a, b), a < b: every pair of classes that links.
         self.links = stored(
