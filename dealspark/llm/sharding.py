@@ -5,7 +5,9 @@ of the id, so equal texts lie together and a large group of copies can still be
 split.  Probe keys divide the key space evenly; one aggregation counts the exact
 bytes and rows between neighbouring probes.  Intervals that hold a shard's
 boundary, or too much for one task, get new probes inside, until every boundary
-is within ``tolerance`` of its place or its interval holds one key.  Only these
+is within ``tolerance`` of its place or its interval holds one key.  A boundary
+moves by up to ``GROUP_TOLERANCE`` of a shard where that keeps equal texts in one
+shard; a group of copies beyond that is split.  Only these
 counts reach the driver (at most ``PROBES`` intervals a round).  Then one
 exchange by key range numbers the rows: a row's slot is the number of rows in
 earlier ranges of its shard, known from the counts, plus its rank in its range.
@@ -30,6 +32,10 @@ KEY_BITS = 63
 TOP_BITS = 12
 PROBES = 1 << 14
 TOLERANCE = 0.001
+#: Share of a shard that may go to or come from its neighbour to keep equal texts together.
+GROUP_TOLERANCE = 0.005
+#: Bits of the key below the text's CRC-32.
+TEXT_SHIFT = 31
 #: Key ranges a shard is sorted in.
 RANGES = 64
 
@@ -43,7 +49,7 @@ def text_crc32(text: Column) -> Column:
 
 
 def sort_key(text: Column, doc: Column) -> Column:
-    return F.shiftleft(text_crc32(text), 31).bitwiseOR(F.xxhash64(doc).bitwiseAND((1 << 31) - 1))
+    return F.shiftleft(text_crc32(text), TEXT_SHIFT).bitwiseOR(F.xxhash64(doc).bitwiseAND((1 << TEXT_SHIFT) - 1))
 
 
 @dataclass(frozen=True)
@@ -104,12 +110,21 @@ def plan(keys: DataFrame, n_shards: int, tolerance: float = TOLERANCE, ranges: i
         fine = [c for at in range(0, len(todo), PROBES // 4) for c in _histogram(keys, todo[at:at + PROBES // 4])]
         cells = sorted({*cells} - {*todo} | {*fine}, key=lambda c: c.low)
 
-    # Each boundary goes to the cell edge nearest to its place.
+    # Each boundary goes to the cell edge nearest to its place that splits no
+    # text, if there is one within GROUP_TOLERANCE, else to the nearest edge.
     edges = [0]
     for c in cells:
         edges.append(edges[-1] + c.size)
-    cuts = [0] + [min((i for i in (bisect.bisect_left(edges, t) - 1, bisect.bisect_left(edges, t)) if i >= 0),
-                      key=lambda i, t=t: abs(edges[i] - t)) for t in targets] + [len(cells)]
+    slack = GROUP_TOLERANCE * total / n_shards
+
+    def cut(t: float) -> int:
+        at = bisect.bisect_left(edges, t)
+        near = min((i for i in (at - 1, at) if i >= 0), key=lambda i: abs(edges[i] - t))
+        whole = [i for i in range(bisect.bisect_left(edges, t - slack), bisect.bisect_right(edges, t + slack))
+                 if i == len(cells) or not cells[i].low & ((1 << TEXT_SHIFT) - 1)]
+        return min(whole, key=lambda i: abs(edges[i] - t), default=near)
+
+    cuts = [0, *map(cut, targets), len(cells)]
     out = Plan([], [], [])
     for shard in range(n_shards):
         before = size = rows = 0
