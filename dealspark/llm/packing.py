@@ -251,7 +251,10 @@ def islands(items: DataFrame, n_groups: int, capacity: int, label: int) -> DataF
 
 
 def pack(items: DataFrame, capacity: int = CAPACITY, group_items: int = GROUP_ITEMS) -> DataFrame:
-    """``items`` (of ``pieces``) with ``sequence_id`` and ``offset``."""
+    """``items`` (of ``pieces``) with ``sequence_id`` and ``offset``.
+
+    The pieces are written first: their item numbers hold for one reading only."""
+    items = stored(items, "pieces")
     open_items = items.where(F.col("length") < capacity).select("item", "length")
     n = open_items.count()
     groups = max(1, round(n / group_items))
@@ -269,4 +272,4 @@ def pack(items: DataFrame, capacity: int = CAPACITY, group_items: int = GROUP_IT
 
 
 def pack_documents(df: DataFrame, key: str = "doc_id", text: str = "text", capacity: int = CAPACITY) -> DataFrame:
-    return pack(stored(pieces(df, key, text, capacity=capacity), "pieces"), capacity).drop("item")
+    return pack(pieces(df, key, text, capacity=capacity), capacity).drop("item")
