@@ -16,6 +16,8 @@ chunks are compared with others only; an empty table gives an empty result.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -31,43 +33,61 @@ def _is_long(line: Column) -> Column:
     return (F.length(line) > 2 * LONG_WORDS) & F.rlike(line, F.lit(rf"^\s*+(?:\S++\s++){{{LONG_WORDS}}}+\S"))
 
 
-def _chunks(df: DataFrame, text: str) -> DataFrame:
-    """``df`` with ``_chunks``: (body, lines, a, b, counts); ``counts`` for chunks that are compared."""
-    lines = df.withColumn("_lines", F.split(text, "\n", -1))
-    marked = lines.withColumns({
-        "_hash": F.transform("_lines", lambda x: F.xxhash64(x)),
-        "_long": F.transform("_lines", _is_long)})
-
-    def starts_here(i: Column) -> Column:
-        window = [F.get(F.col("_hash"), i - k) for k in range(WINDOW, 0, -1)]
-        return ((i == 0) | F.get(F.col("_long"), i) | F.coalesce(F.get(F.col("_long"), i - 1), F.lit(False))
+def _let(value: Column, then: Callable[[Column], Column]) -> Column:
+    """``then(value)`` with the value computed once, however often it is used;
+    named columns would be inlined into the lambdas and computed per element."""
+    return F.get(F.transform(F.array(value), then), 0)
+
+
+def chunks(text: Column) -> Column:
+    """The chunks of a text in order: (body, lines, counts, a, b), hashes of the
+    body as ``a`` and ``b``, ``counts`` for chunks that are compared."""
+    def cut(lines: Column, marks: Column, starts: Column) -> Column:
+        def chunk(at: Column, k: Column) -> Column:
+            part = F.slice(lines, at + 1, F.coalesce(F.get(starts, k + 1), F.size(lines)) - at)
+            full = lambda p: F.size(F.filter(p, lambda x: F.rlike(x, F.lit(r"\S")))) >= 2
+            made = lambda p: F.struct(
+                F.array_join(p, "\n").alias("body"), F.size(p).alias("lines"),
+                (F.get(marks["long"], at) | ((F.size(p) > 1) & full(p))).alias("counts"))
+            hashed = lambda c: F.struct(
+                c["body"].alias("body"), c["lines"].alias("lines"), c["counts"].alias("counts"),
+                F.xxhash64(c["body"]).alias("a"), F.xxhash64(F.lit(1), c["body"]).alias("b"))
+            return _let(part, lambda p: _let(made(p), hashed))
+        return F.transform(starts, chunk)
+
+    def starts_here(marks: Column, i: Column) -> Column:
+        window = [F.get(marks["hash"], i - k) for k in range(WINDOW, 0, -1)]
+        return ((i == 0) | F.get(marks["long"], i) | F.coalesce(F.get(marks["long"], i - 1), F.lit(False))
                 | (F.pmod(F.xxhash64(*window), F.lit(EVERY)) == 0))
 
-    cut = marked.withColumn("_starts", F.filter(F.sequence(F.lit(0), F.size("_lines") - 1), starts_here))
-    parts = cut.withColumn("_parts", F.transform("_starts", lambda s, k: F.slice(
-        "_lines", s + 1, F.coalesce(F.get(F.col("_starts"), k + 1), F.size("_lines")) - s)))
-
-    def chunk(part: Column, k: Column) -> Column:
-        full = F.size(F.filter(part, lambda x: F.rlike(x, F.lit(r"\S"))))
-        return F.struct(F.array_join(part, "\n").alias("body"), F.size(part).alias("lines"),
-                        ((full >= 2) | F.get(F.col("_long"), F.get(F.col("_starts"), k))).alias("counts"))
-
-    bodies = parts.withColumn("_bodies", F.transform("_parts", chunk))
-    out = bodies.withColumn("_chunks", F.transform("_bodies", lambda c: F.struct(
-        c["body"].alias("body"), c["lines"].alias("lines"), c["counts"].alias("counts"),
-        F.xxhash64(c["body"]).alias("a"), F.xxhash64(F.lit(1), c["body"]).alias("b"))))
-    return out.drop("_lines", "_hash", "_long", "_starts", "_parts", "_bodies")
+    return _let(F.split(text, "\n", -1), lambda lines: _let(
+        F.struct(F.transform(lines, lambda x: F.xxhash64(x)).alias("hash"), F.transform(lines, _is_long).alias("long")),
+        lambda marks: _let(F.filter(F.sequence(F.lit(0), F.size(lines) - 1), lambda i: starts_here(marks, i)),
+                           lambda starts: cut(lines, marks, starts))))
 
 
 def repeated_chunks(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(a, b, first): hashes of the chunks found twice or more, and the smallest id that holds them."""
-    seen = (_chunks(df.select(F.col(key).alias("_id"), F.col(text).alias("_text")), "_text")
-            .select("_id", F.explode(F.filter("_chunks", lambda c: c["counts"])).alias("c")))
+    seen = (df.select(F.col(key).alias("_id"), F.explode_outer(F.filter(chunks(F.col(text)), lambda c: c["counts"])).alias("c"))
+            .where("c is not null"))
     # Grouping by the body compares the bytes of chunks with equal hashes.
     return (seen.groupBy("c.a", "c.b", "c.body").agg(F.min("_id").alias("first"), F.count("*").alias("times"))
             .where("times > 1").select("a", "b", "first"))
 
 
+def removals(df: DataFrame, again: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """(_of, _gone): per id the chunks (k, a) that go."""
+    marked = F.transform(chunks(F.col(text)), lambda c, k: F.struct(
+        k.alias("k"), c["a"].alias("a"), c["b"].alias("b"), c["counts"].alias("counts")))
+    own = (df.where(F.col(key).isNotNull())
+           .select(F.col(key).alias("_id"), F.explode_outer(F.filter(marked, lambda c: c["counts"])).alias("c"))
+           .where("c is not null").select("_id", "c.k", "c.a", "c.b"))
+    held = own.join(again, ["a", "b"]).groupBy("_id", "a", "b", "first").agg(F.min("k").alias("k"), F.collect_set("k").alias("all"))
+    gone = F.when(F.col("_id") == F.col("first"), F.array_remove("all", F.col("k"))).otherwise(F.col("all"))
+    return (held.withColumn("gone", F.transform(gone, lambda k: F.struct(k.alias("k"), F.col("a").alias("a"))))
+            .groupBy(F.col("_id").alias("_of")).agg(F.flatten(F.collect_list("gone")).alias("_gone")).where(F.size("_gone") > 0))
+
+
 def dedup(df: DataFrame, key: str = "doc_id", text: str = "text", counts: bool = True,
           drop_emptied: bool = False) -> DataFrame:
     """``df`` with the text without repeated chunks.
@@ -78,24 +98,22 @@ def dedup(df: DataFrame, key: str = "doc_id", text: str = "text", counts: bool =
     others = [c for c in df.columns if c not in (key, text)]
     rows = df.select(F.col(key).alias("_id"), F.col(text).alias("_text"),
                      F.struct(F.lit(0).alias("_"), *[F.col(f"`{c}`") for c in others]).alias("_row"))
-    again = stored(repeated_chunks(df, key, text), "line-chunks")
-    hashes = (_chunks(rows.select("_id", "_text").where("_id is not null"), "_text")
-              .withColumn("_all", F.transform("_chunks", lambda c: c["a"]))
-              .select("_id", "_all", F.posexplode("_chunks").alias("k", "c")).where("c.counts")
-              .select("_id", "k", "c.a", "c.b", (F.array_position("_all", F.col("c.a")) == F.col("k") + 1).alias("here")))
-    gone = (hashes.join(again, ["a", "b"]).where((F.col("_id") != F.col("first")) | ~F.col("here"))
-            .groupBy(F.col("_id").alias("_of")).agg(F.collect_set(F.struct("k", "a")).alias("_gone")))
-    joined = rows.join(gone, F.col("_id") == F.col("_of"), "left").drop("_of")
-    marked = _chunks(joined, "_text").withColumn("_kept", F.transform("_chunks", lambda c, k: F.struct(
-        c["body"].alias("body"), c["lines"].alias("lines"),
-        (~F.coalesce(F.array_contains(F.col("_gone"), F.struct(k.alias("k"), c["a"].alias("a"))), F.lit(False))).alias("stays"))))
-    stays = F.filter("_kept", lambda c: c["stays"])
-    gone_chunks = F.filter("_kept", lambda c: ~c["stays"])
-    lines = lambda cs: F.coalesce(F.aggregate(cs, F.lit(0), lambda n, c: n + c["lines"]), F.lit(0))
-    new = marked.withColumn("_new", F.when(F.col("_text").isNotNull(), F.array_join(F.transform(stays, lambda c: c["body"]), "\n")))
+    gone = removals(df, stored(repeated_chunks(df, key, text), "line-chunks"), key, text)
+    joined = rows.join(gone, F.col("_id") == F.col("_of"), "left")
+
+    def cleaned(cs: Column) -> Column:
+        # Rows of the same id may have different texts: a removal holds where its chunk stands.
+        places = F.transform(F.filter("_gone", lambda g: F.get(cs, g["k"])["a"] == g["a"]), lambda g: g["k"])
+        return _let(F.array_except(F.sequence(F.lit(0), F.size(cs) - 1), places), lambda kept: F.struct(
+            F.array_join(F.transform(kept, lambda k: F.get(cs, k)["body"]), "\n").alias("text"),
+            F.aggregate(kept, F.lit(0), lambda n, k: n + F.get(cs, k)["lines"]).alias("lines"),
+            (F.size(cs) - F.size(kept)).alias("chunks")))
+
+    n_lines = F.coalesce(F.size(F.split("_text", "\n", -1)), F.lit(0))
+    new = joined.withColumn("_new", F.when(F.col("_text").isNotNull() & F.col("_gone").isNotNull(), _let(chunks(F.col("_text")), cleaned)))
     if drop_emptied:
-        new = new.where(F.col("_gone").isNull() | F.rlike("_new", F.lit(r"\S")))
-    added = {"n_lines": lines(F.col("_kept")), "removed_lines": lines(gone_chunks),
-             "removed_chunks": F.coalesce(F.size(gone_chunks), F.lit(0))} if counts else {}
-    given = {key: F.col("_id"), text: F.col("_new")} | {c: F.col("_row").getField(c) for c in others}
+        new = new.where(F.col("_gone").isNull() | F.rlike("_new.text", F.lit(r"\S")))
+    added = {"n_lines": n_lines, "removed_lines": F.coalesce(n_lines - F.col("_new.lines"), F.lit(0)),
+             "removed_chunks": F.coalesce("_new.chunks", F.lit(0))} if counts else {}
+    given = {key: F.col("_id"), text: F.coalesce("_new.text", "_text")} | {c: F.col("_row").getField(c) for c in others}
     return new.select(*[given[c].alias(c) for c in df.columns if c not in added], *[v.alias(k) for k, v in added.items()])
