@@ -70,7 +70,7 @@ def run_search(catalogue: DataFrame, q: SavedQuery, now: Column | None = None,
     computed.
     """
     now = latest_update(catalogue) if now is None else now
-    hits = catalogue.where(q.where(now))
+    hits = catalogue.where(q.where(now, catalogue.columns))
     s = q.spec.resolved()
     carried = [F.col(k).alias(f"{_SORT}{k}") for k in SORT_KEYS]  # never clash with output names
     projected = hits.select(*[F.col(f"`{c}`") for c in s.columns],
@@ -96,8 +96,8 @@ def tag_pack(catalogue: DataFrame, queries: Sequence[SavedQuery], now: Column |
     subquery.)
     """
     now = latest_update(catalogue) if now is None else now
-    tags = F.array(*[F.when(q.where(now), F.lit(q.name)) for q in queries])
-    return (catalogue.where(shared(queries, now)).withColumn(tag, F.explode(tags))
+    tags = F.array(*[F.when(q.where(now, catalogue.columns), F.lit(q.name)) for q in queries])
+    return (catalogue.where(shared(queries, now, catalogue.columns)).withColumn(tag, F.explode(tags))
             .where(F.col(tag).isNotNull()))
 
 

@@ -32,6 +32,20 @@ def _c(field: str) -> Column:
     return F.col(field)
 
 
+#: Prefix of a stored case-folded copy of a text field (see ``store_catalogue``).
+FOLDED = "folded_"
+
+
+def folded_fields(columns: Iterable[str]) -> frozenset[str]:
+    """The text fields of which a catalogue stores a case-folded copy."""
+    return frozenset(c.removeprefix(FOLDED) for c in columns if c.startswith(FOLDED))
+
+
+def _text(field: str, folded: frozenset[str]) -> Column:
+    """The field in lower case: its stored copy, which a scan can filter, or computed."""
+    return _c(FOLDED + field) if field in folded else F.lower(_c(field))
+
+
 def _is_text(value) -> bool:
     return isinstance(value, str)
 
@@ -43,17 +57,17 @@ def negate(pred: Column) -> Column:
 
 # -- flat fields -------------------------------------------------------------
 
-def eq(field: str, value) -> Column:
+def eq(field: str, value, folded: frozenset[str] = frozenset()) -> Column:
     """``field=value``; text compares case-insensitively, booleans and numbers exactly."""
     if _is_text(value):
-        return F.lower(_c(field)) == F.lit(value.lower())
+        return _text(field, folded) == F.lit(value.lower())
     return _c(field) == F.lit(value)
 
 
-def ne(field: str, value) -> Column:
+def ne(field: str, value, folded: frozenset[str] = frozenset()) -> Column:
     """``field!=value`` (also spelled ``<>``); a missing value is kept."""
     if _is_text(value):
-        return negate(eq(field, value))
+        return negate(eq(field, value, folded))
     return ~_c(field).eqNullSafe(F.lit(value))
 
 
@@ -70,16 +84,16 @@ def gt_ts(field: str, cutoff: Column) -> Column:
     return _c(field) > cutoff
 
 
-def prefix(field: str, text: str) -> Column:
+def prefix(field: str, text: str, folded: frozenset[str] = frozenset()) -> Column:
     """``field=text*``: case-insensitive prefix.  ``startswith`` rather than
     ``LIKE``, because values may hold ``%`` or ``_``."""
-    return F.startswith(F.lower(_c(field)), F.lit(text.lower()))
+    return F.startswith(_text(field, folded), F.lit(text.lower()))
 
 
-def isin(field: str, values: Iterable) -> Column:
+def isin(field: str, values: Iterable, folded: frozenset[str] = frozenset()) -> Column:
     values = list(values)
     if values and all(_is_text(v) for v in values):
-        return F.lower(_c(field)).isin([v.lower() for v in values])
+        return _text(field, folded).isin([v.lower() for v in values])
     return _c(field).isin(values)
 
 

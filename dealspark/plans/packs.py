@@ -31,7 +31,10 @@ class SavedQuery:
     spec: ProjectionSpec = field(default_factory=ProjectionSpec)
     top_k: int | None = None
 
-    def where(self, now: Column) -> Column:
+    def where(self, now: Column, columns: Sequence[str] = ()) -> Column:
+        """The predicate over a catalogue with ``columns``; conditions use its case-folded copies."""
+        if isinstance(self.predicate, Conjunction):
+            return self.predicate(now, P.folded_fields(columns))
         return self.predicate(now)
 
 
@@ -44,20 +47,20 @@ Condition = tuple
 _LIST_OPERATORS = {"any_eq", "any_prefix", "none_eq", "none_prefix", "search", "any_of"}
 
 
-def _one(cond: Condition, now: Column) -> Column:
+def _one(cond: Condition, now: Column, folded: frozenset[str] = frozenset()) -> Column:
     op, *args = cond
     if op == "eq":
-        return P.eq(*args)
+        return P.eq(*args, folded=folded)
     if op == "ne":
-        return P.ne(*args)
+        return P.ne(*args, folded=folded)
     if op == "lt":
         return P.lt(*args)
     if op == "gt":
         return P.gt(*args)
     if op == "prefix":
-        return P.prefix(*args)
+        return P.prefix(*args, folded=folded)
     if op == "in":
-        return P.isin(*args)
+        return P.isin(*args, folded=folded)
     if op == "after":  # field changed after "now - minutes" as wall clock in zone
         fld, minutes, zone = args
         return P.gt_ts(fld, T.cutoff(now, minutes, zone))
@@ -72,7 +75,7 @@ def _one(cond: Condition, now: Column) -> Column:
     if op == "search":
         return P.search(*args)
     if op == "any_of":
-        return P.any_of(*[_one(c, now) for c in args[0]])
+        return P.any_of(*[_one(c, now, folded) for c in args[0]])
     raise ValueError(f"unknown condition {cond!r}")
 
 
@@ -82,23 +85,23 @@ class Conjunction:
 
     conditions: tuple[Condition, ...]
 
-    def __call__(self, now: Column) -> Column:
+    def __call__(self, now: Column, folded: frozenset[str] = frozenset()) -> Column:
         flat = [c for c in self.conditions if c[0] not in _LIST_OPERATORS]
         lists = [c for c in self.conditions if c[0] in _LIST_OPERATORS]
-        return P.all_of(*[_one(c, now) for c in [*flat, *lists]])
+        return P.all_of(*[_one(c, now, folded) for c in [*flat, *lists]])
 
 
 def conditions_to_predicate(conditions: Sequence[Condition]) -> Conjunction:
     return Conjunction(tuple(conditions))
 
 
-def shared(queries: Sequence[SavedQuery], now: Column) -> Column:
+def shared(queries: Sequence[SavedQuery], now: Column, columns: Sequence[str] = ()) -> Column:
     """What every search of a pack asks for: a filter that the scan can take
     before the searches are told apart.  True when a search is no list of
     conditions or they have none in common."""
     lists = [q.predicate.conditions if isinstance(q.predicate, Conjunction) else () for q in queries]
     common = tuple(c for c in lists[0] if all(c in other for other in lists[1:]))
-    return Conjunction(common)(now) if common else F.lit(True)
+    return Conjunction(common)(now, P.folded_fields(columns)) if common else F.lit(True)
 
 
 # The saved searches.  Conditions are listed in the order the

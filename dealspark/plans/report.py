@@ -104,7 +104,7 @@ def shape(catalogue: DataFrame, queries: Sequence[SavedQuery], now: Column | Non
     an empty result has shape (0, 0).
     """
     now = latest_update(catalogue) if now is None else now
-    counts = catalogue.where(shared(queries, now)).agg(*[F.count_if(F.coalesce(q.where(now), F.lit(False))).alias(f"__c{i}")
+    counts = catalogue.where(shared(queries, now, catalogue.columns)).agg(*[F.count_if(F.coalesce(q.where(now, catalogue.columns), F.lit(False))).alias(f"__c{i}")
                              for i, q in enumerate(queries)])
     per_query = F.array(*[F.struct(F.lit(q.name).alias(tag), F.lit(i).alias("pack_order"),
                                    F.col(f"__c{i}").cast("long").alias("n_rows"),

@@ -48,7 +48,7 @@ def search(catalogue: DataFrame, query: SavedQuery, offers: DataFrame | None = N
     rows = run_search(catalogue, query, now)
     if offers is None:
         return SearchResult(rows, None)
-    hits = catalogue.where(query.where(latest_update(catalogue) if now is None else now)).select("sku")
+    hits = catalogue.where(query.where(latest_update(catalogue) if now is None else now, catalogue.columns)).select("sku")
     return SearchResult(rows, offer_entries(offers, query.spec).join(hits, "sku", "left_semi"))
 
 

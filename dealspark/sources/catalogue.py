@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from dealspark.operators.predicates import FOLDED
 from dealspark.operators.ranking import stepped_rank
 
 
@@ -123,6 +124,8 @@ def price_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 # -- the catalogue the searches scan -------------------------------------------
 
 CATALOGUE_PARTITION = "productTemplate"
+#: Text fields that conditions compare, stored in lower case as well.
+FOLDED_TEXTS = ("name", "color", "orderable", "condition", "class", "manufacturer", "albumTitle", "protectionPlanTerm")
 
 
 def store_catalogue(catalogue: DataFrame, path: str) -> DataFrame:
@@ -136,9 +139,11 @@ def store_catalogue(catalogue: DataFrame, path: str) -> DataFrame:
       write: a template holding a third of the catalogue is spread over many
       tasks instead of one, and each file covers a narrow price range, so
       parquet min/max statistics skip row groups for price predicates;
-    * flat columns are stored typed, so boolean/number/timestamp conjuncts are
-      pushed to the scan.
+    * flat columns are stored typed, and compared texts a second time in lower
+      case, so boolean, number, timestamp and text conjuncts are pushed to the
+      scan.
     """
+    catalogue = catalogue.withColumns({FOLDED + c: F.lower(F.col(f"`{c}`")) for c in FOLDED_TEXTS if c in catalogue.columns})
     (catalogue.repartitionByRange(CATALOGUE_PARTITION, "salePrice", "sku")
               .sortWithinPartitions(CATALOGUE_PARTITION, "salePrice", "sku")
               .write.mode("overwrite").partitionBy(CATALOGUE_PARTITION).parquet(path))

@@ -77,6 +77,15 @@ def test_shared_conditions_reach_the_scan(spark, tmp_path):
     for df in (pack_wide(stored, qs), R.shape(stored, qs), tag_pack(stored, qs)):
         plan = plan_text(df)
         assert "EqualTo(onSale,true)" in plan and "EqualTo(active,true)" in plan
+    plan = plan_text(run_search(stored, K.SAVED_QUERIES["airpods"]))
+    assert "EqualTo(folded_manufacturer,apple)" in plan and "EqualTo(folded_orderable,available)" in plan
+    assert "StringStartsWith(folded_manufacturer,sony)" in plan_text(run_search(stored, K.SAVED_QUERIES["ps5 controller"]))
+    cat = products(spark, SF_SMALL)
+    for q in K.SAVED_QUERIES.values():
+        assert run_search(stored, q).columns == run_search(cat, q).columns
+    for name in ("airpods", "ps5 controller", "purple", "macbook"):
+        same = [sorted(map(tuple, run_search(c, K.SAVED_QUERIES[name]).collect()), key=str) for c in (stored, cat)]
+        assert same[0] == same[1]
 
 
 def test_building_a_search_runs_no_job(spark):
