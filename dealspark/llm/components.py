@@ -1,4 +1,11 @@
-"""Connected components of a link table by minimum labels and pointer jumping."""
+"""Connected components of a link table by contraction.
+
+Every node points to the smallest of itself and its neighbours; pointer jumping
+leads each to a root; links between roots are the next round's table.  A round
+at least halves the nodes that still have links, and a node with very many links
+is one row of the next round.  Every step is written to the shared folder, so
+neither the lineage nor the driver holds the graph.
+"""
 
 from __future__ import annotations
 
@@ -8,25 +15,35 @@ from pyspark.sql import functions as F
 from .common import stored
 
 
+def _roots(parents: DataFrame) -> DataFrame:
+    """(node, label) with each label replaced by the root it leads to."""
+    while True:
+        of = parents.select(F.col("node").alias("label"), F.col("label").alias("next"))
+        step = stored(parents.join(of, "label").select("node", F.col("next").alias("label"),
+                                                       (F.col("next") < F.col("label")).alias("changed")), "component-roots")
+        parents = step.select("node", "label")
+        if step.where("changed").isEmpty():
+            return parents
+
+
 def components(links: DataFrame) -> DataFrame:
-    """(node, label) of every node of ``links`` (a, b); label is the smallest node of the component.
-
-    Every round takes the smallest label among a node's links and then the label
-    of that label; each round's labels are written to the shared folder, so
-    neither the lineage nor the driver holds the graph.
-    """
-    edges = stored(links.select(F.col("a").alias("src"), F.col("b").alias("dst"))
-                   .union(links.select("b", "a")).distinct(), "component-edges")
-    labels = stored(edges.groupBy(F.col("src").alias("node")).agg(F.min("dst").alias("label"))
-                    .select("node", F.least("node", "label").alias("label")), "component-labels")
+    """(node, label) of every node of ``links`` (a, b); label is the smallest node of the component."""
+    edges = stored(links.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a < b").distinct(),
+                   "component-edges")
+    labels = None
     while True:
-        near = (edges.join(labels, edges["src"] == labels["node"]).select(F.col("dst").alias("node"), "label")
-                .groupBy("node").agg(F.min("label").alias("near")))
-        step = labels.join(near, "node").select("node", "label", F.least("label", "near").alias("near"))
-        of = labels.select(F.col("node").alias("near"), F.col("label").alias("far"))
-        new = stored(step.join(of, "near").select("node", F.least("near", "far").alias("label"),
-                                                  (F.least("near", "far") < F.col("label")).alias("changed")),
-                     "component-labels")
-        labels = new.select("node", "label")
-        if not new.where("changed").limit(1).count():
+        near = (edges.select(F.col("a").alias("node"), F.col("b").alias("other")).union(edges.select("b", "a"))
+                .groupBy("node").agg(F.min("other").alias("other")))
+        roots = _roots(stored(near.select("node", F.least("node", "other").alias("label")), "component-parents"))
+        if labels is None:
+            labels = roots
+        else:
+            of = roots.select(F.col("node").alias("label"), F.col("label").alias("root"))
+            labels = stored(labels.join(of, "label", "left").select("node", F.coalesce("root", "label").alias("label")),
+                            "component-labels")
+        edges = stored(
+            edges.join(roots.select(F.col("node").alias("a"), F.col("label").alias("x")), "a")
+            .join(roots.select(F.col("node").alias("b"), F.col("label").alias("y")), "b")
+            .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).where("a < b").distinct(), "component-edges")
+        if edges.isEmpty():
             return labels

@@ -401,3 +401,24 @@ def test_pipeline_empty_and_clashing(spark):
                                 "doc_id long, text string, lang string, source string, n_chars long, first string")
     for name, stage in corpus_pipeline.STAGES:
         stage(spark, odd, SF).collect()
+
+
+def test_components(spark):
+    from dealspark.llm.components import components
+    rng = random.Random(1)
+    links = [(i, i + 1) for i in range(100, 160)] + [(500, 900 + i) for i in range(50)] + [(7, 7), (3, 2), (2, 3)] + \
+            [(rng.randrange(2000, 2300), rng.randrange(2000, 2300)) for _ in range(200)]
+    parent = {}
+
+    def find(x):
+        parent.setdefault(x, x)
+        while parent[x] != x:
+            x = parent[x]
+        return x
+    for a, b in links:
+        a, b = find(a), find(b)
+        parent[max(a, b)] = min(a, b)
+    want = {x: find(x) for x in parent if x != 7 and any(x in p and p[0] != p[1] for p in links)}
+    df = spark.createDataFrame(links, "a long, b long")
+    assert {r["node"]: r["label"] for r in components(df).collect()} == want
+    assert components(df.where("false")).collect() == []
