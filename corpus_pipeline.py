@@ -30,9 +30,13 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return out.select(*docs.columns)
 
 
+#: Near copies share 80 % or more of their five-word shingles.
+WIDTH, PERCENT = 5, 80
+
+
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of linked ones: the smallest id."""
-    return ngram_join.keep_one(docs)
+    return ngram_join.keep_one(docs, percent=PERCENT, width=WIDTH)
 
 
 def sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

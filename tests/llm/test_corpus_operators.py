@@ -33,11 +33,11 @@ def plain_set(text, width=3):
     return frozenset(zip(*(words[k:] for k in range(width)))) if len(words) >= width else frozenset([tuple(words)])
 
 
-def plain_components(rows, percent=90):
+def plain_components(rows, percent=90, width=3):
     """id -> (set size, component, links) over (id, text) rows."""
     by_set = defaultdict(set)
     for i, t in rows:
-        by_set[plain_set(t)].add(i)
+        by_set[plain_set(t, width)].add(i)
     sets = [s for s in by_set if s]
     holders, parent = defaultdict(list), list(range(len(sets)))
 
@@ -67,9 +67,9 @@ def plain_components(rows, percent=90):
     return out
 
 
-def check_join(rows, got):
-    want = plain_components(rows)
-    left = Counter((i, *(want[i, plain_set(t)] if plain_set(t) else (0, i, 0))) for i, t in rows)
+def check_join(rows, got, percent=90, width=3):
+    want = plain_components(rows, percent, width)
+    left = Counter((i, *(want[i, plain_set(t, width)] if plain_set(t, width) else (0, i, 0))) for i, t in rows)
     assert left == Counter((r["doc_id"], r["n_shingles"], r["component_id"], r["n_links"]) for r in got)
 
 
@@ -92,6 +92,7 @@ def test_join_brute_force(spark, monkeypatch):
     rows = [(i, t) for i, t in enumerate(texts)] + [(5, texts[5]), (None, texts[0]), (None, "only here and nowhere else")]
     df = spark.createDataFrame([(i, t, "x", "y") for i, t in rows], "doc_id long, text string, cls string, label string")
     check_join(rows, ngram_join.Join(df).components().collect())
+    check_join(rows, ngram_join.Join(df, percent=80, width=5).components().collect(), 80, 5)
     monkeypatch.setattr(ngram_join, "BLOCK", 16)
     check_join(rows, ngram_join.Join(df).components().collect())
     assert ngram_join.Join(df.where("false")).components().collect() == []
@@ -376,9 +377,9 @@ def test_pipeline(spark):
             assert {r["doc_id"]: r["text"] for r in rows} == {i: t for i, t in want.items() if t == before[i] or re.search(r"\S", t or "")}
             assert all(r["n_chars"] == len(r["text"]) for r in rows)
         if name == "n-gram Jaccard join":
-            want = plain_components(list(before.items()))
+            want = plain_components(list(before.items()), 80, 5)
             assert sorted(r["doc_id"] for r in rows) == sorted(
-                i for i, t in before.items() if (want[i, plain_set(t)][1] if plain_set(t) else i) == i)
+                i for i, t in before.items() if (want[i, plain_set(t, 5)][1] if plain_set(t) else i) == i)
         if name == "best-fit packing":
             n, least = check_packing(rows, list(before.items()))
             assert n <= least + 1
