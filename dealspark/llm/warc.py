@@ -126,7 +126,7 @@ def write(rows: DataFrame, root: str) -> DataFrame:
                             out.close()
                         path = f"{base}/warc/part-{TaskContext.get().partitionId():05d}-{uuid.uuid4().hex}.warc.gz"
                         fs.create_dir(f"{base}/warc", recursive=True)
-                        out, offset = fs.open_output_stream(path), 0
+                        out, offset = fs.open_output_stream(path, compression=None), 0
                     kind = "response" if r["first"] is None else "revisit"
                     data = record(kind, r["page_id"], r["url"], r["payload"], r["digest"], r["first"], r["first_key"])
                     out.write(data)
@@ -179,7 +179,7 @@ def write_index(entries: DataFrame, root: str) -> DataFrame:
                 if out is None:
                     path = f"{base}/index/part-{TaskContext.get().partitionId():05d}-{uuid.uuid4().hex}"
                     fs.create_dir(f"{base}/index", recursive=True)
-                    out, first = fs.open_output_stream(f"{path}.cdx"), place
+                    out, first = fs.open_output_stream(f"{path}.cdx", compression=None), place
                 if not block:
                     start = place
                 block.append(_line(place, r["file"], r["offset"], r["length"]))
@@ -189,7 +189,7 @@ def write_index(entries: DataFrame, root: str) -> DataFrame:
             if block:
                 flush()
             out.close()
-            with fs.open_output_stream(f"{path}.dir") as f:
+            with fs.open_output_stream(f"{path}.dir", compression=None) as f:
                 f.write(b"".join(directory))
             yield pa.RecordBatch.from_arrays([pa.array([first[0]], pa.binary()), pa.array([first[1]], pa.int64()),
                                               pa.array([path], pa.string())], names=["key", "page", "path"])
