@@ -286,7 +286,9 @@ def lookup(requests: DataFrame, root: str, parts: DataFrame, with_payload: bool
             if out:
                 yield _rows(out)
 
-    asked = (requests.select("key", "page_id").distinct().repartitionByRange("key", "page_id")
+    # A stated number: the requests are small, but each stands for a read.
+    n = int(requests.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+    asked = (requests.select("key", "page_id").distinct().repartitionByRange(n, "key", "page_id")
              .sortWithinPartitions("key", "page_id"))
     found = asked.mapInArrow(run, "page_id long, payload_bytes long, payload_digest string, record_type string, "
                                   "refers_to long, payload binary")
