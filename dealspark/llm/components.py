@@ -28,11 +28,11 @@ def _roots(parents: DataFrame) -> DataFrame:
 
 def components(links: DataFrame) -> DataFrame:
     """(node, label) of every node of ``links`` (a, b); label is the smallest node of the component."""
-    edges = stored(links.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a < b").distinct(),
+    edges = stored(links.select(F.least("a", "b").alias("low"), F.greatest("a", "b").alias("high")).where("low < high").distinct(),
                    "component-edges")
     labels = None
     while True:
-        near = (edges.select(F.col("a").alias("node"), F.col("b").alias("other")).union(edges.select("b", "a"))
+        near = (edges.select(F.col("low").alias("node"), F.col("high").alias("other")).union(edges.select("high", "low"))
                 .groupBy("node").agg(F.min("other").alias("other")))
         roots = _roots(stored(near.select("node", F.least("node", "other").alias("label")), "component-parents"))
         if labels is None:
@@ -42,8 +42,8 @@ def components(links: DataFrame) -> DataFrame:
             labels = stored(labels.join(of, "label", "left").select("node", F.coalesce("root", "label").alias("label")),
                             "component-labels")
         edges = stored(
-            edges.join(roots.select(F.col("node").alias("a"), F.col("label").alias("x")), "a")
-            .join(roots.select(F.col("node").alias("b"), F.col("label").alias("y")), "b")
-            .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).where("a < b").distinct(), "component-edges")
+            edges.join(roots.select(F.col("node").alias("low"), F.col("label").alias("x")), "low")
+            .join(roots.select(F.col("node").alias("high"), F.col("label").alias("y")), "high")
+            .select(F.least("x", "y").alias("low"), F.greatest("x", "y").alias("high")).where("low < high").distinct(), "component-edges")
         if edges.isEmpty():
             return labels

@@ -43,8 +43,10 @@ from .components import components
 SKETCH_BITS = 21
 SKETCH = 1 << SKETCH_BITS
 CHUNK = 4096
-BIN_BITS = 6
+#: Hash ranges of the suffix filter, and of its first, coarser pass.
+BIN_BITS = 8
 BINS = 1 << BIN_BITS
+COARSE = 32
 #: Classes of one block of a cell, and of a cell in which pairs are met once.
 BLOCK = 1024
 HOT = 32
@@ -210,12 +212,13 @@ def _cell_pairs(c: dict[str, np.ndarray], prior: list, percent: int) -> list[tup
         x, y = np.nonzero(ok)
         need = need[x, y]
         x = x + at
-        for k in range(0, len(x), 1 << 16):
-            p, q = x[k:k + (1 << 16)], y[k:k + (1 << 16)]
-            least = np.minimum(c["bins"][p], c["bins"][q])
-            bound = np.where((least == 255).any(axis=1), np.minimum(n[p], n[q]), least.sum(axis=1, dtype=np.int64))
-            good = bound >= need[k:k + (1 << 16)]
-            out += [(u, v) for u, v in zip(p[good].tolist(), q[good].tolist()) if prior[u].isdisjoint(prior[v])]
+        for k in range(0, len(x), 1 << 15):
+            p, q, least = x[k:k + (1 << 15)], y[k:k + (1 << 15)], need[k:k + (1 << 15)]
+            for bins in (c["coarse"], c["bins"]):
+                held = np.minimum(bins[p], bins[q]).sum(axis=1, dtype=np.int64) >= least
+                held |= c["full"][p] | c["full"][q]
+                p, q, least = p[held], q[held], least[held]
+            out += [(u, v) for u, v in zip(p.tolist(), q.tolist()) if prior[u].isdisjoint(prior[v])]
     return out
 
 
@@ -232,6 +235,9 @@ def _meet(percent: int):
         whole = {"n": t.column("place").to_numpy() >> 32, "i": t.column("place").to_numpy() & 0xFFFFFFFF,
                  "base": t.column("base").to_numpy(), "block": t.column("block").to_numpy(),
                  "bins": np.frombuffer(b"".join(t.column("bins").to_pylist()), np.uint8).reshape(-1, BINS)}
+        # A bin that reached its largest count bounds nothing.
+        whole["full"] = (whole["bins"] == 255).any(axis=1)
+        whole["coarse"] = whole["bins"].reshape(-1, COARSE, BINS // COARSE).sum(axis=2, dtype=np.uint16)
         two = t.column("bi").to_numpy() != t.column("bj").to_numpy()
         prior = list(map(frozenset, t.column("prior").to_pylist()))
         a, b = [], []
