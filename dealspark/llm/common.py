@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import os
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -34,6 +34,16 @@ def stored(df: DataFrame, kind: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def worker_tool(key: tuple, make: Callable[[], object], held: dict = {}) -> object:  # noqa: B006
+    """A tokeniser with its stores, kept by the Python worker for its next tasks.
+
+    A worker holds one: stages that follow each other do not add up their stores."""
+    if key not in held:
+        held.clear()
+        held[key] = make()
+    return held[key]
+
+
 def by_bytes(batches: Iterable[pa.RecordBatch], column: str, limit: int = 8 << 20) -> Iterator[pa.RecordBatch]:
     """Slices of record batches that hold at most ``limit`` bytes in ``column``
     (a single longer row stays whole), so that a task's memory does not follow

@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .chunks import ChunkStore
-from .common import by_bytes, stored, vocabulary
+from .common import by_bytes, stored, vocabulary, worker_tool
 
 CAPACITY = 2048
 END_ID = 0
@@ -38,6 +38,9 @@ GROUP_ITEMS = 8192
 ISLANDS = 2
 POPULATION = 4
 GENERATIONS = 4
+#: Bytes of text that a task tokenises at a time, and chunks whose tokens it remembers.
+STEP_BYTES = 2 << 20
+STORE_CHUNKS = 400_000
 #: Bins of a parent that count as well filled, and that are settled after a deal.
 WELL_FILLED = 0.98
 SETTLED = 0.995
@@ -51,7 +54,7 @@ class DocumentTokens:
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.store = ChunkStore(self._tokenise)
+        self.store = ChunkStore(self._tokenise, STORE_CHUNKS)
 
     def _tokenise(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
         ids = [e.ids for e in self.tokenizer.encode_batch_fast(chunks, add_special_tokens=False)]
@@ -62,10 +65,8 @@ class DocumentTokens:
         return self.store.tokens(texts)
 
 
-def _document_tokens(path: str, held: dict = {}) -> DocumentTokens:  # noqa: B006  one per Python worker
-    if path not in held:
-        held[path] = DocumentTokens(path)
-    return held[path]
+def _document_tokens(path: str) -> DocumentTokens:
+    return worker_tool(("packing", path), lambda: DocumentTokens(path))
 
 
 def cuts(n: int, capacity: int) -> list[tuple[int, int]]:
@@ -87,7 +88,7 @@ def pieces(df: DataFrame, key: str = "doc_id", text: str = "text", path: str | N
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         item = TaskContext.get().partitionId() << 40
-        for batch in by_bytes(batches, text):
+        for batch in by_bytes(batches, text, STEP_BYTES):
             out: list[tuple] = []
             rows: list[int] = []
             for i, ids in enumerate(_document_tokens(path)([t or "" for t in batch.column(text).to_pylist()])):

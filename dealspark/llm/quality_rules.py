@@ -22,13 +22,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from .common import by_bytes, vocabulary
+from .common import by_bytes, vocabulary, worker_tool
 
 SYMBOLS = b"#*$%&|<>"
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
 #: Distinct words whose tokens a task keeps; beyond it the store starts anew.
-STORE_WORDS = 1 << 20
+STORE_WORDS = 400_000
 
 
 @dataclass(frozen=True)
@@ -204,7 +204,7 @@ def assess(fertility: Fertility, texts: list[str | None], langs: list[str | None
         split.append((data, data.split()))
         step.append(i)
         held += len(data)
-        if held > 4 << 20 or i == len(texts) - 1:
+        if held > 2 << 20 or i == len(texts) - 1:
             _assess(fertility, [texts[j] or "" for j in step], [langs[j] for j in step], split, out)
             step, split, held = [], [], 0
     return out
@@ -233,10 +233,8 @@ def _assess(fertility: Fertility, texts: list[str], langs: list[str | None],
             out[k].append(v)
 
 
-def _fertility(paths: tuple[str, str], held: dict = {}) -> Fertility:  # noqa: B006  one per Python worker
-    if paths not in held:
-        held[paths] = Fertility(*paths)
-    return held[paths]
+def _fertility(paths: tuple[str, str]) -> Fertility:
+    return worker_tool(("fertility", *paths), lambda: Fertility(*paths))
 
 
 def _paths(piece_path: str | None, multi_path: str | None) -> tuple[str, str]:
