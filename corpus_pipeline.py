@@ -39,9 +39,13 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return ngram_join.keep_one(docs, percent=PERCENT, width=WIDTH)
 
 
+#: Chunks whose tokens the packing stage remembers, next to what the stages before it left in memory.
+STORE_CHUNKS = 400_000
+
+
 def sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of the documents and their places in packed sequences."""
-    return packing.pack_documents(docs)
+    return packing.pack_documents(docs, store_chunks=STORE_CHUNKS)
 
 
 STAGES = [("quality rules", quality), ("language ID", language), ("line dedup", lines),

@@ -40,7 +40,7 @@ POPULATION = 4
 GENERATIONS = 4
 #: Bytes of text that a task tokenises at a time, and chunks whose tokens it remembers.
 STEP_BYTES = 2 << 20
-STORE_CHUNKS = 400_000
+STORE_CHUNKS = 600_000
 #: Bins of a parent that count as well filled, and that are settled after a deal.
 WELL_FILLED = 0.98
 SETTLED = 0.995
@@ -49,12 +49,12 @@ SETTLED = 0.995
 class DocumentTokens:
     """ids of whole texts by a vocabulary file of ``tokenizers``."""
 
-    def __init__(self, path: str) -> None:
+    def __init__(self, path: str, store_chunks: int = STORE_CHUNKS) -> None:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.store = ChunkStore(self._tokenise, STORE_CHUNKS)
+        self.store = ChunkStore(self._tokenise, store_chunks)
 
     def _tokenise(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
         ids = [e.ids for e in self.tokenizer.encode_batch_fast(chunks, add_special_tokens=False)]
@@ -65,8 +65,8 @@ class DocumentTokens:
         return self.store.tokens(texts)
 
 
-def _document_tokens(path: str) -> DocumentTokens:
-    return worker_tool(("packing", path), lambda: DocumentTokens(path))
+def _document_tokens(path: str, store_chunks: int) -> DocumentTokens:
+    return worker_tool(("packing", path, store_chunks), lambda: DocumentTokens(path, store_chunks))
 
 
 def cuts(n: int, capacity: int) -> list[tuple[int, int]]:
@@ -77,7 +77,7 @@ def cuts(n: int, capacity: int) -> list[tuple[int, int]]:
 
 
 def pieces(df: DataFrame, key: str = "doc_id", text: str = "text", path: str | None = None,
-           capacity: int = CAPACITY, with_ids: bool = False) -> DataFrame:
+           capacity: int = CAPACITY, with_ids: bool = False, store_chunks: int = STORE_CHUNKS) -> DataFrame:
     """One row per piece; ``item`` is unique.  ``with_ids`` adds the ids, packed as unsigned 32-bit integers."""
     path = path or vocabulary("byte_bpe_50k.json")
     schema = T.StructType([
@@ -91,7 +91,7 @@ def pieces(df: DataFrame, key: str = "doc_id", text: str = "text", path: str | N
         for batch in by_bytes(batches, text, STEP_BYTES):
             out: list[tuple] = []
             rows: list[int] = []
-            for i, ids in enumerate(_document_tokens(path)([t or "" for t in batch.column(text).to_pylist()])):
+            for i, ids in enumerate(_document_tokens(path, store_chunks)([t or "" for t in batch.column(text).to_pylist()])):
                 data = np.append(ids, END_ID).astype("<u4").tobytes()
                 for k, (start, length) in enumerate(cuts(len(ids) + 1, capacity)):
                     part = data[4 * start:4 * (start + length)]
@@ -272,5 +272,6 @@ def pack(items: DataFrame, capacity: int = CAPACITY, group_items: int = GROUP_IT
     return items.join(placed.union(whole), "item")
 
 
-def pack_documents(df: DataFrame, key: str = "doc_id", text: str = "text", capacity: int = CAPACITY) -> DataFrame:
-    return pack(pieces(df, key, text, capacity=capacity), capacity).drop("item")
+def pack_documents(df: DataFrame, key: str = "doc_id", text: str = "text", capacity: int = CAPACITY,
+                   store_chunks: int = STORE_CHUNKS) -> DataFrame:
+    return pack(pieces(df, key, text, capacity=capacity, store_chunks=store_chunks), capacity).drop("item")
