@@ -1,17 +1,20 @@
 """Line dedup by content-defined chunks of lines, in DataFrame operations only.
 
-A text's lines are cut into chunks where a rolling hash over the hashes of the
-last ``WINDOW`` lines hits a value, so that the same lines get the same
-boundaries wherever they stand; a line of more than ``LONG_WORDS`` words always
-stands alone.  Chunks of two or more lines that are not blank, and long lines,
-are compared over all documents: chunks with the same hash are grouped by their
-bytes, and every repeated chunk stays in the smallest id that holds it, at its
-first place there, and goes everywhere else.
+A rolling window over the last ``WINDOW`` lines that are not blank makes one
+chunk at every line (with the blank lines in between), and a line of more than
+``LONG_WORDS`` words is a chunk of its own, too: no boundary depends on what
+stands around a passage, so every repeated passage of two or more lines is
+covered by repeated chunks whole.  Chunks are hashed and counted first; the
+bytes of those whose hashes repeat are compared.  The first place of a chunk is
+the smallest id that holds it, and its first place there; the lines of all its
+other places go.  A line goes only where an earlier place holds the same line,
+so the earliest place of every line stays.
 
 Edge cases: a null text stays null; an empty text has one blank line and stays;
 a text whose chunks all repeat an earlier document's becomes empty; rows with
-the same id count as one document; rows with a null id keep their text, their
-chunks are compared with others only; an empty table gives an empty result.
+the same id count as one document; rows with a null id keep their text and take
+nothing from others; unequal chunks whose two hashes both agree stay; an empty
+table gives an empty result.
 """
 
 from __future__ import annotations
@@ -23,9 +26,8 @@ from pyspark.sql import functions as F
 
 from .common import stored
 
-#: Lines under the rolling hash; one boundary in ``EVERY`` lines on average.
+#: Lines under the rolling hash.
 WINDOW = 2
-EVERY = 4
 LONG_WORDS = 50
 
 
@@ -39,53 +41,64 @@ def _let(value: Column, then: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), then), 0)
 
 
-def chunks(text: Column) -> Column:
-    """The chunks of a text in order: (body, lines, counts, a, b), hashes of the
-    body as ``a`` and ``b``, ``counts`` for chunks that are compared."""
-    def cut(lines: Column, marks: Column, starts: Column) -> Column:
-        def chunk(at: Column, k: Column) -> Column:
-            part = F.slice(lines, at + 1, F.coalesce(F.get(starts, k + 1), F.size(lines)) - at)
-            full = lambda p: F.size(F.filter(p, lambda x: F.rlike(x, F.lit(r"\S")))) >= 2
-            made = lambda p: F.struct(
-                F.array_join(p, "\n").alias("body"), F.size(p).alias("lines"),
-                (F.get(marks["long"], at) | ((F.size(p) > 1) & full(p))).alias("counts"))
-            hashed = lambda c: F.struct(
-                c["body"].alias("body"), c["lines"].alias("lines"), c["counts"].alias("counts"),
-                F.xxhash64(c["body"]).alias("a"), F.xxhash64(F.lit(1), c["body"]).alias("b"))
-            return _let(part, lambda p: _let(made(p), hashed))
-        return F.transform(starts, chunk)
-
-    def starts_here(marks: Column, i: Column) -> Column:
-        window = [F.get(marks["hash"], i - k) for k in range(WINDOW, 0, -1)]
-        return ((i == 0) | F.get(marks["long"], i) | F.coalesce(F.get(marks["long"], i - 1), F.lit(False))
-                | (F.pmod(F.xxhash64(*window), F.lit(EVERY)) == 0))
-
-    return _let(F.split(text, "\n", -1), lambda lines: _let(
-        F.struct(F.transform(lines, lambda x: F.xxhash64(x)).alias("hash"), F.transform(lines, _is_long).alias("long")),
-        lambda marks: _let(F.filter(F.sequence(F.lit(0), F.size(lines) - 1), lambda i: starts_here(marks, i)),
-                           lambda starts: cut(lines, marks, starts))))
+def _body(lines: Column, chunk: Column) -> Column:
+    return F.array_join(F.slice(lines, chunk["at"] + 1, chunk["upto"] - chunk["at"] + 1), "\n")
+
+
+def chunks(lines: Column) -> Column:
+    """The chunks of a text's lines: (at, upto, a, b), first and last line and two hashes of the body.
+
+    Chunks with the same body are in order of their places."""
+    def spans(full: Column) -> Column:
+        alone = F.transform(F.filter(full, lambda i: _is_long(F.get(lines, i))), lambda i: F.struct(i.alias("at"), i.alias("upto")))
+        windows = F.transform(F.slice(full, 1, F.greatest(F.size(full) - (WINDOW - 1), F.lit(0))), lambda i, k: F.struct(
+            i.alias("at"), F.get(full, k + (WINDOW - 1)).alias("upto")))
+        return F.concat(alone, windows)
+
+    def hashed(c: Column) -> Column:
+        return _let(_body(lines, c), lambda body: F.struct(
+            c["at"].alias("at"), c["upto"].alias("upto"), F.xxhash64(body).alias("a"), F.xxhash64(F.lit(1), body).alias("b")))
+
+    full = F.filter(F.sequence(F.lit(0), F.size(lines) - 1), lambda i: F.rlike(F.get(lines, i), F.lit(r"\S")))
+    return F.transform(_let(full, spans), hashed)
+
+
+def _lines(text: Column) -> Column:
+    return F.split(text, "\n", -1)
 
 
 def repeated_chunks(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(a, b, first): hashes of the chunks found twice or more, and the smallest id that holds them."""
-    seen = (df.select(F.col(key).alias("_id"), F.explode_outer(F.filter(chunks(F.col(text)), lambda c: c["counts"])).alias("c"))
-            .where("c is not null"))
+    """(_id, k, a, b): places of the chunks whose hashes are found twice or more; ``k`` counts a text's chunks."""
+    seen = (df.where(F.col(key).isNotNull() & F.col(text).isNotNull())
+            .select(F.col(key).alias("_id"), F.posexplode(_let(_lines(F.col(text)), chunks)).alias("k", "c"))
+            .select("_id", "k", "c.a", "c.b"))
+    again = seen.groupBy("a", "b").agg(F.count("*").alias("times")).where("times > 1").select("a", "b")
+    return seen.join(again, ["a", "b"], "left_semi").select("_id", "k", "a", "b")
+
+
+def first_places(df: DataFrame, places: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """(a, b, first, first_k) of the chunks in ``places`` that have the same bytes everywhere."""
+    wanted = places.groupBy("_id").agg(F.collect_set(F.struct("k", "a", "b")).alias("_wanted"))
+    texts = df.select(F.col(key).alias("_id"), F.col(text).alias("_text")).join(wanted, "_id")
+
+    def bodies(lines: Column) -> Column:
+        # Rows of the same id may have different texts: a place holds where its chunk stands.
+        return _let(chunks(lines), lambda cs: F.transform(
+            F.filter("_wanted", lambda w: (F.get(cs, w["k"])["a"] == w["a"]) & (F.get(cs, w["k"])["b"] == w["b"])),
+            lambda w: F.struct(w["k"].alias("k"), w["a"].alias("a"), w["b"].alias("b"), _body(lines, F.get(cs, w["k"])).alias("body"))))
+
+    held = texts.select("_id", F.explode(_let(_lines(F.col("_text")), bodies)).alias("c"))
     # Grouping by the body compares the bytes of chunks with equal hashes.
-    return (seen.groupBy("c.a", "c.b", "c.body").agg(F.min("_id").alias("first"), F.count("*").alias("times"))
-            .where("times > 1").select("a", "b", "first"))
+    same = held.groupBy("c.a", "c.b", "c.body").agg(F.min(F.struct("_id", "c.k")).alias("first"), F.count("*").alias("times"))
+    return (same.groupBy("a", "b").agg(F.count("*").alias("bodies"), F.min("first").alias("first"), F.sum("times").alias("times"))
+            .where("bodies = 1 and times > 1").select("a", "b", F.col("first._id").alias("first"), F.col("first.k").alias("first_k")))
 
 
-def removals(df: DataFrame, again: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+def removals(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(_of, _gone): per id the chunks (k, a) that go."""
-    marked = F.transform(chunks(F.col(text)), lambda c, k: F.struct(
-        k.alias("k"), c["a"].alias("a"), c["b"].alias("b"), c["counts"].alias("counts")))
-    own = (df.where(F.col(key).isNotNull())
-           .select(F.col(key).alias("_id"), F.explode_outer(F.filter(marked, lambda c: c["counts"])).alias("c"))
-           .where("c is not null").select("_id", "c.k", "c.a", "c.b"))
-    held = own.join(again, ["a", "b"]).groupBy("_id", "a", "b", "first").agg(F.min("k").alias("k"), F.collect_set("k").alias("all"))
-    gone = F.when(F.col("_id") == F.col("first"), F.array_remove("all", F.col("k"))).otherwise(F.col("all"))
-    return (held.withColumn("gone", F.transform(gone, lambda k: F.struct(k.alias("k"), F.col("a").alias("a"))))
-            .groupBy(F.col("_id").alias("_of")).agg(F.flatten(F.collect_list("gone")).alias("_gone")).where(F.size("_gone") > 0))
+    places = stored(repeated_chunks(df, key, text), "line-chunks")
+    later = places.distinct().join(first_places(df, places, key, text), ["a", "b"]).where("_id <> first or k <> first_k")
+    return later.groupBy(F.col("_id").alias("_of")).agg(F.collect_list(F.struct("k", "a")).alias("_gone"))
 
 
 def dedup(df: DataFrame, key: str = "doc_id", text: str = "text", counts: bool = True,
@@ -93,24 +106,28 @@ def dedup(df: DataFrame, key: str = "doc_id", text: str = "text", counts: bool =
     """``df`` with the text without repeated chunks.
 
     ``counts`` adds (or replaces) ``n_lines``, ``removed_lines`` and
-    ``removed_chunks``; ``drop_emptied`` leaves out the rows that keep no
+    ``removed_chunks`` (runs of removed lines); ``drop_emptied`` leaves out the rows that keep no
     character other than whitespace after a removal."""
     others = [c for c in df.columns if c not in (key, text)]
     rows = df.select(F.col(key).alias("_id"), F.col(text).alias("_text"),
-                     F.struct(F.lit(0).alias("_"), *[F.col(f"`{c}`") for c in others]).alias("_row"))
-    gone = removals(df, stored(repeated_chunks(df, key, text), "line-chunks"), key, text)
-    joined = rows.join(gone, F.col("_id") == F.col("_of"), "left")
+                     *([F.struct(*[F.col(f"`{c}`") for c in others]).alias("_row")] if others else []))
+    gone = removals(df, key, text)
+    # Without other columns both joins on the id read one shuffle of the texts.
+    joined = (rows.where("_id is not null").join(gone, F.col("_id") == F.col("_of"), "left")
+              .unionByName(rows.where("_id is null"), allowMissingColumns=True))
 
-    def cleaned(cs: Column) -> Column:
+    def cleaned(lines: Column) -> Column:
         # Rows of the same id may have different texts: a removal holds where its chunk stands.
-        places = F.transform(F.filter("_gone", lambda g: F.get(cs, g["k"])["a"] == g["a"]), lambda g: g["k"])
-        return _let(F.array_except(F.sequence(F.lit(0), F.size(cs) - 1), places), lambda kept: F.struct(
-            F.array_join(F.transform(kept, lambda k: F.get(cs, k)["body"]), "\n").alias("text"),
-            F.aggregate(kept, F.lit(0), lambda n, k: n + F.get(cs, k)["lines"]).alias("lines"),
-            (F.size(cs) - F.size(kept)).alias("chunks")))
-
-    n_lines = F.coalesce(F.size(F.split("_text", "\n", -1)), F.lit(0))
-    new = joined.withColumn("_new", F.when(F.col("_text").isNotNull() & F.col("_gone").isNotNull(), _let(chunks(F.col("_text")), cleaned)))
+        going = lambda cs: F.array_distinct(F.flatten(F.transform(
+            F.filter("_gone", lambda g: F.get(cs, g["k"])["a"] == g["a"]),
+            lambda g: F.sequence(F.get(cs, g["k"])["at"], F.get(cs, g["k"])["upto"]))))
+        return _let(_let(chunks(lines), going), lambda out: _let(
+            F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), out), lambda kept: F.struct(
+                F.array_join(F.transform(kept, lambda k: F.get(lines, k)), "\n").alias("text"), F.size(kept).alias("lines"),
+                F.size(F.array_except(out, F.transform(out, lambda k: k + 1))).alias("chunks"))))
+
+    n_lines = F.coalesce(F.size(_lines(F.col("_text"))), F.lit(0))
+    new = joined.withColumn("_new", F.when(F.col("_text").isNotNull() & F.col("_gone").isNotNull(), _let(_lines(F.col("_text")), cleaned)))
     if drop_emptied:
         new = new.where(F.col("_gone").isNull() | F.rlike("_new.text", F.lit(r"\S")))
     added = {"n_lines": n_lines, "removed_lines": F.coalesce(n_lines - F.col("_new.lines"), F.lit(0)),
