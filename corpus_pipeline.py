@@ -13,8 +13,8 @@ from dealspark.llm import common, language_id, line_dedup, ngram_join, packing,
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that pass the base counts and the fertility bands."""
-    return quality_rules.keep_good(docs)
+    """Documents that pass the base counts and the fertility bands learned from the labelled ones."""
+    return quality_rules.keep_good(docs, labels=common.table(spark, sf_dir, "labels"))
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

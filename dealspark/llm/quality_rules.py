@@ -4,7 +4,15 @@ A word is a run of bytes other than space and 0x09-0x0D.  Every distinct word is
 tokenised once per task by each vocabulary; a document's tokens are those of its
 words.  Measures: characters per token, the share of byte-fallback tokens and
 the entropy of the document's token distribution, each held against a band of
-the text's language (or of its script where the language has no band).
+the text's language (or of its script where the language has too few rows).
+
+Bands are learned from the corpus: counts of every measure per language, script
+and quality label reach the driver in steps of 1 / ``STEPS``.  An edge lies
+``SPREADS`` spreads from the median of the rows labelled good, or further in where
+that rejects a larger share of the low labels than of the good ones; no edge
+rejects more than ``MAX_GOOD_LOSS`` of the good rows.  Without labels the spreads
+of all rows count; below ``MIN_ROWS`` rows ``BANDS`` does.  A text without a
+language gets the one its character n-grams are like.
 
 Edge cases: a null, empty or blank text has no words, all counts 0 and fails the
 base rule; repeated rows give repeated result rows; null ids pass through; an
@@ -20,9 +28,11 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import by_bytes, vocabulary, worker_tool
+from . import language_id
+from .common import by_bytes, stored, vocabulary, worker_tool
 
 SYMBOLS = b"#*$%&|<>"
 MIN_WORDS = 50
@@ -44,9 +54,16 @@ class Band:
     max_byte_share: float
     min_entropy: float
     max_entropy: float = 1.0
+    max_chars_per_token_multi: float = 9.0
+
 
+#: Rows of which a band is learned, low labels that can move an edge, share of good rows an edge may reject.
+MIN_ROWS, MIN_LOW, MAX_GOOD_LOSS = 50, 10, 0.01
+STEPS, SPREADS = 200, 4
+#: Measures, the fields of their edges, and the least spread of each.
+LEARNED = (("chars_per_token", 0.02), ("chars_per_token_multi", 0.02), ("byte_share", 0.01), ("entropy", 0.02))
 
-#: Bands by language code, then by script; the rest takes ``other``.
+#: Bands where too few rows are there to learn one: by language code, then by script.
 BANDS = {
     "en": Band(1.7, 1.85, 9.0, 0.08, 0.35),
     "de": Band(1.7, 1.85, 9.0, 0.08, 0.35),
@@ -196,7 +213,26 @@ def script(text: str) -> str:
     return "latin" if 2 * wide <= len(codes) else "other"
 
 
-def assess(fertility: Fertility, texts: list[str | None], langs: list[str | None]) -> dict[str, list]:
+class Rules:
+    """Learned bands and, for texts without a language, profiles of the languages."""
+
+    def __init__(self, learned: dict[str, Band], profiles: dict[str, list[int]] | None) -> None:
+        self.learned = learned
+        self.known = language_id.Profiles(profiles) if profiles else None
+
+    def language(self, text: str, lang: str | None) -> str | None:
+        if (lang and lang.strip()) or not self.known:
+            return lang
+        found, score = self.known.predict(text)
+        return found if score >= language_id.MIN_SCORE else None
+
+    def band(self, text: str, lang: str | None) -> tuple[str, Band]:
+        names = [n for n in (self.language(text, lang), script(text)) if n]
+        name, bands = next(((n, b) for b in (self.learned, BANDS) for n in names if n in b))
+        return name, bands[name]
+
+
+def assess(fertility: Fertility, rules: Rules, texts: list[str | None], langs: list[str | None]) -> dict[str, list]:
     out: dict[str, list] = {f.name: [] for f in MEASURES.fields}
     step, split, held = [], [], 0
     for i, text in enumerate(texts):
@@ -205,12 +241,12 @@ def assess(fertility: Fertility, texts: list[str | None], langs: list[str | None
         step.append(i)
         held += len(data)
         if held > 2 << 20 or i == len(texts) - 1:
-            _assess(fertility, [texts[j] or "" for j in step], [langs[j] for j in step], split, out)
+            _assess(fertility, rules, [texts[j] or "" for j in step], [langs[j] for j in step], split, out)
             step, split, held = [], [], 0
     return out
 
 
-def _assess(fertility: Fertility, texts: list[str], langs: list[str | None],
+def _assess(fertility: Fertility, rules: Rules, texts: list[str], langs: list[str | None],
             split: list[tuple[bytes, list[bytes]]], out: dict[str, list]) -> None:
     numbered = fertility.numbers([words for _, words in split])
     fertility.learn()
@@ -220,11 +256,10 @@ def _assess(fertility: Fertility, texts: list[str], langs: list[str | None],
         repeated = repeat_words(numbers)
         failed = n < MIN_WORDS or 100 * repeated > MAX_REPEAT_PERCENT * n
         tokens, multi, share, entropy = fertility.measure(numbers)
-        band = lang if lang in BANDS else script(text)
-        rule = BANDS[band]
+        band, rule = rules.band(text, lang)
         per, per_multi = (chars / tokens if tokens else 0.0), (chars / multi if multi else 0.0)
         kept = not failed and rule.min_chars_per_token <= per <= rule.max_chars_per_token \
-            and rule.min_chars_per_token_multi <= per_multi <= rule.max_chars_per_token and share <= rule.max_byte_share and rule.min_entropy <= entropy <= rule.max_entropy
+            and rule.min_chars_per_token_multi <= per_multi <= rule.max_chars_per_token_multi and share <= rule.max_byte_share and rule.min_entropy <= entropy <= rule.max_entropy
         for k, v in (("n_words", n), ("word_chars", chars),
                      ("n_symbols", len(data) - len(data.translate(None, SYMBOLS))), ("n_dup_lines", dup_lines(data)),
                      ("n_repeat_words", repeated), ("base_failed", failed), ("kept", kept), ("n_tokens", tokens),
@@ -245,31 +280,121 @@ def _langs(batch: pa.RecordBatch, lang: str | None) -> list[str | None]:
     return batch.column(lang).to_pylist() if lang and lang in batch.schema.names else [None] * batch.num_rows
 
 
+def _profiles(df: DataFrame, text: str, lang: str | None) -> dict[str, list[int]] | None:
+    """Profiles of the languages, if a row has none."""
+    if not lang or not df.where(F.col(lang).isNull() | (F.trim(F.col(lang).cast("string")) == "")).select(lang).take(1):
+        return None
+    # Texts without a letter have no n-grams to learn from.
+    return language_id.learn(df.where((F.trim(F.col(lang)) != "") & F.rlike(F.col(text), F.lit(r"\p{L}"))), text, lang)
+
+
+def _counts(df: DataFrame, paths: tuple[str, str], profiles: dict | None, labels: DataFrame | None,
+            key: str, text: str, lang: str | None) -> DataFrame:
+    """(band, label, measure, step, n) of the rows that pass the base rule; label -1 is all of them."""
+    labelled = labels is not None and key in df.columns
+    schema = T.StructType([*([T.StructField("_id", df.schema[key].dataType)] if labelled else []),
+                           T.StructField("bands", T.ArrayType(T.StringType())), T.StructField("steps", T.ArrayType(T.IntegerType()))])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rules = Rules({}, profiles)
+        for batch in by_bytes(batches, text):
+            texts, langs = batch.column(text).to_pylist(), _langs(batch, lang)
+            out = assess(_fertility(paths), rules, texts, langs)
+            rows = [i for i, failed in enumerate(out["base_failed"]) if not failed]
+            bands = [[n for n in (rules.language(texts[i], langs[i]), script(texts[i])) if n] for i in rows]
+            steps = [[int(out[m][i] * STEPS) for m, _ in LEARNED] for i in rows]
+            yield pa.RecordBatch.from_arrays(
+                [*([batch.column(key).take(pa.array(rows, pa.int64()))] if labelled else []),
+                 pa.array(bands, pa.list_(pa.string())), pa.array(steps, pa.list_(pa.int32()))], names=schema.names)
+
+    found = stored(df.select(*dict.fromkeys([*([key] if labelled else []), text, *([lang] if lang else [])])).mapInArrow(run, schema),
+                   "quality-steps")
+    rows = found.select(F.lit(-1).alias("label"), "bands", "steps")
+    if labelled:
+        given = labels.where("quality in (0, 1)").groupBy(F.col(key).alias("_id")).agg(F.min("quality").cast("int").alias("label"))
+        rows = rows.union(found.join(given, "_id").select("label", "bands", "steps"))
+    counts = (rows.select(F.explode("bands").alias("band"), "label", "steps")
+              .select("band", "label", F.posexplode("steps").alias("measure", "step"))
+              .groupBy("band", "label", "measure", "step").agg(F.count("*").alias("n")))
+    enough = found.select(F.explode("bands").alias("band")).groupBy("band").count().where(F.col("count") >= MIN_ROWS).select("band")
+    return counts.join(enough, "band", "left_semi")
+
+
+def _edge(ref: np.ndarray, low: np.ndarray, least: float, capped: bool) -> int:
+    """The smallest accepted step by counts per step; mirrored counts give the largest."""
+    below = np.concatenate([[0], np.cumsum(ref)])
+    quartile, median = (int(np.searchsorted(below[1:], q * below[-1])) for q in (0.25, 0.5))
+    edge = math.floor(median - SPREADS * max(least * STEPS, (median - quartile) / 0.6745))
+    if not capped:
+        return edge
+    furthest = int(np.searchsorted(below, math.floor(MAX_GOOD_LOSS * below[-1]), side="right")) - 1
+    edge = min(edge, furthest)
+    if low.sum() >= MIN_LOW:
+        gain = np.concatenate([[0], np.cumsum(low)]) / low.sum() - below / below[-1]
+        start = max(edge, 0)
+        best = start + int(gain[start:furthest + 1].argmax()) if furthest >= start else start
+        edge = best if gain[best] > gain[start] else edge
+    return edge
+
+
+def learn(df: DataFrame, labels: DataFrame | None = None, key: str = "doc_id", text: str = "text", lang: str | None = "lang",
+          paths: tuple[str, str] | None = None) -> tuple[dict[str, Band], dict[str, list[int]] | None]:
+    """Band per language and script with enough rows, and profiles for texts without a language.
+
+    Counts per step reach the driver, of bands of ``MIN_ROWS`` rows or more."""
+    lang = lang if lang in df.columns else None
+    profiles = _profiles(df, text, lang)
+    held: dict[str, dict[tuple[int, int], np.ndarray]] = {}
+    rows = _counts(df, paths or _paths(None, None), profiles, labels, key, text, lang).collect()
+    size = max((r["step"] for r in rows), default=0) + 1
+    for r in rows:
+        held.setdefault(r["band"], {}).setdefault((r["label"], r["measure"]), np.zeros(size, np.int64))[r["step"]] = r["n"]
+    none = np.zeros(size, np.int64)
+    bands = {}
+    for name, of in held.items():
+        edges = {}
+        for k, (measure, least) in enumerate(LEARNED):
+            good, low = of.get((1, k), none), of.get((0, k), none)
+            capped = good.sum() >= MIN_ROWS
+            ref = good if capped else of[-1, k]
+            edges["min_" + measure] = _edge(ref, low, least, capped) / STEPS
+            edges["max_" + measure] = (size - _edge(ref[::-1], low[::-1], least, capped)) / STEPS
+        del edges["min_byte_share"]
+        bands[name] = Band(**edges)
+    return bands, profiles
+
+
 def measure(df: DataFrame, key: str = "doc_id", text: str = "text", lang: str | None = "lang",
-            piece_path: str | None = None, multi_path: str | None = None) -> DataFrame:
-    """One row per row of ``df``: its key, the base counts, the measures and the verdict."""
+            piece_path: str | None = None, multi_path: str | None = None, labels: DataFrame | None = None) -> DataFrame:
+    """One row per row of ``df``: its key, the base counts, the measures and the verdict.
+
+    ``labels`` has ``key`` and ``quality`` (0 or 1) of some rows."""
     paths = _paths(piece_path, multi_path)
     lang = lang if lang in df.columns else None
+    learned = learn(df, labels, key, text, lang, paths)
     schema = T.StructType([T.StructField(key, df.schema[key].dataType), *MEASURES.fields])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rules = Rules(*learned)
         for batch in by_bytes(batches, text):
-            out = assess(_fertility(paths), batch.column(text).to_pylist(), _langs(batch, lang))
+            out = assess(_fertility(paths), rules, batch.column(text).to_pylist(), _langs(batch, lang))
             yield pa.RecordBatch.from_arrays([batch.column(key), *map(pa.array, out.values())],
                                              names=[key, *out])
 
     return df.select(*dict.fromkeys([key, text, *([lang] if lang else [])])).mapInArrow(run, schema)
 
 
-def keep_good(df: DataFrame, text: str = "text", lang: str | None = "lang",
-              piece_path: str | None = None, multi_path: str | None = None) -> DataFrame:
+def keep_good(df: DataFrame, text: str = "text", lang: str | None = "lang", piece_path: str | None = None,
+              multi_path: str | None = None, labels: DataFrame | None = None, key: str = "doc_id") -> DataFrame:
     """The rows of ``df`` (all columns) that the rules keep."""
     paths = _paths(piece_path, multi_path)
     lang = lang if lang in df.columns else None
+    learned = learn(df, labels, key, text, lang, paths)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rules = Rules(*learned)
         for batch in by_bytes(batches, text):
-            out = assess(_fertility(paths), batch.column(text).to_pylist(), _langs(batch, lang))
+            out = assess(_fertility(paths), rules, batch.column(text).to_pylist(), _langs(batch, lang))
             yield batch.filter(pa.array(out["kept"], pa.bool_()))
 
     return df.mapInArrow(run, df.schema)

@@ -54,7 +54,7 @@ def op9_rank_order_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality_rules.measure(table(spark, sf_dir, "documents"))
+    return quality_rules.measure(table(spark, sf_dir, "documents"), labels=table(spark, sf_dir, "labels"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
