@@ -11,6 +11,9 @@ an epoch each island's elite also migrates to the next island of its group.
 When a group is done, its well-filled bins are settled and the pieces of the
 others go on to one more, smaller deal.
 
+Special tokens in a text get their own ids, as the library does by default; they
+hold no whitespace, so chunks still have the tokens of the whole text.
+
 Edge cases: a null or empty text has the one id 0; a text longer than the
 capacity is cut; repeated rows are packed each; an empty table gives an empty
 result.  Only the id and text columns are read.
@@ -53,7 +56,6 @@ class DocumentTokens:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
         self.store = ChunkStore(self._tokenise, store_chunks)
 
     def _tokenise(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
