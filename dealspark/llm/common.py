@@ -62,4 +62,6 @@ def by_bytes(batches: Iterable[pa.RecordBatch], column: str, limit: int = 8 << 2
 
 def _lengths(values: pa.Array) -> list[int]:
     import pyarrow.compute as pc
+    if pa.types.is_list(values.type):
+        return pc.multiply(pc.fill_null(pc.list_value_length(values), 0), 4).to_pylist()
     return pc.fill_null(pc.binary_length(values), 0).to_pylist()

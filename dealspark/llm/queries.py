@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, language_id, line_dedup, ngram_join, packing, quality_rules, sharding, topk, url_filter, warc
+from . import (bpe, language_id, line_dedup, ngram_join, packing, piece_bpe, quality_rules, sharding, topk, url_filter,
+               warc)
 from .common import table
 
 
@@ -57,6 +58,13 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.measure(table(spark, sf_dir, "documents"), labels=table(spark, sf_dir, "labels"))
 
 
+def op12_piece_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ids = piece_bpe.encode(table(spark, sf_dir, "documents"))
+    listed = F.array_join(F.col("ids").cast("array<string>"), ",")
+    both = piece_bpe.decode(ids.withColumn("ids_sha256", F.sha2(listed, 256)))
+    return both.select("doc_id", "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_byte_bpe": op1_byte_bpe,
     "op2_ngram_join": op2_ngram_join,
@@ -68,6 +76,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_warc_index": op8_warc_index,
     "op9_rank_order_language": op9_rank_order_language,
     "op10_quality_rules": op10_quality_rules,
+    "op12_piece_bpe": op12_piece_bpe,
 }
 
 #: DuckDB SQL of the queries that SQL can express.
