@@ -38,11 +38,9 @@ class ChunkStore:
     """``tokenise`` maps a list of chunks to one int32 array and the chunks' lengths in it."""
 
     def __init__(self, tokenise: Callable[[list[str]], tuple[np.ndarray, np.ndarray]],
-                 limit: int = STORE_CHUNKS, starts: re.Pattern | None = None) -> None:
-        self.tokenise, self.limit = tokenise, limit
-        #: Where chunks start, if only at spaces and line feeds.
-        self.starts = starts
-        self.runs = _RUNS if starts is None else re.compile(r"[ \n][ \n]")
+                 limit: int = STORE_CHUNKS, starts: re.Pattern = _STARTS, runs: re.Pattern = _RUNS) -> None:
+        #: Where chunks start; in a text in which ``runs`` finds nothing, before every space and line feed.
+        self.tokenise, self.limit, self.starts, self.runs = tokenise, limit, starts, runs
         self._clear()
 
     def _clear(self) -> None:
@@ -55,7 +53,7 @@ class ChunkStore:
         if not text:
             return np.zeros(0, np.int64)
         if self.runs.search(text):
-            parts = (self.starts or _STARTS).split(text)
+            parts = self.starts.split(text)
             return np.fromiter(map(self.whole.__getitem__, parts), np.int64, len(parts))
         # Single separators only: the separator is left out of the key.
         parts = text.replace("\n", " \n").split(" ")

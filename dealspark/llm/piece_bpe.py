@@ -40,7 +40,7 @@ STORE_CHUNKS = 400_000
 #: Characters of new chunks in one block of arrays.
 BLOCK_CHARS = 1 << 20
 
-_STARTS = re.compile(r"(?<=[^ \n])(?=[ \n])")
+_STARTS, _RUNS = re.compile(r"(?<=[^ \n])(?=[ \n])"), re.compile(r"[ \n][ \n]")
 _ALIVE, _DEAD = 1 << 20, 1 << 21  # ranks of pairs that do not merge: inside some piece, inside none
 
 
@@ -303,7 +303,7 @@ class Encoder:
 
     def __init__(self, path: str, store_chunks: int = STORE_CHUNKS) -> None:
         self.pieces = Pieces(path)
-        self.store = ChunkStore(self.pieces.encode, store_chunks, starts=_STARTS) if self.pieces.splits else None
+        self.store = ChunkStore(self.pieces.encode, store_chunks, _STARTS, _RUNS) if self.pieces.splits else None
 
     def __call__(self, texts: list[str]) -> list[np.ndarray]:
         # The library puts one space in front of a text that is not empty.

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (bpe, language_id, line_dedup, ngram_join, packing, piece_bpe, quality_rules, sharding, topk, url_filter,
+from . import (alignment, bpe, language_id, line_dedup, ngram_join, packing, piece_bpe, quality_rules, sharding, topk, url_filter,
                warc)
 from .common import table
 
@@ -65,6 +65,10 @@ def op12_piece_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return both.select("doc_id", "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align(table(spark, sf_dir, "documents")).withColumnRenamed("groups", "groups_sha256")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_byte_bpe": op1_byte_bpe,
     "op2_ngram_join": op2_ngram_join,
@@ -77,6 +81,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_rank_order_language": op9_rank_order_language,
     "op10_quality_rules": op10_quality_rules,
     "op12_piece_bpe": op12_piece_bpe,
+    "op13_token_alignment": op13_token_alignment,
 }
 
 #: DuckDB SQL of the queries that SQL can express.
