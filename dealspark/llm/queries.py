@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (alignment, bpe, language_id, line_dedup, ngram_join, packing, piece_bpe, quality_rules, sharding, topk, url_filter,
-               warc)
+from . import (alignment, bpe, language_id, line_dedup, ngram_join, packing, piece_bpe, prefix_trie, quality_rules,
+               sharding, topk, url_filter, warc)
 from .common import table
 
 
@@ -58,6 +58,10 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.measure(table(spark, sf_dir, "documents"), labels=table(spark, sf_dir, "labels"))
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.trie(table(spark, sf_dir, "conversations"))
+
+
 def op12_piece_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ids = piece_bpe.encode(table(spark, sf_dir, "documents"))
     listed = F.array_join(F.col("ids").cast("array<string>"), ",")
@@ -80,6 +84,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_warc_index": op8_warc_index,
     "op9_rank_order_language": op9_rank_order_language,
     "op10_quality_rules": op10_quality_rules,
+    "op11_prefix_trie": op11_prefix_trie,
     "op12_piece_bpe": op12_piece_bpe,
     "op13_token_alignment": op13_token_alignment,
 }
@@ -89,4 +94,5 @@ ORACLES: dict[str, str] = {
     "op3_block_top_k": topk.ORACLE,
     "op5_url_rules": url_filter.ORACLE,
     "op8_warc_index": warc.ORACLE,
+    "op11_prefix_trie": prefix_trie.ORACLE,
 }
