@@ -10,9 +10,10 @@ from collections import Counter, defaultdict
 import numpy as np
 import pytest
 import public_tokenizers
-import xxhash
 from pyspark.sql import functions as F
 
+from plain_lines import plain_dedup
+
 import corpus_pipeline
 from dealspark.llm import common, line_dedup, ngram_join, packing, topk, warc
 from dealspark.llm.queries import ORACLES, QUERIES
@@ -226,51 +227,6 @@ def test_crossover_keeps_all_pieces():
 
 # --- lines ------------------------------------------------------------------
 
-def plain_chunks(text):
-    """(body, counts) of a text; the same rolling hash as the operator."""
-    lines = text.split("\n")
-    h = [xxhash.xxh64_intdigest(x.encode(), 42) for x in lines]
-    space = r"[ \t\n\x0b\f\r]"
-    long = [len(x) > 100 and len([w for w in re.split(space, x) if w]) > line_dedup.LONG_WORDS for x in lines]
-    out, cur = [], []
-    for i, line in enumerate(lines):
-        seed = 42
-        for k in (i - 2, i - 1):
-            if k >= 0:
-                seed = xxhash.xxh64_intdigest(h[k].to_bytes(8, "little"), seed)
-        signed = seed - (1 << 64) if seed >> 63 else seed
-        if cur and (long[i] or long[i - 1] or signed % line_dedup.EVERY == 0):
-            out.append(cur)
-            cur = []
-        cur.append((line, long[i]))
-    out.append(cur)
-    full = lambda c: sum(1 for x, _ in c if re.search(r"[^ \t\n\x0b\f\r]", x))
-    return [("\n".join(x for x, _ in c), full(c) >= 2 or c[0][1]) for c in out]
-
-
-def plain_dedup(rows):
-    first, times = {}, Counter()
-    for i, t in rows:
-        for body, counts in plain_chunks(t) if t is not None else []:
-            if counts:
-                times[body] += 1
-                if i is not None:
-                    first[body] = min(first.get(body, i), i)
-    out = []
-    for i, t in rows:
-        if t is None or i is None:
-            out.append((i, t))
-            continue
-        kept, seen = [], set()
-        for body, counts in plain_chunks(t):
-            gone = counts and times[body] > 1 and (first.get(body, i) != i or body in seen)
-            seen |= {body} if counts else set()
-            if not gone:
-                kept.append(body)
-        out.append((i, "\n".join(kept)))
-    return out
-
-
 def same(a, b):
     assert Counter(a) == Counter(b)
 
