@@ -4,10 +4,11 @@ Encoding: the rows (word, position, token) of a block of words join the merge
 table on adjacent tokens; each round contracts every unfinished word's leftmost
 pair of minimum rank; words without a pair drop out of the working table, and
 the rows of a word's last round are its tokens.  Words of more than
-``LONG_WORD`` bytes use a keyed recursion that holds one state only; there, a
-round contracts all occurrences of the word's minimum-rank pair at once when no
-merge that contains the new token has a lower rank, which gives the same tokens
-as one pair at a time.  Decoding: id rows join the vocabulary, and an ordered
+``LONG_WORD`` bytes are cut, before every round, where no merge can cross, and a
+round contracts all occurrences of each segment's minimum-rank pair at once when
+no merge that contains the new token has a lower rank, which gives the same
+tokens as one pair at a time; a recursion of theirs is given up after a number of
+rounds that its rows allow, and the next one goes on from its result.  Decoding: id rows join the vocabulary, and an ordered
 aggregation puts the bytes of a document together.
 
 Each different word of a task is encoded once (bounded store).  ids are packed
@@ -34,6 +35,12 @@ from .chunks import ChunkStore
 from .common import by_bytes, vocabulary
 
 LONG_WORD = 256
+#: Memory of a task's queries; a longer word takes ``LONG_BYTES`` for each of its bytes.
+MEMORY_MB = 200
+LONG_BYTES = 500
+#: Positions of one block of long words (a longer word stays whole), and rows that its rounds may leave.
+LONG_BLOCK = 100_000
+LONG_ROWS = 1_000_000
 #: Words of one recursive query; bounds its memory.
 BLOCK_WORDS = 10_000
 #: Tokens of one decoding query.
@@ -61,28 +68,34 @@ with recursive s(i, w, p, t) as (
 select w, t from s join (select w, max(i) as i from s group by w) using (w, i) order by w, p
 """
 
+# Segments of long words: a segment ends where the joined tokens stand in no vocabulary entry,
+# so that no merge can cross.  A round merges the pairs of each segment's minimum rank, and
+# segments without such a pair are done; every position of a block is different.
 _LONG = """
-with recursive s(w, p, t, n) using key (w, p) as (
-    select w, p, t, p + 1 from start
-    union
-    (with live as (select * from recurring.s where t >= 0),
-     pairs as (
-        select a.w, a.p, a.n as q, b.n as n2, m.rank, m.alone,
-               row_number() over (partition by a.w order by a.p) as rn
-        from live a join live b on b.w = a.w and b.p = a.n
-        left join merges m on m.pair = a.t * 65536::bigint + b.t),
-     least as (select *, rn - row_number() over (partition by w order by p) as island
-               from pairs where rank is not null
-               qualify rank = min(rank) over (partition by w)),
-     picked as (select *, row_number() over (partition by w order by p) as nth,
-                       row_number() over (partition by w, island order by p) as inside
-                from least
-                qualify case when alone then nth = 1 else inside % 2 = 1 end)
-     select w, p, rank, n2 from picked
-     union all
-     select w, q, -1, -1 from picked)
+with recursive s(i, w, p, t, done) as (
+    select 0, w, p, t, false from start
+    union all
+    (with n as materialized (
+        select i, w, p, t, row_number() over (order by p) as nr, lead(p) over by_word as q, lead(t) over by_word as u
+        from s where not done and i < $rounds
+        window by_word as (partition by w order by p)),
+     pairs as materialized (
+        select n.*, m.rank, m.alone,
+               coalesce(sum(case when m.pair is null then 1 else 0 end)
+                        over (order by p rows between unbounded preceding and 1 preceding), 0)::int as seg
+        from n left join spans m on m.pair = n.t * 65536::bigint + n.u),
+     least as materialized (select *, min(rank) over (partition by seg) as best from pairs),
+     hits as (select p, q, rank, alone, seg, nr - row_number() over (partition by seg order by p) as island
+              from least where rank = best),
+     placed as (select p, q, rank, alone, row_number() over (partition by seg order by p) as nth,
+                       row_number() over (partition by seg, island order by p) as inside from hits),
+     picked as materialized (
+        select p, q, rank from placed where case when alone then inside % 2 = 1 else nth = 1 end)
+     select l.i + 1, l.seg, l.p, coalesce(a.rank, l.t), l.best is null
+     from least l left join picked a on a.p = l.p
+     where l.p not in (select q from picked))
 )
-select w, t from s where t >= 0 order by w, p
+select w, p, t, done from s where done or i = $rounds order by p
 """
 
 
@@ -91,7 +104,8 @@ class _Sql:
 
     def __init__(self) -> None:
         import duckdb
-        self.sql = duckdb.connect(config={"threads": "1", "memory_limit": "200MB"})
+        # No folder to spill to: what a query holds is bounded by its block.
+        self.sql = duckdb.connect(config={"threads": "1", "memory_limit": f"{MEMORY_MB}MB", "temp_directory": ""})
 
     def table(self, name: str, columns: dict) -> None:
         self.sql.register("given", pa.table(columns))
@@ -116,34 +130,81 @@ class BytePairs(_Sql):
                 a, b = ranks.get(token[:i]), ranks.get(token[i:])
                 if a is not None and b is not None:
                     left.append(a), right.append(b), rank.append(k)
-        lowest: dict[int, int] = {}
-        for a, b, k in zip(left, right, rank):
-            for t in (a, b):
-                lowest[t] = min(lowest.get(t, k), k)
+        self.ranks, self.long_ready = ranks, False
         self.byte_rank = np.array([ranks[bytes([i])] for i in range(256)], np.int32)
         self.table("merges", {
-            "pair": np.array(left, np.int64) * 65536 + np.array(right, np.int64), "rank": np.array(rank, np.int32),
-            "alone": np.array([lowest.get(k, k) < k for k in rank])})
+            "pair": np.array(left, np.int64) * 65536 + np.array(right, np.int64), "rank": np.array(rank, np.int32)})
+
+    def _make_spans(self) -> None:
+        """Pairs of neighbours within an entry; those that merge have a rank, ``alone`` if every
+        merge that contains the new token has a higher one."""
+        ranks = self.ranks
+        found: dict[int, int] = {}
+        lowest: dict[int, int] = {}
+        for token in ranks:
+            for i in range(len(token) - 1):
+                for j in range(i + 1, len(token)):
+                    a = ranks.get(token[i:j])
+                    if a is None:
+                        continue
+                    for k in range(j + 1, len(token) + 1):
+                        b = ranks.get(token[j:k])
+                        if b is not None and a * 65536 + b not in found:
+                            found[a * 65536 + b] = new = ranks.get(token[i:k], -1)
+                            for t in (a, b) if new >= 0 else ():
+                                lowest[t] = min(lowest.get(t, new), new)
+        rank = np.fromiter(found.values(), np.int32, len(found))
+        self.table("spans", {
+            "pair": np.fromiter(found, np.int64, len(found)), "rank": pa.array(rank, mask=rank < 0),
+            "alone": [lowest.get(k, k + 1) > k for k in rank.tolist()]})
+        self.long_ready = True
 
     def encode(self, words: list[bytes]) -> list[np.ndarray]:
         """Token ids of each word."""
         out: list[np.ndarray] = [np.zeros(0, np.int32)] * len(words)
         short = [i for i, w in enumerate(words) if len(w) <= LONG_WORD]
         for at in range(0, len(short), BLOCK_WORDS):
-            self._block(words, short[at:at + BLOCK_WORDS], _SHORT, out)
-        for i, w in enumerate(words):
-            if len(w) > LONG_WORD:
-                self._block(words, [i], _LONG, out)
+            self._block(words, short[at:at + BLOCK_WORDS], out)
+        step, held = [], 0
+        for i in [i for i, w in enumerate(words) if len(w) > LONG_WORD]:
+            if step and held + len(words[i]) > LONG_BLOCK:
+                self._long_block(words, step, out)
+                step, held = [], 0
+            step.append(i)
+            held += len(words[i])
+        if step:
+            self._long_block(words, step, out)
         return out
 
-    def _block(self, words: list[bytes], which: list[int], query: str, out: list[np.ndarray]) -> None:
+    def _long_block(self, words: list[bytes], which: list[int], out: list[np.ndarray]) -> None:
+        if not self.long_ready:
+            self._make_spans()
+        data = np.frombuffer(b"".join(words[i] for i in which), np.uint8)
+        lens = np.fromiter((len(words[i]) for i in which), np.int64, len(which))
+        self.sql.execute(f"set memory_limit = '{max(MEMORY_MB, len(data) * LONG_BYTES >> 20)}MB'")
+        w, p, t = np.repeat(np.arange(len(which), dtype=np.int32), lens), np.arange(len(data), dtype=np.int32), self.byte_rank[data]
+        done: list[tuple[np.ndarray, np.ndarray]] = []
+        while len(p):
+            self.table("start", {"w": w, "p": p, "t": t})
+            # All rounds of a recursion stay in memory, so the next ones start from what is left.
+            got = self.sql.execute(_LONG, {"rounds": max(1, LONG_ROWS // len(p))}).fetchnumpy()
+            w, p, t, ended = (np.asarray(got[c]) for c in ("w", "p", "t", "done"))
+            done.append((p[ended], t[ended]))
+            w, p, t = w[~ended].astype(np.int32), p[~ended], t[~ended].astype(np.int32)
+        places, ids = (np.concatenate(x) for x in zip(*done))
+        order = np.argsort(places)
+        bounds = np.searchsorted(places[order], np.cumsum(lens)[:-1])
+        for i, part in zip(which, np.split(ids[order].astype(np.int32), bounds)):
+            out[i] = part
+
+    def _block(self, words: list[bytes], which: list[int], out: list[np.ndarray]) -> None:
         data = np.frombuffer(b"".join(words[i] for i in which), np.uint8)
         lens = np.fromiter((len(words[i]) for i in which), np.int64, len(which))
         self.table("start", {
             "w": np.repeat(np.arange(len(which), dtype=np.int32), lens),
             "p": (np.arange(len(data)) - np.repeat(np.cumsum(lens) - lens, lens)).astype(np.int32),
             "t": self.byte_rank[data]})
-        got = self.sql.execute(query).fetchnumpy()
+        got = self.sql.execute(_SHORT).fetchnumpy()
         ids = np.asarray(got["t"], np.int32)
         ends = np.cumsum(np.bincount(np.asarray(got["w"]), minlength=len(which)))
         for i, part in zip(which, np.split(ids, ends[:-1])):

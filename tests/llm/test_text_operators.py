@@ -3,7 +3,9 @@
 import base64
 import hashlib
 import math
+import random
 import re
+import time
 import zlib
 from collections import Counter
 
@@ -54,6 +56,35 @@ def test_bpe_long_words_contract_alike(multi):
         assert ids.tolist() == multi._core_bpe.encode_ordinary(w) or ids.tolist() == multi.encode_ordinary(w)
 
 
+@pytest.fixture(scope="module")
+def whole_words():
+    """The library on words as they are, without a split pattern."""
+    import tiktoken
+    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    return tiktoken.Encoding("own", pat_str=r"[\s\S]+", mergeable_ranks=bpe._ranks(path), special_tokens={}), bpe.BytePairs(path)
+
+
+def test_bpe_many_random_long_words(whole_words):
+    library, pairs = whole_words
+    rng = random.Random(2)
+    words = []
+    for letters in ("ab", "aet", "aetn", "the ", "東京都", "é_-", " \t", "abcdefghijkl"):
+        words += ["".join(rng.choice(letters) for _ in range(rng.randrange(257, 700))) for _ in range(75)]
+        words += ["".join(rng.choice(letters) for _ in range(5000))]
+    got = pairs.encode([w.encode() for w in words])
+    assert [x.tolist() for x in got] == [library.encode_ordinary(w) for w in words]
+
+
+@pytest.mark.parametrize("letters", ["aet", "abcdefghijklmnopqrstuvwxyz", " ", "a"])
+def test_bpe_words_of_100000_bytes(whole_words, letters):
+    library, pairs = whole_words
+    rng = random.Random(3)
+    word = "".join(rng.choice(letters) for _ in range(100_000))
+    start = time.monotonic()
+    assert pairs.encode([word.encode()])[0].tolist() == library.encode_ordinary(word)
+    assert time.monotonic() - start < 30
+
+
 def test_bpe_query(spark, multi):
     docs = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
     got = QUERIES["op1_byte_bpe"](spark, SF).collect()
