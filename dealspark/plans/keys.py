@@ -16,6 +16,7 @@ from dealspark.functions import timefns as T
 from dealspark.operators import predicates as P
 from dealspark.operators.compose import (add_offers, pack_offers, pack_wide, page_slice, rank_by_order,
                                          run_search, select_spec, tag_pack, top_k)
+from dealspark.operators.pack_index import PackIndex, tag_pack_indexed
 from dealspark.operators.projection import ProjectionSpec, detail_columns, offer_entries
 from dealspark.operators.ranking import global_rank
 from dealspark.plans import packs as K
@@ -218,6 +219,13 @@ def set_pack_tagged(spark, sf_dir):
     return tagged.select("query_name", "sku")
 
 
+@register("set_pack_index")
+def set_pack_index(spark, sf_dir):
+    """SET-2 for a pack of thousands: one scan, the searches as rows of an index."""
+    tagged = tag_pack_indexed(catalogue(spark, sf_dir), PackIndex(K.grid_pack()))
+    return tagged.select("query_name", "sku")
+
+
 @register("set_pack_wide")
 def set_pack_wide(spark, sf_dir):
     return pack_wide(catalogue(spark, sf_dir), K.pack(K.HTTP_PACK), catalogue_latest(spark, sf_dir))

@@ -205,3 +205,17 @@ def base() -> list[Column]:
 
 def pack(names) -> list[SavedQuery]:
     return [SAVED_QUERIES[n] for n in names]
+
+
+# A large pack, one search per brand, template and price limit.
+GRID_BRANDS = tuple(f"Brand#{n}" for n in range(10, 60))
+GRID_TEMPLATES = ("Televisions", "Digital_Signage_Displays_and_Players", "Headphones_and_Headsets", "Gaming_Controllers",
+                  "Laptops", "Desktops")
+GRID_LIMITS = (200, 400, 700, 1000, 1300, 1600, 1900)
+
+
+def grid_pack() -> list[SavedQuery]:
+    """2,100 searches: a brand's products of a template, under a price, active, without Intel."""
+    return [SavedQuery(f"{b} {t} under {limit}", f"{b} {t}", conditions_to_predicate(
+        [("eq", "manufacturer", b), ("eq", "productTemplate", t), ("lt", "salePrice", limit), ("eq", "active", True),
+         ("none_prefix", "details.value", "intel")])) for b in GRID_BRANDS for t in GRID_TEMPLATES for limit in GRID_LIMITS]

@@ -93,9 +93,10 @@ def products(spark: SparkSession, sf_dir: str) -> DataFrame:
 OFFER_ORDER = ("l_shipdate", "l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice")
 
 
-def offer_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Lines that are offers, with their order key and offer dates."""
-    return table(spark, sf_dir, "lineitem").select("l_partkey", *OFFER_ORDER,
+def offer_lines(spark: SparkSession, sf_dir: str, by: str | None = None) -> DataFrame:
+    """Lines that are offers, with their order key and offer dates; dealt ``by`` a column first, if one is given."""
+    lines = table(spark, sf_dir, "lineitem").select("l_partkey", *OFFER_ORDER)
+    return (lines.repartition(by) if by else lines).select("l_partkey", *OFFER_ORDER,
                      F.col("l_shipdate").cast("date").cast("string").alias("startDate"),
                      F.date_add(F.col("l_shipdate").cast("date"), OFFER_DAYS).cast("string").alias("endDate"))
 

@@ -55,9 +55,11 @@ def envelope_texts(spark: SparkSession, sf_dir: str, page_size: int = PRODUCTS_P
     cat = products(spark, sf_dir)
     # Offers in list order: sorting the collected structs by their leading
     # fields (the offer order key) gives the order without numbering them first.
-    lines = offer_lines(spark, sf_dir).withColumn("id", F.concat_ws("-", "l_orderkey", "l_linenumber"))
+    # Dealt by product before they are rendered: collecting lists on the reading side
+    # would not shrink them.
+    lines = offer_lines(spark, sf_dir, by="l_partkey").withColumn("id", F.concat_ws("-", "l_orderkey", "l_linenumber"))
     nested = (lines.groupBy(F.col("l_partkey").alias("sku"))
-              .agg(F.array_sort(F.collect_list(F.struct(*OFFER_ORDER, "id", "startDate", "endDate"))).alias("o")))
+              .agg(F.sort_array(F.collect_list(F.struct(*OFFER_ORDER, "id", "startDate", "endDate"))).alias("o")))
     offers = F.coalesce(F.transform(F.col("o"), lambda x: F.struct(x["id"].alias("id"), x["startDate"].alias("startDate"),
                                                                       x["endDate"].alias("endDate"))),
                         F.expr("CAST(array() AS ARRAY<STRUCT<id:STRING,startDate:STRING,endDate:STRING>>)"))
@@ -72,7 +74,7 @@ def envelope_texts(spark: SparkSession, sf_dir: str, page_size: int = PRODUCTS_P
     total = cat.select(F.count(F.lit(1))).scalar()
     per_page = (full.select("page", "pos", product_json.alias("j"))
                     .groupBy("page")
-                    .agg(F.array_sort(F.collect_list(F.struct("pos", "j"))).alias("items")))
+                    .agg(F.sort_array(F.collect_list(F.struct("pos", "j"))).alias("items")))
     envelope = F.concat(
         F.lit('{"totalPages":'), ceil_div(total, F.lit(page_size)).cast("string"),
         F.lit(',"total":'), total.cast("string"),
@@ -90,7 +92,13 @@ def land_envelopes(spark: SparkSession, sf_dir: str, dest: str | None = None) ->
 
 def envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The envelopes as they would be read, without landing them."""
-    return envelope_texts(spark, sf_dir).select(F.parse_json("value").alias(ENVELOPE))
+    return envelope_texts(spark, sf_dir).select(_once(F.parse_json("value")).alias(ENVELOPE))
+
+
+def _once(value: Column) -> Column:
+    """A row's value as a generated column: it is computed once, where a plain
+    column would be computed anew in every filter and projection above it."""
+    return F.explode(F.array(value))
 
 
 # -- reading -----------------------------------------------------------------
@@ -190,14 +198,18 @@ def _page_bad(spec: ProjectionSpec, if_no_products: bool) -> Column:
     return F.coalesce(F.exists(decoded, lambda x: product_faults(x, spec)), F.lit(if_no_products))
 
 
-def accepted(env: DataFrame, spec: ProjectionSpec) -> DataFrame:
-    """PRJ-3: drop every page in which some product cannot be flattened with ``spec``.
+def _accepted_products(env: DataFrame, spec: ProjectionSpec) -> DataFrame:
+    """PRJ-3: ``(page, products)`` of the pages whose products can all be flattened
+    with ``spec``, each product as decoded by ``_decode``.
 
-    Evaluated per envelope with ``exists`` over its products: no shuffle, and
-    the rest of the run goes on with the other pages.
+    A page is decoded once, tested with ``exists`` over its products and handed
+    on: no shuffle, and the rest of the run goes on with the other pages.
     """
     prods = F.try_variant_get(F.col(ENVELOPE), "$.products", "array<variant>")
-    return env.where(prods.isNotNull() & ~_page_bad(spec, if_no_products=False))
+    decoded = env.select(F.variant_get(F.col(ENVELOPE), "$.currentPage", "int").alias("page"),
+                         _once(F.transform(prods, _decode)).alias("products"))
+    bad = F.exists("products", lambda x: product_faults(x, spec))
+    return decoded.where(F.col("products").isNotNull() & ~F.coalesce(bad, F.lit(False)))
 
 
 def rejected_pages(env: DataFrame, spec: ProjectionSpec) -> DataFrame:
@@ -223,9 +235,9 @@ def flatten_pages(env: DataFrame, spec: ProjectionSpec) -> DataFrame:
     ``offer.<field>`` maps.  A base column or offer field without a known type is
     text, as it stands in the record (a nested value as JSON)."""
     s = spec.resolved()
-    rows = explode_products(accepted(env, spec))
-    offers = F.try_variant_get("p", "$.offers", "array<variant>")
-    rows = rows.select("page", "pos", "p", _typed("details").alias("details"), offers.alias("offers"))
+    rows = _accepted_products(env, spec).select("page", F.posexplode("products").alias("pos", "x"))
+    rows = rows.select("page", "pos", F.col("x.p").alias("p"), F.col("x.offers").alias("offers"))
+    rows = rows.withColumn("details", _typed("details"))
     base = [_typed(c).alias(c) for c in s.columns]
     attrs = [detail_value(d).alias(attribute_alias(d, s.columns)) for d in s.details]
     offs = [_offer_texts(f).alias(offer_column_name(f)) for f in s.offers]

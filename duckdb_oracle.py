@@ -322,6 +322,13 @@ MORE = {
     "topk_cheapest": f"WITH {PRODUCTS_CTE}, r AS (SELECT sku, \"salePrice\", name, {RANK} FROM products)\nSELECT * FROM r WHERE rank < 10",
     "set_union_pages": select("true", 'page, pos, sku, name, "salePrice", url'),
     "set_pack_tagged": f"WITH {PRODUCTS_CTE}, tagged AS ({tagged_union(HTTP_PACK)})\nSELECT query_name, sku FROM tagged",
+    "set_pack_index": f"""WITH {PRODUCTS_CTE},
+searches AS (SELECT 'Brand#' || b AS brand, t AS template, m AS price_limit
+  FROM range(10, 60) x(b), unnest(['Televisions', 'Digital_Signage_Displays_and_Players', 'Headphones_and_Headsets',
+       'Gaming_Controllers', 'Laptops', 'Desktops']) y(t), unnest([200, 400, 700, 1000, 1300, 1600, 1900]) z(m))
+SELECT concat(brand, ' ', template, ' under ', price_limit) AS query_name, sku
+FROM products JOIN searches ON manufacturer = brand AND "productTemplate" = template AND "salePrice" < price_limit
+WHERE active AND len(list_filter(details, lambda d: coalesce(starts_with(lower(d.value), 'intel'), false))) = 0""",
     "set_pack_wide": pack_wide_sql(HTTP_PACK),
     "agg_shape": f"WITH {PRODUCTS_CTE},\n{shapes_cte(HTTP_PACK)}\nSELECT query_name, n_rows, n_cols FROM shapes",
     "agg_sum_totals": (f"WITH {PRODUCTS_CTE}\nSELECT (SELECT count(*) FROM products WHERE {W_TV_TOP}) + "
