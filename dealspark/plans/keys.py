@@ -25,6 +25,7 @@ from dealspark.plans import runner
 from dealspark.plans.packs import SAVED_QUERIES
 from dealspark.session import fresh_scratch
 from dealspark.sources import pages as G
+from dealspark.sources.attributes import store_attributes
 from dealspark.sources.catalogue import catalogue, catalogue_latest, offer_rows, products, table
 from dealspark.streaming import incremental as S
 
@@ -102,6 +103,22 @@ register("prd_none_prefix")(_match(lambda now: P.none_prefix("details.value", "1
 register("prd_search")(_match(lambda now: P.search("airpods"), "name"))
 
 
+# -- list conditions over a stored inverted table (PRD-13..17) ------------------
+
+def _indexed(cond, field="name"):
+    def fn(spark, sf_dir):
+        cat = catalogue(spark, sf_dir)
+        return store_attributes(cat, fresh_scratch(spark, "attributes")).matching(cat, [cond]).select("sku", field)
+    return fn
+
+
+register("idx_any_eq")(_indexed(("any_eq", "details.value", "nvidia")))
+register("idx_any_prefix")(_indexed(("any_prefix", "categoryPath.name", "laptop")))
+register("idx_none_eq")(_indexed(("none_eq", "details.value", "intel")))
+register("idx_none_prefix")(_indexed(("none_prefix", "details.value", "1650")))
+register("idx_search")(_indexed(("search", "airpods")))
+
+
 @register("prd_anti_prefix_local")
 def prd_anti_prefix_local(spark, sf_dir):
     """Archived local post-filter on the flattened table: drop ``Processor Model``

@@ -427,6 +427,8 @@ STREAMS = {
 def all_sql() -> dict[str, str]:
     out = dict(SEARCHES)
     out.update(MORE)
+    # The same conditions, over a stored inverted table.
+    out.update({f"idx_{k}": MORE[f"prd_{k}"] for k in ("any_eq", "any_prefix", "none_eq", "none_prefix", "search")})
     out.update(INGEST)
     out.update(STREAMS)
     return out
