@@ -79,41 +79,59 @@ def first_deliveries(ledger: str, body: Callable[[DataFrame, int], None] | None
     """STR-2: ``foreachBatch`` body that passes on the first delivery of each
     ``(sku, priceUpdateDate)``, however late or out of order it comes.
 
-    Deliveries are written to ``ledger`` per batch and day.  A batch is first
-    aggregated to one row per key, then anti-joined with what earlier batches
-    delivered on the same days, so neither state nor the read grows with the
-    days that a batch does not touch.  A replayed batch overwrites its own rows
-    and is compared with the other batches only.  With ``since_clock``, changes
-    older than ``minutes`` before the clock are left out (STR-1).
+    Deliveries are written to ``ledger`` by day, then by run and batch.  A batch
+    is first aggregated to one row per key, then anti-joined with what others
+    delivered on its days: the folders of these days are the only ones that are
+    looked at, so neither state, listing nor read grows with the ledger's age or
+    with the days between a late change and the newest.  A replayed batch replaces
+    its own folders and is compared with the others.  A run is the query's id,
+    which its checkpoint keeps: a query with a fresh checkpoint adds to an old
+    ledger and repeats nothing that is in it.  With ``since_clock``, changes older
+    than ``minutes`` before the clock are left out (STR-1).
     """
     base = ledger.rstrip("/")
 
     def run_batch(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
+        part = f"{spark.sparkContext.getLocalProperty('sql.streaming.queryId') or 'run'}-{batch_id}"
         rows = since(batch, T.cutoff(since_clock(), minutes, zone)) if since_clock else batch
         others = [c for c in rows.columns if c not in KEY]
         first = F.min(F.struct(*others)).alias("__first")
         rows = (rows.groupBy(*KEY).agg(first).select(*KEY, "__first.*").select(*rows.columns)
-                .withColumn("day", F.to_date("priceUpdateDate")))
-        target = f"{base}/batch_id={batch_id}"
-        if batch_id:
-            days = rows.agg(F.min("day").alias("lo"), F.max("day").alias("hi")).first()
-            known = (spark.read.schema(_with_partitions(rows)).parquet(base)
-                     .where((F.col("batch_id") < batch_id) & F.col("day").between(days["lo"], days["hi"])).select("day", *KEY))
-            rows = rows.join(known, ["day", *KEY], "left_anti").select(*rows.columns)
-        rows.write.mode("overwrite").partitionBy("day").parquet(target)
+                .withColumn("day", F.coalesce(F.to_date("priceUpdateDate").cast("string"), F.lit(NO_DAY))))
+        days = [f"{base}/day={r['day']}" for r in rows.select("day").distinct().collect()]
+        known = _read_folders(spark, base, days, rows.schema)
+        if known is not None:
+            known = known.where(F.col("part") != part).select(*[F.col(c).alias(f"__{c}") for c in KEY])
+            same = [F.col(c).eqNullSafe(F.col(f"__{c}")) for c in KEY]
+            rows = rows.join(known, same, "left_anti")
+        # Few files a day; a day with very many changes is split.
+        (rows.withColumn("part", F.lit(part)).hint("rebalance", "day").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy("day", "part").parquet(base))
         if body:
-            body(spark.read.schema(rows.schema).parquet(target).drop("day"), batch_id)
+            new = _read_folders(spark, base, [f"{d}/part={part}" for d in days], rows.schema)
+            body(spark.createDataFrame([], batch.schema) if new is None else new.select(*batch.columns), batch_id)
     return run_batch
 
 
-def _with_partitions(rows: DataFrame) -> T_.StructType:
-    return T_.StructType([*rows.schema.fields, T_.StructField("batch_id", T_.LongType())])
+#: Day folder of changes without a time.
+NO_DAY = "none"
+
+
+def _read_folders(spark: SparkSession, base: str, folders: list[str], schema: T_.StructType) -> DataFrame | None:
+    """The rows of those ledger folders that exist; none is listed besides."""
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    system = path(base).getFileSystem(spark._jsc.hadoopConfiguration())
+    found = [f for f in folders if system.exists(path(f))]
+    if not found:
+        return None
+    full = T_.StructType([*schema.fields, T_.StructField("part", T_.StringType())])
+    return spark.read.schema(full).option("basePath", base).parquet(*found)
 
 
 def delivered(spark: SparkSession, ledger: str) -> DataFrame:
     """All first deliveries of a ledger."""
-    return spark.read.parquet(ledger).drop("batch_id", "day")
+    return spark.read.parquet(ledger).drop("part", "day")
 
 
 def latest_changes(updates: DataFrame) -> DataFrame:

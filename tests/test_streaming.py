@@ -1,6 +1,8 @@
 """Incremental runs: the stream equals the batch answer; dedupe across runs."""
 
+import glob
 import time
+from datetime import datetime
 
 import pytest
 from pyspark.sql import functions as F
@@ -42,6 +44,43 @@ def test_dedupe_is_idempotent(spark, tmp_path):
         assert S.delivered(spark, led).count() == n
 
 
+def _land(spark, rows, path):
+    spark.createDataFrame(rows, "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string").write.parquet(path)
+
+
+def _change(i, sku, day, price=1.0):
+    return (i, None if day is None else datetime(2024, 1, day, 12), sku, "purchase", price, None)
+
+
+def test_a_fresh_checkpoint_on_an_old_ledger_loses_and_repeats_nothing(spark, tmp_path):
+    src, led = str(tmp_path / "in"), str(tmp_path / "ledger")
+    _land(spark, [_change(1, 7, 1), _change(2, 8, 2), _change(3, 9, None)], f"{src}/r1")
+    seen = []
+    body = S.first_deliveries(led, lambda new, n: seen.append(sorted(r["event_id"] for r in new.collect())))
+    S.run_to_end(S.price_updates(spark, src + "/r*/*.parquet"), str(tmp_path / "ck1"), foreach_batch=body)
+    _land(spark, [_change(4, 7, 1), _change(5, 8, 3)], f"{src}/r2")
+    # The second query starts from the beginning: batch 0 holds both runs.
+    S.run_to_end(S.price_updates(spark, src + "/r*/*.parquet"), str(tmp_path / "ck2"), foreach_batch=body)
+    assert seen == [[1, 2, 3], [5]]
+    assert sorted(r["event_id"] for r in S.delivered(spark, led).collect()) == [1, 2, 3, 5]
+
+
+def test_only_the_days_of_a_batch_are_read(spark, tmp_path):
+    src, led, ck = str(tmp_path / "in"), str(tmp_path / "ledger"), str(tmp_path / "ck")
+    _land(spark, [_change(i, i, i) for i in range(1, 29)], f"{src}/r1")
+    seen = []
+    body = S.first_deliveries(led, lambda new, n: seen.append(sorted(r["event_id"] for r in new.collect())))
+    S.run_to_end(S.price_updates(spark, src + "/r*/*.parquet"), ck, foreach_batch=body)
+    for day in range(2, 28):  # a read of another day would fail
+        for f in glob.glob(f"{led}/day=2024-01-{day:02d}/part=*/*.parquet"):
+            with open(f, "wb") as out:
+                out.write(b"broken")
+    # One late change and one new one, the days between untouched.
+    _land(spark, [_change(1, 1, 1), _change(50, 50, 1), _change(51, 28, 28), _change(52, 51, 28)], f"{src}/r2")
+    S.run_to_end(S.price_updates(spark, src + "/r*/*.parquet"), ck, foreach_batch=body)
+    assert seen[1] == [50, 52]
+
+
 def test_recent_stream_equals_batch_filter(spark):
     got = stream_recent(spark, SF_SMALL)
     upd = S.as_price_updates(table(spark, SF_SMALL, "events"))
