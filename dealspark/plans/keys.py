@@ -28,6 +28,7 @@ from dealspark.sources import pages as G
 from dealspark.sources.attributes import store_attributes
 from dealspark.sources.catalogue import catalogue, catalogue_latest, offer_rows, products, table
 from dealspark.streaming import incremental as S
+from dealspark.streaming import live
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
@@ -585,3 +586,16 @@ def stream_report(spark, sf_dir):
         S.price_updates(spark, src), f"{base}/_checkpoint", foreach_batch=body))
     rep = spark.read.parquet(f"{base}/report")
     return rep.groupBy("query_name").agg(F.sum("n_rows").alias("n_rows"))
+
+
+@register("stream_live")
+def stream_live(spark, sf_dir):
+    """STR-4 with AGG-1: counts of a full run plus signed changes of two overlapping
+    runs, the newer one first; equal to a full run over the changed catalogue."""
+    base = fresh_scratch(spark, "stream_live")
+    cat, pack = catalogue(spark, sf_dir), K.pack(K.HTTP_PACK)
+    live.write_base(cat, pack, f"{base}/changes", catalogue_latest(spark, sf_dir))
+    body = live.signed_counts(cat, pack, f"{base}/changes", lambda: catalogue_latest(spark, sf_dir))
+    _run_in_turns(overlapping_runs(spark, sf_dir)[::-1], base, lambda src: S.run_to_end(
+        live.price_steps(S.price_updates(spark, src)), f"{base}/_checkpoint", foreach_batch=body))
+    return live.live_counts(spark.read.parquet(f"{base}/changes"))

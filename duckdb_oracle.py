@@ -424,6 +424,14 @@ STREAMS = {
 }
 
 
+# The newest change of each product, applied to the catalogue; "now" stays the catalogue's own.
+CHANGED = """changed AS (SELECT p.* REPLACE (coalesce(u.price, p."salePrice") AS "salePrice", coalesce(u.at, p."priceUpdateDate") AS "priceUpdateDate")
+FROM products p LEFT JOIN (SELECT user_id AS sku, max(ts) AS at, max({'at': ts, 'price': value}).price AS price
+  FROM events WHERE event_type = 'purchase' AND ts IS NOT NULL AND value IS NOT NULL GROUP BY user_id) u USING (sku))"""
+STREAMS["stream_live"] = (f"WITH {PRODUCTS_CTE}, {CHANGED},\n{shapes_cte(HTTP_PACK).replace('FROM products WHERE', 'FROM changed WHERE')}\n"
+                          "SELECT query_name, n_rows FROM shapes")
+
+
 def all_sql() -> dict[str, str]:
     out = dict(SEARCHES)
     out.update(MORE)
