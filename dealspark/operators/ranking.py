@@ -85,7 +85,8 @@ def _numbered(ranged: DataFrame, by: list[Column]) -> DataFrame:
     rows = ranged.sortWithinPartitions(*by).withColumn(_MID, F.monotonically_increasing_id())
     number = F.when(local < F.col(_N), F.col(_BASE) + local).otherwise(
         F.raise_error(F.lit("the two reads of a ranked frame were partitioned differently")).cast("long"))
-    return rows.join(F.broadcast(offsets), _PID).select(_ROW, number.cast("long").alias(_BASE))
+    # A left join: a partition without a count fails, too, rather than lose its rows.
+    return rows.join(F.broadcast(offsets), _PID, "left").select(_ROW, number.cast("long").alias(_BASE))
 
 
 def _unpacked(df: DataFrame, columns: Sequence[str], out: str, number: Column) -> DataFrame:
@@ -108,8 +109,9 @@ def keyed_rank(df: DataFrame, key: str, order: Sequence[SortKey], out: str = "ra
     counts = ranged.groupBy(_field(key).alias(_MID)).agg(F.count(F.lit(1)).alias(_N))
     before = Window.orderBy(_MID).rowsBetween(Window.unboundedPreceding, -1)
     starts = counts.select(_MID, F.coalesce(F.sum(_N).over(before), F.lit(0)).alias(_PID))
-    joined = numbered.join(F.broadcast(starts), _field(key).eqNullSafe(F.col(_MID)))
-    return _unpacked(joined, df.columns, out, F.col(_BASE) - F.col(_PID))
+    joined = numbered.join(F.broadcast(starts), _field(key).eqNullSafe(F.col(_MID)), "left")
+    start = F.coalesce(F.col(_PID), F.raise_error(F.lit("a key of a ranked frame has no count")).cast("long"))
+    return _unpacked(joined, df.columns, out, F.col(_BASE) - start)
 
 
 def stepped_rank(df: DataFrame, keys: Sequence[str], step: str, order: Sequence[SortKey], out: str = "rank") -> DataFrame:

@@ -14,9 +14,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from dealspark.functions.text import link_rewrite
-from dealspark.operators.compose import OFFER_POS, add_offers, latest_update, pack_order, tag_pack
-from dealspark.operators.projection import attribute_alias, detail_value, offer_column_name
-from dealspark.operators.ranking import Asc, global_rank
+from dealspark.operators.compose import OFFER_POS, latest_update, pack_order, tag_pack
+from dealspark.operators.projection import ProjectionSpec, attribute_alias, detail_value, offer_column_name, offer_entries
+from dealspark.operators.ranking import Asc, global_rank, stepped_rank
 from dealspark.plans.packs import SavedQuery, shared
 from dealspark.session import stored
 
@@ -149,25 +149,38 @@ def document_lines(catalogue: DataFrame, queries: Sequence[SavedQuery], offers:
     index is its landing position within the query's results (page, then
     position), kept through the price sort.
 
-    Only keys are ranked, and written once to the shared scratch folder, so that
-    the plan of each step stays small: result order and landing order of the matches, then
-    the lines of the matches with their offers.  Rows are rendered after that,
-    from the catalogue row of each key.  The counts before each query are a
-    table with one row per query of the pack.
+    The catalogue is read once: each match is written with its order keys, its
+    landing index and its rendered cells, then once more per offer.  One global
+    rank, over the lines, gives all line numbers; the landing index counts the
+    matches of earlier blocks of pages.  The counts before each query are a table
+    with one row per query of the pack.
     """
     now = latest_update(catalogue) if now is None else now
-    keys = tag_pack(catalogue, queries, now, tag).select(
-        pack_order(queries, tag).alias("pack_order"), "sku", "salePrice", "name", "page", "pos")
-    keys = stored(global_rank(keys, ["pack_order", Asc("salePrice", True), Asc("name", True), "page", "pos"], "__g"), "document")
-    keys = global_rank(keys.select("pack_order", "sku", "page", "pos", "__g"), ["pack_order", "page", "pos"], "__l")
-    lines = stored(add_offers(keys.select("pack_order", "sku", "__g", "__l"), offers, "sku"), "document")
-    numbered = global_rank(lines.withColumn("__o", F.coalesce(OFFER_POS, F.lit(0))), ["pack_order", "__g", "__o"], "__b")
+    order = ["pack_order", Asc("salePrice", True), Asc("name", True), "page", "pos"]
+    matches = tag_pack(catalogue, queries, now, tag).withColumn("pack_order", pack_order(queries, tag))
+    cells = _pack_cells(catalogue, queries)
+    matches = matches.select("pack_order", "sku", "salePrice", "name", "page", "pos", _chosen([c for c, _ in cells]).alias("cells"),
+                             F.floor(F.col("page") / PAGE_BLOCK).alias("__block"))
+    matches = stored(stepped_rank(matches, ["pack_order"], "__block", ["page", "pos"], "__index").drop("__block"), "document")
+    names = sorted({f for q in queries for f in q.spec.resolved().offers})
+    entries = offer_entries(offers, ProjectionSpec(offers=names)).withColumnRenamed("sku", "__offer_sku")
+    columns = [OFFER_POS, *[offer_column_name(f) for f in names]]
+    own = [c for c in matches.columns if c != "cells"]
+    # The offers drive the join, so that a product with very many of them can be split; only a
+    # match's first line carries its cells.
+    some = stored(entries.join(matches, F.col("__offer_sku") == F.col("sku")).select(
+        *own, F.when(F.col(OFFER_POS) == 0, F.col("cells")).alias("cells"), *[F.col(f"`{c}`") for c in columns]), "document")
+    firsts = some.where(F.col(OFFER_POS) == 0).select("pack_order", "sku")
+    lines = some.unionByName(matches.join(firsts, ["pack_order", "sku"], "left_anti"), allowMissingColumns=True)
+    numbered = global_rank(lines.withColumn("__o", F.coalesce(OFFER_POS, F.lit(0))), [*order, "__o"], "__b")
 
     # One row per query of the pack: the single-partition window is bounded.
     before = Window.orderBy("pack_order").rowsBetween(Window.unboundedPreceding, -1)
-    bodies = lines.groupBy("pack_order").agg(F.count(F.lit(1)).alias("__lines"))
-    starts = (shape(catalogue, queries, now, tag).join(bodies, "pack_order", "left").na.fill(0, ["__lines"])
-              .withColumn("__rows", F.coalesce(F.sum("n_rows").over(before), F.lit(0)).cast("long"))
+    listed = catalogue.sparkSession.createDataFrame(
+        [(q.name, i, len(q.spec.output_names(with_offers=True))) for i, q in enumerate(queries)], f"{tag} string, pack_order int, width int")
+    bodies = lines.groupBy("pack_order").agg(F.count(F.lit(1)).alias("__lines"), F.count("cells").alias("n_rows"))
+    starts = (listed.join(bodies, "pack_order", "left").na.fill(0, ["__lines", "n_rows"])
+              .withColumn("n_cols", F.when(F.col("n_rows") > 0, F.col("width")).otherwise(F.lit(0)))
               .withColumn("__at", F.coalesce(F.sum("__lines").over(before), F.lit(0)).cast("long") + 3 * F.col("pack_order")))
     fixed = F.explode(F.array(
         F.struct(F.col("__at").alias("doc_line"), F.concat(
@@ -177,13 +190,15 @@ def document_lines(catalogue: DataFrame, queries: Sequence[SavedQuery], offers:
         F.struct((F.col("__at") + F.col("__lines") + 2).alias("doc_line"), F.lit("</br>").alias("text"))))
     frame = starts.select(fixed.alias("l")).select("l.*")
 
-    cells = _pack_cells(catalogue, queries)
-    html = [line_html(F.col("__l") - F.col("__rows"), c, n, q.spec.resolved().offers) for q, (c, n) in zip(queries, cells)]
-    body = (numbered.join(F.broadcast(starts.select("pack_order", "__rows")), "pack_order").join(catalogue, "sku")
-            .select((F.col("__b") + 3 * F.col("pack_order") + 2).alias("doc_line"), _chosen(html).alias("text")))
+    html = [line_html(F.col("__index"), F.col("cells"), n, q.spec.resolved().offers) for q, (_, n) in zip(queries, cells)]
+    body = numbered.select((F.col("__b") + 3 * F.col("pack_order") + 2).alias("doc_line"), _chosen(html).alias("text"))
     return frame.unionByName(body)
 
 
+#: Pages of one step of a landing index: a task sorts the matches of a block, and counts of blocks are few.
+PAGE_BLOCK = 1000
+
+
 def _chosen(per_query: Sequence[Column]) -> Column:
     """The entry of the row's query."""
     out = F.when(F.col("pack_order") == 0, per_query[0])
