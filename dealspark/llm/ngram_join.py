@@ -13,8 +13,9 @@ everything below works on classes.
    steps only), large cells are split into block pairs.  A pair passes the
    length, positional and suffix filters - the last bounds the overlap by the
    sizes of ``BINS`` fixed hash ranges.  In cells of more than ``HOT`` classes it
-   is taken up only at its first common n-gram of such cells; the candidates are
-   then made distinct, so every pair is verified once.
+   is left out where an earlier one of the ``PRIOR`` first n-grams of such cells
+   is common, too; the candidates are then made distinct, so every pair is
+   verified once.
 4. Verification intersects the whole sets.
 
 The driver and the broadcasts hold a sketch and a bit table of fixed sizes (16 MB
@@ -50,6 +51,8 @@ COARSE = 32
 #: Classes of one block of a cell, and of a cell in which pairs are met once.
 BLOCK = 1024
 HOT = 32
+#: A class's first n-grams of such cells, by which a pair is known to have met before.
+PRIOR = 16
 #: Bits of the table of texts whose sets are read again.
 PICKED_BITS = 22
 STORE_WORDS = 600_000
@@ -341,7 +344,7 @@ class Join:
                  .where("size > 1 and bases > 0").select("gram", "cell", "size"))
         alive = stored(thin.join(sizes, ["gram", "cell"]), "ngram-alive")
         hot = (alive.where(F.col("size") > HOT).groupBy(F.col("cls").alias("of"))
-               .agg(F.collect_set(F.struct(F.col("place").alias("at"), "gram")).alias("hot")))
+               .agg(F.slice(F.sort_array(F.collect_set(F.struct(F.col("place").alias("at"), "gram"))), 1, PRIOR).alias("hot")))
         rows = (alive.join(self.classes.select("cls", "bins"), "cls").join(hot, F.col("cls") == F.col("of"), "left")
                 .withColumn("prior", F.when(F.col("size") > HOT, F.transform(
                     F.filter("hot", lambda e: e["at"] < F.col("place")), lambda e: e["gram"])).otherwise(
@@ -382,8 +385,17 @@ class Join:
 
 def keep_one(df: DataFrame, key: str = "doc_id", text: str = "text", percent: int = 90, width: int = 3) -> DataFrame:
     """The rows of ``df`` (all columns) that are the smallest id of their component,
-    one of each; rows with a null id stay."""
+    one of each text: of rows of one id that differ in other columns only, the least
+    one, by these columns in their order; rows of one id with different texts are
+    that document and all stay, and so do rows with a null id."""
     first = (Join(df, key, text, percent, width).components()
              .where(F.col(key) == F.col("component_id")).select(key).distinct())
-    named = df.where(F.col(key).isNotNull()).join(first, key, "left_semi").dropDuplicates([key])
-    return named.union(df.where(F.col(key).isNull()))
+    named = df.where(F.col(key).isNotNull()).join(first, key, "left_semi")
+    others = [F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(df.columns) if c not in (key, text)]
+    if others:
+        least = named.groupBy(F.col(f"`{key}`").alias("_key"), F.col(f"`{text}`").alias("_text")).agg(F.min(F.struct(*others)).alias("_row"))
+        given = {key: F.col("_key"), text: F.col("_text")}
+        one = least.select(*[given.get(c, F.col(f"_row.c{i}")).alias(c) for i, c in enumerate(df.columns)])
+    else:
+        one = named.distinct()
+    return one.union(df.where(F.col(key).isNull()))
