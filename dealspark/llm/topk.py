@@ -7,8 +7,10 @@ index).  For a query, a block's bound is the sum over the components of the
 query's value times the largest (or, where that value is negative, the smallest)
 value.  In a range, each query takes the blocks by falling bound and scores them
 until the next bound lies below its k-th best score; ties are scored.  Queries
-travel in groups of ``QUERIES``; every group meets every range.  A first round
-over a small share of the ranges gives each query a k-th score to start from.
+travel in groups of ``QUERIES``.  A group sees the bounds of all ranges, which
+travel in sheets: a first round over the share of ranges with the highest bounds
+gives each query a k-th score to start from, then the group meets those ranges
+only in which a bound reaches it.
 
 Edge cases: vectors that are null or hold null or non-finite components, and
 rows with a null id, take no part; an empty vector scores 0; components beyond
@@ -35,10 +37,12 @@ BLOCK = 128
 QUERIES = 256
 #: Ranges of the first round: one in so many.
 FIRST = 16
+#: Ranges whose component bounds travel in one row.
+SHEET = 1024
 CODE_BITS = 16
 NONE = np.iinfo(np.int64).min
 
-_PACKED = "id long, m int, dim int, ids binary, data binary"
+_PACKED = "id long, m int, dim int, ids binary, data binary, most binary, least binary"
 
 
 def scaled(vector: Column) -> Column:
@@ -88,7 +92,9 @@ def _packer(size: int):
         return pa.RecordBatch.from_arrays([
             pa.array([TaskContext.get().partitionId() << 32 | n], pa.int64()), pa.array([len(ids)], pa.int32()),
             pa.array([data.shape[1]], pa.int32()), pa.array([np.array(ids, "<i8").tobytes()], pa.binary()),
-            pa.array([data.astype("<i8").tobytes()], pa.binary())], names=["id", "m", "dim", "ids", "data"])
+            pa.array([data.astype("<i8").tobytes()], pa.binary()),
+            *[pa.array([f(data, axis=0).astype("<i8").tobytes()], pa.binary()) for f in (np.max, np.min)]],
+            names=["id", "m", "dim", "ids", "data", "most", "least"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids, vectors, n = [], [], 0
@@ -193,6 +199,50 @@ def _floors(k: int):
     return run
 
 
+def _sheet(key: tuple, t: pa.Table) -> pa.Table:
+    """One row of many ranges' numbers and component bounds."""
+    dims = t.column("dim").to_pylist()
+    packed = [b"".join(t.column(c).to_pylist()) for c in ("most", "least")]
+    return pa.table([pa.array([key[0].as_py()], pa.int64()), pa.array([t.column("cell").to_pylist()], pa.list_(pa.int32())),
+                     pa.array([dims], pa.list_(pa.int32())), *[pa.array([x], pa.binary()) for x in packed]],
+                    names=["sheet", "cells", "dims", "most", "least"])
+
+
+def bounds(q: np.ndarray, most: np.ndarray, least: np.ndarray) -> np.ndarray:
+    """Upper bounds of each query's scores in each range."""
+    dim = min(q.shape[1], most.shape[1])
+    q, most, least = q[:, :dim], most[:, :dim], least[:, :dim]
+    kind = _number_kind(q, np.concatenate([most, least]))
+    q, most, least = (x.astype(kind) for x in (q, most, least))
+    return np.maximum(q, 0) @ most.T + np.minimum(q, 0) @ least.T
+
+
+def _chosen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows of (query group, sheet) -> ranges for the group: without floors one in ``FIRST``, those of the
+    highest bounds; else all in which some query's bound is not below its floor."""
+    for batch in batches:
+        for r in range(batch.num_rows):
+            row = {n: batch.column(n)[r].as_py() for n in batch.schema.names}
+            qid, q = _unpacked(row["ids"], row["data"], row["m"], row["dim"])
+            cells, dims = np.array(row["cells"], np.int32), np.array(row["dims"], np.int64)
+            most, least = np.frombuffer(row["most"], "<i8"), np.frombuffer(row["least"], "<i8")
+            starts, found = np.cumsum(dims) - dims, np.zeros((len(qid), len(dims)))
+            for d in np.unique(dims):
+                at = np.flatnonzero(dims == d)
+                where = starts[at][:, None] + np.arange(d)
+                got = bounds(q, most[where], least[where])
+                found = found if got.dtype == found.dtype else found.astype(object)
+                found[:, at] = got
+            if row["first"]:
+                order = np.argsort(-found.astype(float).sum(axis=0), kind="stable")
+                cells = cells[order[:-(-len(order) // FIRST)]]
+            else:
+                floor = np.frombuffer(row["floor"], "<i8")[:len(qid)] if row["floor"] else np.full(len(qid), NONE)
+                cells = cells[(found >= floor[:, None]).any(axis=0)]
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(cells), row["id"], np.int64)), pa.array(cells, pa.int32())],
+                                             names=["id", "cell"])
+
+
 def top_k(df: DataFrame, queries: DataFrame, k: int = 5, key: str = "vec_id", vector: str = "embedding") -> DataFrame:
     """query_id, rank, vec_id and score of each row of ``queries`` against all rows of ``df`` but its own id."""
     def packed(rows: DataFrame, size: int, kind: str) -> DataFrame:
@@ -205,18 +255,24 @@ def top_k(df: DataFrame, queries: DataFrame, k: int = 5, key: str = "vec_id", ve
     ranges = packed(df, RANGE, "topk-ranges")
     groups = packed(queries, QUERIES, "topk-queries")
     n = max(1, ranges.count())
-    ranges = ranges.select(F.pmod(F.xxhash64("id"), F.lit(n)).cast("int").alias("cell"), F.col("m").alias("r_m"),
-                           F.col("dim").alias("r_dim"), F.col("ids").alias("r_ids"), F.col("data").alias("r_data"))
+    ranges = ranges.withColumn("cell", F.pmod(F.xxhash64("id"), F.lit(n)).cast("int"))
+    sheets = (ranges.select(F.floor(F.col("cell") / SHEET).alias("sheet"), "cell", "dim", "most", "least")
+              .groupBy("sheet").applyInArrow(_sheet, "sheet long, cells array<int>, dims array<int>, most binary, least binary"))
+    ranges = ranges.select("cell", F.col("id").alias("r_id"), F.col("m").alias("r_m"), F.col("dim").alias("r_dim"),
+                           F.col("ids").alias("r_ids"), F.col("data").alias("r_data"))
     columns = ["id", "m", "dim", "ids", "data", "floor", "r_m", "r_dim", "r_ids", "r_data"]
     shape = "grp long, place int, query_id long, vec_id long, score long"
 
-    def meet(q: DataFrame, cells: Column) -> DataFrame:
-        return (q.withColumn("cell", F.explode(cells)).join(ranges, "cell").select(*columns)
-                .mapInArrow(_cells(k), shape))
+    def meet(q: DataFrame, first: bool) -> DataFrame:
+        # Bounds of ranges travel, many in a row; a group's and a range's vectors meet only where they are chosen.
+        sheet = F.explode(F.sequence(F.lit(0).cast("long"), F.lit((n - 1) // SHEET).cast("long")))
+        pairs = stored(q.drop("most", "least").withColumn("sheet", sheet).join(sheets, "sheet").withColumn("first", F.lit(first))
+                       .mapInArrow(_chosen, "id long, cell int").distinct(), "topk-pairs")
+        return pairs.join(q, "id").join(ranges, "cell").select(*columns).mapInArrow(_cells(k), shape)
 
-    first = meet(groups.withColumn("floor", F.lit(None).cast("binary")), F.sequence(F.lit(0), F.lit((n - 1) // FIRST)))
-    floors = first.groupBy(F.col("grp").alias("id")).applyInArrow(_floors(k), "id long, floor binary")
-    best = meet(groups.join(stored(floors, "topk-floors"), "id", "left"), F.sequence(F.lit(0), F.lit(n - 1)))
+    floors = (meet(groups.withColumn("floor", F.lit(None).cast("binary")), True)
+              .groupBy(F.col("grp").alias("id")).applyInArrow(_floors(k), "id long, floor binary"))
+    best = meet(groups.join(stored(floors, "topk-floors"), "id", "left"), False)
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return (best.select("query_id", "vec_id", "score").withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
             .select("query_id", "rank", "vec_id", "score"))
