@@ -46,15 +46,14 @@ def cell_text(c: Column, dtype: str) -> Column:
     return F.coalesce(txt, F.lit(missing))
 
 
+def _td(name: str, col: Column, dtype: str) -> Column:
+    """A ``<td>`` cell; URL cells become anchors (SCL-2)."""
+    txt = escape_html(cell_text(col, dtype))
+    return F.concat(F.lit("<td>"), link_rewrite(txt) if name in URL_COLUMNS else txt, F.lit("</td>"))
+
+
 def _tds(cells: Sequence[tuple[str, Column, str]]) -> Column:
-    """``<td>`` cells; URL cells become anchors (SCL-2)."""
-    parts: list[Column] = []
-    for name, col, dtype in cells:
-        txt = escape_html(cell_text(col, dtype))
-        if name in URL_COLUMNS:
-            txt = link_rewrite(txt)
-        parts += [F.lit("<td>"), txt, F.lit("</td>")]
-    return F.concat(*parts)
+    return F.concat(*[_td(*c) for c in cells])
 
 
 def heading_html(names: Sequence[str]) -> Column:
@@ -127,16 +126,25 @@ def digest(shapes: DataFrame, since: Column, tag: str = "query_name") -> DataFra
     return shapes.select(tag, "n_rows", "n_cols", header.alias("header"))
 
 
-def _pack_cells(catalogue: DataFrame, queries: Sequence[SavedQuery]) -> list[tuple[Column, int]]:
-    """Per query, its rendered cells over a catalogue row and their number."""
+def _pack_cells(catalogue: DataFrame, queries: Sequence[SavedQuery]) -> tuple[Column, list[tuple[Column, int]]]:
+    """The cells that some query shows, each rendered once, as a struct to be named
+    ``__td``, and per query its cells out of it and their number."""
     types = dict(catalogue.dtypes)
+    at: dict[tuple[str, bool], int] = {}
+    rendered: list[Column] = []
     out = []
     for q in queries:
         s = q.spec.resolved()
-        cells = [(c, F.col(f"`{c}`"), types[c]) for c in s.columns]
-        cells += [(attribute_alias(d, s.columns), detail_value(d), "string") for d in s.details]
-        out.append((_tds(cells), len(cells)))
-    return out
+        own = []
+        for name, detail in [(c, False) for c in s.columns] + [(d, True) for d in s.details]:
+            if (name, detail) not in at:
+                at[name, detail] = len(rendered)
+                cell = (attribute_alias(name, s.columns), detail_value(name), "string") if detail else (
+                    name, F.col(f"`{name}`"), types[name])
+                rendered.append(_td(*cell).alias(f"c{len(rendered)}"))
+            own.append(F.col(f"__td.c{at[name, detail]}"))
+        out.append((F.concat(*own), len(own)))
+    return F.struct(*rendered), out
 
 
 def document_lines(catalogue: DataFrame, queries: Sequence[SavedQuery], offers: DataFrame, now: Column | None = None,
@@ -158,8 +166,11 @@ def document_lines(catalogue: DataFrame, queries: Sequence[SavedQuery], offers:
     now = latest_update(catalogue) if now is None else now
     order = ["pack_order", Asc("salePrice", True), Asc("name", True), "page", "pos"]
     matches = tag_pack(catalogue, queries, now, tag).withColumn("pack_order", pack_order(queries, tag))
-    cells = _pack_cells(catalogue, queries)
-    matches = matches.select("pack_order", "sku", "salePrice", "name", "page", "pos", _chosen([c for c, _ in cells]).alias("cells"),
+    each, cells = _pack_cells(catalogue, queries)
+    # Generated, so that a cell is stated once and not for every query that shows it.
+    matches = matches.withColumn("__td", F.explode(F.array(each)))
+    rendered = _chosen([c for c, _ in cells], F.col(tag), [q.name for q in queries])
+    matches = matches.select("pack_order", "sku", "salePrice", "name", "page", "pos", rendered.alias("cells"),
                              F.floor(F.col("page") / PAGE_BLOCK).alias("__block"))
     matches = stored(stepped_rank(matches, ["pack_order"], "__block", ["page", "pos"], "__index").drop("__block"), "document")
     names = sorted({f for q in queries for f in q.spec.resolved().offers})
@@ -199,11 +210,13 @@ def document_lines(catalogue: DataFrame, queries: Sequence[SavedQuery], offers:
 PAGE_BLOCK = 1000
 
 
-def _chosen(per_query: Sequence[Column]) -> Column:
-    """The entry of the row's query."""
-    out = F.when(F.col("pack_order") == 0, per_query[0])
-    for i, c in enumerate(per_query[1:], 1):
-        out = out.when(F.col("pack_order") == i, c)
+def _chosen(per_query: Sequence[Column], of: Column | None = None, keys: Sequence | None = None) -> Column:
+    """The entry of the row's query, told by its place in the pack or another key."""
+    of = F.col("pack_order") if of is None else of
+    keys = range(len(per_query)) if keys is None else keys
+    out = None
+    for k, c in zip(keys, per_query):
+        out = F.when(of == k, c) if out is None else out.when(of == k, c)
     return out
 
 

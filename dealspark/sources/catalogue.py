@@ -93,12 +93,15 @@ def products(spark: SparkSession, sf_dir: str) -> DataFrame:
 OFFER_ORDER = ("l_shipdate", "l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice")
 
 
-def offer_lines(spark: SparkSession, sf_dir: str, by: str | None = None) -> DataFrame:
-    """Lines that are offers, with their order key and offer dates; dealt ``by`` a column first, if one is given."""
-    lines = table(spark, sf_dir, "lineitem").select("l_partkey", *OFFER_ORDER)
-    return (lines.repartition(by) if by else lines).select("l_partkey", *OFFER_ORDER,
-                     F.col("l_shipdate").cast("date").cast("string").alias("startDate"),
-                     F.date_add(F.col("l_shipdate").cast("date"), OFFER_DAYS).cast("string").alias("endDate"))
+def offer_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines that are offers, with their order key."""
+    return table(spark, sf_dir, "lineitem").select("l_partkey", *OFFER_ORDER)
+
+
+def offer_dates() -> list[Column]:
+    """The dates of an offer line; rendered after lines are moved, as texts are wider."""
+    day = F.col("l_shipdate").cast("date")
+    return [day.cast("string").alias("startDate"), F.date_add(day, OFFER_DAYS).cast("string").alias("endDate")]
 
 
 def offer_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -110,8 +113,7 @@ def offer_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     holding a third of all lines is spread over its dates.
     """
     ranked = stepped_rank(offer_lines(spark, sf_dir), ["l_partkey"], OFFER_ORDER[0], list(OFFER_ORDER[1:]), out="offer_pos")
-    return ranked.select(F.col("l_partkey").alias("sku"), F.col("offer_pos").cast("int").alias("offer_pos"),
-                         "startDate", "endDate")
+    return ranked.select(F.col("l_partkey").alias("sku"), F.col("offer_pos").cast("int").alias("offer_pos"), *offer_dates())
 
 
 def price_events(spark: SparkSession, sf_dir: str) -> DataFrame:

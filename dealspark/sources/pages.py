@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from dealspark.functions.text import ceil_div
 from dealspark.operators.projection import ProjectionSpec, attribute_alias, detail_value, offer_column_name
 from dealspark.session import fresh_scratch
-from dealspark.sources.catalogue import OFFER_ORDER, PRODUCTS_PER_PAGE, offer_lines, products
+from dealspark.sources.catalogue import OFFER_ORDER, PRODUCTS_PER_PAGE, offer_dates, offer_lines, products
 
 ENVELOPE = "v"
 
@@ -57,7 +57,8 @@ def envelope_texts(spark: SparkSession, sf_dir: str, page_size: int = PRODUCTS_P
     # fields (the offer order key) gives the order without numbering them first.
     # Dealt by product before they are rendered: collecting lists on the reading side
     # would not shrink them.
-    lines = offer_lines(spark, sf_dir, by="l_partkey").withColumn("id", F.concat_ws("-", "l_orderkey", "l_linenumber"))
+    lines = offer_lines(spark, sf_dir).repartition("l_partkey").select(
+        "*", *offer_dates(), F.concat_ws("-", "l_orderkey", "l_linenumber").alias("id"))
     nested = (lines.groupBy(F.col("l_partkey").alias("sku"))
               .agg(F.sort_array(F.collect_list(F.struct(*OFFER_ORDER, "id", "startDate", "endDate"))).alias("o")))
     offers = F.coalesce(F.transform(F.col("o"), lambda x: F.struct(x["id"].alias("id"), x["startDate"].alias("startDate"),
@@ -212,6 +213,12 @@ def _accepted_products(env: DataFrame, spec: ProjectionSpec) -> DataFrame:
     return decoded.where(F.col("products").isNotNull() & ~F.coalesce(bad, F.lit(False)))
 
 
+def accepted(env: DataFrame, spec: ProjectionSpec) -> DataFrame:
+    """The envelopes of the pages whose products can all be flattened with ``spec``."""
+    prods = F.try_variant_get(F.col(ENVELOPE), "$.products", "array<variant>")
+    return env.where(prods.isNotNull() & ~_page_bad(spec, if_no_products=False))
+
+
 def rejected_pages(env: DataFrame, spec: ProjectionSpec) -> DataFrame:
     return env.where(_page_bad(spec, if_no_products=True)).select(
         F.variant_get(F.col(ENVELOPE), "$.currentPage", "int").alias("page"))
