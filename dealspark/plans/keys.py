@@ -27,6 +27,7 @@ from dealspark.session import fresh_scratch
 from dealspark.sources import pages as G
 from dealspark.sources.attributes import store_attributes
 from dealspark.sources.catalogue import catalogue, catalogue_latest, offer_rows, products, table
+from dealspark.sources.ordered import store_ordered
 from dealspark.streaming import incremental as S
 from dealspark.streaming import live
 
@@ -216,6 +217,17 @@ def page_slice_key(spark, sf_dir):
     return page_slice(cat, SLICE_PAGE, SLICE_SIZE).select("sku", "salePrice", "name", "rank")
 
 
+# A page deep in the result.
+DEEP_PAGE, DEEP_SIZE = 15, 100
+
+
+@register("page_deep")
+def page_deep(spark, sf_dir):
+    """LIM-1 over a stored order: only the files of the page are opened."""
+    cat = catalogue(spark, sf_dir).select("sku", "salePrice", "name", "page", "pos")
+    return store_ordered(cat, fresh_scratch(spark, "ordered")).page(DEEP_PAGE, DEEP_SIZE).select("sku", "salePrice", "name", "rank")
+
+
 @register("topk_cheapest")
 def topk_cheapest(spark, sf_dir):
     cat = catalogue(spark, sf_dir).select("sku", "salePrice", "name", "page", "pos")

@@ -319,6 +319,7 @@ MORE = {
                             f"count(*) OVER () AS n_rows, CASE WHEN count(*) OVER () > 0 THEN 15 ELSE 0 END AS n_cols"),
     "sort_price_name": select("true", f'sku, "salePrice", name, {RANK}'),
     "page_slice": f"WITH {PRODUCTS_CTE}, r AS (SELECT sku, \"salePrice\", name, {RANK} FROM products)\nSELECT * FROM r WHERE rank >= 10 AND rank < 20",
+    "page_deep": f"WITH {PRODUCTS_CTE}, r AS (SELECT sku, \"salePrice\", name, {RANK} FROM products)\nSELECT * FROM r WHERE rank >= 1400 AND rank < 1500",
     "topk_cheapest": f"WITH {PRODUCTS_CTE}, r AS (SELECT sku, \"salePrice\", name, {RANK} FROM products)\nSELECT * FROM r WHERE rank < 10",
     "set_union_pages": select("true", 'page, pos, sku, name, "salePrice", url'),
     "set_pack_tagged": f"WITH {PRODUCTS_CTE}, tagged AS ({tagged_union(HTTP_PACK)})\nSELECT query_name, sku FROM tagged",
