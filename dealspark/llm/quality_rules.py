@@ -11,8 +11,10 @@ and quality label reach the driver in steps of 1 / ``STEPS``.  An edge lies
 ``SPREADS`` spreads from the median of the rows labelled good, or further in where
 that rejects a larger share of the low labels than of the good ones; no edge
 rejects more than ``MAX_GOOD_LOSS`` of the good rows.  Without labels the spreads
-of all rows count; below ``MIN_ROWS`` rows ``BANDS`` does.  A text without a
-language gets the one its character n-grams are like.
+of all rows count.  A text without a language gets the one its character n-grams
+are like.  A language of fewer than ``MIN_ROWS`` rows takes the band of the script,
+and a script of fewer the band of the whole corpus; a corpus without a row that
+passes the base rule accepts all measures.
 
 Edge cases: a null, empty or blank text has no words, all counts 0 and fails the
 base rule; repeated rows give repeated result rows; null ids pass through; an
@@ -63,15 +65,9 @@ STEPS, SPREADS = 200, 4
 #: Measures, the fields of their edges, and the least spread of each.
 LEARNED = (("chars_per_token", 0.02), ("chars_per_token_multi", 0.02), ("byte_share", 0.01), ("entropy", 0.02))
 
-#: Bands where too few rows are there to learn one: by language code, then by script.
-BANDS = {
-    "en": Band(1.7, 1.85, 9.0, 0.08, 0.35),
-    "de": Band(1.7, 1.85, 9.0, 0.08, 0.35),
-    "es": Band(1.6, 1.75, 9.0, 0.08, 0.35),
-    "fr": Band(1.6, 1.72, 9.0, 0.08, 0.35),
-    "latin": Band(1.4, 1.5, 9.0, 0.15, 0.30),
-    "other": Band(0.25, 0.25, 9.0, 0.98, 0.30),
-}
+#: Name of the band of all rows, for languages and scripts of too few; and what a corpus without a row to learn from accepts.
+ALL = "all"
+OPEN = Band(0.0, 0.0, float("inf"), 1.0, 0.0, 1.0, float("inf"))
 
 MEASURES = T.StructType([
     T.StructField("n_words", T.LongType()), T.StructField("word_chars", T.LongType()),
@@ -227,9 +223,12 @@ class Rules:
         return found if score >= language_id.MIN_SCORE else None
 
     def band(self, text: str, lang: str | None) -> tuple[str, Band]:
-        names = [n for n in (self.language(text, lang), script(text)) if n]
-        name, bands = next(((n, b) for b in (self.learned, BANDS) for n in names if n in b))
-        return name, bands[name]
+        name = next((n for n in self.names(text, lang) if n in self.learned), ALL)
+        return name, self.learned.get(name, OPEN)
+
+    def names(self, text: str, lang: str | None) -> list[str]:
+        """The bands of a text, the nearest first."""
+        return [n for n in (self.language(text, lang), script(text), ALL) if n]
 
 
 def assess(fertility: Fertility, rules: Rules, texts: list[str | None], langs: list[str | None]) -> dict[str, list]:
@@ -301,7 +300,7 @@ def _counts(df: DataFrame, paths: tuple[str, str], profiles: dict | None, labels
             texts, langs = batch.column(text).to_pylist(), _langs(batch, lang)
             out = assess(_fertility(paths), rules, texts, langs)
             rows = [i for i, failed in enumerate(out["base_failed"]) if not failed]
-            bands = [[n for n in (rules.language(texts[i], langs[i]), script(texts[i])) if n] for i in rows]
+            bands = [rules.names(texts[i], langs[i]) for i in rows]
             steps = [[int(out[m][i] * STEPS) for m, _ in LEARNED] for i in rows]
             yield pa.RecordBatch.from_arrays(
                 [*([batch.column(key).take(pa.array(rows, pa.int64()))] if labelled else []),
@@ -316,7 +315,8 @@ def _counts(df: DataFrame, paths: tuple[str, str], profiles: dict | None, labels
     counts = (rows.select(F.explode("bands").alias("band"), "label", "steps")
               .select("band", "label", F.posexplode("steps").alias("measure", "step"))
               .groupBy("band", "label", "measure", "step").agg(F.count("*").alias("n")))
-    enough = found.select(F.explode("bands").alias("band")).groupBy("band").count().where(F.col("count") >= MIN_ROWS).select("band")
+    enough = found.select(F.explode("bands").alias("band")).groupBy("band").count().where(
+        (F.col("count") >= MIN_ROWS) | (F.col("band") == ALL)).select("band")
     return counts.join(enough, "band", "left_semi")
 
 

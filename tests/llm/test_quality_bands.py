@@ -31,6 +31,22 @@ def test_learned_bands(spark):
     assert low > 0.8 and good > 0.96 and lists > 0.75
 
 
-def test_few_rows_take_the_given_bands(spark):
+def test_without_a_row_to_learn_from_all_measures_pass(spark):
     df = spark.createDataFrame([(1, "word " * 3, None), (2, None, "en")], "doc_id long, text string, lang string")
     assert quality_rules.learn(df)[0] == {} and len(quality_rules.measure(df).collect()) == 2
+
+
+def test_few_rows_take_the_band_of_their_script_or_of_all(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    text = docs.where("lang = 'en' and length(text) > 800").select("text").first()["text"]
+    rare = spark.createDataFrame([(-1, text, "xx"), (-2, "слово дело время рука день жизнь глаз " * 12 + text[:60], "yy")],
+                                 "doc_id long, text string, lang string")
+    df = docs.select("doc_id", "text", "lang").union(rare)
+    bands = quality_rules.learn(df)[0]
+    assert {"all", "latin", "en"} <= set(bands) and not {"xx", "yy"} & set(bands)
+    got = {r["doc_id"]: r for r in quality_rules.measure(df).where("doc_id < 0").collect()}
+    assert got[-1]["band"] == "latin" and got[-1]["kept"]
+    assert got[-2]["band"] == "all"
+    # A corpus smaller than a band's least size learns the one band of all its rows.
+    few = docs.limit(30).select("doc_id", "text", "lang")
+    assert set(quality_rules.learn(few)[0]) == {"all"}
