@@ -457,6 +457,13 @@ def page_audit_key(spark, sf_dir):
     return G.page_audit(_envelopes(spark, sf_dir).where(page % LOST_MODULUS != LOST_PAGE), ProjectionSpec())
 
 
+@register("page_intervals")
+def page_intervals_key(spark, sf_dir):
+    """The same landing as runs of pages to fetch again."""
+    page = F.variant_get(F.col(G.ENVELOPE), "$.currentPage", "int")
+    return G.page_intervals(_envelopes(spark, sf_dir).where(page % LOST_MODULUS != LOST_PAGE), ProjectionSpec())
+
+
 @register("empty_result")
 def empty_result(spark, sf_dir):
     """A search whose cutoff is the latest update itself finds nothing newer:

@@ -14,12 +14,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from dealspark.functions.text import ceil_div
 from dealspark.operators.projection import ProjectionSpec, attribute_alias, detail_value, offer_column_name
-from dealspark.session import fresh_scratch
+from dealspark.session import fresh_scratch, stored
 from dealspark.sources.catalogue import OFFER_ORDER, PRODUCTS_PER_PAGE, offer_dates, offer_lines, products
 
 ENVELOPE = "v"
@@ -299,3 +299,40 @@ def page_audit(env: DataFrame, spec: ProjectionSpec) -> DataFrame:
     lost = expected.join(landed_pages, "page", "left_anti").withColumn("status", F.lit("lost"))
     rej = rejected_pages(usable(env), spec).join(expected, "page", "left_semi").withColumn("status", F.lit("rejected"))
     return lost.unionByName(rej)
+
+
+def page_intervals(env: DataFrame, spec: ProjectionSpec) -> DataFrame:
+    """SRC-5 for repair: ``(status, first_page, last_page, n_pages)`` of the pages to fetch
+    again, as runs of neighbouring pages, from one scan of the envelopes.
+
+    The scan is written as one narrow row per envelope.  A page is good if one of its
+    envelopes is, ``rejected`` if some landed but none can be flattened, else ``lost``.
+    Gaps and islands are found per block of ``PLAN_BLOCK`` pages, so no task sees all
+    pages; a run ends at its block's end.
+    """
+    usable_page = _variant_get_untyped(F.col(ENVELOPE), "$.products").isNotNull()
+    facts = F.struct(F.variant_get(F.col(ENVELOPE), "$.currentPage", "long").alias("page"),
+                     F.coalesce(F.variant_get(F.col(ENVELOPE), "$.totalPages", "long"), F.lit(0)).alias("total"),
+                     usable_page.alias("usable"), (usable_page & _page_bad(spec, if_no_products=True)).alias("bad"))
+    seen = stored(env.select(_once(facts).alias("f")).select("f.*"), "page-facts")
+    total = seen.agg(F.coalesce(F.max("total"), F.lit(0))).scalar()
+    landed = (seen.where("usable and page is not null").groupBy("page").agg(F.min("bad").alias("bad"))
+              .where((F.col("page") >= 1) & (F.col("page") <= total)).withColumn("block", F.floor((F.col("page") - 1) / PLAN_BLOCK)))
+    spark = env.sparkSession
+    # The block numbers, in two steps so that no cell holds them all.
+    many = F.lit(PLAN_BLOCK)
+    ends = (spark.range(1).select(F.explode(F.sequence(F.lit(0).cast("long"), F.floor(total / (many * many)))).alias("b"))
+            .select(F.explode(F.sequence(F.col("b") * many, F.col("b") * many + many - 1)).alias("block"))
+            .where(F.col("block") * many < total))
+    last = F.least((F.col("block") + 1) * many, total)
+    # A mark after each block's last page closes its last gap.
+    marks = landed.select("block", "page").unionByName(ends.select("block", (last + 1).alias("page")))
+    before = F.coalesce(F.lag("page").over(Window.partitionBy("block").orderBy("page")), F.col("block") * many)
+    lost = (marks.select((before + 1).alias("first_page"), (F.col("page") - 1).alias("last_page"))
+            .where("first_page <= last_page").select(F.lit("lost").alias("status"), "first_page", "last_page"))
+    bad = landed.where("bad")
+    island = F.col("page") - F.row_number().over(Window.partitionBy("block").orderBy("page"))
+    rejected = (bad.withColumn("island", island).groupBy("block", "island")
+                .agg(F.min("page").alias("first_page"), F.max("page").alias("last_page"))
+                .select(F.lit("rejected").alias("status"), "first_page", "last_page"))
+    return lost.unionByName(rejected).withColumn("n_pages", F.col("last_page") - F.col("first_page") + 1)

@@ -386,6 +386,12 @@ INGEST = {
     "page_audit": (f"WITH {PRODUCTS_CTE}\nSELECT DISTINCT page, 'rejected' AS status FROM products WHERE sku % 997 = 0 AND page % 7 <> 4 "
                    f"UNION ALL SELECT CAST(p AS INT), 'lost' FROM (SELECT unnest(range(1, CAST((count(*) + 99) // 100 AS BIGINT) + 1)) AS p FROM products) "
                    f"WHERE p % 7 = 4 OR p NOT IN (SELECT page FROM products)"),
+    "page_intervals": (f"WITH {PRODUCTS_CTE}, pages AS (SELECT CAST(p AS BIGINT) AS page, p % 7 = 4 OR p NOT IN (SELECT page FROM products) AS lost, "
+                       f"EXISTS (SELECT 1 FROM products x WHERE x.page = p AND x.sku % 997 = 0) AS bad "
+                       f"FROM (SELECT unnest(range(1, CAST((count(*) + 99) // 100 AS BIGINT) + 1)) AS p FROM products)), "
+                       f"marked AS (SELECT page, CASE WHEN lost THEN 'lost' ELSE 'rejected' END AS status FROM pages WHERE lost OR bad), "
+                       f"runs AS (SELECT *, page - row_number() OVER (PARTITION BY status ORDER BY page) AS island FROM marked)\n"
+                       f"SELECT status, min(page) AS first_page, max(page) AS last_page, count(*) AS n_pages FROM runs GROUP BY status, island"),
     "prj_open_schema": (f"WITH {PRODUCTS_CTE}, lines AS (SELECT l_partkey AS sku, l_orderkey || '-' || l_linenumber AS id, "
                         f"row_number() OVER (PARTITION BY l_partkey ORDER BY l_shipdate, l_orderkey, l_linenumber, l_quantity, l_extendedprice) - 1 AS p FROM lineitem),\n"
                         f"om AS (SELECT sku, '{{' || string_agg('\"' || p || '\":\"' || id || '\"', ',' ORDER BY p) || '}}' AS m FROM lines GROUP BY sku)\n"

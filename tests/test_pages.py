@@ -132,3 +132,34 @@ def test_a_long_page_plan_in_blocks(spark):
     got = G.page_plan(df)
     assert got.count() == 35_001 and got.where("page = 25001").collect()[0]["batch"] == 6250
     assert got.groupBy("totalPages", "page").count().where("count > 1").count() == 0
+
+
+def test_page_intervals_over_blocks(spark, monkeypatch):
+    import random
+    rng = random.Random(6)
+    monkeypatch.setattr(G, "PLAN_BLOCK", 7)
+    good = '{"sku":1,"name":"a","salePrice":1.0,"url":"u","addToCartUrl":"c","details":[],"offers":[]}'
+    bad = '{"sku":1,"name":"a","salePrice":1.0,"url":"u","details":[],"offers":[]}'
+    total, lines, state = 60, [], {}
+    for page in range(1, total + 1):
+        kinds = rng.choice([[], [good], [good], [bad], [bad, good], ["none"], [], [bad, bad]])
+        if 20 <= page < 30:
+            kinds = []  # a block without any page
+        for k in kinds:
+            products = '' if k == "none" else f',"products":[{k}]'
+            lines.append((f'{{"totalPages":{total},"currentPage":{page}{products}}}',))
+        landed = [k for k in kinds if k != "none"]
+        state[page] = "lost" if not landed else "rejected" if good not in landed else "good"
+    env = spark.createDataFrame(lines, "value string").select(F.parse_json("value").alias(G.ENVELOPE))
+    want = []
+    for page in range(1, total + 1):
+        if state[page] == "good":
+            continue
+        if want and want[-1][0] == state[page] and want[-1][2] == page - 1 and (page - 1) % 7:
+            want[-1][2] = page
+        else:
+            want.append([state[page], page, page])
+    got = sorted(tuple(r) for r in G.page_intervals(env, ProjectionSpec()).collect())
+    assert got == sorted((s, a, b, b - a + 1) for s, a, b in want)
+    none = spark.createDataFrame([], "value string").select(F.parse_json("value").alias(G.ENVELOPE))
+    assert G.page_intervals(none, ProjectionSpec()).collect() == []
