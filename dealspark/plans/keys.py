@@ -486,6 +486,20 @@ def export_roundtrip(spark, sf_dir):
                        "`offer.startDate`", "`offer.endDate`")
 
 
+@register("export_committed")
+def export_committed(spark, sf_dir):
+    """SNK-1 with a manifest: the newest committed export, read beside one that was broken off."""
+    path = fresh_scratch(spark, "export")
+    cat, offers, now = catalogue(spark, sf_dir), offer_rows(spark, sf_dir), catalogue_latest(spark, sf_dir)
+    pack = K.pack(K.HTTP_PACK)
+    schema = runner.export_rows(cat, pack, offers, now).schema
+    runner.export_committed(cat, pack, offers, path, now)
+    # Broken off: its files are there, its manifest is not.
+    runner.read_export(spark, path, schema).limit(5).write.parquet(f"{path}/runs/99991231T000000")
+    return runner.read_export(spark, path, schema).select("export_name", "query_name", "name", "salePrice", "rank", "offer_pos",
+                                                          "`offer.startDate`", "`offer.endDate`")
+
+
 @register("report_nonempty")
 def report_nonempty(spark, sf_dir):
     """Only non-empty results are reported: shapes of every saved search, the

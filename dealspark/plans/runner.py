@@ -7,6 +7,8 @@
                      lines, all written under one output folder;
 * ``export``       - the pack's rows, one folder per query named by the first
                      word of its subject;
+* ``export_committed`` / ``read_export`` - the same as files of bounded size, valid
+                     once a manifest is written;
 * ``incremental``  - the timer: a file stream of price changes, deduplicated
                      across overlapping runs, reported per micro-batch.
 
@@ -18,12 +20,15 @@ Command line (batch pack over a tables folder)::
 from __future__ import annotations
 
 import argparse
+import uuid
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
+from datetime import datetime, timezone
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import StructType
 
 from dealspark.functions import text as X
 from dealspark.functions import timefns as T
@@ -84,6 +89,42 @@ def export(catalogue: DataFrame, queries: Sequence[SavedQuery], offers: DataFram
         .options(**({"header": "true"} if fmt == "csv" else {})).save(out))
 
 
+#: Rows of one exported file.
+EXPORT_FILE_ROWS = 500_000
+
+
+def export_committed(catalogue: DataFrame, queries: Sequence[SavedQuery], offers: DataFrame, out: str,
+                     now: Column | None = None, file_rows: int = EXPORT_FILE_ROWS) -> str:
+    """``export_rows`` in files of at most ``file_rows`` rows, valid only once its manifest is written.
+
+    Every run writes a folder of its own under ``out/runs``; its manifest - one row per file with
+    its rows, in one file, which appears at once - follows last.  A reader takes the newest
+    manifest (``read_export``), so it sees a whole export, the one before or none, whatever becomes
+    of a run.  Returns the run's name."""
+    spark = catalogue.sparkSession
+    run = f"{datetime.now(timezone.utc):%Y%m%dT%H%M%S%f}-{uuid.uuid4().hex[:8]}"
+    rows = export_rows(catalogue, queries, offers, now)
+    folder = f"{out.rstrip('/')}/runs/{run}"
+    rows.write.option("maxRecordsPerFile", file_rows).parquet(folder)
+    files = (spark.read.schema(rows.schema).parquet(folder).groupBy(F.col("_metadata.file_name").alias("file"))
+             .agg(F.count(F.lit(1)).alias("n_rows")).withColumn("run", F.lit(run)))
+    # One row per file of the export, and one for an export without rows.
+    none = spark.createDataFrame([(None, 0, run)], "file string, n_rows long, run string")
+    files.unionByName(none).coalesce(1).write.mode("append").parquet(f"{out.rstrip('/')}/manifest")
+    return run
+
+
+def read_export(spark: SparkSession, out: str, schema: StructType) -> DataFrame:
+    """The rows of the newest committed export under ``out``: the files of its manifest and no others.
+    A file that is gone fails the read."""
+    manifest = spark.read.schema("file string, n_rows long, run string").parquet(f"{out.rstrip('/')}/manifest")
+    newest = manifest.agg(F.max("run")).first()[0]
+    named = [r["file"] for r in manifest.where((F.col("run") == newest) & F.col("file").isNotNull()).select("file").collect()]
+    if not named:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(*[f"{out.rstrip('/')}/runs/{newest}/{f}" for f in named])
+
+
 def incremental(spark: SparkSession, source: str, catalogue: DataFrame, queries: Sequence[SavedQuery],
                 out: str, checkpoint: str, live: bool = True, ledger: str | None = None,
                 digest_out: str | None = None, clock: Callable[[], Column] | None = None) -> StreamingQuery:

@@ -446,4 +446,5 @@ def all_sql() -> dict[str, str]:
     out.update({f"idx_{k}": MORE[f"prd_{k}"] for k in ("any_eq", "any_prefix", "none_eq", "none_prefix", "search")})
     out.update(INGEST)
     out.update(STREAMS)
+    out["export_committed"] = out["export_roundtrip"]
     return out

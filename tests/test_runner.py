@@ -57,6 +57,22 @@ def test_export_one_folder_per_query(spark, tmp_path):
     assert spark.read.parquet(out).select("query_name", "rank").distinct().count() == sum(runner.search(cat, q).rows.count() for q in nonempty)
 
 
+def test_an_interrupted_export_is_never_read(spark, tmp_path):
+    cat, offers, out = catalogue(spark, SF_SMALL), offer_rows(spark, SF_SMALL), str(tmp_path / "export")
+    pack = K.pack(K.SCRIPT_PACK)
+    want = runner.export_rows(cat, pack, offers)
+    schema, rows = want.schema, sorted(map(str, want.collect()))
+    run = runner.export_committed(cat, pack, offers, out, file_rows=50)
+    files = [f for f in os.listdir(f"{out}/runs/{run}") if f.endswith(".parquet")]
+    assert len(files) >= len(rows) / 50 and sorted(map(str, runner.read_export(spark, out, schema).collect())) == rows
+    # A later run breaks off after its files, or within them.
+    want.limit(3).write.parquet(f"{out}/runs/9-broken")
+    assert sorted(map(str, runner.read_export(spark, out, schema).collect())) == rows
+    # One that ends replaces it, also without rows.
+    runner.export_committed(cat.where("false"), pack, offers, out)
+    assert runner.read_export(spark, out, schema).collect() == [] and runner.read_export(spark, out, schema).schema == schema
+
+
 def test_per_batch_report_is_idempotent(spark, tmp_path):
     cat = catalogue(spark, SF_SMALL)
     out = str(tmp_path / "report")
