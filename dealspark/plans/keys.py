@@ -30,6 +30,7 @@ from dealspark.sources.catalogue import catalogue, catalogue_latest, offer_rows,
 from dealspark.sources.ordered import store_ordered
 from dealspark.streaming import incremental as S
 from dealspark.streaming import live
+from dealspark.streaming.observed import BatchMetrics, observe
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
@@ -632,3 +633,22 @@ def stream_live(spark, sf_dir):
     _run_in_turns(overlapping_runs(spark, sf_dir)[::-1], base, lambda src: S.run_to_end(
         live.price_steps(S.price_updates(spark, src)), f"{base}/_checkpoint", foreach_batch=body))
     return live.live_counts(spark.read.parquet(f"{base}/changes"))
+
+
+@register("obs_batches")
+def obs_batches(spark, sf_dir):
+    """OBS-1 per micro-batch: rows of each of two overlapping runs, observed as they are written."""
+    base, counts = fresh_scratch(spark, "obs_batches"), {}
+    metrics = BatchMetrics()
+    spark.streams.addListener(metrics)
+
+    def start(src: str) -> None:
+        q = S.run(observe(S.price_updates(spark, src)), f"{base}/_checkpoint", f"{base}/out")
+        q.awaitTermination()
+        counts.update(metrics.take(q))
+    try:
+        _run_in_turns(overlapping_runs(spark, sf_dir), base, start)
+    finally:
+        spark.streams.removeListener(metrics)
+    rows = [(n, r["n_rows"], r["first_ts"], r["last_ts"]) for n, r in counts.items()]
+    return spark.createDataFrame(rows, "batch_id long, n_rows long, first_ts timestamp_ntz, last_ts timestamp_ntz")

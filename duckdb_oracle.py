@@ -439,6 +439,14 @@ STREAMS["stream_live"] = (f"WITH {PRODUCTS_CTE}, {CHANGED},\n{shapes_cte(HTTP_PA
                           "SELECT query_name, n_rows FROM shapes")
 
 
+# The two overlapping runs: up to the middle of the time span, and from a day and a minute before it.
+OBSERVED = f"""WITH u AS (SELECT * FROM {EVENTS}),
+m AS (SELECT min("priceUpdateDate") + (max("priceUpdateDate") - min("priceUpdateDate")) / 2 AS mid FROM u)
+SELECT CAST(0 AS BIGINT) AS batch_id, count(*) AS n_rows, min("priceUpdateDate") AS first_ts, max("priceUpdateDate") AS last_ts
+FROM u, m WHERE "priceUpdateDate" <= mid
+UNION ALL SELECT 1, count(*), min("priceUpdateDate"), max("priceUpdateDate") FROM u, m WHERE "priceUpdateDate" >= mid - INTERVAL 1441 MINUTE"""
+
+
 def all_sql() -> dict[str, str]:
     out = dict(SEARCHES)
     out.update(MORE)
@@ -446,5 +454,6 @@ def all_sql() -> dict[str, str]:
     out.update({f"idx_{k}": MORE[f"prd_{k}"] for k in ("any_eq", "any_prefix", "none_eq", "none_prefix", "search")})
     out.update(INGEST)
     out.update(STREAMS)
+    out["obs_batches"] = OBSERVED
     out["export_committed"] = out["export_roundtrip"]
     return out

@@ -23,7 +23,7 @@ def test_counts_after_every_batch(spark, tmp_path):
     start, done = datetime(2024, 1, 1), []
 
     live.write_base(cat, queries, out, now)
-    for run in range(3):
+    for run in range(2):
         rows = [(start + timedelta(minutes=rng.randrange(300)), rng.choice(skus), rng.choice([10.0, 500.0, 999.0, 1500.0, K.EXCLUDED_PRICE]))
                 for _ in range(300)]
         rows += done[:40]  # repeats
