@@ -23,6 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 DEFAULT = "allow"
+#: Buckets of the smallest index; it has one for each rule or more.
 BUCKETS = 256
 
 
@@ -84,29 +85,32 @@ def token_counts(df: DataFrame, tokens: list[str], url: str = "url") -> dict[str
 
 def index(rules: tuple[UrlRule, ...], counts: dict[str, int]) -> list[list[dict]]:
     """Buckets of (token, pattern, ...) entries; each rule under its rarest token."""
-    out: list[list[dict]] = [[] for _ in range(BUCKETS)]
+    out: list[list[dict]] = [[] for _ in range(max(BUCKETS, len(rules)))]
     for r in rules:
         if not r.tokens:
             raise ValueError(f"a rule needs a literal token: {r.pattern}")
         token = min(r.tokens, key=lambda t: (counts.get(t, 0), t))
-        out[zlib.crc32(token.encode()) % BUCKETS].append(
+        out[zlib.crc32(token.encode()) % len(out)].append(
             {"token": token, "pattern": r.pattern, "named": r.name is not None,
              "length": len(r.name or r.pattern), "rule": r.name, "verdict": r.verdict})
     return out
 
 
-def judge(df: DataFrame, rules: tuple[UrlRule, ...] = RULES, url: str = "url") -> DataFrame:
-    """``df`` with host, path, rule and verdict."""
+def judge(df: DataFrame, rules: tuple[UrlRule, ...] = RULES, url: str = "url", tried: str | None = None) -> DataFrame:
+    """``df`` with host, path, rule and verdict, and, if ``tried`` names a column, the number of
+    expressions that were run on the URL."""
     counts = token_counts(df, sorted({t for r in rules for t in r.tokens}), url) if rules else {}
+    buckets = index(rules, counts)
     shape = "token string, pattern string, named boolean, length int, rule string, verdict string"
-    filed = F.from_json(F.lit(json.dumps(index(rules, counts))), f"array<array<struct<{shape.replace(' ', ':').replace(',:', ',')}>>>")
+    filed = F.from_json(F.lit(json.dumps(buckets)), f"array<array<struct<{shape.replace(' ', ':').replace(',:', ',')}>>>")
     host, path = host_path(F.col(url))
     target = F.concat(host, path)
     fetched = F.flatten(F.transform(_tokens(target), lambda t: F.filter(
-        F.get(filed, (F.crc32(t.cast("binary")) % BUCKETS).cast("int")), lambda r: r["token"] == t)))
+        F.get(filed, (F.crc32(t.cast("binary")) % len(buckets)).cast("int")), lambda r: r["token"] == t)))
     best = F.array_max(F.transform(F.filter(fetched, lambda r: F.rlike(target, r["pattern"])),
                                    lambda r: F.struct(r["named"], r["length"], r["rule"], r["verdict"])))
-    return (df.withColumns({"host": host, "path": path}).withColumn("_best", best)
+    counted = {tried: F.coalesce(F.size(fetched), F.lit(0))} if tried else {}
+    return (df.withColumns({"host": host, "path": path, **counted}).withColumn("_best", best)
             .withColumns({"rule": F.col("_best.rule"), "verdict": F.coalesce(F.col("_best.verdict"), F.lit(DEFAULT))})
             .drop("_best"))
 
