@@ -196,8 +196,8 @@ def prj_query_tag(spark, sf_dir):
     # not the ranked result again
     n_rows = cat.where(q.where(now)).select(F.count(F.lit(1))).scalar()
     width = len(q.spec.output_names(with_offers=True))
-    return res.select(F.lit(q.name).alias("query_name"), "name", "salePrice", "rank", n_rows.alias("n_rows"),
-                      F.when(n_rows > 0, F.lit(width)).otherwise(F.lit(0)).alias("n_cols"))
+    tagged = res.select(F.lit(q.name).alias("query_name"), "name", "salePrice", "rank", n_rows.alias("n_rows"))
+    return tagged.withColumn("n_cols", F.when(F.col("n_rows") > 0, F.lit(width)).otherwise(F.lit(0)))
 
 
 # -- order / limits (SRT-1, LIM-1, LIM-2) ------------------------------------
