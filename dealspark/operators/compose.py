@@ -11,6 +11,7 @@ from dealspark.operators.projection import (ProjectionSpec, attribute_alias, det
                                             offer_column_name, offer_entries)
 from dealspark.operators.ranking import Asc, global_rank, keyed_rank
 from dealspark.plans.packs import SavedQuery, shared
+from dealspark.session import stored
 
 # Result order: price, then name, ascending with missing values last; page and
 # position make it a total order (ties keep landing order).
@@ -160,14 +161,17 @@ def add_offers(rows: DataFrame, offers: DataFrame, sku: str = _SKU, fields: Sequ
 
     The scalable form of the ``offer.<field>`` maps: nothing is collected per
     product.  A row without offers stays, with null offer columns.  The offers
-    drive the join, so a product with very many of them can be split.
+    drive the join, so a product with very many of them can be split.  The rows and
+    the joined lines are written to the shared scratch folder, so that a ranked
+    result and the numbered offers are computed once.
     """
     spec = ProjectionSpec(offers=fields)
     entries = offer_entries(offers, spec).withColumnRenamed("sku", "__offer_sku")
     names = [OFFER_POS, *[offer_column_name(f) for f in spec.resolved().offers]]
     columns = [F.col(f"`{c}`") for c in [*rows.columns, *names]]
-    some = entries.join(rows, F.col("__offer_sku") == F.col(f"`{sku}`")).select(*columns)
-    with_any = entries.select("__offer_sku").distinct()
+    rows = stored(rows, "offer-rows")
+    some = stored(entries.join(rows, F.col("__offer_sku") == F.col(f"`{sku}`")).select(*columns), "offer-lines")
+    with_any = some.where(F.col(OFFER_POS) == 0).select(F.col(f"`{sku}`").alias("__offer_sku")).distinct()
     none = rows.join(with_any, F.col("__offer_sku") == F.col(f"`{sku}`"), "left_anti")
     types = dict(entries.dtypes)
     return some.unionByName(none.select("*", *[F.lit(None).cast(types[n]).alias(n) for n in names]))
