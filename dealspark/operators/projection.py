@@ -42,16 +42,22 @@ class ProjectionSpec:
         return names
 
 
-def detail_value(name: str, details: str = "details") -> Column:
+def detail_names(details: str = "details") -> Column:
+    """The lower-cased attribute names of a row."""
+    return F.transform(F.col(details), lambda d: F.lower(d["name"]))
+
+
+def detail_value(name: str, details: str = "details", names: Column | None = None) -> Column:
     """Value of the first attribute whose name equals ``name`` ignoring case.
 
     No match, an empty list, or a matching entry with a null value all give
     null.  The lower-cased name list is the same expression for every
     attribute of a projection (computed once per row), and ``array_position``
     finds the first match without building a filtered array; ``get`` with
-    index -1 (no match) is null, also under ANSI mode.
+    index -1 (no match) is null, also under ANSI mode.  ``names``: a column that
+    already has ``detail_names``.
     """
-    names = F.transform(F.col(details), lambda d: F.lower(d["name"]))
+    names = detail_names(details) if names is None else names
     return F.get(F.col(details), F.array_position(names, F.lit(name.lower())) - 1)["value"]
 
 

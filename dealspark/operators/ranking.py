@@ -14,6 +14,9 @@ built, and no size is probed:
 * ``stepped_rank`` (many keys) numbers rows within (key, step), where the step
   is the leading part of the order, and adds the rows of the key's earlier
   steps.  A hot key is spread over its steps.
+* ``split_rank`` (many keys, few of them hot) numbers the rows of most keys with
+  one exchange and leaves only the hot keys to ``stepped_rank``.
+* ``running_sum`` adds up a value over the earlier rows of the whole frame.
 
 Both branches of ``global_rank`` must read one and the same range exchange,
 because the bounds of a range partitioning are sampled per exchange.  So the row
@@ -132,3 +135,40 @@ def stepped_rank(df: DataFrame, keys: Sequence[str], step: str, order: Sequence[
     return (df.withColumn(_MID, F.row_number().over(own) - 1).join(starts, same)
             .withColumn(out, (F.col(_BASE) + F.col(_MID)).cast("long"))
             .select(*map(_named, df.columns), out))
+
+
+#: Rows of a key that one task may sort.
+HOT_ROWS = 200_000
+
+
+def split_rank(df: DataFrame, key: str, step: str, order: Sequence[SortKey], out: str = "rank",
+               hot_rows: int = HOT_ROWS) -> DataFrame:
+    """``stepped_rank`` for one key column of which few values hold many rows.
+
+    Keys of at most ``hot_rows`` rows are numbered by one window over the key, so
+    that their rows move once; the others (at most one per ``hot_rows`` rows of the
+    frame, broadcast) are spread over their steps."""
+    counts = df.groupBy(_named(key).alias(_PID)).agg(F.count(F.lit(1)).alias(_N))
+    hot = F.broadcast(counts.where(F.col(_N) > hot_rows).select(_PID))
+    same = _named(key).eqNullSafe(F.col(_PID))
+    own = Window.partitionBy(_named(key)).orderBy(*[k.column() for k in _keys([step, *order])])
+    cold = df.join(hot, same, "left_anti").withColumn(out, (F.row_number().over(own) - 1).cast("long"))
+    return cold.union(stepped_rank(df.join(hot, same, "left_semi"), [key], step, order, out))
+
+
+#: Rows of one block of a running sum.
+SUM_BLOCK = 10_000
+
+
+def running_sum(df: DataFrame, order: Sequence[SortKey], value: str, out: str) -> DataFrame:
+    """Add ``out`` = the sum of ``value`` over the rows before each in ``order`` over the whole frame.
+
+    The rows are ranked and summed by blocks of ``SUM_BLOCK``; a block is one row
+    of the sums before it."""
+    ranked = global_rank(df, order, _MID).withColumn(_PID, F.floor(F.col(_MID) / SUM_BLOCK))
+    own = Window.partitionBy(_PID).orderBy(_MID).rowsBetween(Window.unboundedPreceding, -1)
+    before = Window.orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)
+    sums = ranked.groupBy(_PID).agg(F.sum(_named(value)).alias(_N))
+    starts = sums.select(_PID, F.coalesce(F.sum(_N).over(before), F.lit(0)).alias(_BASE))
+    return (ranked.withColumn(out, F.coalesce(F.sum(_named(value)).over(own), F.lit(0))).join(F.broadcast(starts), _PID)
+            .withColumn(out, (F.col(_BASE) + F.col(out)).cast("long")).select(*map(_named, df.columns), out))

@@ -283,7 +283,7 @@ def agg_sum_totals(spark, sf_dir):
 
 @register("agg_document")
 def agg_document(spark, sf_dir):
-    return R.document_lines(catalogue(spark, sf_dir), K.pack(K.HTTP_PACK), offer_rows(spark, sf_dir),
+    return R.document_lines(catalogue(spark, sf_dir, spread=True), K.pack(K.HTTP_PACK), offer_rows(spark, sf_dir),
                             catalogue_latest(spark, sf_dir))
 
 

@@ -15,8 +15,9 @@ from pyspark.sql import functions as F
 
 from dealspark.functions.text import link_rewrite
 from dealspark.operators.compose import OFFER_POS, latest_update, pack_order, tag_pack
-from dealspark.operators.projection import ProjectionSpec, attribute_alias, detail_value, offer_column_name, offer_entries
-from dealspark.operators.ranking import Asc, global_rank, stepped_rank
+from dealspark.operators.projection import (ProjectionSpec, attribute_alias, detail_names, detail_value, offer_column_name,
+                                            offer_entries)
+from dealspark.operators.ranking import Asc, running_sum, stepped_rank
 from dealspark.plans.packs import SavedQuery, shared
 from dealspark.session import stored
 
@@ -128,7 +129,8 @@ def digest(shapes: DataFrame, since: Column, tag: str = "query_name") -> DataFra
 
 def _pack_cells(catalogue: DataFrame, queries: Sequence[SavedQuery]) -> tuple[Column, list[tuple[Column, int]]]:
     """The cells that some query shows, each rendered once, as a struct to be named
-    ``__td``, and per query its cells out of it and their number."""
+    ``__td``, and per query its cells out of it and their number.  The catalogue has
+    ``detail_names`` as ``__names``."""
     types = dict(catalogue.dtypes)
     at: dict[tuple[str, bool], int] = {}
     rendered: list[Column] = []
@@ -139,7 +141,7 @@ def _pack_cells(catalogue: DataFrame, queries: Sequence[SavedQuery]) -> tuple[Co
         for name, detail in [(c, False) for c in s.columns] + [(d, True) for d in s.details]:
             if (name, detail) not in at:
                 at[name, detail] = len(rendered)
-                cell = (attribute_alias(name, s.columns), detail_value(name), "string") if detail else (
+                cell = (attribute_alias(name, s.columns), detail_value(name, names=F.col("__names")), "string") if detail else (
                     name, F.col(f"`{name}`"), types[name])
                 rendered.append(_td(*cell).alias(f"c{len(rendered)}"))
             own.append(F.col(f"__td.c{at[name, detail]}"))
@@ -157,39 +159,51 @@ def document_lines(catalogue: DataFrame, queries: Sequence[SavedQuery], offers:
     index is its landing position within the query's results (page, then
     position), kept through the price sort.
 
-    The catalogue is read once: each match is written with its order keys, its
-    landing index and its rendered cells, then once more per offer.  One global
-    rank, over the lines, gives all line numbers; the landing index counts the
-    matches of earlier blocks of pages.  The counts before each query are a table
+    The catalogue is read once: each match is written with its order keys and its
+    rendered cells, then with its landing index, which counts the matches of earlier
+    blocks of pages.  Only the matches, without their cells, are put in order: a
+    match's first line comes after all lines of the matches before it, and
+    ``offer_pos`` (gapless from 0 per sku) tells where an offer's line stands from
+    there, so the offers are joined on the way out and neither written nor sorted by
+    line.  Repeated products take turns.  The counts before each query are a table
     with one row per query of the pack.
     """
     now = latest_update(catalogue) if now is None else now
-    order = ["pack_order", Asc("salePrice", True), Asc("name", True), "page", "pos"]
+    order = ["pack_order", Asc("salePrice", True), Asc("name", True), "page", "pos", "sku"]
     matches = tag_pack(catalogue, queries, now, tag).withColumn("pack_order", pack_order(queries, tag))
     each, cells = _pack_cells(catalogue, queries)
-    # Generated, so that a cell is stated once and not for every query that shows it.
-    matches = matches.withColumn("__td", F.explode(F.array(each)))
+    # Generated, so that the attribute names are stated once and not for every cell, and a cell not for every query.
+    matches = matches.withColumn("__names", F.explode(F.array(detail_names()))).withColumn("__td", F.explode(F.array(each)))
     rendered = _chosen([c for c, _ in cells], F.col(tag), [q.name for q in queries])
-    matches = matches.select("pack_order", "sku", "salePrice", "name", "page", "pos", rendered.alias("cells"),
-                             F.floor(F.col("page") / PAGE_BLOCK).alias("__block"))
-    matches = stored(stepped_rank(matches, ["pack_order"], "__block", ["page", "pos"], "__index").drop("__block"), "document")
+    matches = stored(matches.select(F.monotonically_increasing_id().alias("__id"), "pack_order", "sku", "salePrice", "name", "page",
+                                    "pos", rendered.alias("cells"), F.floor(F.col("page") / PAGE_BLOCK).alias("__block")), "document")
+    placed = stored(stepped_rank(matches.drop("cells"), ["pack_order"], "__block", ["page", "pos"], "__index").drop("__block"), "document")
     names = sorted({f for q in queries for f in q.spec.resolved().offers})
     entries = offer_entries(offers, ProjectionSpec(offers=names)).withColumnRenamed("sku", "__offer_sku")
-    columns = [OFFER_POS, *[offer_column_name(f) for f in names]]
-    own = [c for c in matches.columns if c != "cells"]
+    # A product that comes more than once: its rows take turns, offer by offer.
+    twins = Window.partitionBy(*[k.name if isinstance(k, Asc) else k for k in order])
+    placed = placed.select("*", F.count(F.lit(1)).over(twins).alias("__twins"),
+                           (F.row_number().over(twins.orderBy("__index")) - 1).alias("__twin"))
+    counts = entries.groupBy("__offer_sku").agg(F.count(F.lit(1)).alias("__offers"))
+    placed = (placed.join(counts, F.col("__offer_sku") == F.col("sku"), "left").drop("__offer_sku").na.fill(0, ["__offers"])
+              .withColumn("__lines", F.greatest("__offers", F.lit(1))))
+    placed = running_sum(placed, [*order, "__twin"], "__lines", "__before").select(
+        "__id", "__index", "__offers", "__lines", "__twins",
+        (F.col("__before") - F.col("__twin") * F.col("__lines") + F.col("__twin")).alias("__first"))
+    matches = stored(matches.select("__id", "pack_order", "sku", "cells").join(placed, "__id").drop("__id"), "document")
     # The offers drive the join, so that a product with very many of them can be split; only a
-    # match's first line carries its cells.
-    some = stored(entries.join(matches, F.col("__offer_sku") == F.col("sku")).select(
-        *own, F.when(F.col(OFFER_POS) == 0, F.col("cells")).alias("cells"), *[F.col(f"`{c}`") for c in columns]), "document")
-    firsts = some.where(F.col(OFFER_POS) == 0).select("pack_order", "sku")
-    lines = some.unionByName(matches.join(firsts, ["pack_order", "sku"], "left_anti"), allowMissingColumns=True)
-    numbered = global_rank(lines.withColumn("__o", F.coalesce(OFFER_POS, F.lit(0))), [*order, "__o"], "__b")
+    # match's first line shows its cells.
+    some = entries.join(matches, F.col("__offer_sku") == F.col("sku")).drop("__offer_sku")
+    lines = some.unionByName(matches.where(F.col("__offers") == 0), allowMissingColumns=True)
+    at = F.coalesce(OFFER_POS, F.lit(0))
+    at = F.when(at < F.col("__lines"), F.col("__first") + at * F.col("__twins")).otherwise(
+        F.raise_error(F.lit("the offers of a product are not numbered without gaps")).cast("long"))
 
     # One row per query of the pack: the single-partition window is bounded.
     before = Window.orderBy("pack_order").rowsBetween(Window.unboundedPreceding, -1)
     listed = catalogue.sparkSession.createDataFrame(
         [(q.name, i, len(q.spec.output_names(with_offers=True))) for i, q in enumerate(queries)], f"{tag} string, pack_order int, width int")
-    bodies = lines.groupBy("pack_order").agg(F.count(F.lit(1)).alias("__lines"), F.count("cells").alias("n_rows"))
+    bodies = matches.groupBy("pack_order").agg(F.sum("__lines").alias("__lines"), F.count(F.lit(1)).alias("n_rows"))
     starts = (listed.join(bodies, "pack_order", "left").na.fill(0, ["__lines", "n_rows"])
               .withColumn("n_cols", F.when(F.col("n_rows") > 0, F.col("width")).otherwise(F.lit(0)))
               .withColumn("__at", F.coalesce(F.sum("__lines").over(before), F.lit(0)).cast("long") + 3 * F.col("pack_order")))
@@ -202,7 +216,7 @@ def document_lines(catalogue: DataFrame, queries: Sequence[SavedQuery], offers:
     frame = starts.select(fixed.alias("l")).select("l.*")
 
     html = [line_html(F.col("__index"), F.col("cells"), n, q.spec.resolved().offers) for q, (_, n) in zip(queries, cells)]
-    body = numbered.select((F.col("__b") + 3 * F.col("pack_order") + 2).alias("doc_line"), _chosen(html).alias("text"))
+    body = lines.select((at + 3 * F.col("pack_order") + 2).alias("doc_line"), _chosen(html).alias("text"))
     return frame.unionByName(body)
 
 

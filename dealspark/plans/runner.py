@@ -154,7 +154,7 @@ def main(argv: Sequence[str] | None = None) -> None:
     ap.add_argument("--out", required=True, help="output folder (shared storage on a cluster)")
     args = ap.parse_args(argv)
     spark = build_session()
-    shapes = pack_report(catalogue(spark, args.tables), K.pack(PACKS[args.pack]), offer_rows(spark, args.tables), args.out)
+    shapes = pack_report(catalogue(spark, args.tables, spread=True), K.pack(PACKS[args.pack]), offer_rows(spark, args.tables), args.out)
     shapes.orderBy("pack_order").show(truncate=False)
 
 

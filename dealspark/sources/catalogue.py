@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dealspark.operators.predicates import FOLDED
-from dealspark.operators.ranking import stepped_rank
+from dealspark.operators.ranking import HOT_ROWS, split_rank
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -83,9 +83,14 @@ OFFER_DAYS = 7
 PRODUCTS_PER_PAGE = 100
 
 
-def products(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The typed product catalogue, one row per sku (narrow over ``part``)."""
+def products(spark: SparkSession, sf_dir: str, spread: bool = False) -> DataFrame:
+    """The typed product catalogue, one row per sku (narrow over ``part``).
+
+    ``spread`` deals the rows of ``part`` to tasks first: a compact table has few
+    splits, and a report does much work per product."""
     part = table(spark, sf_dir, "part")
+    if spread:
+        part = part.repartition("p_partkey")
     return part.select(*[F.expr(e).alias(n) for n, e in PRODUCT_COLUMNS])
 
 
@@ -104,15 +109,15 @@ def offer_dates() -> list[Column]:
     return [day.cast("string").alias("startDate"), F.date_add(day, OFFER_DAYS).cast("string").alias("endDate")]
 
 
-def offer_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+def offer_rows(spark: SparkSession, sf_dir: str, hot_rows: int = HOT_ROWS) -> DataFrame:
     """One row per offer: ``(sku, offer_pos, startDate, endDate)``.
 
     ``offer_pos`` is the offer's index in the product's offer list, ordered by
-    ship date and then the line's identity.  The numbering goes by ship date
-    (``stepped_rank``): a task sorts one sku's lines of one date, so a sku
-    holding a third of all lines is spread over its dates.
+    ship date and then the line's identity.  A task sorts a sku's lines; of a sku
+    with over ``hot_rows`` lines it sorts those of one date (``split_rank``), so a
+    sku holding a third of all lines is spread over its dates.
     """
-    ranked = stepped_rank(offer_lines(spark, sf_dir), ["l_partkey"], OFFER_ORDER[0], list(OFFER_ORDER[1:]), out="offer_pos")
+    ranked = split_rank(offer_lines(spark, sf_dir), "l_partkey", OFFER_ORDER[0], list(OFFER_ORDER[1:]), "offer_pos", hot_rows)
     return ranked.select(F.col("l_partkey").alias("sku"), F.col("offer_pos").cast("int").alias("offer_pos"), *offer_dates())
 
 
@@ -153,10 +158,10 @@ def store_catalogue(catalogue: DataFrame, path: str) -> DataFrame:
     return catalogue.sparkSession.read.schema(catalogue.schema).parquet(path)
 
 
-def catalogue(spark: SparkSession, sf_dir: str) -> DataFrame:
+def catalogue(spark: SparkSession, sf_dir: str, spread: bool = False) -> DataFrame:
     """The catalogue of ``sf_dir``: a narrow view over its tables, derived anew by
     every query; nothing is written or kept."""
-    return products(spark, sf_dir)
+    return products(spark, sf_dir, spread)
 
 
 def catalogue_latest(spark: SparkSession, sf_dir: str) -> Column:
