@@ -44,29 +44,62 @@ GENERATIONS = 4
 #: Bytes of text that a task tokenises at a time, and chunks whose tokens it remembers.
 STEP_BYTES = 2 << 20
 STORE_CHUNKS = 600_000
+#: Chunks that are encoded in one call.
+JOINED = 128
 #: Bins of a parent that count as well filled, and that are settled after a deal.
 WELL_FILLED = 0.98
 SETTLED = 0.995
 
 
 class DocumentTokens:
-    """ids of whole texts by a vocabulary file of ``tokenizers``."""
+    """ids of whole texts by a vocabulary file of ``tokenizers``.
+
+    Chunks that may follow each other in a text are encoded joined, as a call
+    costs more than a short chunk; the bytes of the tokens tell the chunks apart."""
 
     def __init__(self, path: str, store_chunks: int = STORE_CHUNKS) -> None:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
         self.store = ChunkStore(self._tokenise, store_chunks)
+        # A byte-level token has one character per byte; added tokens stand as they are.
+        vocab = self.tokenizer.get_vocab(with_added_tokens=True)
+        self.token_bytes = np.zeros(max(vocab.values()) + 1, np.int64)
+        for token, i in vocab.items():
+            self.token_bytes[i] = len(token)
+        for i, token in self.tokenizer.get_added_tokens_decoder().items():
+            self.token_bytes[i] = len(token.content.encode())
+
+    def _encode(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.array(e.ids, np.int32) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def _tokenise(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        ids = [e.ids for e in self.tokenizer.encode_batch_fast(chunks, add_special_tokens=False)]
-        lens = np.fromiter(map(len, ids), np.int64, len(ids))
-        return np.fromiter((t for x in ids for t in x), np.int32, int(lens.sum())), lens
+        flat = np.concatenate(self._encode(joined(chunks)))
+        ends = np.cumsum(self.token_bytes[flat])
+        sizes = np.fromiter((len(c) if c.isascii() else len(c.encode()) for c in chunks), np.int64, len(chunks))
+        # Tokens up to the end of each chunk.
+        upto = np.searchsorted(ends, np.cumsum(sizes)) + 1
+        if len(ends) and upto[-1] == len(ends) and np.array_equal(ends[upto - 1], np.cumsum(sizes)):
+            return flat, np.diff(upto, prepend=0)
+        # A token over two chunks, or a vocabulary without some byte: each chunk by itself.
+        ids = self._encode(chunks)
+        return np.concatenate(ids), np.fromiter(map(len, ids), np.int64, len(ids))
 
     def __call__(self, texts: list[str]) -> list[np.ndarray]:
         return self.store.tokens(texts)
 
 
+def joined(chunks: list[str]) -> list[str]:
+    """The chunks in turn, up to ``JOINED`` of them in one text; a text goes on only where
+    its chunks end as they are, that is with whitespace after other characters."""
+    out, first = [], 0
+    for i in range(1, len(chunks) + 1):
+        if i == len(chunks) or i - first == JOINED or not chunks[i][:1].isspace() or chunks[i - 1][-1:].isspace():
+            out.append("".join(chunks[first:i]))
+            first = i
+    return out
+
+
 def _document_tokens(path: str, store_chunks: int) -> DocumentTokens:
     return worker_tool(("packing", path, store_chunks), lambda: DocumentTokens(path, store_chunks))
 
